@@ -1,0 +1,52 @@
+"""Registrations: Spark builder + DuckDB twin for each operator (see ``registry``)."""
+
+from __future__ import annotations
+
+from salesforge.operators import queries as Q
+from salesforge.plans.oracle import SALES_CTE, R, with_
+from salesforge.plans.registry import register, stable
+from salesforge.sources import fixtures as FX
+
+# ---------------------------------------------------------------------------------------
+# QRY1-QRY4
+# ---------------------------------------------------------------------------------------
+PAGE_START, PAGE_END = "1998-01-01", "1998-12-31"
+
+
+@register("sales_page", with_(SALES_CTE) + f"""
+SELECT date, product_id, quantity, {R('unit_price')} AS unit_price, discount,
+       {R('total_sales')} AS total_sales
+FROM sales
+WHERE date >= TIMESTAMP '{PAGE_START}' AND date <= TIMESTAMP '{PAGE_END}'
+ORDER BY date DESC NULLS LAST, product_id NULLS LAST, quantity NULLS LAST,
+         unit_price NULLS LAST, discount NULLS LAST, total_sales NULLS LAST
+LIMIT 100 OFFSET 20""")
+def _sales_page(spark, sf_dir):
+    return stable(Q.sales_page(FX.sales(spark, sf_dir), PAGE_START, PAGE_END, limit=100, offset=20))
+
+
+@register("sales_summary", with_(SALES_CTE) + f"""
+SELECT count(*) AS total_records, sum(quantity) AS total_quantity,
+       {R('sum(total_sales)')} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
+       count(DISTINCT product_id) AS unique_products, count(DISTINCT date) AS unique_dates
+FROM sales""")
+def _sales_summary(spark, sf_dir):
+    return stable(Q.sales_summary(FX.sales(spark, sf_dir)))
+
+
+@register("sales_by_product", with_(SALES_CTE) + f"""
+SELECT product_id, count(*) AS total_records, sum(quantity) AS total_quantity,
+       {R('sum(total_sales)')} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
+       {R('avg(discount)')} AS avg_discount
+FROM sales GROUP BY product_id ORDER BY total_revenue DESC""")
+def _sales_by_product(spark, sf_dir):
+    return stable(Q.sales_by_product(FX.sales(spark, sf_dir)))
+
+
+@register("sales_by_date", with_(SALES_CTE) + f"""
+SELECT date, count(*) AS total_records, sum(quantity) AS total_quantity,
+       {R('sum(total_sales)')} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
+       count(DISTINCT product_id) AS unique_products
+FROM sales GROUP BY date ORDER BY date DESC""")
+def _sales_by_date(spark, sf_dir):
+    return stable(Q.sales_by_date(FX.sales(spark, sf_dir)))
