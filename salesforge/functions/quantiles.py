@@ -2,19 +2,22 @@
 that stay distributed at any row count.
 
 Spark's exact ``percentile`` aggregate merges a value->count map of the whole column in a
-single final task, which does not survive billions of distinct doubles.  Above a checked
-row count this module instead:
-
-1. brackets every target rank with ``percentile_approx`` (GK sketch, rank error <= n/A),
-   widened by two error bounds so the exact order statistic lies inside the bracket;
-2. counts, in one scan, the rows below each bracket and the rows/distinct values inside;
-3. narrows any bracket that still holds too many distinct values with equal-width
-   histograms (one scan per level; each level divides the range by ``bins``);
-4. groups the bracketed rows by value (identical values collapse, so a value holding a
-   third of the table is one row), ranks them with a window partitioned by target, and
-   picks the two order statistics around each target position.
-
-Every driver round trip carries a bounded result (one row, or two rows per target).
+single final task, which does not survive billions of distinct doubles (and its
+interpolation weights the two neighbours, which can differ from ``quantile_cont`` in the
+last bit).  Instead:
+
+* a column with at most ``max_candidates`` values goes straight to the exact pick;
+* otherwise every target rank is bracketed with ``percentile_approx`` (GK sketch, rank
+  error <= n/A) widened by two error bounds; one scan counts the rows below and inside
+  each bracket (checking that the target ranks are covered); brackets that still hold
+  too many distinct values are narrowed with equal-width histograms, one scan per level;
+* exact pick: the bracketed rows are grouped by value (identical values collapse, so a
+  value holding a third of the table is one row), ranked with a window partitioned by
+  target (bounded by ``max_candidates`` rows each), and the two order statistics around
+  ``(n - 1) * p`` are interpolated as numpy does (``quantile_cont`` in SQL engines may
+  differ from it in the last bit).
+
+Every driver round trip carries a bounded result (one row, or a few rows per target).
 """
 
 from __future__ import annotations
@@ -26,8 +29,6 @@ from pyspark.sql import functions as F
 
 from salesforge.functions.semantics import num
 
-# Below this many non-null values Spark's exact ``percentile`` map is small enough.
-SMALL_EXACT_ROWS = 2_000_000
 MAX_CANDIDATES = 250_000
 ACCURACY = 10_000
 HIST_BINS = 4096
@@ -41,11 +42,14 @@ def _position(n: int, p: float) -> tuple[int, int, float]:
 
 
 def _interp(lo: float, hi: float, frac: float) -> float:
-    return lo + frac * (hi - lo) if frac else lo
+    """numpy's ``lerp`` (what pandas ``quantile`` returns): from the nearer neighbour."""
+    if not frac:
+        return lo
+    diff = hi - lo
+    return hi - diff * (1 - frac) if frac >= 0.5 else lo + diff * frac
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                    small_exact_rows: int = SMALL_EXACT_ROWS,
                     max_candidates: int = MAX_CANDIDATES,
                     accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
     """Return ``{column: [q(p) for p in probs]}``; NULL/NaN values are skipped and a
@@ -55,131 +59,124 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     vals = df.select(*[num(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
     counts = vals.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))]).first()
     ns = [int(counts[f"n{i}"]) for i in range(len(columns))]
-    out: dict[str, list[float | None]] = {}
-
-    small = [i for i, n in enumerate(ns) if 0 < n <= small_exact_rows]
-    if small:
-        row = vals.agg(*[F.percentile(f"v{i}", F.array(*[F.lit(float(p)) for p in probs]))
-                         .alias(f"q{i}") for i in small]).first()
-        for i in small:
-            out[columns[i]] = [float(v) if v is not None else None for v in row[f"q{i}"]]
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+
+    targets = []
     for i, n in enumerate(ns):
         if n == 0:
-            out[columns[i]] = [None] * len(probs)
-
-    large = [i for i, n in enumerate(ns) if n > small_exact_rows]
-    if large:
-        res = _large_quantiles(vals, large, ns, probs, max_candidates, accuracy)
-        for i in large:
-            out[columns[i]] = res[i]
+            continue
+        for j, p in enumerate(probs):
+            k0, k1, frac = _position(n, p)
+            t = {"col": i, "prob": j, "p": p, "k0": k0, "k1": k1, "frac": frac,
+                 "lo": float("-inf"), "hi": float("inf"), "below": 0}
+            targets.append(t)
+    if not targets:
+        return out
+    wide = [t_id for t_id, t in enumerate(targets) if ns[t["col"]] > max_candidates]
+    if wide:
+        _bracket(vals, targets, wide, max_candidates, accuracy)
+
+    picked = _pick(vals, targets)
+    for t_id, t in enumerate(targets):
+        rows = picked[t_id]
+        at = lambda k: next(x for f, l, x in rows if f <= k <= l)
+        out[columns[t["col"]]][t["prob"]] = _interp(at(t["k0"]), at(t["k1"]), t["frac"])
     return out
 
 
-def _large_quantiles(vals: DataFrame, idx: list[int], ns: list[int], probs: list[float],
-                     max_candidates: int, accuracy: int) -> dict[int, list[float]]:
-    eps = 2.0 / accuracy
-    # One target per (column, prob); each target needs ranks k0..k1 (0-based).
-    targets = []
-    for i in idx:
-        for j, p in enumerate(probs):
-            k0, k1, frac = _position(ns[i], p)
-            targets.append({"col": i, "prob": j, "p": p, "k0": k0, "k1": k1, "frac": frac,
-                            "lo": None, "hi": None})
+def _inside(t: dict):
+    v = F.col(f"v{t['col']}")
+    return (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
+
+
+def _pick(vals: DataFrame, targets: list[dict]) -> dict[int, list[tuple[int, int, float]]]:
+    """Rank the distinct values inside each bracket; return the rows covering k0..k1."""
+    tags = [F.when(_inside(t), F.struct(F.lit(t_id).alias("t"), F.col(f"v{t['col']}").alias("x")))
+            for t_id, t in enumerate(targets)]
+    cand = (vals.select(F.explode(F.array_compact(F.array(*tags))).alias("c"))
+            .groupBy(F.col("c.t").alias("t"), F.col("c.x").alias("x")).count())
+    meta = vals.sparkSession.createDataFrame(
+        [(t_id, t["below"], t["k0"], t["k1"]) for t_id, t in enumerate(targets)],
+        "t int, below long, k0 long, k1 long")
+    w = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (cand.join(F.broadcast(meta), "t")
+              .withColumn("last", F.col("below") + F.sum("count").over(w) - 1)
+              .withColumn("first", F.col("last") - F.col("count") + 1)
+              .where((F.col("last") >= F.col("k0")) & (F.col("first") <= F.col("k1"))))
+    picked: dict[int, list[tuple[int, int, float]]] = {}
+    for r in ranked.select("t", "first", "last", "x").collect():
+        picked.setdefault(r["t"], []).append((r["first"], r["last"], r["x"]))
+    return picked
+
 
-    # 1. GK brackets around every target.
+def _bracket(vals: DataFrame, targets: list[dict], ids: list[int], max_candidates: int,
+             accuracy: int) -> None:
+    eps = 2.0 / accuracy
     aggs = []
-    for t_id, t in enumerate(targets):
-        lo_p, hi_p = t["p"] - eps, t["p"] + eps
-        aggs.append(F.percentile_approx(f"v{t['col']}",
-                                        F.array(F.lit(max(lo_p, 0.0)), F.lit(min(hi_p, 1.0))),
-                                        accuracy).alias(f"b{t_id}"))
+    for t_id in ids:
+        p = targets[t_id]["p"]
+        aggs.append(F.percentile_approx(
+            f"v{targets[t_id]['col']}",
+            F.array(F.lit(max(p - eps, 0.0)), F.lit(min(p + eps, 1.0))), accuracy).alias(f"b{t_id}"))
     row = vals.agg(*aggs).first()
-    for t_id, t in enumerate(targets):
+    for t_id in ids:
+        t = targets[t_id]
         lo, hi = row[f"b{t_id}"]
         t["lo"] = float(lo) if t["p"] - eps > 0 else float("-inf")
         t["hi"] = float(hi) if t["p"] + eps < 1 else float("inf")
 
-    # 2/3. Count below/inside; narrow brackets that are still wide.
     for _level in range(8):
         aggs = []
-        for t_id, t in enumerate(targets):
+        for t_id in ids:
+            t = targets[t_id]
             v = F.col(f"v{t['col']}")
-            inside = (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
+            inside = _inside(t)
             aggs += [F.count_if(v < F.lit(t["lo"])).alias(f"below{t_id}"),
                      F.count_if(inside).alias(f"in{t_id}"),
                      F.approx_count_distinct(F.when(inside, v)).alias(f"nd{t_id}"),
                      F.min(F.when(inside, v)).alias(f"mn{t_id}"),
                      F.max(F.when(inside, v)).alias(f"mx{t_id}")]
         row = vals.agg(*aggs).first()
-        wide = []
-        for t_id, t in enumerate(targets):
+        still_wide = []
+        for t_id in ids:
+            t = targets[t_id]
             t["below"] = int(row[f"below{t_id}"])
             if not (t["below"] <= t["k0"] and t["k1"] < t["below"] + int(row[f"in{t_id}"])):
                 raise RuntimeError("quantile bracket does not contain the target rank")
             t["lo"], t["hi"] = float(row[f"mn{t_id}"]), float(row[f"mx{t_id}"])
             if int(row[f"nd{t_id}"]) > max_candidates and t["lo"] < t["hi"]:
-                wide.append(t_id)
-        if not wide:
-            break
-        _narrow(vals, targets, wide)
-
-    # 4. Exact pick among the bracketed distinct values.
-    tags = [F.when((F.col(f"v{t['col']}") >= F.lit(t["lo"])) & (F.col(f"v{t['col']}") <= F.lit(t["hi"])),
-                   F.struct(F.lit(t_id).alias("t"), F.col(f"v{t['col']}").alias("x")))
-            for t_id, t in enumerate(targets)]
-    cand = (vals.select(F.explode(F.array_compact(F.array(*tags))).alias("c"))
-            .groupBy(F.col("c.t").alias("t"), F.col("c.x").alias("x")).count())
-    meta = vals.sparkSession.createDataFrame(
-        [(t_id, t["below"], t["k0"], t["k1"]) for t_id, t in enumerate(targets)],
-        "t int, below long, k0 long, k1 long")
-    w = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (cand.join(F.broadcast(meta), "t")
-              .withColumn("last", F.col("below") + F.sum("count").over(w) - 1)
-              .withColumn("first", F.col("last") - F.col("count") + 1)
-              .where((F.col("last") >= F.col("k0")) & (F.col("first") <= F.col("k1"))))
-    picked: dict[int, list[tuple[int, int, float]]] = {}
-    for r in ranked.select("t", "first", "last", "x").collect():
-        picked.setdefault(r["t"], []).append((r["first"], r["last"], r["x"]))
-
-    out: dict[int, list[float]] = {i: [None] * len(probs) for i in idx}
-    for t_id, t in enumerate(targets):
-        rows = picked[t_id]
-        at = lambda k: next(x for f, l, x in rows if f <= k <= l)
-        out[t["col"]][t["prob"]] = _interp(at(t["k0"]), at(t["k1"]), t["frac"])
-    return out
+                still_wide.append(t_id)
+        if not still_wide:
+            return
+        _narrow(vals, targets, still_wide)
+    raise RuntimeError("quantile brackets did not converge")
 
 
 def _narrow(vals: DataFrame, targets: list[dict], wide: list[int]) -> None:
     """One histogram scan: split each wide bracket into equal-width bins and keep the
-    bin(s) holding the target ranks."""
+    bins holding the target ranks (plus one neighbour each side against rounding)."""
     parts = []
     for t_id in wide:
         t = targets[t_id]
         v = F.col(f"v{t['col']}")
         width = (t["hi"] - t["lo"]) / HIST_BINS
-        b = F.least(F.lit(HIST_BINS - 1),
-                    F.floor((v - F.lit(t["lo"])) / F.lit(width)).cast("int"))
-        parts.append(F.when((v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"])),
-                            F.struct(F.lit(t_id).alias("t"), b.alias("b"))))
+        b = F.least(F.lit(HIST_BINS - 1), F.floor((v - F.lit(t["lo"])) / F.lit(width)).cast("int"))
+        parts.append(F.when(_inside(t), F.struct(F.lit(t_id).alias("t"), b.alias("b"))))
     hist = (vals.select(F.explode(F.array_compact(F.array(*parts))).alias("h"))
-            .groupBy("h.t", "h.b").count().collect())
+            .groupBy("h.t", "h.b").count().collect())  # <= HIST_BINS rows per target
     by_t: dict[int, list[tuple[int, int]]] = {}
     for r in hist:
         by_t.setdefault(r["t"], []).append((r["b"], r["count"]))
     for t_id in wide:
         t = targets[t_id]
         width = (t["hi"] - t["lo"]) / HIST_BINS
-        cum = t["below"]
-        first_b = last_b = None
+        cum, first_b, last_b = t["below"], None, None
         for b, c in sorted(by_t[t_id]):
             if first_b is None and cum + c > t["k0"]:
                 first_b = b
             if last_b is None and cum + c > t["k1"]:
                 last_b = b
             cum += c
-        # Bin edges recomputed here can differ from Spark's bin assignment by rounding;
-        # keep one neighbouring bin on each side.  The next count pass re-derives the
-        # exact rows below and inside, and checks that the target ranks are covered.
         base = t["lo"]
         if first_b > 1:
             t["lo"] = base + (first_b - 1) * width
