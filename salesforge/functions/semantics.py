@@ -73,6 +73,18 @@ def round_half_even(c: str | Column, dp: int = 2) -> Column:
     return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
+def round_significant(c: str | Column, digits: int = 10) -> Column:
+    """Round half-to-even to ``digits`` significant digits (scale by an exact power of
+    ten, ``rint``, unscale); 0, NULL and NaN pass through."""
+    c = col(c)
+    e = F.floor(F.log10(F.abs(c)))
+    shift = (F.lit(digits - 1) - e).cast("double")
+    up = F.rint(c * F.pow(F.lit(10.0), shift)) / F.pow(F.lit(10.0), shift)
+    down = F.rint(c / F.pow(F.lit(10.0), -shift)) * F.pow(F.lit(10.0), -shift)
+    return (F.when(c.isNull() | F.isnan(c) | (c == 0), c)
+            .when(shift >= 0, up).otherwise(down))
+
+
 def safe_div(a: str | Column, b: str | Column) -> Column:
     """Division that yields NULL (not an error, not inf) for a zero or NULL divisor."""
     return F.try_divide(col(a), col(b))

@@ -409,17 +409,21 @@ def forecast(df: DataFrame, periods: int = 12, method: str = "simple") -> DataFr
 # ---------------------------------------------------------------------------------------
 # INS1
 # ---------------------------------------------------------------------------------------
-def insights(df: DataFrame, anomaly_count: DataFrame | None = None) -> DataFrame:
+def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
+             money_dp: int | None = None) -> DataFrame:
     """INS1: insight rows (type, title, description, value_num, value_text).
 
     ``anomaly_count`` is a one-row frame with column ``n`` (IQR anomaly rows); see
-    ``salesforge.operators.anomalies.anomaly_count``.
+    ``salesforge.operators.anomalies.anomaly_count``.  ``money_dp`` snaps revenue sums
+    to that many places before they are formatted, so the text does not depend on the
+    order in which partial sums were added.
     """
     spark = df.sparkSession
+    snap = (lambda c: round_half_even(c, money_dp)) if money_dp is not None else (lambda c: c)
     frames = []
     cols = ["type", "title", "description", "value_num", "value_text"]
     if _has(df, "total_sales"):
-        rev = df.agg(sum0("total_sales").alias("v")).where(F.col("v") > 0)
+        rev = df.agg(snap(sum0("total_sales")).alias("v")).where(F.col("v") > 0)
         frames.append(rev.select(F.lit("revenue").alias("type"), F.lit("Total Revenue").alias("title"),
                                  F.concat(F.lit("Total revenue generated: $"), fmt_thousands("v", 2)).alias("description"),
                                  F.col("v").alias("value_num"), F.lit(None).cast("string").alias("value_text")))
@@ -427,7 +431,7 @@ def insights(df: DataFrame, anomaly_count: DataFrame | None = None) -> DataFrame
         prod = (df.where(F.col("product_id").isNotNull()).groupBy("product_id")
                 .agg(sum0("total_sales").alias("revenue")))
         top = prod.agg(F.min_by("product_id", F.struct(-F.col("revenue"), F.col("product_id"))).alias("pid"),
-                       F.max("revenue").alias("v")).where(F.col("pid").isNotNull())
+                       snap(F.max("revenue")).alias("v")).where(F.col("pid").isNotNull())
         frames.append(top.select(F.lit("product").alias("type"), F.lit("Top Performing Product").alias("title"),
                                  F.format_string("Product %s generated $%s in revenue", F.col("pid"),
                                                  fmt_thousands("v", 2)).alias("description"),

@@ -27,26 +27,26 @@ def _sales_page(spark, sf_dir):
 
 @register("sales_summary", with_(SALES_CTE) + f"""
 SELECT count(*) AS total_records, sum(quantity) AS total_quantity,
-       {R('sum(total_sales)')} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
+       {R('sum(total_sales)', 4)} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
        count(DISTINCT product_id) AS unique_products, count(DISTINCT date) AS unique_dates
 FROM sales""")
 def _sales_summary(spark, sf_dir):
-    return stable(Q.sales_summary(FX.sales(spark, sf_dir)))
+    return stable(Q.sales_summary(FX.sales(spark, sf_dir)), sums=("total_revenue",))
 
 
 @register("sales_by_product", with_(SALES_CTE) + f"""
 SELECT product_id, count(*) AS total_records, sum(quantity) AS total_quantity,
-       {R('sum(total_sales)')} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
+       {R('sum(total_sales)', 4)} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
        {R('avg(discount)')} AS avg_discount
 FROM sales GROUP BY product_id ORDER BY total_revenue DESC""")
 def _sales_by_product(spark, sf_dir):
-    return stable(Q.sales_by_product(FX.sales(spark, sf_dir)))
+    return stable(Q.sales_by_product(FX.sales(spark, sf_dir)), sums=("total_revenue",))
 
 
 @register("sales_by_date", with_(SALES_CTE) + f"""
 SELECT date, count(*) AS total_records, sum(quantity) AS total_quantity,
-       {R('sum(total_sales)')} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
+       {R('sum(total_sales)', 4)} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
        count(DISTINCT product_id) AS unique_products
 FROM sales GROUP BY date ORDER BY date DESC""")
 def _sales_by_date(spark, sf_dir):
-    return stable(Q.sales_by_date(FX.sales(spark, sf_dir)))
+    return stable(Q.sales_by_date(FX.sales(spark, sf_dir)), sums=("total_revenue",))

@@ -8,10 +8,17 @@ Spark and ``round_even(.., 0)`` in DuckDB perform the same IEEE operations.
 from __future__ import annotations
 
 
-def R(expr: str, dp: int = 4) -> str:
-    """SQL for ``round_half_even(expr, dp)``."""
-    s = 10 ** dp
-    return f"(round_even(CAST(({expr}) AS DOUBLE) * {s}, 0) / {s})"
+def R(expr: str, dp: int | None = None) -> str:
+    """SQL for ``round_half_even(expr, dp)``, or, without ``dp``, for
+    ``round_significant(expr, 10)``."""
+    if dp is not None:
+        s = 10 ** dp
+        return f"(round_even(CAST(({expr}) AS DOUBLE) * {s}, 0) / {s})"
+    x = f"CAST(({expr}) AS DOUBLE)"
+    sh = f"(9 - floor(log10(abs({x}))))"
+    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR {x} = 0 THEN {x} "
+            f"WHEN {sh} >= 0 THEN round_even({x} * pow(10, {sh}), 0) / pow(10, {sh}) "
+            f"ELSE round_even({x} / pow(10, -{sh}), 0) * pow(10, -{sh}) END)")
 
 
 SALES_CTE = """sales AS (

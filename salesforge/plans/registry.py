@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesforge.functions.semantics import round_half_even
+from salesforge.functions.semantics import round_half_even, round_significant
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -32,15 +32,33 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def stable(df: DataFrame, dp: int | dict[str, int] = 4) -> DataFrame:
-    """Round double columns (``dp`` places, or per-column) and widen ints to bigint,
-    arrays of strings to comma-joined text: one comparable shape for both engines."""
+SUM_DP = 4
+SIG_DIGITS = 10
+
+
+def _round(c, dp: int | None):
+    return round_significant(c, SIG_DIGITS) if dp is None else round_half_even(c, dp)
+
+
+def stable(df: DataFrame, dp: int | None = None, sums: tuple[str, ...] = (),
+           sum_rows: tuple[str, ...] = ()) -> DataFrame:
+    """Round double columns half-to-even and widen ints to bigint, arrays of strings to
+    comma-joined text: one comparable shape for both engines.
+
+    Money sums sit on an exact 4-place grid, so they are rounded at 4 places (``sums``
+    columns; or, in long metric frames, the ``value`` of rows whose ``name`` is in
+    ``sum_rows``); summation-order noise cannot move them off the grid point.  Other
+    doubles (means, ratios) keep 10 significant digits (or ``dp`` fixed places), past
+    the ties that means of grid values produce at fixed places.
+    """
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            places = dp.get(f.name, 4) if isinstance(dp, dict) else dp
-            c = round_half_even(c.cast("double"), places)
+            c = _round(c.cast("double"), SUM_DP if f.name in sums else dp)
+            if f.name == "value" and sum_rows:
+                c = F.when(F.col("name").isin(*sum_rows),
+                           round_half_even(F.col("value").cast("double"), SUM_DP)).otherwise(c)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.ArrayType):
