@@ -67,6 +67,15 @@ def ts(df: DataFrame, name: str) -> Column:
     return F.lit(None).cast("timestamp_ntz")
 
 
+def ts_lit(value) -> Column:
+    """A timestamp_ntz literal from a datetime/date/ISO string, independent of the
+    Python process' and the session's time zones."""
+    if hasattr(value, "strftime"):
+        fmt = "%Y-%m-%d %H:%M:%S.%f" if hasattr(value, "hour") else "%Y-%m-%d"
+        value = value.strftime(fmt)
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def round_half_even(c: str | Column, dp: int = 2) -> Column:
     """numpy ``around``: scale, round half to even, unscale (``Column.round`` is half-up)."""
     scale = 10 ** dp

@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesforge.functions.schema import SALES_COLUMNS
+from salesforge.functions.semantics import ts_lit
 
 
 def _date_range(df: DataFrame, start_date: date | datetime | str | None,
                 end_date: date | datetime | str | None) -> DataFrame:
     if start_date is not None:
-        df = df.where(F.col("date") >= F.lit(start_date).cast(df.schema["date"].dataType))
+        df = df.where(F.col("date") >= ts_lit(start_date).cast(df.schema["date"].dataType))
     if end_date is not None:
-        df = df.where(F.col("date") <= F.lit(end_date).cast(df.schema["date"].dataType))
+        df = df.where(F.col("date") <= ts_lit(end_date).cast(df.schema["date"].dataType))
     return df
 
 
