@@ -4,8 +4,8 @@
 type, validate in quarantine mode, write accepted rows and rejects.  Each batch writes
 to its own ``batch_id=N`` folder with overwrite, so a batch replayed after a failure
 (``foreachBatch`` is at-least-once) rewrites the same files instead of duplicating
-them.  Batch-level quality counts are published through ``observe`` and appear in the
-query progress (``observedMetrics``).
+them.  Batch-level quality counts are computed once per batch (one aggregate over the
+persisted batch) and written the same way to ``metrics_dir/batch_id=N``.
 
 Scope: imputation medians and duplicate checks are batch-scoped; no cross-batch state
 is kept (none is needed for the upload semantics).
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,8 +24,6 @@ from salesforge.functions.schema import RAW_SCHEMA, VALIDATION_REQUIRED
 from salesforge.operators.validate import validate_sales
 from salesforge.sources.readers import parse_sales
 
-METRICS_NAME = "ingest_quality"
-
 
 def landing_stream(spark: SparkSession, landing_dir: str, fmt: str = "json",
                    max_files_per_trigger: int | None = None) -> DataFrame:
@@ -35,41 +34,42 @@ def landing_stream(spark: SparkSession, landing_dir: str, fmt: str = "json",
         r = r.option("header", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = r.load(landing_dir)
-    typed = parse_sales(raw)
-    return typed.observe(METRICS_NAME,
-                         F.count(F.lit(1)).alias("rows"),
-                         F.count_if(F.col("quantity").isNull()).alias("quantity_missing"),
-                         F.count_if(F.col("date").isNull()).alias("date_missing"),
-                         F.count_if(F.col("quantity") <= 0).alias("quantity_non_positive"))
+    return parse_sales(r.load(landing_dir))
 
 
-def process_batch(batch: DataFrame, batch_id: int, table_dir: str, quarantine_dir: str) -> None:
-    """Validate one micro-batch and write both outputs idempotently by batch id."""
-    if batch.isEmpty():
-        return
-    res = validate_sales(batch.select(*VALIDATION_REQUIRED), mode="quarantine")
-    res.accepted.write.mode("overwrite").parquet(os.path.join(table_dir, f"batch_id={batch_id}"))
-    res.rejected.write.mode("overwrite").parquet(os.path.join(quarantine_dir, f"batch_id={batch_id}"))
+def process_batch(batch: DataFrame, batch_id: int, table_dir: str, quarantine_dir: str,
+                  metrics_dir: str | None = None) -> None:
+    """Validate one micro-batch and write every output idempotently by batch id."""
+    batch = batch.select(*VALIDATION_REQUIRED).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        m = batch.agg(F.count(F.lit(1)).alias("rows"),
+                      F.count_if(F.col("quantity").isNull()).alias("quantity_missing"),
+                      F.count_if(F.col("date").isNull()).alias("date_missing"),
+                      F.count_if(F.col("quantity") <= 0).alias("quantity_non_positive"))
+        if metrics_dir:
+            m = m.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            m.write.mode("overwrite").parquet(os.path.join(metrics_dir, f"batch_id={batch_id}"))
+        if batch.isEmpty():
+            return
+        res = validate_sales(batch, mode="quarantine")
+        res.accepted.write.mode("overwrite").parquet(os.path.join(table_dir, f"batch_id={batch_id}"))
+        res.rejected.write.mode("overwrite").parquet(os.path.join(quarantine_dir, f"batch_id={batch_id}"))
+    finally:
+        batch.unpersist()
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, table_dir: str, quarantine_dir: str,
                  checkpoint_location: str, fmt: str = "json", available_now: bool = True,
-                 processing_time: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                 metrics_dir: str | None = None) -> StreamingQuery:
     """Start the ingest query; ``available_now`` drains what has landed and stops."""
     stream = landing_stream(spark, landing_dir, fmt, max_files_per_trigger)
     w = (stream.writeStream.option("checkpointLocation", checkpoint_location)
-         .foreachBatch(lambda df, bid: process_batch(df, bid, table_dir, quarantine_dir)))
+         .foreachBatch(lambda df, bid: process_batch(df, bid, table_dir, quarantine_dir, metrics_dir)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
 
 
-def batch_metrics(query: StreamingQuery) -> list[dict]:
-    """The observed per-batch quality counts of the query's recent progress."""
-    out = []
-    for p in query.recentProgress:
-        m = (p.get("observedMetrics") or {}) if isinstance(p, dict) else (p.observedMetrics or {})
-        if METRICS_NAME in m:
-            row = m[METRICS_NAME]
-            out.append(row if isinstance(row, dict) else row.asDict())
-    return out
+def batch_metrics(spark: SparkSession, metrics_dir: str) -> DataFrame:
+    """Per-batch quality counts written by ``process_batch`` (one row per batch)."""
+    return spark.read.parquet(metrics_dir).orderBy("batch_id")

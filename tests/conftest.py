@@ -17,7 +17,7 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", 8)
+    s = get_session("local[4]", 8, extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sf-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     # Tests set their own checkpoint folder only because none is configured here.
     ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="sf-ckpt-"))
