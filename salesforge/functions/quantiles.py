@@ -6,14 +6,22 @@ single final task, which does not survive billions of distinct doubles (and its
 interpolation weights the two neighbours, which can differ from ``quantile_cont`` in the
 last bit).  Instead:
 
-* a column with at most ``max_candidates`` values goes straight to the exact pick;
-* otherwise every target rank is bracketed with ``percentile_approx`` (GK sketch, rank
-  error <= n/A) widened by two error bounds; one scan counts the rows below and inside
-  each bracket (checking that the target ranks are covered); brackets that still hold
-  too many distinct values are narrowed with equal-width histograms, one scan per level;
-* exact pick: the bracketed rows are grouped by value (identical values collapse, so a
-  value holding a third of the table is one row), ranked with a window partitioned by
-  target (bounded by ``max_candidates`` rows each), and the two order statistics around
+* one scan counts the values and builds GK sketches (``percentile_approx``, rank error
+  <= n/A) around every requested probability, widened by two error bounds;
+* a column with at most ``direct_max`` values goes straight to the exact pick;
+* otherwise one scan counts the rows below and inside each bracket (checking that the
+  target ranks are covered); brackets that still hold more than ``max_candidates`` rows
+  are narrowed with equal-width histograms, one scan per level, until they are small or
+  hold a single value;
+* exact pick: Spark's ``percentile`` returns the element itself when its position
+  ``(m - 1) * p`` is a whole number.  Every value is weighted by ``FREQ`` (the
+  aggregate's frequency argument), so the r-th value covers ``FREQ`` consecutive
+  positions and a ``p`` whose product lands exactly on one of them always exists;
+  one ``percentile(v, array(...), FREQ)`` per
+  column (or per bracket, over the bracketed values with local ranks ``r = k - below``)
+  fetches all of them.  Its value->count map holds at most ``max_candidates`` distinct
+  values (identical values share one entry, so a value holding a third of the table
+  costs one entry).  The two order statistics around
   ``(n - 1) * p`` are interpolated as numpy does (``quantile_cont`` in SQL engines may
   differ from it in the last bit).
 
@@ -24,14 +32,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesforge.functions.semantics import num
 
 MAX_CANDIDATES = 250_000
 ACCURACY = 10_000
+DIRECT_MAX = 50_000
 HIST_BINS = 4096
+FREQ = 1024
 
 
 def _position(n: int, p: float) -> tuple[int, int, float]:
@@ -50,17 +60,21 @@ def _interp(lo: float, hi: float, frac: float) -> float:
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                    max_candidates: int = MAX_CANDIDATES,
-                    accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+                    max_candidates: int = MAX_CANDIDATES, accuracy: int = ACCURACY,
+                    direct_max: int = DIRECT_MAX) -> dict[str, list[float | None]]:
     """Return ``{column: [q(p) for p in probs]}``; NULL/NaN values are skipped and a
     column without values yields ``None``s."""
     if not columns:
         return {}
     vals = df.select(*[num(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
-    counts = vals.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))]).first()
-    ns = [int(counts[f"n{i}"]) for i in range(len(columns))]
+    eps = 2.0 / accuracy
+    # Pass 1: value counts and GK brackets around every requested probability.
+    first = vals.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))],
+                     *[F.percentile_approx(f"v{i}", F.array(*[F.lit(x) for p in probs
+                                                             for x in (max(p - eps, 0.0), min(p + eps, 1.0))]),
+                                           accuracy).alias(f"b{i}") for i in range(len(columns))]).first()
+    ns = [int(first[f"n{i}"]) for i in range(len(columns))]
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-
     targets = []
     for i, n in enumerate(ns):
         if n == 0:
@@ -68,19 +82,20 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         for j, p in enumerate(probs):
             k0, k1, frac = _position(n, p)
             t = {"col": i, "prob": j, "p": p, "k0": k0, "k1": k1, "frac": frac,
-                 "lo": float("-inf"), "hi": float("inf"), "below": 0}
+                 "lo": float("-inf"), "hi": float("inf"), "below": 0, "inside": n}
+            if n > direct_max:
+                lo, hi = first[f"b{i}"][2 * j], first[f"b{i}"][2 * j + 1]
+                t["lo"] = float(lo) if p - eps > 0 else float("-inf")
+                t["hi"] = float(hi) if p + eps < 1 else float("inf")
             targets.append(t)
     if not targets:
         return out
-    wide = [t_id for t_id, t in enumerate(targets) if ns[t["col"]] > max_candidates]
+    wide = [t_id for t_id, t in enumerate(targets) if ns[t["col"]] > direct_max]
     if wide:
-        _bracket(vals, targets, wide, max_candidates, accuracy)
-
-    picked = _pick(vals, targets)
+        _bracket(vals, targets, wide, max_candidates)
+    got = _pick(vals, targets)
     for t_id, t in enumerate(targets):
-        rows = picked[t_id]
-        at = lambda k: next(x for f, l, x in rows if f <= k <= l)
-        out[columns[t["col"]]][t["prob"]] = _interp(at(t["k0"]), at(t["k1"]), t["frac"])
+        out[columns[t["col"]]][t["prob"]] = _interp(got[(t_id, 0)], got[(t_id, 1)], t["frac"])
     return out
 
 
@@ -89,43 +104,52 @@ def _inside(t: dict):
     return (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
 
 
-def _pick(vals: DataFrame, targets: list[dict]) -> dict[int, list[tuple[int, int, float]]]:
-    """Rank the distinct values inside each bracket; return the rows covering k0..k1."""
-    tags = [F.when(_inside(t), F.struct(F.lit(t_id).alias("t"), F.col(f"v{t['col']}").alias("x")))
-            for t_id, t in enumerate(targets)]
-    cand = (vals.select(F.explode(F.array_compact(F.array(*tags))).alias("c"))
-            .groupBy(F.col("c.t").alias("t"), F.col("c.x").alias("x")).count())
-    meta = vals.sparkSession.createDataFrame(
-        [(t_id, t["below"], t["k0"], t["k1"]) for t_id, t in enumerate(targets)],
-        "t int, below long, k0 long, k1 long")
-    w = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (cand.join(F.broadcast(meta), "t")
-              .withColumn("last", F.col("below") + F.sum("count").over(w) - 1)
-              .withColumn("first", F.col("last") - F.col("count") + 1)
-              .where((F.col("last") >= F.col("k0")) & (F.col("first") <= F.col("k1"))))
-    picked: dict[int, list[tuple[int, int, float]]] = {}
-    for r in ranked.select("t", "first", "last", "x").collect():
-        picked.setdefault(r["t"], []).append((r["first"], r["last"], r["x"]))
-    return picked
-
-
-def _bracket(vals: DataFrame, targets: list[dict], ids: list[int], max_candidates: int,
-             accuracy: int) -> None:
-    eps = 2.0 / accuracy
-    aggs = []
-    for t_id in ids:
-        p = targets[t_id]["p"]
-        aggs.append(F.percentile_approx(
-            f"v{targets[t_id]['col']}",
-            F.array(F.lit(max(p - eps, 0.0)), F.lit(min(p + eps, 1.0))), accuracy).alias(f"b{t_id}"))
+def _exact_p(r: int, m: int) -> float:
+    """A percentage ``p`` whose position ``(FREQ * m - 1) * p`` (Spark's formula) is a
+    whole number inside the block of positions held by the r-th value."""
+    top = FREQ * m - 1
+    lo, hi = FREQ * r, FREQ * r + FREQ - 1
+    for x in sorted(range(lo, hi + 1), key=lambda x: abs(2 * x - lo - hi)):
+        p = x / top
+        for _ in range(4):
+            pos = top * p
+            if pos == x:
+                return p
+            p = math.nextafter(p, math.inf if pos < x else -math.inf)
+    raise ArithmeticError(f"no exact percentage for rank {r} of {m}")
+
+
+def _pick(vals: DataFrame, targets: list[dict]) -> dict[tuple[int, int], float]:
+    """The k0-th and k1-th smallest value of every target: one ``percentile`` per column
+    and bracket, all in one aggregate."""
+    groups: dict[tuple, list] = {}
+    for t_id, t in enumerate(targets):
+        g = groups.setdefault((t["col"], t["lo"], t["hi"], t["below"], t["inside"]), [])
+        g += [(t_id, 0, t["k0"]), (t_id, 1, t["k1"])]
+    aggs, layout = [], []
+    for gi, ((c, lo, hi, below, inside), wants) in enumerate(groups.items()):
+        v = F.col(f"v{c}")
+        cond = F.lit(True)
+        if lo != float("-inf"):
+            cond = cond & (v >= F.lit(lo))
+        if hi != float("inf"):
+            cond = cond & (v <= F.lit(hi))
+        ps = [_exact_p(k - below, inside) for _, _, k in wants]
+        aggs.append(F.percentile(F.when(cond, v), F.array(*[F.lit(p) for p in ps]), F.lit(FREQ))
+                    .alias(f"g{gi}"))
+        layout.append(wants)
     row = vals.agg(*aggs).first()
-    for t_id in ids:
-        t = targets[t_id]
-        lo, hi = row[f"b{t_id}"]
-        t["lo"] = float(lo) if t["p"] - eps > 0 else float("-inf")
-        t["hi"] = float(hi) if t["p"] + eps < 1 else float("inf")
+    out = {}
+    for gi, wants in enumerate(layout):
+        for (t_id, j, _k), x in zip(wants, row[f"g{gi}"]):
+            out[(t_id, j)] = float(x)
+    return out
+
 
-    for _level in range(8):
+def _bracket(vals: DataFrame, targets: list[dict], ids: list[int], max_candidates: int) -> None:
+    """Count the rows below and inside each GK bracket (checking the target ranks are
+    covered) and narrow brackets that still hold more than ``max_candidates`` rows."""
+    for _level in range(16):
         aggs = []
         for t_id in ids:
             t = targets[t_id]
@@ -133,22 +157,23 @@ def _bracket(vals: DataFrame, targets: list[dict], ids: list[int], max_candidate
             inside = _inside(t)
             aggs += [F.count_if(v < F.lit(t["lo"])).alias(f"below{t_id}"),
                      F.count_if(inside).alias(f"in{t_id}"),
-                     F.approx_count_distinct(F.when(inside, v)).alias(f"nd{t_id}"),
                      F.min(F.when(inside, v)).alias(f"mn{t_id}"),
                      F.max(F.when(inside, v)).alias(f"mx{t_id}")]
         row = vals.agg(*aggs).first()
         still_wide = []
         for t_id in ids:
             t = targets[t_id]
-            t["below"] = int(row[f"below{t_id}"])
-            if not (t["below"] <= t["k0"] and t["k1"] < t["below"] + int(row[f"in{t_id}"])):
+            t["below"], t["inside"] = int(row[f"below{t_id}"]), int(row[f"in{t_id}"])
+            if not (t["below"] <= t["k0"] and t["k1"] < t["below"] + t["inside"]):
                 raise RuntimeError("quantile bracket does not contain the target rank")
             t["lo"], t["hi"] = float(row[f"mn{t_id}"]), float(row[f"mx{t_id}"])
-            if int(row[f"nd{t_id}"]) > max_candidates and t["lo"] < t["hi"]:
+            # Rows bound the distinct values; a bracket of one value is already exact.
+            if t["inside"] > max_candidates and t["lo"] < t["hi"]:
                 still_wide.append(t_id)
         if not still_wide:
             return
         _narrow(vals, targets, still_wide)
+        ids = still_wide
     raise RuntimeError("quantile brackets did not converge")
 
 
@@ -162,7 +187,7 @@ def _narrow(vals: DataFrame, targets: list[dict], wide: list[int]) -> None:
         width = (t["hi"] - t["lo"]) / HIST_BINS
         b = F.least(F.lit(HIST_BINS - 1), F.floor((v - F.lit(t["lo"])) / F.lit(width)).cast("int"))
         parts.append(F.when(_inside(t), F.struct(F.lit(t_id).alias("t"), b.alias("b"))))
-    hist = (vals.select(F.explode(F.array_compact(F.array(*parts))).alias("h"))
+    hist = (vals.select(F.explode(F.array(*parts)).alias("h")).where(F.col("h").isNotNull())
             .groupBy("h.t", "h.b").count().collect())  # <= HIST_BINS rows per target
     by_t: dict[int, list[tuple[int, int]]] = {}
     for r in hist:

@@ -81,8 +81,9 @@ def outlier_rows(df: DataFrame, columns: list[str] | None = None, method: str =
     distributed table has none, so rows are returned with the offending column)."""
     columns = columns or numeric_columns(df)
     params = _params(df, columns, method)
-    tags = F.array_compact(F.array(*[F.when(_flag(c, method, params[c]), F.lit(c)) for c in columns]))
-    return df.withColumn("outlier_column", F.explode(tags))
+    # explode + filter (not array_compact, a lambda function that leaves codegen)
+    tags = F.array(*[F.when(_flag(c, method, params[c]), F.lit(c)) for c in columns])
+    return df.withColumn("outlier_column", F.explode(tags)).where(F.col("outlier_column").isNotNull())
 
 
 def anomalies(df: DataFrame, method: str = "iqr") -> DataFrame:
@@ -94,8 +95,8 @@ def anomalies(df: DataFrame, method: str = "iqr") -> DataFrame:
         return df.withColumn("anomaly_type", F.lit(None).cast("string")).limit(0)
     params = _params(df, cols, method)
     suffix = "_outlier" if method == "iqr" else "_zscore_outlier"
-    tags = F.array_compact(F.array(*[F.when(_flag(c, method, params[c]), F.lit(c + suffix)) for c in cols]))
-    return df.withColumn("anomaly_type", F.explode(tags))
+    tags = F.array(*[F.when(_flag(c, method, params[c]), F.lit(c + suffix)) for c in cols])
+    return df.withColumn("anomaly_type", F.explode(tags)).where(F.col("anomaly_type").isNotNull())
 
 
 def anomaly_count(df: DataFrame, method: str = "iqr") -> DataFrame:

@@ -70,17 +70,18 @@ def _range(lo: float, hi: float) -> tuple[float, float]:
 
 def _bin(x: Column, lo: float, hi: float, bins: int) -> Column:
     """numpy.histogram bin index: edges ``lo + i * (hi - lo) / bins`` (last edge = hi),
-    the last bin closed; the first guess from the scaled offset is corrected against the
-    two neighbouring edges exactly as numpy does."""
+    the last bin closed.  The first guess ``i0`` from the scaled offset is corrected
+    against its two edges as numpy does (step down if below the lower edge, otherwise
+    up if at/after the upper edge and not the last bin), written as one flat expression
+    so whole-stage codegen keeps it small."""
     step = (hi - lo) / bins
     norm = bins / (hi - lo)
     i0 = F.least(F.lit(bins - 1), F.floor((x - F.lit(lo)) * F.lit(norm)).cast("int"))
-
-    def edge(i: Column) -> Column:
-        return F.when(i >= bins, F.lit(hi)).otherwise(i.cast("double") * F.lit(step) + F.lit(lo))
-
-    i1 = F.when(x < edge(i0), i0 - 1).otherwise(i0)
-    return F.when((x >= edge(i1 + 1)) & (i1 != bins - 1), i1 + 1).otherwise(i1)
+    lower = i0.cast("double") * F.lit(step) + F.lit(lo)
+    upper = F.when(i0 + 1 >= bins, F.lit(hi)).otherwise((i0 + 1).cast("double") * F.lit(step) + F.lit(lo))
+    down = x < lower
+    up = (~down) & (x >= upper) & (i0 != bins - 1)
+    return i0 - down.cast("int") + up.cast("int")
 
 
 def histograms(df: DataFrame, bins: int = 30, columns: list[str] | None = None) -> DataFrame:
@@ -102,7 +103,7 @@ def histograms(df: DataFrame, bins: int = 30, columns: list[str] | None = None)
     schema = "column string, bin int, bin_lo double, bin_hi double"
     if not parts:
         return spark.createDataFrame([], schema + ", count long")
-    counts = (vals.select(F.explode(F.array_compact(F.array(*parts))).alias("h"))
+    counts = (vals.select(F.explode(F.array(*parts)).alias("h")).where(F.col("h").isNotNull())
               .groupBy("h.column", "h.bin").count())
     edges = spark.createDataFrame(grid, schema)  # bins x columns rows
     return (F.broadcast(edges).join(counts, ["column", "bin"], "left")
@@ -118,18 +119,20 @@ def scatter_bins(df: DataFrame, bins: int = 20, pairs: list[tuple[str, str]] | N
     cols = sorted({c for p in pairs for c in p})
     vals = df.select(*[num(df, c).alias(c) for c in cols])
     mm = vals.agg(*[x for c in cols for x in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]).first()
-    parts = []
-    for a, b in pairs:
-        if mm[f"lo_{a}"] is None or mm[f"lo_{b}"] is None:
-            continue
-        xa, ya = _range(float(mm[f"lo_{a}"]), float(mm[f"hi_{a}"]))
-        xb, yb = _range(float(mm[f"lo_{b}"]), float(mm[f"hi_{b}"]))
-        parts.append(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(),
-                            F.struct(F.lit(f"{a}:{b}").alias("pair"), _bin(F.col(a), xa, ya, bins).alias("x_bin"),
-                                     _bin(F.col(b), xb, yb, bins).alias("y_bin"))))
+    # One bin per column in its own projection (not one per pair use), then pair the ints.
+    bins_of = {}
+    for c in cols:
+        if mm[f"lo_{c}"] is not None:
+            lo, hi = _range(float(mm[f"lo_{c}"]), float(mm[f"hi_{c}"]))
+            bins_of[c] = _bin(F.col(c), lo, hi, bins).alias(f"b_{c}")
+    binned = vals.select(*bins_of.values())
+    parts = [F.when(F.col(f"b_{a}").isNotNull() & F.col(f"b_{b}").isNotNull(),
+                    F.struct(F.lit(f"{a}:{b}").alias("pair"), F.col(f"b_{a}").alias("x_bin"),
+                             F.col(f"b_{b}").alias("y_bin")))
+             for a, b in pairs if a in bins_of and b in bins_of]
     if not parts:
         return df.sparkSession.createDataFrame([], "pair string, x_bin bigint, y_bin bigint, count long")
-    return (vals.select(F.explode(F.array_compact(F.array(*parts))).alias("p"))
+    return (binned.select(F.explode(F.array(*parts)).alias("p")).where(F.col("p").isNotNull())
             .groupBy("p.pair", F.col("p.x_bin").cast("bigint").alias("x_bin"),
                      F.col("p.y_bin").cast("bigint").alias("y_bin")).count())
 

@@ -60,11 +60,11 @@ def _bin_sql(x: str, lo: str, hi: str, bins: int) -> str:
     step = f"(({hi} - {lo}) / {bins})"
     norm = f"({bins} / ({hi} - {lo}))"
     i0 = f"least({bins - 1}, CAST(floor(({x} - {lo}) * {norm}) AS INTEGER))"
-
-    def edge(i):
-        return f"(CASE WHEN ({i}) >= {bins} THEN {hi} ELSE CAST({i} AS DOUBLE) * {step} + {lo} END)"
-    i1 = f"(CASE WHEN {x} < {edge(i0)} THEN {i0} - 1 ELSE {i0} END)"
-    return f"(CASE WHEN {x} >= {edge(f'{i1} + 1')} AND {i1} <> {bins - 1} THEN {i1} + 1 ELSE {i1} END)"
+    lower = f"(CAST({i0} AS DOUBLE) * {step} + {lo})"
+    upper = f"(CASE WHEN {i0} + 1 >= {bins} THEN {hi} ELSE CAST({i0} + 1 AS DOUBLE) * {step} + {lo} END)"
+    down = f"({x} < {lower})"
+    up = f"(NOT {down} AND {x} >= {upper} AND {i0} <> {bins - 1})"
+    return f"({i0} - CAST({down} AS INTEGER) + CAST({up} AS INTEGER))"
 
 
 def _range_cte(cols: list[str]) -> str:

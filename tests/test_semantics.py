@@ -47,8 +47,8 @@ def test_python_formatting(spark):
     assert [tuple(r) for r in got] == [(f"{0.25:.1f}", f"{1234567.125:,.2f}"), (f"{2.675:.1f}", f"{0.375:,.2f}")]
 
 
-@pytest.mark.parametrize("max_candidates", [250_000, 40])
-def test_exact_quantiles_match_numpy(spark, max_candidates):
+@pytest.mark.parametrize("max_candidates,direct_max", [(250_000, 50_000), (250_000, 0), (40, 0)])
+def test_exact_quantiles_match_numpy(spark, max_candidates, direct_max):
     rng = np.random.default_rng(7)
     hot = np.full(700, 42.0)  # one value holding a third of the rows
     vals = np.concatenate([rng.lognormal(3, 1.5, 1300), hot, rng.integers(0, 50, 100).astype(float)])
@@ -56,7 +56,8 @@ def test_exact_quantiles_match_numpy(spark, max_candidates):
     rows = [(float(v),) for v in vals] + [(None,), (float("nan"),)]
     df = spark.createDataFrame(rows, "x double").repartition(7)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = exact_quantiles(df, ["x"], probs, max_candidates=max_candidates, accuracy=200)["x"]
+    got = exact_quantiles(df, ["x"], probs, max_candidates=max_candidates, accuracy=200,
+                          direct_max=direct_max)["x"]
     exp = np.quantile(vals, probs)
     assert got == [float(e) for e in exp]
 
