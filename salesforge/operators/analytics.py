@@ -210,15 +210,17 @@ def product_metrics(df: DataFrame) -> DataFrame:
     if not _has(df, "product_id", "total_sales", "quantity"):
         return _explode_long(df.limit(0), [])
     prod = _products(df)
-    leaders = prod.agg(
+    # The top 5 come from a bounded top-k; flagging them (broadcast of 5 ids) lets one
+    # aggregate produce every figure.
+    top5_ids = (prod.orderBy(F.col("revenue").desc(), F.col("product_id")).limit(5)
+                .select("product_id", F.lit(True).alias("in_top5")))
+    one = prod.join(F.broadcast(top5_ids), "product_id", "left").agg(
         F.min_by("product_id", F.struct(-F.col("revenue"), F.col("product_id"))).alias("top_rev_id"),
         F.max("revenue").alias("top_rev"),
         F.min_by("product_id", F.struct(-F.col("quantity"), F.col("product_id"))).alias("top_qty_id"),
         F.max("quantity").alias("top_qty"),
-        F.sum("revenue").alias("total"))
-    top5 = (prod.orderBy(F.col("revenue").desc(), F.col("product_id")).limit(5)
-            .agg(F.sum("revenue").alias("top5")))
-    one = leaders.crossJoin(top5)  # two one-row frames
+        F.sum("revenue").alias("total"),
+        F.sum(F.when(F.col("in_top5"), F.col("revenue"))).alias("top5"))
     rows = [("top_product_revenue", F.col("top_rev"), "USD",
              F.concat(F.lit("Revenue from top product: "), F.col("top_rev_id")), F.col("top_rev_id")),
             ("top_product_quantity", F.col("top_qty"), "units",
@@ -262,13 +264,13 @@ def product_performance(df: DataFrame, top_n: int = 10) -> DataFrame:
 def efficiency_metrics(df: DataFrame) -> DataFrame:
     """AGG8: mean revenue per product, mean quantity per order, discount/quantity
     correlation (pairwise complete; NULL for constant input)."""
-    parts, rows = [], []
+    frames = []
     if _has(df, "product_id", "total_sales"):
         per_prod = (df.where(F.col("product_id").isNotNull()).groupBy("product_id")
                     .agg(sum0("total_sales").alias("rev")).agg(F.avg("rev").alias("aspp")))
-        parts.append(per_prod)
-        rows.append(("avg_sales_per_product", F.col("aspp"), "USD", "Average revenue per product", None))
-    flat = []
+        frames.append(_explode_long(per_prod, _long([("avg_sales_per_product", F.col("aspp"), "USD",
+                                                       "Average revenue per product", None)])))
+    flat, rows = [], []
     if _has(df, "quantity"):
         flat.append(F.avg("quantity").alias("aqpo"))
         rows.append(("avg_quantity_per_order", F.col("aqpo"), "units", "Average quantity per order", None))
@@ -277,13 +279,13 @@ def efficiency_metrics(df: DataFrame) -> DataFrame:
         rows.append(("discount_quantity_correlation", F.col("dqc"), "correlation",
                      "Correlation between discount and quantity sold", None))
     if flat:
-        parts.append(df.agg(*flat))
-    if not parts:
+        frames.append(_explode_long(df.agg(*flat), _long(rows)))
+    if not frames:
         return _explode_long(df.limit(0), [])
-    one = parts[0]
-    for p in parts[1:]:
-        one = one.crossJoin(p)  # one-row frames
-    return _explode_long(one, _long(rows))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def correlation_matrix(df: DataFrame) -> DataFrame:
@@ -359,16 +361,20 @@ def load_metrics(transformed: DataFrame, daily: DataFrame | None = None,
                  records_processed: int | None = None) -> DataFrame:
     """AGG11: revenue and distinct products of the loaded rows, plus the daily rollup's
     revenue, quantity and day count when given."""
-    one = transformed.agg(F.count(F.lit(1)).alias("records_processed"),
-                          sum0("total_sales").alias("total_sales"),
-                          F.countDistinct("product_id").alias("unique_products"))
+    r = transformed.agg(F.count(F.lit(1)).alias("records_processed"),
+                        sum0("total_sales").alias("total_sales"),
+                        F.countDistinct("product_id").alias("unique_products")).first().asDict()
     if records_processed is not None:
-        one = one.withColumn("records_processed", F.lit(records_processed).cast("bigint"))
+        r["records_processed"] = records_processed
+    cols = ["records_processed bigint", "total_sales double", "unique_products bigint"]
+    vals = [r["records_processed"], float(r["total_sales"]), r["unique_products"]]
     if daily is not None:
-        one = one.crossJoin(daily.agg(sum0("total_revenue").alias("daily_total_revenue"),
-                                      sum0("total_quantity").alias("daily_total_quantity"),
-                                      F.count(F.lit(1)).alias("days_of_sales")))
-    return one
+        d = daily.agg(sum0("total_revenue").alias("a"), sum0("total_quantity").alias("b"),
+                      F.count(F.lit(1)).alias("c")).first()
+        cols += ["daily_total_revenue double", "daily_total_quantity double", "days_of_sales bigint"]
+        vals += [float(d["a"]), float(d["b"]), d["c"]]
+    # one bounded row assembled on the driver from two one-row aggregates
+    return transformed.sparkSession.createDataFrame([tuple(vals)], ", ".join(cols))
 
 
 # ---------------------------------------------------------------------------------------
@@ -388,8 +394,9 @@ def forecast(df: DataFrame, periods: int = 12, method: str = "simple") -> DataFr
     x = F.row_number().over(Window.orderBy("period_order")) - 1  # calendar months only
     pts = per.withColumn("x", x.cast("double"))
     if method == "simple":
-        n = pts.agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("last"))
-        one = (pts.crossJoin(n).where(F.col("x") > F.col("last") - 3)
+        whole = Window.partitionBy()  # over calendar months only
+        one = (pts.withColumn("n", F.count(F.lit(1)).over(whole)).withColumn("last", F.max("x").over(whole))
+               .where(F.col("x") > F.col("last") - 3)
                .groupBy("n").agg(F.avg("revenue").alias("level")).where(F.col("n") >= 3))
         steps = one.select(F.explode(F.sequence(F.lit(1), F.lit(periods))).alias("step"), "level")
         return steps.select(F.col("step").cast("bigint"), F.col("level").alias("forecast_value"),

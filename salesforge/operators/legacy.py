@@ -70,22 +70,23 @@ def business_rules_summary(df: DataFrame) -> DataFrame:
 
 def quality_score(df: DataFrame, outlier_columns: list[str] | None = None) -> DataFrame:
     """LEG3/LEG4/LEG5: the comprehensive check as one row: completeness penalty, outlier
-    percentage sum, business-rule penalty, the clamped score and the alert flag."""
+    percentage sum, business-rule penalty, the clamped score and the alert flag.  Each
+    part is a one-row aggregate; the score arithmetic runs on those bounded rows."""
     comp = completeness(df).agg(
         F.coalesce(F.sum(F.when(F.col("completeness_percentage") < 95,
                                 F.lit(100.0) - F.col("completeness_percentage"))), F.lit(0.0))
-        .alias("completeness_penalty"))
+        .alias("p")).first()["p"]
     numeric = [c for c in (outlier_columns or df.columns) if isinstance(df.schema[c].dataType, NUMERIC_TYPES)]
     outl = outlier_summary(df, numeric, "iqr").agg(
-        F.coalesce(F.sum("outlier_percentage"), F.lit(0.0)).alias("outlier_penalty"))
-    rules = business_rules_summary(df)
-    one = comp.crossJoin(outl).crossJoin(rules)  # one-row frames
-    rule_pen = F.col("invalid_records") / F.greatest(F.col("valid_records"), F.lit(1)) * F.lit(100.0)
-    raw = F.lit(100.0) - F.col("completeness_penalty") - F.col("outlier_penalty") - rule_pen
-    score = F.greatest(F.lit(0.0), F.least(raw, F.lit(100.0)))
-    return one.select("completeness_penalty", "outlier_penalty", rule_pen.alias("business_rule_penalty"),
-                      "valid_records", "invalid_records", score.alias("data_quality_score"),
-                      (score < ALERT_THRESHOLD).alias("alert"))
+        F.coalesce(F.sum("outlier_percentage"), F.lit(0.0)).alias("p")).first()["p"]
+    rules = business_rules_summary(df).first()
+    valid, invalid = rules["valid_records"], rules["invalid_records"]
+    rule_pen = invalid / max(valid, 1) * 100.0
+    score = max(0.0, min(100.0 - comp - outl - rule_pen, 100.0))
+    return df.sparkSession.createDataFrame(
+        [(float(comp), float(outl), float(rule_pen), valid, invalid, float(score), score < ALERT_THRESHOLD)],
+        "completeness_penalty double, outlier_penalty double, business_rule_penalty double, "
+        "valid_records bigint, invalid_records bigint, data_quality_score double, alert boolean")
 
 
 # Re-export for callers that expect the legacy helper names.

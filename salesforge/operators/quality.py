@@ -147,8 +147,9 @@ def collect_stats(df: DataFrame, as_of: datetime) -> dict:
     if _is_numeric(df, "discount"):
         x = num(df, "discount")
         aggs.append(F.count_if((x < 0) | (x > 1)).alias("bad_discount"))
-    one = df.agg(*aggs).crossJoin(duplicate_count(df))
-    return one.first().asDict()
+    stats = df.agg(*aggs).first().asDict()
+    stats.update(duplicate_count(df).first().asDict())
+    return stats
 
 
 def _inconsistent_sample(df: DataFrame, k: int = 3) -> list[dict]:

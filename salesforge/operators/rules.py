@@ -266,10 +266,9 @@ class DataQualityRules:
                     cols.append(v.alias(f"r{i}__{k}"))
         row: dict = {}
         if cols or need_dup:
-            one = df.agg(*cols) if cols else df.sparkSession.range(1).drop("id")
+            row = df.agg(*cols).first().asDict() if cols else {}
             if need_dup:
-                one = one.crossJoin(duplicate_count(df))
-            row = one.first().asDict()
+                row.update(duplicate_count(df).first().asDict())
         out = []
         for i, (r, c) in enumerate(zip(rules, checks)):
             if isinstance(c, Exception):

@@ -172,29 +172,50 @@ def validate_sales(df: DataFrame, mode: str = "raise", strategy: str = "median",
                    tolerance: float = 0.01) -> ValidationResult:
     """VAL3: SCH1 -> TYP1 -> TYP2 -> VAL1, with VAL2 counted (nothing dropped for it).
 
-    ``summary`` is one row: input_rows, accepted_rows, rejected_rows,
+    All three outputs derive from one staged frame that carries each row's typed values,
+    its imputed values and its rejection reason, so accepted + rejected = input by
+    construction.  ``summary`` is one row: input_rows, accepted_rows, rejected_rows,
     total_discrepancies (accepted rows failing the relative total check).
     """
     require_columns(df, VALIDATION_REQUIRED, "VALIDATION_001")
-    typed, bad_cast = cast_types(df, SALES_TYPE_CHECKS, mode)
-    cleaned = clean_numeric_columns(typed, NUMERIC_SALES_COLUMNS, strategy)
-    ok = (F.col("quantity") > 0) & (F.col("unit_price") > 0)
-    accepted = cleaned.where(ok).select(*VALIDATION_REQUIRED)
+    if mode == "raise":
+        cast_types(df, SALES_TYPE_CHECKS, "raise")  # one counting pass; raises on a bad cast
+    casts = {c: _cast(df, c, k) for c, k in SALES_TYPE_CHECKS.items()}
+    reason = F.coalesce(*[F.when(bad, F.lit(f"{c}_not_{SALES_TYPE_CHECKS[c]}")) for c, (_, bad) in casts.items()],
+                        F.lit(None).cast("string"))
+    typed = df.select(*[(casts[c][0] if c in casts else F.col(c)).alias(c) for c in VALIDATION_REQUIRED],
+                      reason.alias("reason"))
+    fills = impute_values(typed.where(F.col("reason").isNull()), NUMERIC_SALES_COLUMNS, strategy)
+    clean = {}
+    for c in NUMERIC_SALES_COLUMNS:
+        v = F.col(c) if fills[c] is None else F.coalesce(F.col(c), F.lit(fills[c]))
+        clean[f"{c}__clean"] = v.cast(typed.schema[c].dataType)
+    staged = typed.withColumns(clean).withColumn(
+        "ok", F.col("reason").isNull() & F.coalesce((F.col("quantity__clean") > 0) & (F.col("unit_price__clean") > 0),
+                                                   F.lit(False)))
+
+    def cleaned(c: str):
+        return F.col(f"{c}__clean").alias(c) if c in NUMERIC_SALES_COLUMNS else F.col(c)
+
+    accepted = staged.where("ok").select(*[cleaned(c) for c in VALIDATION_REQUIRED])
     rejected = None
     if mode == "quarantine":
-        nonpos = (cleaned.where(~F.coalesce(ok, F.lit(False)))
-                  .withColumn("reason", F.when(~F.coalesce(F.col("quantity") > 0, F.lit(False)),
-                                               F.lit("non_positive_quantity"))
-                              .otherwise(F.lit("non_positive_price"))))
-        raw_bad = bad_cast.select(*[F.col(c).try_cast(cleaned.schema[c].dataType).alias(c)
-                                    for c in VALIDATION_REQUIRED], "reason")
-        rejected = raw_bad.unionByName(nonpos.select(*VALIDATION_REQUIRED, "reason"))
-    n_in = df.agg(F.count(F.lit(1)).alias("input_rows"))
-    acc = accepted.agg(F.count(F.lit(1)).alias("accepted_rows"),
-                       F.count_if(~relative_total_ok(tolerance)).alias("total_discrepancies"))
-    summary = n_in.crossJoin(acc).withColumn("rejected_rows", F.col("input_rows") - F.col("accepted_rows"))
-    return ValidationResult(accepted, rejected, summary.select("input_rows", "accepted_rows", "rejected_rows",
-                                                               "total_discrepancies"))
+        why = F.coalesce(F.col("reason"),
+                         F.when(~F.coalesce(F.col("quantity__clean") > 0, F.lit(False)), F.lit("non_positive_quantity"))
+                         .otherwise(F.lit("non_positive_price")))
+        # a row that failed typing keeps its raw (typed) values; a non-positive row its cleaned ones
+        vals = [F.when(F.col("reason").isNull(), F.col(f"{c}__clean")).otherwise(F.col(c)).alias(c)
+                if c in NUMERIC_SALES_COLUMNS else F.col(c) for c in VALIDATION_REQUIRED]
+        rejected = staged.where(~F.col("ok")).select(*vals, why.alias("reason"))
+    q, p, d, t = (F.col(f"{c}__clean") for c in NUMERIC_SALES_COLUMNS)
+    ratio = safe_div(F.abs(t - q * p * (F.lit(1) - d)), t)
+    consistent = F.coalesce(ratio <= F.lit(tolerance), F.lit(False))
+    summary = staged.agg(F.count(F.lit(1)).alias("input_rows"), F.count_if("ok").alias("accepted_rows"),
+                         F.count_if(F.col("ok") & ~consistent).alias("total_discrepancies"))
+    summary = summary.select("input_rows", "accepted_rows",
+                             (F.col("input_rows") - F.col("accepted_rows")).alias("rejected_rows"),
+                             "total_discrepancies")
+    return ValidationResult(accepted, rejected, summary)
 
 
 # ---------------------------------------------------------------------------------------
