@@ -1,9 +1,9 @@
 """DQ1-DQ18: the quality metric framework.
 
 All counts come from ONE wide aggregate over the table (completeness, parseability,
-calculation consistency, validity and timeliness of every column) plus one
-duplicate-count aggregation (a ``groupBy`` over all columns, map-side combined, so a
-row copied a billion times is one partial per task).  The driver receives a single
+calculation consistency, validity and timeliness of every column) plus the duplicate
+count (a hash pre-pass, then an exact ``groupBy`` over the candidate rows only; both
+map-side combined, so a row copied a billion times is one partial per task).  The driver receives a single
 bounded row and turns it into the report: metric rows, issue rows, score, breakdowns.
 """
 
@@ -119,8 +119,17 @@ def _is_numeric(df: DataFrame, *cols: str) -> bool:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """DQ6: rows equal (NULL == NULL) to an earlier row; one-row frame ``duplicates``."""
-    return (df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).count()
+    """DQ6: rows equal (NULL == NULL) to an earlier row; one-row frame ``duplicates``.
+
+    Two phases so the big shuffle carries 8 bytes per row instead of whole rows: group
+    a 64-bit hash of the row (map-side combined) to find hashes seen more than once,
+    then group only the rows carrying such a hash by their full value.  The second phase
+    is exact, so hash collisions cannot change the count."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    h = F.xxhash64(*cols).alias("__h")
+    repeated = (df.select(h).groupBy("__h").count().where(F.col("count") > 1).select("__h"))
+    cand = df.withColumn("__h", F.xxhash64(*cols)).join(repeated, "__h", "left_semi").drop("__h")
+    return (cand.groupBy(*cols).count()
             .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicates")))
 
 

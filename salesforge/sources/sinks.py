@@ -62,9 +62,11 @@ class LoadResult:
 
 
 def load_to_table(df: DataFrame, table: str, quarantine_table: str | None = None,
-                  analyze: bool = True) -> LoadResult:
+                  analyze: str | None = "noscan") -> LoadResult:
     """SNK2 into a catalog table (created if absent).  Counts ride on the write through
-    ``observe`` instead of a second pass."""
+    ``observe`` instead of a second pass.  ``analyze``: ``"noscan"`` refreshes size
+    statistics from file metadata (cheap at any size), ``"full"`` recomputes row
+    statistics with a scan of the table, ``None`` skips it."""
     spark = df.sparkSession
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({SALES_RECORDS_DDL}) USING parquet")
     records, rejects = to_sales_records(df)
@@ -80,7 +82,7 @@ def load_to_table(df: DataFrame, table: str, quarantine_table: str | None = None
     else:
         n_bad = rejects.count()
     if analyze:
-        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS" + (" NOSCAN" if analyze == "noscan" else ""))
     return LoadResult(obs.get["n"], n_bad)
 
 

@@ -73,6 +73,12 @@ def test_duplicates_treat_null_equal(spark):
     assert DQ.duplicate_count(df).first()["duplicates"] == 2
 
 
+def test_duplicates_exact_despite_hash_collisions(spark):
+    # a NULL adds nothing to the row hash, so these two rows hash alike but differ
+    df = spark.createDataFrame([("a", None), (None, "a"), ("c", "d"), ("c", "d")], "x string, y string")
+    assert DQ.duplicate_count(df).first()["duplicates"] == 1
+
+
 def test_rule_engine_defaults_and_custom_rule(spark, f1):
     reg = RU.DataQualityRules()
     assert len(reg.get_enabled_rules()) == 11
