@@ -1,3 +1,3 @@
 """Query registrations, one module per area; importing the package registers them all."""
 
-from salesforge.plans.catalog import analytics, charts, etl, quality, sales  # noqa: F401
+from salesforge.plans.catalog import analytics, charts, etl, quality, sales, variants  # noqa: F401

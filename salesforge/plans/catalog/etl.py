@@ -75,7 +75,7 @@ def _numeric_coercion(spark, sf_dir):
 # ---------------------------------------------------------------------------------------
 # EXP1
 # ---------------------------------------------------------------------------------------
-def _exp_sql() -> str:
+def _exp_sql(src: str = "sales") -> str:
     ints = "('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT')"
     rows = [
         (1, "expect_column_to_exist", "date", "typeof(max(date)) IS NOT NULL", "NULL"),
@@ -102,8 +102,8 @@ def _exp_sql() -> str:
          "count(*) FILTER (WHERE discount IS NOT NULL AND (discount < 0 OR discount > 1))"),
     ]
     parts = [f"SELECT CAST({o} AS BIGINT) AS check_order, '{n}' AS \"check\", '{c}' AS \"column\", {p} AS passed, "
-             f"CAST({u} AS BIGINT) AS unexpected_count FROM sales" for o, n, c, p, u in rows]
-    parts += [f"SELECT CAST({o} AS BIGINT), '{n}', '{c}', ({e}) = 0, CAST({e} AS BIGINT) FROM sales"
+             f"CAST({u} AS BIGINT) AS unexpected_count FROM {src}" for o, n, c, p, u in rows]
+    parts += [f"SELECT CAST({o} AS BIGINT), '{n}', '{c}', ({e}) = 0, CAST({e} AS BIGINT) FROM {src}"
               for o, n, c, e in counted]
     return "\nUNION ALL\n".join(parts)
 
