@@ -338,7 +338,8 @@ def _legacy_quality_score(spark, sf_dir):
 @register("quality_history_summary", with_(HISTORY_CTE) + f"""
 SELECT count(*) AS total_reports, min(timestamp) AS start, max(timestamp) AS "end",
        {R('avg(overall_score)')} AS avg_score, {R('min(overall_score)')} AS min_score,
-       {R('max(overall_score)')} AS max_score, sum(n_issues) AS total_issues, sum(total_records) AS total_records
+       {R('max(overall_score)')} AS max_score, CAST(sum(n_issues) AS BIGINT) AS total_issues,
+       CAST(sum(total_records) AS BIGINT) AS total_records
 FROM quality_history""")
 def _quality_history_summary(spark, sf_dir):
     return stable(H.summary_report(FX.quality_history(spark, sf_dir)))

@@ -97,7 +97,7 @@ def sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V4: one quality report per event day (timestamp, records, columns, score, issues)."""
     ev = table(spark, sf_dir, "events")
-    return (ev.groupBy(F.date_trunc("day", F.col("ts")).alias("timestamp"))
+    return (ev.groupBy(F.to_date("ts").cast("timestamp_ntz").alias("timestamp"))
             .agg(F.count(F.lit(1)).alias("total_records"),
                  (F.lit(20.0) + F.avg("value")).alias("overall_score"),
                  F.count_if(F.col("event_type") == "error").alias("n_issues"))

@@ -52,6 +52,11 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(E.oracle_sql()[name])
     dcols = rel.columns
     assert sorted(dcols) == cols
+    tmap = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+            "timestamp_ntz": "TIMESTAMP"}
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
+    assert {f.name: tmap.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields} \
+        == dtypes
     drows = sorted((tuple(_norm(r[dcols.index(c)]) for c in cols) for r in rel.fetchall()), key=_key)
     assert len(srows) == len(drows)
     assert srows == drows
