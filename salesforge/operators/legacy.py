@@ -1,7 +1,7 @@
 """LEG1-LEG5: the legacy quality scorer (completeness, IQR outliers, business rules).
 
-One aggregate computes the completeness and business-rule counts; the IQR outlier
-summary adds one exact-quantile pass and one counting pass.
+The comprehensive score runs the exact-quantile passes for the IQR fences and then one
+aggregate for every count it needs.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesforge.functions.semantics import NUMERIC_TYPES, num
-from salesforge.operators.anomalies import outlier_summary
+from salesforge.operators.anomalies import _flag, iqr_bounds
 
 ALERT_THRESHOLD = 80.0
 
@@ -70,17 +70,26 @@ def business_rules_summary(df: DataFrame) -> DataFrame:
 
 def quality_score(df: DataFrame, outlier_columns: list[str] | None = None) -> DataFrame:
     """LEG3/LEG4/LEG5: the comprehensive check as one row: completeness penalty, outlier
-    percentage sum, business-rule penalty, the clamped score and the alert flag.  Each
-    part is a one-row aggregate; the score arithmetic runs on those bounded rows."""
-    comp = completeness(df).agg(
-        F.coalesce(F.sum(F.when(F.col("completeness_percentage") < 95,
-                                F.lit(100.0) - F.col("completeness_percentage"))), F.lit(0.0))
-        .alias("p")).first()["p"]
+    percentage sum, business-rule penalty, the clamped score and the alert flag.
+
+    After the IQR fences (exact quantiles), ONE aggregate counts everything: non-null
+    cells per column, outliers per numeric column and business-rule violations."""
     numeric = [c for c in (outlier_columns or df.columns) if isinstance(df.schema[c].dataType, NUMERIC_TYPES)]
-    outl = outlier_summary(df, numeric, "iqr").agg(
-        F.coalesce(F.sum("outlier_percentage"), F.lit(0.0)).alias("p")).first()["p"]
-    rules = business_rules_summary(df).first()
-    valid, invalid = rules["valid_records"], rules["invalid_records"]
+    fences = iqr_bounds(df, numeric)
+    flags = business_rule_flags()
+    bad = sum((F.coalesce(p, F.lit(False)).cast("long") for p in flags.values()), F.lit(0).cast("long"))
+    r = df.agg(F.count(F.lit(1)).alias("n"),
+               *[_nonnull(df, c).alias(f"c{i}") for i, c in enumerate(df.columns)],
+               *[F.count_if(_flag(c, "iqr", fences[c])).alias(f"o{i}") for i, c in enumerate(numeric)],
+               F.coalesce(F.sum(bad), F.lit(0).cast("long")).alias("bad")).first()
+    n = r["n"]
+    comp = 0.0
+    for i, _c in enumerate(df.columns):
+        pct = (1.0 - (n - r[f"c{i}"]) / n) * 100.0 if n else None
+        if pct is not None and pct < 95:
+            comp += 100.0 - pct
+    outl = sum((r[f"o{i}"] / n * 100.0 for i, _ in enumerate(numeric) if r[f"o{i}"] > 0), 0.0) if n else 0.0
+    valid, invalid = n, r["bad"]
     rule_pen = invalid / max(valid, 1) * 100.0
     score = max(0.0, min(100.0 - comp - outl - rule_pen, 100.0))
     return df.sparkSession.createDataFrame(

@@ -22,10 +22,14 @@ from salesforge.functions.semantics import (
 SIGMA_COLUMNS = ["quantity", "unit_price", "total_sales"]
 
 
-def impute(df: DataFrame) -> DataFrame:
+_UNSET = object()
+
+
+def impute(df: DataFrame, mean_price=_UNSET) -> DataFrame:
     """TRF1: quantity NULL -> 0, unit_price NULL -> mean of the present prices,
     discount NULL -> 0; total_sales is left alone."""
-    mean_price = df.agg(F.avg(num(df, "unit_price"))).first()[0]
+    if mean_price is _UNSET:
+        mean_price = df.agg(F.avg(num(df, "unit_price"))).first()[0]
     fills = {"quantity": F.coalesce(num(df, "quantity"), F.lit(0.0)),
              "discount": F.coalesce(num(df, "discount"), F.lit(0.0))}
     price = num(df, "unit_price")
@@ -34,21 +38,26 @@ def impute(df: DataFrame) -> DataFrame:
 
 
 def sigma_filter(df: DataFrame, columns: list[str] | None = None, k: float = 3.0,
-                 undefined_std: str = "drop", rel_tol: float = 1e-9) -> DataFrame:
+                 undefined_std: str = "drop", rel_tol: float = 1e-9,
+                 first_stats: tuple[float | None, float | None] | None = None) -> DataFrame:
     """TRF2: for each column in turn keep ``abs(x - mean) <= k * std`` with mean and
     sample std of the rows still present.  NULL values fail the test; a single row has
     an undefined std, which drops everything (``undefined_std='drop'``, as the
-    reference behaves) or keeps the step a no-op (``'keep'``).
+    reference behaves) or keeps the step a no-op (``'keep'``).  ``first_stats`` lets a
+    caller pass the first column's (mean, std) when it already computed them.
 
     ``rel_tol`` absorbs the last-bit error of a floating mean on a constant column
     (Spark's mean of a constant 0.1 is 0.1 + 2e-17 with std 0, which would drop every
     row where pandas keeps them all).
     """
     columns = columns or SIGMA_COLUMNS
-    for c in columns:
+    for i, c in enumerate(columns):
         x = num(df, c)
-        row = df.agg(F.avg(x).alias("m"), F.stddev_samp(x).alias("s")).first()
-        mean, std = row["m"], row["s"]
+        if i == 0 and first_stats is not None:
+            mean, std = first_stats
+        else:
+            row = df.agg(F.avg(x).alias("m"), F.stddev_samp(x).alias("s")).first()
+            mean, std = row["m"], row["s"]
         if mean is None or std is None:
             if undefined_std == "keep" and mean is not None:
                 continue
@@ -60,8 +69,16 @@ def sigma_filter(df: DataFrame, columns: list[str] | None = None, k: float = 3.0
 
 
 def clean(df: DataFrame, **sigma_opts) -> DataFrame:
-    """TRF1 then TRF2."""
-    return sigma_filter(impute(df), **sigma_opts)
+    """TRF1 then TRF2.  The imputation mean and the first column's statistics do not
+    depend on each other (quantity is filled with 0, not a statistic), so they share
+    one aggregate."""
+    cols = sigma_opts.pop("columns", None) or SIGMA_COLUMNS
+    if cols[0] == "quantity":
+        q0 = F.coalesce(num(df, "quantity"), F.lit(0.0))
+        r = df.agg(F.avg(num(df, "unit_price")).alias("p"), F.avg(q0).alias("m"),
+                   F.stddev_samp(q0).alias("s")).first()
+        return sigma_filter(impute(df, r["p"]), cols, first_stats=(r["m"], r["s"]), **sigma_opts)
+    return sigma_filter(impute(df), cols, **sigma_opts)
 
 
 def parse_dates(df: DataFrame, errors: str = "raise") -> DataFrame:

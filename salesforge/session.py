@@ -16,7 +16,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Build (or reuse) a session with the settings the operators assume.
 
     AQE stays on so shuffle partition counts coalesce at runtime and skewed join
-    partitions split; the session time zone is pinned so date parts are stable.
+    partitions split; the session time zone is pinned so date parts are stable;
+    oversized generated methods fall back to code the JIT compiles.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -29,6 +30,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Generated methods above HotSpot's 8000-byte JIT limit would run interpreted;
+        # let Spark fall back to per-expression code for those (wide aggregates and
+        # many-column projections) instead.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
