@@ -350,20 +350,20 @@ def _anomalies_sql(method: str) -> str:
     cols = ["total_sales", "quantity", "unit_price"]
     suffix = "_outlier" if method == "iqr" else "_zscore_outlier"
     cte = _iqr_cte("p", cols) if method == "iqr" else _z_cte("p", cols)
-    sel = (f"date, product_id, quantity, {R('unit_price')} AS unit_price, discount, "
-           f"{R('total_sales')} AS total_sales, year, month, day, weekday, quarter")
+    sel = (f"date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, "
+           f"{R('total_sales', 6)} AS total_sales, year, month, day, weekday, quarter")
     return with_(SALES_CTE, PREP_CTE, cte) + _union(
         [f"SELECT {sel}, '{c}{suffix}' AS anomaly_type FROM p, bnd WHERE {_flag_sql(c, method)}" for c in cols])
 
 
 @register("anomalies_iqr", _anomalies_sql("iqr"))
 def _anomalies_iqr(spark, sf_dir):
-    return stable(O.anomalies(A.prepare(_sales(spark, sf_dir)), "iqr"))
+    return stable(O.anomalies(A.prepare(_sales(spark, sf_dir)), "iqr"), dp=6)
 
 
 @register("anomalies_zscore", _anomalies_sql("zscore"))
 def _anomalies_zscore(spark, sf_dir):
-    return stable(O.anomalies(A.prepare(_sales(spark, sf_dir)), "zscore"))
+    return stable(O.anomalies(A.prepare(_sales(spark, sf_dir)), "zscore"), dp=6)
 
 
 def _summary_sql(method: str) -> str:

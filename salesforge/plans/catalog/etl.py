@@ -27,23 +27,23 @@ c AS (SELECT date, product_id, quantity, coalesce(unit_price, mp) AS unit_price,
 
 
 @register("validated_sales", with_(DIRTY_CTE) + VALIDATE_CTES + f"""
-SELECT date, product_id, quantity, {R('unit_price')} AS unit_price, {R('discount')} AS discount,
-       {R('total_sales')} AS total_sales
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, {R('discount', 6)} AS discount,
+       {R('total_sales', 6)} AS total_sales
 FROM c WHERE quantity > 0 AND unit_price > 0""")
 def _validated_sales(spark, sf_dir):
-    return stable(V.validate_sales(FX.sales_dirty(spark, sf_dir), mode="quarantine").accepted)
+    return stable(V.validate_sales(FX.sales_dirty(spark, sf_dir), mode="quarantine").accepted, dp=6)
 
 
 @register("rejected_sales", with_(DIRTY_CTE) + VALIDATE_CTES + f"""
-SELECT date, product_id, CAST(NULL AS BIGINT) AS quantity, {R('unit_price')} AS unit_price,
-       {R('discount')} AS discount, {R('total_sales')} AS total_sales, 'quantity_not_int' AS reason
+SELECT date, product_id, CAST(NULL AS BIGINT) AS quantity, {R('unit_price', 6)} AS unit_price,
+       {R('discount', 6)} AS discount, {R('total_sales', 6)} AS total_sales, 'quantity_not_int' AS reason
 FROM sales_dirty WHERE NOT (quantity IS NOT NULL AND abs(quantity) < 9.2e18)
 UNION ALL
-SELECT date, product_id, quantity, {R('unit_price')}, {R('discount')}, {R('total_sales')},
+SELECT date, product_id, quantity, {R('unit_price', 6)}, {R('discount', 6)}, {R('total_sales', 6)},
        CASE WHEN NOT coalesce(quantity > 0, false) THEN 'non_positive_quantity' ELSE 'non_positive_price' END
 FROM c WHERE NOT coalesce(quantity > 0 AND unit_price > 0, false)""")
 def _rejected_sales(spark, sf_dir):
-    return stable(V.validate_sales(FX.sales_dirty(spark, sf_dir), mode="quarantine").rejected)
+    return stable(V.validate_sales(FX.sales_dirty(spark, sf_dir), mode="quarantine").rejected, dp=6)
 
 
 @register("validation_summary", with_(DIRTY_CTE) + VALIDATE_CTES + """,
@@ -65,11 +65,11 @@ v AS (SELECT date, product_id, TRY_CAST(trim(quantity) AS DOUBLE) AS quantity,
              TRY_CAST(trim(total_sales) AS DOUBLE) AS total_sales FROM sales_text),
 med AS (SELECT quantile_cont(quantity, 0.5) AS mq, quantile_cont(unit_price, 0.5) AS mp,
                quantile_cont(discount, 0.5) AS md, quantile_cont(total_sales, 0.5) AS mt FROM v)
-SELECT date, product_id, {R('coalesce(quantity, mq)')} AS quantity, {R('coalesce(unit_price, mp)')} AS unit_price,
-       {R('coalesce(discount, md)')} AS discount, {R('coalesce(total_sales, mt)')} AS total_sales
+SELECT date, product_id, {R('coalesce(quantity, mq)', 6)} AS quantity, {R('coalesce(unit_price, mp)', 6)} AS unit_price,
+       {R('coalesce(discount, md)', 6)} AS discount, {R('coalesce(total_sales, mt)', 6)} AS total_sales
 FROM v, med""")
 def _numeric_coercion(spark, sf_dir):
-    return stable(V.clean_numeric_columns(FX.sales_text(spark, sf_dir), NUMERIC_SALES_COLUMNS, "median"))
+    return stable(V.clean_numeric_columns(FX.sales_text(spark, sf_dir), NUMERIC_SALES_COLUMNS, "median"), dp=6)
 
 
 # ---------------------------------------------------------------------------------------
@@ -157,12 +157,12 @@ def _transformed(spark, sf_dir):
 
 
 @register("transformed_sales", with_(DIRTY_CTE) + TRANSFORM_CTES + f"""
-SELECT date, product_id, {R('quantity')} AS quantity, {R('unit_price')} AS unit_price, {R('discount')} AS discount,
-       {R('total_sales')} AS total_sales, {R('gross_sales')} AS gross_sales,
-       {R('discount_amount')} AS discount_amount, {R('profit_margin')} AS profit_margin
+SELECT date, product_id, {R('quantity', 6)} AS quantity, {R('unit_price', 6)} AS unit_price, {R('discount', 6)} AS discount,
+       {R('total_sales', 6)} AS total_sales, {R('gross_sales', 6)} AS gross_sales,
+       {R('discount_amount', 6)} AS discount_amount, {R('profit_margin', 6)} AS profit_margin
 FROM transformed""")
 def _transformed_sales(spark, sf_dir):
-    return stable(_transformed(spark, sf_dir))
+    return stable(_transformed(spark, sf_dir), dp=6)
 
 
 @register("load_metrics", with_(DIRTY_CTE) + TRANSFORM_CTES + f""",

@@ -14,15 +14,15 @@ PAGE_START, PAGE_END = "1998-01-01", "1998-12-31"
 
 
 @register("sales_page", with_(SALES_CTE) + f"""
-SELECT date, product_id, quantity, {R('unit_price')} AS unit_price, discount,
-       {R('total_sales')} AS total_sales
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount,
+       {R('total_sales', 6)} AS total_sales
 FROM sales
 WHERE date >= TIMESTAMP '{PAGE_START}' AND date <= TIMESTAMP '{PAGE_END}'
 ORDER BY date DESC NULLS LAST, product_id NULLS LAST, quantity NULLS LAST,
          unit_price NULLS LAST, discount NULLS LAST, total_sales NULLS LAST
 LIMIT 100 OFFSET 20""")
 def _sales_page(spark, sf_dir):
-    return stable(Q.sales_page(FX.sales(spark, sf_dir), PAGE_START, PAGE_END, limit=100, offset=20))
+    return stable(Q.sales_page(FX.sales(spark, sf_dir), PAGE_START, PAGE_END, limit=100, offset=20), dp=6)
 
 
 @register("sales_summary", with_(SALES_CTE) + f"""

@@ -21,13 +21,13 @@ PRODUCT = "P100"
 
 
 @register("sales_page_product", with_(SALES_CTE) + f"""
-SELECT date, product_id, quantity, {R('unit_price')} AS unit_price, discount, {R('total_sales')} AS total_sales
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, {R('total_sales', 6)} AS total_sales
 FROM sales WHERE product_id = '{PRODUCT}'
 ORDER BY date DESC NULLS LAST, product_id NULLS LAST, quantity NULLS LAST, unit_price NULLS LAST,
          discount NULLS LAST, total_sales NULLS LAST
 LIMIT 50""")
 def _sales_page_product(spark, sf_dir):
-    return stable(Q.sales_page(FX.sales(spark, sf_dir), product_id=PRODUCT, limit=50))
+    return stable(Q.sales_page(FX.sales(spark, sf_dir), product_id=PRODUCT, limit=50), dp=6)
 
 
 @register("sales_summary_1998", with_(SALES_CTE) + f"""
@@ -66,27 +66,27 @@ def _revenue_trends_year(spark, sf_dir):
 # Transform steps on the dirty view
 # ---------------------------------------------------------------------------------------
 @register("imputed_sales", with_(DIRTY_CTE) + TRANSFORM_CTES + f"""
-SELECT date, product_id, quantity, {R('unit_price')} AS unit_price, discount, {R('total_sales')} AS total_sales
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, {R('total_sales', 6)} AS total_sales
 FROM i""")
 def _imputed_sales(spark, sf_dir):
-    return stable(T.impute(FX.sales_dirty(spark, sf_dir)))
+    return stable(T.impute(FX.sales_dirty(spark, sf_dir)), dp=6)
 
 
 @register("sigma_filtered_sales", with_(DIRTY_CTE) + TRANSFORM_CTES + f"""
-SELECT date, product_id, quantity, {R('unit_price')} AS unit_price, discount, {R('total_sales')} AS total_sales
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, {R('total_sales', 6)} AS total_sales
 FROM f3""")
 def _sigma_filtered_sales(spark, sf_dir):
-    return stable(T.clean(FX.sales_dirty(spark, sf_dir)))
+    return stable(T.clean(FX.sales_dirty(spark, sf_dir)), dp=6)
 
 
 @register("derived_metrics", with_(SALES_CTE) + f"""
-SELECT date, product_id, quantity, {R('unit_price')} AS unit_price, discount, {R('total_sales')} AS total_sales,
-       {R('quantity * unit_price')} AS gross_sales, {R('quantity * unit_price * discount')} AS discount_amount,
-       {R('CASE WHEN quantity * unit_price = 0 THEN NULL ELSE (total_sales - quantity * unit_price * discount) / (quantity * unit_price) END')}
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, {R('total_sales', 6)} AS total_sales,
+       {R('quantity * unit_price', 6)} AS gross_sales, {R('quantity * unit_price * discount', 6)} AS discount_amount,
+       {R('CASE WHEN quantity * unit_price = 0 THEN NULL ELSE (total_sales - quantity * unit_price * discount) / (quantity * unit_price) END', 6)}
          AS profit_margin
 FROM sales""")
 def _derived_metrics(spark, sf_dir):
-    return stable(T.calculate_metrics(FX.sales(spark, sf_dir)))
+    return stable(T.calculate_metrics(FX.sales(spark, sf_dir)), dp=6)
 
 
 # ---------------------------------------------------------------------------------------
@@ -96,11 +96,11 @@ NUM4 = ["quantity", "unit_price", "discount", "total_sales"]
 
 
 @register("outlier_rows_iqr", with_(SALES_CTE, _iqr_cte("sales", NUM4)) + "\nUNION ALL\n".join(
-    f"SELECT date, product_id, quantity, {R('unit_price')} AS unit_price, discount, "
-    f"{R('total_sales')} AS total_sales, '{c}' AS outlier_column FROM sales, bnd "
+    f"SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, "
+    f"{R('total_sales', 6)} AS total_sales, '{c}' AS outlier_column FROM sales, bnd "
     f"WHERE {c} < {c}_lo OR {c} > {c}_hi" for c in NUM4))
 def _outlier_rows_iqr(spark, sf_dir):
-    return stable(O.outlier_rows(FX.sales(spark, sf_dir), method="iqr"))
+    return stable(O.outlier_rows(FX.sales(spark, sf_dir), method="iqr"), dp=6)
 
 
 @register("expectation_suite_dirty", with_(DIRTY_CTE) + _exp_sql("sales_dirty"))
