@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesforge.functions.semantics import (
-    num, pairwise_corr, pct, round_half_even, sum0, ts, fmt_fixed, fmt_thousands,
+    fmt_fixed, fmt_thousands, num, pairwise_corr, round_half_even, sum0, ts,
 )
 from salesforge.functions.schema import NUMERIC_SALES_COLUMNS
 

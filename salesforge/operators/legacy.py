@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.functions.semantics import NUMERIC_TYPES, num
+from salesforge.functions.semantics import NUMERIC_TYPES
 from salesforge.operators.anomalies import _flag, iqr_bounds
 
 ALERT_THRESHOLD = 80.0
@@ -97,10 +97,3 @@ def quality_score(df: DataFrame, outlier_columns: list[str] | None = None) -> Da
         "completeness_penalty double, outlier_penalty double, business_rule_penalty double, "
         "valid_records bigint, invalid_records bigint, data_quality_score double, alert boolean")
 
-
-# Re-export for callers that expect the legacy helper names.
-def numeric_for_outliers(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if isinstance(df.schema[c].dataType, NUMERIC_TYPES)]
-
-
-__all__ = ["completeness", "business_rules", "business_rules_summary", "quality_score", "num"]

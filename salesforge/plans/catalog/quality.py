@@ -17,8 +17,6 @@ from salesforge.plans.registry import register, stable
 from salesforge.sources import fixtures as FX
 
 NUM4 = ["quantity", "unit_price", "discount", "total_sales"]
-CAT = {"completeness": "completeness", "accuracy": "accuracy", "consistency": "consistency",
-       "validity": "validity", "timeliness": "timeliness"}
 
 
 def _report(spark, sf_dir, view="dirty"):
