@@ -469,3 +469,15 @@ def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
     for f in frames[1:]:
         out = out.unionByName(f.select(*cols))
     return out
+
+
+# ---------------------------------------------------------------------------------------
+# INS2
+# ---------------------------------------------------------------------------------------
+def analysis_report(df: DataFrame, anomaly_count: DataFrame | None = None, top_n: int = 10) -> dict[str, DataFrame]:
+    """INS2: the frames of the analysis report (basic metrics, insights, product
+    performance, seasonal patterns, correlations); write them with
+    ``sinks.write_frames_json``.  Cache ``df`` first: every frame reads it."""
+    return {"basic_metrics": basic_metrics(df), "insights": insights(df, anomaly_count),
+            "product_performance": product_performance(df, top_n), "seasonal_patterns": seasonal_patterns(df),
+            "correlations": correlation_matrix(df)}

@@ -7,6 +7,9 @@ Use it to key reuse of persisted/checkpointed intermediates.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +26,18 @@ def fingerprint_key(df: DataFrame) -> str:
     """The fingerprint as a string key (one bounded row to the driver)."""
     r = fingerprint(df).first()
     return f"{r['rows']}-{r['fingerprint']}"
+
+
+def memoize(df: DataFrame, fn: Callable[[DataFrame], DataFrame], store_dir: str, name: str) -> DataFrame:
+    """Reuse ``fn(df)`` across runs: the result is written once to
+    ``store_dir/name/<fingerprint of the input>`` (a shared folder, e.g. under the
+    cluster's checkpoint directory) and read back on later calls with the same input.
+    Keyed on the input, not the output, so a repeated input is recognised."""
+    key = fingerprint_key(df)
+    path = os.path.join(store_dir, name, key)
+    spark = df.sparkSession
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - not computed yet
+        fn(df).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)

@@ -107,6 +107,11 @@ class QualityReport:
     def to_json(self, indent: int = 2) -> str:
         return json.dumps(self.to_dict(), indent=indent, default=str)
 
+    def to_json_df(self) -> DataFrame:
+        """The report as one row: timestamp plus the nested report as JSON text."""
+        return self.spark.createDataFrame([(self.timestamp, self.to_json(indent=None))],
+                                          "timestamp timestamp_ntz, report string")
+
 
 def _count_nonnull(df: DataFrame, c: str):
     # pandas counts NaN as missing

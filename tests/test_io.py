@@ -85,3 +85,35 @@ def test_sample_generator(spark):
     r = s.agg(F.count(F.lit(1)).alias("n"), F.min("quantity").alias("qlo"), F.max("quantity").alias("qhi"),
               F.max("discount").alias("dhi"), F.countDistinct("product_id").alias("p")).first()
     assert r["n"] == 100 and 1 <= r["qlo"] and r["qhi"] <= 99 and r["dhi"] <= 0.3 and r["p"] == 100
+
+
+def test_memoize_by_input_fingerprint(spark, tmp_dir):
+    from salesforge.operators import fingerprint as FP
+    from salesforge.operators import transform as T
+    calls = []
+
+    def fn(df):
+        calls.append(1)
+        return T.calculate_metrics(df)
+
+    src = FX.sales(spark, SMALL)
+    a = FP.memoize(src, fn, tmp_dir, "metrics")
+    b = FP.memoize(src.repartition(3), fn, tmp_dir, "metrics")  # same content, other layout
+    assert len(calls) == 1 and a.count() == b.count() == src.count()
+    FP.memoize(src.limit(10), fn, tmp_dir, "metrics")
+    assert len(calls) == 2
+
+
+def test_analysis_report_and_json_report(spark, tmp_dir):
+    from salesforge.operators import analytics as A
+    from salesforge.operators import quality as DQ
+    df = FX.sales(spark, SMALL).cache()
+    frames = A.analysis_report(df)
+    paths = SK.write_frames_json(frames, os.path.join(tmp_dir, "analysis"))
+    assert set(paths) == {"basic_metrics", "insights", "product_performance", "seasonal_patterns", "correlations"}
+    assert spark.read.json(paths["correlations"]).count() == 16
+    rep = DQ.run_all_checks(df, FX.AS_OF)
+    row = rep.to_json_df().first()
+    assert json.loads(row["report"])["summary"]["total_records"] == df.count()
+    p = SK.write_report(rep.to_dict(), os.path.join(tmp_dir, "q.json"))
+    assert json.load(open(p))["summary"]["total_metrics"] == len(rep.metrics)
