@@ -67,6 +67,16 @@ def ts(df: DataFrame, name: str) -> Column:
     return F.lit(None).cast("timestamp_ntz")
 
 
+# English weekday names, Sunday first (Spark's dayofweek: 1 = Sunday).
+WEEKDAY_NAMES_SUNDAY_FIRST = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
+def weekday_name(c: str | Column) -> Column:
+    """pandas ``day_name()``: an array lookup by ``dayofweek`` (much cheaper per row than
+    formatting the date with a pattern)."""
+    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAY_NAMES_SUNDAY_FIRST]), F.dayofweek(col(c)))
+
+
 def ts_lit(value) -> Column:
     """A timestamp_ntz literal from a datetime/date/ISO string, independent of the
     Python process' and the session's time zones."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesforge.functions.semantics import (
-    fmt_fixed, fmt_thousands, num, pairwise_corr, round_half_even, sum0, ts,
+    fmt_fixed, fmt_thousands, num, pairwise_corr, round_half_even, sum0, ts, weekday_name,
 )
 from salesforge.functions.schema import NUMERIC_SALES_COLUMNS
 
@@ -30,7 +30,7 @@ def prepare(df: DataFrame) -> DataFrame:
     if "date" in df.columns:
         d = ts(df, "date")
         cols.update({"date": d, "year": F.year(d).cast("bigint"), "month": F.month(d).cast("bigint"),
-                     "day": F.dayofmonth(d).cast("bigint"), "weekday": F.date_format(d, "EEEE"),
+                     "day": F.dayofmonth(d).cast("bigint"), "weekday": weekday_name(d),
                      "quarter": F.quarter(d).cast("bigint")})
     for c in NUMERIC_SALES_COLUMNS:
         if c in df.columns:
@@ -316,7 +316,7 @@ def seasonal_totals(df: DataFrame) -> DataFrame:
     """Revenue by month-of-year, weekday name and quarter in one aggregation
     (GROUPING SETS).  Columns: dimension, key, key_sort, total."""
     p = df.where(F.col("date").isNotNull()).select(
-        F.month("date").alias("m"), F.date_format("date", "EEEE").alias("wd"),
+        F.month("date").alias("m"), weekday_name("date").alias("wd"),
         F.quarter("date").alias("q"), "total_sales")
     g = p.groupingSets([["m"], ["wd"], ["q"]], "m", "wd", "q").agg(
         sum0("total_sales").alias("total"), F.grouping_id().alias("gid"))

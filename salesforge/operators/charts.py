@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesforge.functions.semantics import num, sum0
+from salesforge.functions.semantics import num, sum0, weekday_name
 from salesforge.operators.analytics import WEEKDAYS, correlation_matrix, revenue_by_period
 
 HIST_COLUMNS = ["total_sales", "quantity", "unit_price", "discount"]
@@ -41,7 +41,7 @@ def weekday_pattern(df: DataFrame) -> DataFrame:
     """VIZ3b: revenue by weekday in Monday..Sunday order; a weekday without sales is
     kept with NULL revenue.  The calendar side is a fixed 7-row frame (broadcast)."""
     cal = df.sparkSession.createDataFrame([(i, d) for i, d in enumerate(WEEKDAYS)], "day_index bigint, weekday string")
-    per = (df.where(F.col("date").isNotNull()).groupBy(F.date_format("date", "EEEE").alias("weekday"))
+    per = (df.where(F.col("date").isNotNull()).groupBy(weekday_name("date").alias("weekday"))
            .agg(sum0("total_sales").alias("revenue")))
     return F.broadcast(cal).join(per, "weekday", "left").select("day_index", "weekday", "revenue").orderBy("day_index")
 
