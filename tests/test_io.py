@@ -117,3 +117,4 @@ def test_analysis_report_and_json_report(spark, tmp_dir):
     assert json.loads(row["report"])["summary"]["total_records"] == df.count()
     p = SK.write_report(rep.to_dict(), os.path.join(tmp_dir, "q.json"))
     assert json.load(open(p))["summary"]["total_metrics"] == len(rep.metrics)
+    df.unpersist()

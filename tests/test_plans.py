@@ -8,6 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _plan(df):
+    df.sparkSession.catalog.clearCache()  # plans over cached data have no scan to inspect
     return df._jdf.queryExecution().executedPlan().toString()
 
 
