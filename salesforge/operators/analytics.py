@@ -79,8 +79,29 @@ def basic_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def basic_metrics_long(df: DataFrame) -> DataFrame:
-    """AGG2: the basic metric list (only metrics whose columns exist)."""
+def _flat_aggs(df: DataFrame) -> list[Column]:
+    """Every row-level aggregate the basic and efficiency metric lists need."""
+    aggs = []
+    if _has(df, "total_sales"):
+        aggs += [sum0("total_sales").alias("rev"), F.avg("total_sales").alias("aov")]
+    if _has(df, "quantity"):
+        aggs += [sum0("quantity").alias("qty"), F.avg("quantity").alias("aqpo")]
+    if _has(df, "unit_price"):
+        aggs.append(F.avg("unit_price").alias("aup"))
+    if _has(df, "discount"):
+        aggs.append(F.avg("discount").alias("adisc"))
+    if _has(df, "product_id"):
+        aggs.append(F.countDistinct("product_id").alias("nprod"))
+    if _has(df, "discount", "quantity"):
+        aggs.append(pairwise_corr("discount", "quantity").alias("dqc"))
+    return aggs
+
+
+def basic_metrics_long(df: DataFrame, flat: DataFrame | None = None) -> DataFrame:
+    """AGG2: the basic metric list (only metrics whose columns exist).  ``flat`` is an
+    optional precomputed one-row frame of ``_flat_aggs`` (shared by ``all_metrics``)."""
+    if flat is not None:
+        return _basic_rows(df, flat)
     aggs, rows = [], []
     if _has(df, "total_sales"):
         aggs += [sum0("total_sales").alias("rev"), F.avg("total_sales").alias("aov")]
@@ -94,7 +115,11 @@ def basic_metrics_long(df: DataFrame) -> DataFrame:
         aggs.append(F.countDistinct("product_id").alias("nprod"))
     if not aggs:
         return _explode_long(df.limit(0), [])
-    one = df.agg(*aggs)
+    return _basic_rows(df, df.agg(*aggs))
+
+
+def _basic_rows(df: DataFrame, one: DataFrame) -> DataFrame:
+    rows = []
     # Metric names, units and descriptions.
     if _has(df, "total_sales"):
         rows.append(("total_revenue", F.col("rev"), "USD", "Total revenue from all sales", None))
@@ -142,11 +167,12 @@ def revenue_by_period(df: DataFrame, period: str = "month", style: str = "analyz
             .orderBy("period_order"))
 
 
-def time_based_metrics(df: DataFrame, period: str = "month") -> DataFrame:
-    """AGG4: best period (first in time order on ties) and, for months, the mean."""
+def time_based_metrics(df: DataFrame, period: str = "month", per: DataFrame | None = None) -> DataFrame:
+    """AGG4: best period (first in time order on ties) and, for months, the mean.
+    ``per`` is an optional precomputed ``revenue_by_period`` frame."""
     if period not in ("month", "quarter") or not _has(df, "date", "total_sales"):
         return _explode_long(df.limit(0), [])
-    per = revenue_by_period(df, period, style="period")
+    per = per if per is not None else revenue_by_period(df, period, style="period")
     one = per.agg(F.max_by("period", F.struct(F.col("revenue"), -F.col("period_order"))).alias("best"),
                   F.max("revenue").alias("best_rev"), F.avg("revenue").alias("avg_rev"))
     if period == "month":
@@ -177,12 +203,12 @@ def revenue_trends(df: DataFrame, period: str = "month") -> DataFrame:
         "period_order")
 
 
-def trend_metrics(df: DataFrame, periods: int = 3) -> DataFrame:
+def trend_metrics(df: DataFrame, periods: int = 3, per: DataFrame | None = None) -> DataFrame:
     """WIN3: mean of the last ``periods`` months against the mean of the ``periods`` months
     ending one month earlier (overlapping windows); needs at least ``periods`` months."""
     if not _has(df, "date", "total_sales"):
         return _explode_long(df.limit(0), [])
-    per = revenue_by_period(df, "month")
+    per = per if per is not None else revenue_by_period(df, "month")
     rn = F.row_number().over(Window.orderBy(F.col("period_order").desc()))
     r = per.withColumn("rn", rn)
     one = r.agg(F.count(F.lit(1)).alias("n"),
@@ -204,12 +230,12 @@ def _products(df: DataFrame) -> DataFrame:
             .agg(sum0("total_sales").alias("revenue"), sum0("quantity").alias("quantity")))
 
 
-def product_metrics(df: DataFrame) -> DataFrame:
+def product_metrics(df: DataFrame, prod: DataFrame | None = None) -> DataFrame:
     """AGG5: top product by revenue and by quantity (smallest id on ties), and the top-5
     revenue share.  The top 5 come from a bounded top-k, not a sort of all products."""
     if not _has(df, "product_id", "total_sales", "quantity"):
         return _explode_long(df.limit(0), [])
-    prod = _products(df)
+    prod = prod if prod is not None else _products(df)
     # The top 5 come from a bounded top-k; flagging them (broadcast of 5 ids) lets one
     # aggregate produce every figure.
     top5_ids = (prod.orderBy(F.col("revenue").desc(), F.col("product_id")).limit(5)
@@ -261,25 +287,26 @@ def product_performance(df: DataFrame, top_n: int = 10) -> DataFrame:
             .orderBy(F.col("total_revenue").desc(), F.col("product_id")))
 
 
-def efficiency_metrics(df: DataFrame) -> DataFrame:
+def efficiency_metrics(df: DataFrame, prod: DataFrame | None = None, flat: DataFrame | None = None) -> DataFrame:
     """AGG8: mean revenue per product, mean quantity per order, discount/quantity
-    correlation (pairwise complete; NULL for constant input)."""
+    correlation (pairwise complete; NULL for constant input).  ``prod``/``flat`` are
+    optional precomputed product totals and row-level aggregates."""
     frames = []
     if _has(df, "product_id", "total_sales"):
-        per_prod = (df.where(F.col("product_id").isNotNull()).groupBy("product_id")
-                    .agg(sum0("total_sales").alias("rev")).agg(F.avg("rev").alias("aspp")))
+        prod = prod if prod is not None else _products(df)
+        per_prod = prod.agg(F.avg("revenue").alias("aspp"))
         frames.append(_explode_long(per_prod, _long([("avg_sales_per_product", F.col("aspp"), "USD",
                                                        "Average revenue per product", None)])))
-    flat, rows = [], []
+    rows, aggs = [], []
     if _has(df, "quantity"):
-        flat.append(F.avg("quantity").alias("aqpo"))
+        aggs.append(F.avg("quantity").alias("aqpo"))
         rows.append(("avg_quantity_per_order", F.col("aqpo"), "units", "Average quantity per order", None))
     if _has(df, "discount", "quantity"):
-        flat.append(pairwise_corr("discount", "quantity").alias("dqc"))
+        aggs.append(pairwise_corr("discount", "quantity").alias("dqc"))
         rows.append(("discount_quantity_correlation", F.col("dqc"), "correlation",
                      "Correlation between discount and quantity sold", None))
-    if flat:
-        frames.append(_explode_long(df.agg(*flat), _long(rows)))
+    if rows:
+        frames.append(_explode_long(flat if flat is not None else df.agg(*aggs), _long(rows)))
     if not frames:
         return _explode_long(df.limit(0), [])
     out = frames[0]
@@ -341,10 +368,15 @@ def seasonal_patterns(df: DataFrame) -> DataFrame:
 # AGG10 / AGG11
 # ---------------------------------------------------------------------------------------
 def all_metrics(df: DataFrame) -> DataFrame:
-    """AGG10: every metric list, tagged with its category."""
-    frames = [("basic", basic_metrics_long(df)), ("time_based", time_based_metrics(df, "month")),
-              ("product", product_metrics(df)), ("trends", trend_metrics(df).drop("trend")),
-              ("efficiency", efficiency_metrics(df))]
+    """AGG10: every metric list, tagged with its category.  The lists share three
+    aggregates -- one over the rows, one per month, one per product -- so the table is
+    read three times, not once per list."""
+    flat = df.agg(*_flat_aggs(df)) if _flat_aggs(df) else None
+    per = revenue_by_period(df, "month", style="period") if _has(df, "date", "total_sales") else None
+    prod = _products(df) if _has(df, "product_id", "total_sales", "quantity") else None
+    frames = [("basic", basic_metrics_long(df, flat)), ("time_based", time_based_metrics(df, "month", per)),
+              ("product", product_metrics(df, prod)), ("trends", trend_metrics(df, 3, per).drop("trend")),
+              ("efficiency", efficiency_metrics(df, prod, flat))]
     out = None
     for cat, f in frames:
         f = f.select(F.lit(cat).alias("category"), *METRIC_COLS)
