@@ -461,8 +461,11 @@ def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
     snap = (lambda c: round_half_even(c, money_dp)) if money_dp is not None else (lambda c: c)
     frames = []
     cols = ["type", "title", "description", "value_num", "value_text"]
+    scalars = [a for a, ok in ((snap(sum0("total_sales")).alias("rev"), _has(df, "total_sales")),
+                               (F.avg("discount").alias("disc"), _has(df, "discount"))) if ok]
+    flat = df.agg(*scalars) if scalars else None  # one pass for both scalar insights
     if _has(df, "total_sales"):
-        rev = df.agg(snap(sum0("total_sales")).alias("v")).where(F.col("v") > 0)
+        rev = flat.select(F.col("rev").alias("v")).where(F.col("v") > 0)
         frames.append(rev.select(F.lit("revenue").alias("type"), F.lit("Total Revenue").alias("title"),
                                  F.concat(F.lit("Total revenue generated: $"), fmt_thousands("v", 2)).alias("description"),
                                  F.col("v").alias("value_num"), F.lit(None).cast("string").alias("value_text")))
@@ -476,7 +479,7 @@ def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
                                                  fmt_thousands("v", 2)).alias("description"),
                                  F.lit(None).cast("double").alias("value_num"), F.col("pid").alias("value_text")))
     if _has(df, "discount"):
-        disc = df.agg(F.avg("discount").alias("v"))
+        disc = flat.select(F.col("disc").alias("v"))
         frames.append(disc.select(F.lit("discount").alias("type"), F.lit("Average Discount").alias("title"),
                                   F.concat(F.lit("Average discount rate: "),
                                            fmt_fixed(F.col("v") * 100, 1), F.lit("%")).alias("description"),
