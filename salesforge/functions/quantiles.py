@@ -160,20 +160,25 @@ def _bracket(vals: DataFrame, targets: list[dict], ids: list[int], max_candidate
                      F.min(F.when(inside, v)).alias(f"mn{t_id}"),
                      F.max(F.when(inside, v)).alias(f"mx{t_id}")]
         row = vals.agg(*aggs).first()
-        still_wide = []
+        still_wide, reset = [], []
         for t_id in ids:
             t = targets[t_id]
             t["below"], t["inside"] = int(row[f"below{t_id}"]), int(row[f"in{t_id}"])
             if not (t["below"] <= t["k0"] and t["k1"] < t["below"] + t["inside"]):
-                raise RuntimeError("quantile bracket does not contain the target rank")
+                # The sketch missed (its guarantee failed): start this target over from
+                # the whole column; the next count pass re-derives the exact bounds.
+                t["lo"], t["hi"] = float("-inf"), float("inf")
+                reset.append(t_id)
+                continue
             t["lo"], t["hi"] = float(row[f"mn{t_id}"]), float(row[f"mx{t_id}"])
             # Rows bound the distinct values; a bracket of one value is already exact.
             if t["inside"] > max_candidates and t["lo"] < t["hi"]:
                 still_wide.append(t_id)
-        if not still_wide:
+        if not still_wide and not reset:
             return
-        _narrow(vals, targets, still_wide)
-        ids = still_wide
+        if still_wide:
+            _narrow(vals, targets, still_wide)
+        ids = still_wide + reset
     raise RuntimeError("quantile brackets did not converge")
 
 

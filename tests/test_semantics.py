@@ -66,3 +66,17 @@ def test_exact_quantiles_empty_and_single(spark):
     df = spark.createDataFrame([(None, 3.0)], "a double, b double")
     got = exact_quantiles(df, ["a", "b"], [0.25, 0.75])
     assert got == {"a": [None, None], "b": [3.0, 3.0]}
+
+
+def test_quantile_bracket_miss_recovers(spark):
+    """A bracket that does not contain the target rank (a sketch failing its bound) is
+    reset to the whole column and narrowed again; the result stays exact."""
+    from salesforge.functions import quantiles as QT
+    vals_np = np.arange(1000, dtype=float)
+    vals = spark.createDataFrame([(float(v),) for v in vals_np], "v0 double")
+    k0, k1, frac = QT._position(1000, 0.5)
+    t = {"col": 0, "prob": 0, "p": 0.5, "k0": k0, "k1": k1, "frac": frac,
+         "lo": 900.0, "hi": 950.0, "below": 0, "inside": 1000}  # wrong on purpose
+    QT._bracket(vals, [t], [0], max_candidates=100)
+    got = QT._pick(vals, [t])
+    assert QT._interp(got[(0, 0)], got[(0, 1)], frac) == float(np.quantile(vals_np, 0.5))
