@@ -153,9 +153,8 @@ def _period_parts(period: str, style: str) -> tuple[Column, Column] | None:
     return None
 
 
-def revenue_by_period(df: DataFrame, period: str = "month", style: str = "analyzer") -> DataFrame:
-    """AGG3 / VIZ1: revenue per calendar period, in time order; no gap filling.  An
-    unknown period gives an empty frame.  Columns: period, period_order, revenue."""
+def _period_revenue(df: DataFrame, period: str, style: str = "analyzer") -> DataFrame:
+    """Revenue per calendar period, unsorted (for consumers that aggregate or window)."""
     parts = _period_parts(period, style)
     if parts is None or not _has(df, "date", "total_sales"):
         return df.sparkSession.createDataFrame([], "period string, period_order bigint, revenue double")
@@ -163,8 +162,13 @@ def revenue_by_period(df: DataFrame, period: str = "month", style: str = "analyz
     return (df.where(F.col("date").isNotNull())
             .groupBy(order.alias("period_order"), label.alias("period"))
             .agg(sum0("total_sales").alias("revenue"))
-            .select("period", "period_order", "revenue")
-            .orderBy("period_order"))
+            .select("period", "period_order", "revenue"))
+
+
+def revenue_by_period(df: DataFrame, period: str = "month", style: str = "analyzer") -> DataFrame:
+    """AGG3 / VIZ1: revenue per calendar period, in time order; no gap filling.  An
+    unknown period gives an empty frame.  Columns: period, period_order, revenue."""
+    return _period_revenue(df, period, style).orderBy("period_order")
 
 
 def time_based_metrics(df: DataFrame, period: str = "month", per: DataFrame | None = None) -> DataFrame:
@@ -172,7 +176,7 @@ def time_based_metrics(df: DataFrame, period: str = "month", per: DataFrame | No
     ``per`` is an optional precomputed ``revenue_by_period`` frame."""
     if period not in ("month", "quarter") or not _has(df, "date", "total_sales"):
         return _explode_long(df.limit(0), [])
-    per = per if per is not None else revenue_by_period(df, period, style="period")
+    per = per if per is not None else _period_revenue(df, period, style="period")
     one = per.agg(F.max_by("period", F.struct(F.col("revenue"), -F.col("period_order"))).alias("best"),
                   F.max("revenue").alias("best_rev"), F.avg("revenue").alias("avg_rev"))
     if period == "month":
@@ -190,7 +194,7 @@ def revenue_trends(df: DataFrame, period: str = "month") -> DataFrame:
     """WIN1: period-over-period revenue change.  The first period has no predecessor and
     is omitted.  A zero predecessor gives a NULL change (pandas: +-inf) but the direction
     still follows the sign of the current value."""
-    per = revenue_by_period(df, period, style="analyzer")
+    per = _period_revenue(df, period, style="analyzer")
     w = Window.orderBy("period_order")  # over calendar periods only
     prev = F.lag("revenue").over(w)
     t = per.withColumn("previous_value", prev).where(F.col("previous_value").isNotNull())
@@ -208,7 +212,7 @@ def trend_metrics(df: DataFrame, periods: int = 3, per: DataFrame | None = None)
     ending one month earlier (overlapping windows); needs at least ``periods`` months."""
     if not _has(df, "date", "total_sales"):
         return _explode_long(df.limit(0), [])
-    per = per if per is not None else revenue_by_period(df, "month")
+    per = per if per is not None else _period_revenue(df, "month")
     rn = F.row_number().over(Window.orderBy(F.col("period_order").desc()))
     r = per.withColumn("rn", rn)
     one = r.agg(F.count(F.lit(1)).alias("n"),
@@ -372,7 +376,7 @@ def all_metrics(df: DataFrame) -> DataFrame:
     aggregates -- one over the rows, one per month, one per product -- so the table is
     read three times, not once per list."""
     flat = df.agg(*_flat_aggs(df)) if _flat_aggs(df) else None
-    per = revenue_by_period(df, "month", style="period") if _has(df, "date", "total_sales") else None
+    per = _period_revenue(df, "month", style="period") if _has(df, "date", "total_sales") else None
     prod = _products(df) if _has(df, "product_id", "total_sales", "quantity") else None
     frames = [("basic", basic_metrics_long(df, flat)), ("time_based", time_based_metrics(df, "month", per)),
               ("product", product_metrics(df, prod)), ("trends", trend_metrics(df, 3, per).drop("trend")),
@@ -422,7 +426,7 @@ def forecast(df: DataFrame, periods: int = 12, method: str = "simple") -> DataFr
     """
     if method not in ("simple", "trend"):
         raise ValueError(f"Unknown forecasting method: {method}")
-    per = revenue_by_period(df, "month")
+    per = _period_revenue(df, "month")
     x = F.row_number().over(Window.orderBy("period_order")) - 1  # calendar months only
     pts = per.withColumn("x", x.cast("double"))
     if method == "simple":
