@@ -59,13 +59,28 @@ def _interp(lo: float, hi: float, frac: float) -> float:
     return hi - diff * (1 - frac) if frac >= 0.5 else lo + diff * frac
 
 
+def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float],
+                     accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+    """One GK pass (``percentile_approx``): rank error at most n / accuracy, and the
+    value returned is a data value (no interpolation)."""
+    if not columns:
+        return {}
+    row = df.agg(*[F.percentile_approx(num(df, c), F.array(*[F.lit(float(p)) for p in probs]), accuracy)
+                   .alias(f"q{i}") for i, c in enumerate(columns)]).first()
+    return {c: ([float(x) for x in row[f"q{i}"]] if row[f"q{i}"] is not None else [None] * len(probs))
+            for i, c in enumerate(columns)}
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     max_candidates: int = MAX_CANDIDATES, accuracy: int = ACCURACY,
-                    direct_max: int = DIRECT_MAX) -> dict[str, list[float | None]]:
+                    direct_max: int = DIRECT_MAX, approx: bool = False) -> dict[str, list[float | None]]:
     """Return ``{column: [q(p) for p in probs]}``; NULL/NaN values are skipped and a
-    column without values yields ``None``s."""
+    column without values yields ``None``s.  ``approx=True`` trades exactness for a
+    single pass (``approx_quantiles``)."""
     if not columns:
         return {}
+    if approx:
+        return approx_quantiles(df, columns, probs, accuracy)
     vals = df.select(*[num(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
     eps = 2.0 / accuracy
     # Pass 1: value counts and GK brackets around every requested probability.

@@ -121,9 +121,10 @@ def cast_types(df: DataFrame, type_checks: dict[str, str] | None = None,
 
 
 def impute_values(df: DataFrame, columns: list[str], strategy: str = "median") -> dict[str, float]:
-    """Replacement value per column: exact median, mean, or 0 for any other strategy."""
-    if strategy == "median":
-        qs = exact_quantiles(df, columns, [0.5])
+    """Replacement value per column: exact median, approximate median
+    (``approx_median``, one pass), mean, or 0 for any other strategy."""
+    if strategy in ("median", "approx_median"):
+        qs = exact_quantiles(df, columns, [0.5], approx=strategy == "approx_median")
         return {c: qs[c][0] for c in columns}
     if strategy == "mean":
         row = df.agg(*[F.avg(num(df, c)).alias(c) for c in columns]).first()

@@ -80,3 +80,14 @@ def test_quantile_bracket_miss_recovers(spark):
     QT._bracket(vals, [t], [0], max_candidates=100)
     got = QT._pick(vals, [t])
     assert QT._interp(got[(0, 0)], got[(0, 1)], frac) == float(np.quantile(vals_np, 0.5))
+
+
+def test_approx_quantiles_within_rank_error(spark):
+    rng = np.random.default_rng(5)
+    vals = rng.normal(size=5000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], approx=True, accuracy=1000)["x"]
+    s = np.sort(vals)
+    for p, g in zip([0.25, 0.5, 0.75], got):
+        rank = np.searchsorted(s, g)
+        assert abs(rank - p * len(s)) <= len(s) / 1000 + 1
