@@ -219,7 +219,7 @@ def _quality_gate(spark, sf_dir):
 # ---------------------------------------------------------------------------------------
 # RUL0-RUL11
 # ---------------------------------------------------------------------------------------
-def _rules_sql() -> str:
+def _rules_sql(cte: str = DIRTY_CTE, src: str = "sales_dirty") -> str:
     def sc(bad):
         return f"((n - ({bad})) / n) * 100"
 
@@ -260,9 +260,9 @@ def _rules_sql() -> str:
              f"coalesce({issues}, '') AS issues, CAST(NULL AS VARCHAR) AS error FROM s"
              for i, (name, sev, thr, passed, score, issues) in enumerate(rows)]
     extra = ("crit AS (SELECT count(*) FILTER (WHERE date IS NULL) AS md, "
-             "count(*) FILTER (WHERE product_id IS NULL) AS mp FROM sales_dirty),\n"
+             f"count(*) FILTER (WHERE product_id IS NULL) AS mp FROM {src}),\n"
              "s2 AS (SELECT * FROM s, crit)")
-    return (with_(DIRTY_CTE, _stats_cte("sales_dirty", True), extra) +
+    return (with_(cte, _stats_cte(src, True), extra) +
             "\nUNION ALL\n".join(parts).replace(" FROM s", " FROM s2"))
 
 

@@ -6,12 +6,13 @@ from salesforge.operators import analytics as A
 from salesforge.operators import anomalies as O
 from salesforge.operators import queries as Q
 from salesforge.operators import quality as DQ
+from salesforge.operators import rules as RU
 from salesforge.operators import transform as T
 from salesforge.operators import validate as V
 from salesforge.plans.catalog.analytics import _iqr_cte, _trend_sql
 from salesforge.plans.catalog.etl import TRANSFORM_CTES, _exp_sql
-from salesforge.plans.catalog.quality import _metrics_sql
-from salesforge.plans.oracle import DIRTY_CTE, SALES_CTE, R, with_
+from salesforge.plans.catalog.quality import _issues_sql, _metrics_sql, _rules_sql
+from salesforge.plans.oracle import DIRTY_CTE, SALES_CTE, TEXT_CTE, R, with_
 from salesforge.plans.registry import register, stable
 from salesforge.sources import fixtures as FX
 
@@ -111,3 +112,14 @@ def _expectation_suite_dirty(spark, sf_dir):
 @register("quality_metrics_clean", _metrics_sql(SALES_CTE, "sales", True))
 def _quality_metrics_clean(spark, sf_dir):
     return stable(DQ.run_all_checks(FX.sales(spark, sf_dir), FX.AS_OF, samples=False).metrics_df())
+
+
+@register("quality_issues_text", _issues_sql(TEXT_CTE, "sales_text", False))
+def _quality_issues_text(spark, sf_dir):
+    rep = DQ.run_all_checks(FX.sales_text(spark, sf_dir), FX.AS_OF, samples=False)
+    return stable(rep.issues_df().drop("sample_data"))
+
+
+@register("rule_results_clean", _rules_sql(SALES_CTE, "sales"))
+def _rule_results_clean(spark, sf_dir):
+    return stable(RU.DataQualityRules().run_all(FX.sales(spark, sf_dir), FX.AS_OF))
