@@ -59,11 +59,11 @@ class Scratch:
             rid += "_"
         return self.table(df.withColumn(rid, F.monotonically_increasing_id()), "rows"), rid
 
-    def release(self) -> None:
-        for path in self.paths:
+    def release(self, paths: list[str] | None = None) -> None:
+        for path in list(self.paths if paths is None else paths):
             fs, where = self._at(path)
             fs.delete(where, True)
-        self.paths.clear()
+            self.paths.remove(path)
 
     def _at(self, path: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -87,6 +87,21 @@ def pieces_of(total: int | None, per_piece: int, least: int = 1) -> int:
     return max(least, math.ceil((total or 0) / per_piece))
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, *, least: int = 2000, most: int = 8000) -> DataFrame:
+    """``rows`` with the columns of their group; ``groups`` has one row per group and the
+    group's ``size``.  Groups of more than ``max(least, rows / most)`` rows, which would
+    fill one task, are broadcast: there are at most ``most`` of them."""
+    groups = settled(groups)
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    bound = max(least, total // most)
+    hot = groups.where(F.col(size) > bound)
+    if hot.isEmpty():
+        return rows.join(groups, keys)
+    few = F.broadcast(hot)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(groups.where(F.col(size) <= bound), keys)
+    return rows.join(few, keys).unionByName(rest)
+
+
 def utf8(column) -> list[bytes]:
     """An Arrow text column as UTF-8 bytes, null as empty."""
     import pyarrow as pa

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salesforge.llm.common import SPACE_CLASS, Scratch, settled, text_of
+from salesforge.llm.common import SPACE_CLASS, Scratch, join_groups, settled, text_of
 
 NO_PARTNER = -(1 << 62)  # stands for the missing right half of an odd pair; never a name
 
@@ -117,7 +117,7 @@ def identities(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         F.count("*").alias("group_size"),
         F.min(F.struct((-F.col("n_chars")).alias("len"), F.col("doc_id").isNull().alias("none"),
                        "doc_id", "rid")).alias("best"))
-    return rows.join(best, ["level", "name"]).select(
+    return join_groups(rows, best, ["level", "name"], "group_size", least=least_hot, most=max_hot).select(
         *rows.columns, F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("best.rid") == F.col("rid")).alias("kept"))
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesforge.llm import chat, decontaminate, exact_names, packing, shards, simhash_near, substring, token_files, url_rules
+from salesforge.llm import chat, decontaminate, exact_names, packing, shards, simhash_near, substring, token_files, toxicity, url_rules
 from salesforge.llm.common import Scratch, text_of
 from salesforge.llm.sql import ORACLE
 from salesforge.llm.tokens import BYTE_PIECES, WORD_PIECES
@@ -24,6 +24,13 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_gated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    out = toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 shards of near equal bytes."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")

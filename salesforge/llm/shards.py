@@ -97,13 +97,12 @@ def splitters(keys: DataFrame, ranges: int, oversample: int, rounds: int) -> lis
 def shard(docs: DataFrame, scratch: Scratch, *, shards: int, text_col: str = "text", id_col: str = "doc_id",
           per_shard: int = 8, oversample: int = 8, rounds: int = 4) -> DataFrame:
     """All columns of ``docs`` and ``size``, ``shard`` (0 to shards - 1), ``slot`` (0, 1,
-    ... within the shard).  Release ``scratch`` once the result has been written.
-
-    ``docs`` must have no columns of these three names; rename them before.
-    """
+    ... within the shard); columns of these three names that ``docs`` has are replaced.
+    Release ``scratch`` once the result has been written."""
     text = text_of(text_col)
+    keep = [c for c in docs.columns if c not in ("size", "shard", "slot")]
     keyed = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns], (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("record"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.xxhash64(text).alias("k1"), F.xxhash64(F.col(f"`{id_col}`"), F.rand(7)).alias("k2"))
     keys = settled(keyed.select("k1", "k2", "size"))
     found = splitters(keys, shards * per_shard, oversample, rounds)
@@ -123,10 +122,10 @@ def shard(docs: DataFrame, scratch: Scratch, *, shards: int, text_col: str = "te
     middle = F.col("bytes_before") + F.col("upto") - F.col("size") / 2
     spread = placed.join(F.broadcast(held), "range").withColumn(
         "shard", F.least(F.floor(middle * shards / F.col("all_bytes")), F.lit(shards - 1)).cast("int")) \
-        .withColumn("row", F.col("rows_before") + F.col("row"))
-    first = settled(spread.groupBy("shard").agg(F.min("row").alias("first")))  # one row per shard
+        .withColumn("place", F.col("rows_before") + F.col("row"))
+    first = settled(spread.groupBy("shard").agg(F.min("place").alias("first")))  # one row per shard
     return spread.join(F.broadcast(first), "shard").select(
-        *[F.col(f"`{c}`") for c in docs.columns], "size", "shard", (F.col("row") - F.col("first")).alias("slot"))
+        *[F.col(f"record.`{c}`") for c in keep], "size", "shard", (F.col("place") - F.col("first")).alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.llm.common import Scratch, settled, utf8
+from salesforge.llm.common import Scratch, join_groups, settled, utf8
 from salesforge.llm.graph import components
 
 BITS = 64
@@ -92,19 +92,29 @@ def ball(width: int, radius: int) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
-def _key(part: int, first: int, width: int, mask: int = 0) -> Column:
-    value = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1)).bitwiseXOR(F.lit(mask))
+def _value(first: int, width: int) -> Column:
+    return F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1 if width < BITS else -1))
+
+
+def _entry(part: int, value: Column) -> Column:
     return F.struct(F.lit(part).alias("part"), value.alias("value"))
 
 
+def _around(part: int, first: int, width: int, threshold: int) -> Column:
+    """The entries within the threshold of the part's value."""
+    return F.transform(F.lit(ball(width, threshold)), lambda mask: _entry(part, _value(first, width).bitwiseXOR(mask)))
+
+
 def links(fps: DataFrame, *, radius: int, segments: int = 3, crowd: int = 64) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp) whose components are those
     of all pairs within ``radius`` bits."""
+    if radius == 0:  # nodes are distinct already
+        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     parts = _parts(radius, segments)
-    entries = settled(fps.select("fp", F.explode(F.array(*[_key(i, f, w) for i, (f, w, _) in enumerate(parts)])).alias("k"))
-                      .select("fp", "k.part", "k.value"))
-    probes = fps.select("fp", F.explode(F.array(*[
-        _key(i, f, w, m) for i, (f, w, t) in enumerate(parts) for m in ball(w, t)])).alias("k")).select("fp", "k.part", "k.value")
+    own = F.array(*[_entry(i, _value(f, w)) for i, (f, w, _) in enumerate(parts)])
+    around = F.concat(*[_around(i, *part) for i, part in enumerate(parts)])
+    entries = settled(fps.select("fp", F.explode(own).alias("k")).select("fp", "k.part", "k.value"))
+    probes = fps.select("fp", F.explode(around).alias("k")).select("fp", "k.part", "k.value")
     crowded = settled(entries.groupBy("part", "value").count().where(F.col("count") > crowd).select("part", "value"))
     at = ["part", "value"]
     roomy = entries.join(crowded, at, "left_anti").withColumnRenamed("fp", "b")
@@ -145,8 +155,8 @@ def near_groups(docs: DataFrame, *, shingle: int, radius: int, id_col: str = "do
     roots = components(links(nodes.select("fp"), radius=radius, segments=segments, crowd=crowd))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     groups = placed.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("group_size"))
-    placed = settled(placed.select("fp", "root").join(groups, "root").select("fp", "component_id", "group_size"))
-    return prints.join(placed, "fp").select("doc_id", "fp", "component_id", "group_size")
+    placed = placed.select("fp", "root", "n").join(groups, "root").select("fp", "n", "component_id", "group_size")
+    return join_groups(prints, placed, ["fp"], "n").select("doc_id", "fp", "component_id", "group_size")
 
 
 def drop_near(docs: DataFrame, scratch: Scratch, *, shingle: int, radius: int, text_col: str = "text",
