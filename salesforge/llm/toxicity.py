@@ -10,8 +10,8 @@ calibrated logistic curve.  All of a text is scored, however long it is.
 Training is numpy on the driver.  Its input is bounded: at most ``per_class`` documents
 of each label, chosen by a hash of their ids among the training folds, and of those the
 ones with at most ``train_bytes`` bytes.  A label belongs to a document and not to a
-window, so after a first round over all windows only the highest windows of a toxic
-document are taught as toxic.
+window, so only the highest window of a toxic document is taught as toxic, by the
+leaning of its words in the first round and by the network itself from then on.
 
 Scale: scoring is a map over the texts with no shuffle; a task holds the model (a few
 MB) and a bounded store of words it has met.  Only the sampled ids are broadcast, at most
@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -188,17 +187,44 @@ def windows(sizes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return np.where(inside < sizes[doc][:, None], base[doc][:, None] + inside, -1), doc
 
 
-def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: int = 4, max_words: int = 20_000,
-          rounds: int = 6, batch: int = 256, rate: float = 0.006, seed: int = 1) -> Network | None:
-    """A network fitted to whole documents; None without both labels."""
+def _leanings(docs: list[list[str]], y: np.ndarray, min_docs: int) -> dict[str, float]:
+    """Words of at least ``min_docs`` different documents and how far they lean to label 1:
+    the log odds ratio of document counts with a prior of five documents, in standard
+    errors."""
+    seen: set[int] = set()
+    counts: dict[str, list[int]] = {}
+    n = [0, 0]
+    for d, v in zip(docs, y.astype(int).tolist()):
+        key = hash(tuple(d))
+        if key in seen:  # copies count once
+            continue
+        seen.add(key)
+        n[v] += 1
+        for w in set(d):
+            counts.setdefault(w, [0, 0])[v] += 1
+    share = [5 * x / sum(n) for x in n]
+    out = {}
+    for w, (clean, toxic) in counts.items():
+        if clean + toxic >= min_docs:
+            a, b = toxic + share[1], clean + share[0]
+            out[w] = (math.log(a / (n[1] + 2 * share[1] - a)) - math.log(b / (n[0] + 2 * share[0] - b))) / math.sqrt(1 / a + 1 / b)
+    return out
+
+
+def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: int = 4, least_lean: float = 3.0, max_words: int = 20_000,
+          steps: int = 400, batch: int = 64, rate: float = 0.006, doubt: float = 0.7,
+          decay: float = 0.01, seed: int = 1) -> Network | None:
+    """A network fitted to whole documents in about ``steps`` steps; None without both
+    labels."""
     y = np.array(labels, np.float32)
     if not len(y) or y.min() == y.max():
         return None
     rng = np.random.default_rng(seed)
     docs = [[plain(t) for t in text.split()] for text in texts]
-    often = Counter(w for d in docs for w in set(d))
-    chosen = sorted((w for w, c in often.items() if c >= min_docs), key=lambda w: (-often[w], w))[:max_words]
+    lean = _leanings(docs, y, min_docs)
+    chosen = sorted((w for w in lean if lean[w] >= least_lean), key=lambda w: (-lean[w], w))[:max_words]
     net = Network({w: i + 2 for i, w in enumerate(chosen)}, seed)
+    net.p["words"][2:, 0] = [np.clip(lean[w] / 3, -2, 2) for w in chosen]
     names: dict[str, int] = {"": 0}
     flat = np.array([names.setdefault(w, len(names)) for d in docs for w in d], np.int64)
     ids, chars = net.features(list(names))
@@ -207,7 +233,7 @@ def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: in
     fit = rng.random(len(docs)) < 0.8  # the others set the curve
     fit[[int(np.flatnonzero(y == v)[0]) for v in (0, 1)]] = True
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
-    step = 0
+    step, start = 0, {k: net.p[k].copy() for k in ("words", "chars")}
 
     def scores() -> np.ndarray:
         _, _, proj = net.inputs(ids, chars)
@@ -225,7 +251,11 @@ def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: in
         proj[~real] = net.pad_row()
         keep: dict = {}
         z = net.logits(proj[local], _mask(w), keep)
-        g, dproj = net.gradients(((_sigmoid(z) - y[doc[rows]]) * weight / weight.sum()).astype(np.float32), keep)
+        p, own_y = _sigmoid(z), y[doc[rows]]
+        # A document marked toxic may have no toxic window: what the network firmly takes
+        # for clean teaches less (generalised cross entropy).
+        d = (p - own_y) * weight * np.where(own_y > 0, p ** np.float32(doubt), 1)
+        g, dproj = net.gradients((d / weight.sum()).astype(np.float32), keep)
         dp = np.zeros_like(proj)
         np.add.at(dp, local.reshape(-1), dproj.reshape(-1, 6 * HIDDEN))
         dp[~real] = 0
@@ -238,26 +268,29 @@ def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: in
         step += 1
         for k, v in g.items():
             m, s = moments[k]
+            if k in start:
+                v += decay * (net.p[k] - start[k])
             m += 0.1 * (v - m)
             s += 0.001 * (v * v - s)
             net.p[k] -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)
 
     places_of = np.searchsorted(doc, np.arange(len(docs) + 1))
-    for turn in range(rounds):
+    known = np.append(net.p["words"][ids, 0], np.float32(-2))  # the place -1
+    turn = 0
+    while step < steps:
         rows = []
-        z = scores() if turn >= 2 else None
+        # The highest window of a toxic document is the one to teach; of a clean one all are clean.
+        z = scores() if turn else known[word].max(axis=1)
         for i in np.flatnonzero(fit).tolist():
             own = np.arange(places_of[i], places_of[i + 1])
-            if z is None:
-                rows.append(rng.permutation(own)[:48 if y[i] else 8])
-            else:
-                top = own[np.argsort(-z[own], kind="stable")]
-                rows.append(top[:1] if y[i] else np.concatenate([top[:2], rng.permutation(top[2:])[:4]]))
+            top = own[np.argsort(-z[own], kind="stable")]
+            rows.append(top[:1] if y[i] else np.concatenate([top[:2], rng.permutation(top[2:])[:4]]))
         rows = rng.permutation(np.concatenate(rows))
         share = y[doc[rows]].mean()
         weight = np.where(y[doc[rows]] > 0, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6)).astype(np.float32)
         for a in range(0, len(rows), batch):
             learn(rows[a:a + batch], weight[a:a + batch])
+        turn += 1
     z = np.maximum.reduceat(scores(), places_of[:-1]).astype(np.float64)
     rest = ~fit if len(set(y[~fit].tolist())) == 2 else np.ones(len(y), bool)
     net.curve = _curve(z[rest], y[rest].astype(np.float64))
