@@ -34,8 +34,10 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salesforge.functions.semantics import num
+from salesforge.functions.semantics import field_type, finite, num
+from salesforge.session import materialize
 
 MAX_CANDIDATES = 250_000
 ACCURACY = 10_000
@@ -65,7 +67,7 @@ def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     value returned is a data value (no interpolation)."""
     if not columns:
         return {}
-    row = df.agg(*[F.percentile_approx(num(df, c), F.array(*[F.lit(float(p)) for p in probs]), accuracy)
+    row = df.agg(*[F.percentile_approx(finite(num(df, c)), F.array(*[F.lit(float(p)) for p in probs]), accuracy)
                    .alias(f"q{i}") for i, c in enumerate(columns)]).first()
     return {c: ([float(x) for x in row[f"q{i}"]] if row[f"q{i}"] is not None else [None] * len(probs))
             for i, c in enumerate(columns)}
@@ -74,14 +76,16 @@ def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float],
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     max_candidates: int = MAX_CANDIDATES, accuracy: int = ACCURACY,
                     direct_max: int = DIRECT_MAX, approx: bool = False) -> dict[str, list[float | None]]:
-    """Return ``{column: [q(p) for p in probs]}``; NULL/NaN values are skipped and a
-    column without values yields ``None``s.  ``approx=True`` trades exactness for a
+    """Return ``{column: [q(p) for p in probs]}``; NULL and non-finite values are skipped on
+    every path, and a column without values yields ``None``s.  ``approx=True`` trades exactness for a
     single pass (``approx_quantiles``)."""
     if not columns:
         return {}
     if approx:
         return approx_quantiles(df, columns, probs, accuracy)
-    vals = df.select(*[num(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
+    vals = df.select(*[finite(num(df, c)).alias(f"v{i}") for i, c in enumerate(columns)])
+    if any(isinstance(field_type(df, c), T.StringType) for c in columns):
+        vals = materialize(vals, eager=False)  # the text is read and parsed once, not in every pass
     eps = 2.0 / accuracy
     # Pass 1: value counts and GK brackets around every requested probability.
     first = vals.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))],

@@ -45,13 +45,39 @@ def nan_to_null(c: str | Column) -> Column:
     return F.nanvl(col(c), null_double())
 
 
+# How a number is written, and the date forms read besides ISO 8601.
+NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+DATE_FORMATS = ["MM/dd/yyyy", "dd MMM yyyy", "yyyy/MM/dd", "dd-MMM-yyyy", "MMM d, yyyy"]
+
+
+def finite(c: str | Column) -> Column:
+    """NaN and infinities become NULL: ranges, histograms and quantiles are over finite
+    values only."""
+    return F.when(F.abs(col(c)) < F.lit(float("inf")), col(c))
+
+
+def number_text(c: str | Column) -> Column:
+    """Text to double; what is not a plain decimal number is NULL (also '12d' and '12f',
+    which a bare cast accepts, and spelled-out infinities and NaN, which would make
+    every later mean and sum useless)."""
+    t = F.trim(col(c))
+    return F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
+
+
+def date_text(c: str | Column, formats: list[str] | None = None) -> Column:
+    """Text to timestamp_ntz: ISO 8601 first, then ``formats`` in turn; NULL if none fits."""
+    t = F.trim(col(c))
+    others = [F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz") for f in (DATE_FORMATS if formats is None else formats)]
+    return F.coalesce(t.try_cast("timestamp_ntz"), *others)
+
+
 def num(df: DataFrame, name: str) -> Column:
     """``pd.to_numeric(errors='coerce')``: any column to double, bad values to NULL."""
     t = field_type(df, name)
     if isinstance(t, NUMERIC_TYPES):
         return nan_to_null(F.col(name).cast("double"))
     if isinstance(t, T.StringType):
-        return nan_to_null(F.trim(F.col(name)).try_cast("double"))
+        return number_text(name)
     return null_double()
 
 
@@ -63,7 +89,7 @@ def ts(df: DataFrame, name: str) -> Column:
     if isinstance(t, (T.TimestampType, T.DateType)):
         return F.col(name).cast("timestamp_ntz")
     if isinstance(t, T.StringType):
-        return F.trim(F.col(name)).try_cast("timestamp_ntz")
+        return date_text(name)
     return F.lit(None).cast("timestamp_ntz")
 
 

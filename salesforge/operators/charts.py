@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesforge.functions.semantics import num, sum0, weekday_name
+from salesforge.functions.semantics import finite, num, sum0, weekday_name
 from salesforge.operators.analytics import WEEKDAYS, correlation_matrix, revenue_by_period
 
 HIST_COLUMNS = ["total_sales", "quantity", "unit_price", "discount"]
@@ -85,9 +85,9 @@ def _bin(x: Column, lo: float, hi: float, bins: int) -> Column:
 
 def histograms(df: DataFrame, bins: int = 30, columns: list[str] | None = None) -> DataFrame:
     """VIZ5: equal-width histograms (column, bin, bin_lo, bin_hi, count); every bin is
-    present (empty ones with 0).  Ranges come from one min/max aggregate."""
+    present (empty ones with 0); non-finite values are in none.  Ranges come from one min/max aggregate."""
     columns = [c for c in (columns or HIST_COLUMNS) if c in df.columns]
-    vals = df.select(*[num(df, c).alias(c) for c in columns])
+    vals = df.select(*[finite(num(df, c)).alias(c) for c in columns])
     mm = vals.agg(*[x for c in columns for x in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]).first()
     parts, grid = [], []
     for c in columns:

@@ -1,43 +1,75 @@
 """FPR1: an order-insensitive content fingerprint of a table.
 
-The sum of a 64-bit row hash is independent of row order and partitioning; it is
-accumulated as ``decimal(38,0)`` because a bigint sum overflows (and raises under ANSI).
-Use it to key reuse of persisted/checkpointed intermediates.
+A row's text holds every column's name and either its value or a null mark, so that a
+value that moves to another column, or a column that is renamed, changes it.  The sum of
+the rows' hashes (60 bits of an MD5, as ``decimal(38,0)``) does not depend on row order
+or partitioning.  Use it to key reuse of persisted intermediates.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+SEPARATOR = "\x1f"
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """One row: ``rows`` and ``fingerprint`` (the hash sum modulo 2**64, as text)."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
-    one = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).alias("s"))
-    folded = F.pmod(F.col("s"), F.lit(str(2 ** 64)).cast("decimal(38,0)"))
-    return one.select("rows", folded.cast("string").alias("fingerprint"))
 
+def _digits(c: Column, digits: int) -> Column:
+    """A double as ``digits`` significant digits and an exponent."""
+    e = F.lit(digits - 1) - F.floor(F.log10(F.abs(c))).cast("int")
+    scaled = F.when(e >= 0, c * F.pow(F.lit(10.0), e)).otherwise(c / F.pow(F.lit(10.0), -e))
+    return F.when(c == 0, F.lit("0")).otherwise(
+        F.concat(F.rint(scaled).cast("bigint").cast("string"), F.lit("e"), (-e).cast("string")))
 
-def fingerprint_key(df: DataFrame) -> str:
-    """The fingerprint as a string key (one bounded row to the driver)."""
+
+def _cell(f: T.StructField, digits: int | None) -> Column:
+    c = F.col(f"`{f.name}`")
+    if digits and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        value = _digits(c.cast("double"), digits)
+    elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        value = F.to_json(c)
+    else:
+        value = c.cast("string")
+    return F.concat(F.lit(f.name), F.coalesce(F.concat(F.lit("="), value), F.lit("!")))
+
+
+def fingerprint(df: DataFrame, digits: int | None = None) -> DataFrame:
+    """One row: ``rows`` and ``fingerprint`` (the sum of the row hashes, as text).  With
+    ``digits`` doubles that agree in so many significant digits count as equal; without,
+    only equal ones do."""
+    row = F.concat_ws(SEPARATOR, *[_cell(f, digits) for f in df.schema.fields])
+    h = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)")
+    zero = F.lit(0).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), zero).cast("string").alias("fingerprint"))
+
+
+def fingerprint_key(df: DataFrame, params: dict | None = None) -> str:
+    """The content, the schema and the parameters of what is computed from it, as a key."""
     r = fingerprint(df).first()
-    return f"{r['rows']}-{r['fingerprint']}"
+    about = json.dumps([df.schema.jsonValue(), params or {}], sort_keys=True, default=str)
+    return f"{r['rows']}-{r['fingerprint']}-{hashlib.md5(about.encode()).hexdigest()}"
 
 
-def memoize(df: DataFrame, fn: Callable[[DataFrame], DataFrame], store_dir: str, name: str) -> DataFrame:
+def memoize(df: DataFrame, fn: Callable[[DataFrame], DataFrame], store_dir: str, name: str,
+            params: dict | None = None) -> DataFrame:
     """Reuse ``fn(df)`` across runs: the result is written once to
-    ``store_dir/name/<fingerprint of the input>`` (a shared folder, e.g. under the
-    cluster's checkpoint directory) and read back on later calls with the same input.
-    Keyed on the input, not the output, so a repeated input is recognised."""
-    key = fingerprint_key(df)
-    path = os.path.join(store_dir, name, key)
+    ``store_dir/name/<key of input and params>`` (a shared folder, e.g. under the
+    cluster's checkpoint directory) and read back on later calls.  ``params`` must hold
+    whatever else ``fn`` depends on.  Only a missing result is computed; any other read
+    error is raised."""
+    path = os.path.join(store_dir, name, fingerprint_key(df, params))
     spark = df.sparkSession
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - not computed yet
-        fn(df).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    fn(df).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -62,10 +62,11 @@ def stable_periods(history: DataFrame, threshold: float = 5.0) -> DataFrame:
                     "duration", "avg_score"))
 
 
-def pipeline_health(runs: DataFrame, as_of: datetime, keep_last: int = 100) -> DataFrame:
-    """AGG12: last run and today's counts over the retained history (the latest
-    ``keep_last`` runs); success rate over the retained runs."""
-    kept = runs.orderBy(F.col("timestamp").desc()).limit(keep_last)
+def pipeline_health(runs: DataFrame, as_of: datetime, keep_last: int | None = None) -> DataFrame:
+    """AGG12: last run, the counts of the day of ``as_of`` and the success rate over all
+    runs, in one map-side combined aggregate.  ``keep_last`` restricts it to the latest
+    runs, for histories that are kept as a bounded list."""
+    kept = runs if keep_last is None else runs.orderBy(F.col("timestamp").desc()).limit(keep_last)
     today = F.to_date("timestamp") == F.to_date(ts_lit(as_of))
     return kept.agg(
         F.max("timestamp").alias("last_run_time"),

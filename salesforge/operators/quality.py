@@ -125,51 +125,48 @@ def _is_numeric(df: DataFrame, *cols: str) -> bool:
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """DQ6: rows equal (NULL == NULL) to an earlier row; one-row frame ``duplicates``.
-
-    Two phases so the big shuffle carries 8 bytes per row instead of whole rows: group
-    a 64-bit hash of the row (map-side combined) to find hashes seen more than once,
-    then group only the rows carrying such a hash by their full value.  The second phase
-    is exact, so hash collisions cannot change the count."""
+    One shuffle of the rows, equal ones combined on the map side, so a row copied many
+    times arrives once per task."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    h = F.xxhash64(*cols).alias("__h")
-    repeated = (df.select(h).groupBy("__h").count().where(F.col("count") > 1).select("__h"))
-    cand = df.withColumn("__h", F.xxhash64(*cols)).join(repeated, "__h", "left_semi").drop("__h")
-    return (cand.groupBy(*cols).count()
+    return (df.groupBy(*cols).count()
             .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicates")))
 
 
 def collect_stats(df: DataFrame, as_of: datetime) -> dict:
-    """The one wide aggregate (+ the duplicate count) every quality check reads."""
+    """The one wide aggregate (+ the duplicate count) every quality check reads.  Dates
+    and numbers are parsed once, in a projection below it."""
+    have = [c for c in NUMERIC_SALES_COLUMNS if c in df.columns]
+    parsed = {f"__{c}": num(df, c) for c in have} | ({"__date": ts(df, "date")} if "date" in df.columns else {})
+    rows = df.withColumns(parsed) if parsed else df
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [_count_nonnull(df, c).alias(f"nn_{c}") for c in df.columns]
     if "date" in df.columns:
-        d = ts(df, "date")
+        d = F.col("__date")
         aggs += [F.count(d).alias("date_ok"),
                  F.count_if(F.col("date").isNotNull() & d.isNull()).alias("date_bad_text"),
                  F.count_if(d > ts_lit(as_of)).alias("future"),
                  F.count_if(d < ts_lit(as_of - timedelta(days=FRESHNESS_DAYS))).alias("old")]
-    for c in NUMERIC_SALES_COLUMNS:
-        if c in df.columns:
-            aggs.append(F.count(num(df, c)).alias(f"num_ok_{c}"))
+    aggs += [F.count(f"__{c}").alias(f"num_ok_{c}") for c in have]
     if _is_numeric(df, *NUMERIC_SALES_COLUMNS):
-        q, p, dsc, tot = (num(df, c) for c in NUMERIC_SALES_COLUMNS)
+        q, p, dsc, tot = (F.col(f"__{c}") for c in NUMERIC_SALES_COLUMNS)
         aggs.append(F.count_if(F.abs(tot - q * p * (F.lit(1) - dsc)) > CONSISTENCY_TOLERANCE).alias("inconsistent"))
     if _is_numeric(df, "quantity"):
-        aggs.append(F.count_if(num(df, "quantity") <= 0).alias("bad_quantity"))
+        aggs.append(F.count_if(F.col("__quantity") <= 0).alias("bad_quantity"))
     if _is_numeric(df, "unit_price"):
-        aggs.append(F.count_if(num(df, "unit_price") < 0).alias("bad_price"))
+        aggs.append(F.count_if(F.col("__unit_price") < 0).alias("bad_price"))
     if _is_numeric(df, "discount"):
-        x = num(df, "discount")
+        x = F.col("__discount")
         aggs.append(F.count_if((x < 0) | (x > 1)).alias("bad_discount"))
-    stats = df.agg(*aggs).first().asDict()
+    stats = rows.agg(*aggs).first().asDict()
     stats.update(duplicate_count(df).first().asDict())
     return stats
 
 
 def _inconsistent_sample(df: DataFrame, k: int = 3) -> list[dict]:
+    """The first ``k`` inconsistent rows in the order of all columns (a top-k)."""
     q, p, dsc, tot = (num(df, c) for c in NUMERIC_SALES_COLUMNS)
-    rows = df.where(F.abs(tot - q * p * (F.lit(1) - dsc)) > CONSISTENCY_TOLERANCE).limit(k).collect()
-    return [r.asDict() for r in rows]
+    bad = df.where(F.abs(tot - q * p * (F.lit(1) - dsc)) > CONSISTENCY_TOLERANCE)
+    return [r.asDict() for r in bad.orderBy(*[F.col(f"`{c}`") for c in df.columns]).limit(k).collect()]
 
 
 def build_metrics(df_columns: list[str], s: dict, with_samples: list[dict] | None = None

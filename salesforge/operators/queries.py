@@ -1,44 +1,76 @@
 """QRY1-QRY4: the four read shapes served over the stored sales table.
 
-Date bounds are plain column predicates so they reach the Parquet/JDBC scan as pushed
-filters; ordering with a limit plans as ``TakeOrderedAndProject`` (each partition keeps
-only ``offset + limit`` rows).
+A sale's ``date`` may carry a time of day; the shapes work by calendar day, and an end
+date includes that whole day.  Bounds are plain comparisons of the stored column, so they
+reach the Parquet/JDBC scan as pushed filters; ordering with a limit plans as
+``TakeOrderedAndProject``.  An offset keeps ``offset + limit`` rows per partition: for
+deep pages pass ``after``, the last row of the page before, which is a plain filter.
 """
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from salesforge.functions.schema import SALES_COLUMNS
 from salesforge.functions.semantics import ts_lit
 
 
+def _has_time(value: date | datetime | str) -> bool:
+    """Whether a bound names a moment rather than a day."""
+    return isinstance(value, datetime) or isinstance(value, str) and len(value.strip()) > len("YYYY-MM-DD")
+
+
+def _next_day(value: date | str) -> date:
+    return (date.fromisoformat(value.strip()) if isinstance(value, str) else value) + timedelta(days=1)
+
+
 def _date_range(df: DataFrame, start_date: date | datetime | str | None,
                 end_date: date | datetime | str | None) -> DataFrame:
+    kind = df.schema["date"].dataType
     if start_date is not None:
-        df = df.where(F.col("date") >= ts_lit(start_date).cast(df.schema["date"].dataType))
-    if end_date is not None:
-        df = df.where(F.col("date") <= ts_lit(end_date).cast(df.schema["date"].dataType))
+        df = df.where(F.col("date") >= ts_lit(start_date).cast(kind))
+    if end_date is not None and _has_time(end_date):
+        df = df.where(F.col("date") <= ts_lit(end_date).cast(kind))
+    elif end_date is not None:
+        df = df.where(F.col("date") < ts_lit(_next_day(end_date)).cast(kind))
     return df
 
 
+def _after(df: DataFrame, last: Row | dict, keys: list[str]) -> Column:
+    """Rows that come after ``last`` in the page order (date falling, then the other keys
+    rising, null last)."""
+    last = last.asDict() if isinstance(last, Row) else last
+    out, same = F.lit(False), F.lit(True)
+    for k in keys:
+        c, v = F.col(k), last[k]
+        v = ts_lit(v).cast(df.schema[k].dataType) if k == "date" and v is not None else F.lit(v).cast(df.schema[k].dataType)
+        later = (c < v) if k == "date" else (c > v)
+        out = out | (same & F.when(v.isNull(), F.lit(False)).otherwise(c.isNull() | later))
+        same = same & c.eqNullSafe(v)
+    return out
+
+
 def sales_page(df: DataFrame, start_date=None, end_date=None, product_id: str | None = None,
-               limit: int = 100, offset: int = 0) -> DataFrame:
+               limit: int = 100, offset: int = 0, after: Row | dict | None = None) -> DataFrame:
     """QRY1: filtered rows, newest first, one page.  Remaining columns break date ties
-    so pages are deterministic (the reference leaves tie order to the database)."""
+    so pages are deterministic (the reference leaves tie order to the database).  ``after``
+    continues behind a row; rows equal to it in all columns are skipped with it."""
     df = _date_range(df, start_date, end_date)
     if product_id is not None:
         df = df.where(F.col("product_id") == F.lit(product_id))
-    keys = [F.col("date").desc_nulls_last()] + [F.col(c).asc_nulls_last()
-                                                 for c in SALES_COLUMNS if c != "date" and c in df.columns]
+    names = ["date", *[c for c in SALES_COLUMNS if c != "date" and c in df.columns]]
+    if after is not None:
+        df = df.where(_after(df, after, names))
+    keys = [F.col("date").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in names[1:]]]
     return df.orderBy(*keys).offset(offset).limit(limit)
 
 
 def sales_summary(df: DataFrame, start_date=None, end_date=None) -> DataFrame:
-    """QRY2: one-row summary of the (optionally date-bounded) table."""
+    """QRY2: one-row summary of the (optionally date-bounded) table; ``unique_dates``
+    counts days."""
     df = _date_range(df, start_date, end_date)
     return df.agg(
         F.count(F.lit(1)).alias("total_records"),
@@ -46,7 +78,7 @@ def sales_summary(df: DataFrame, start_date=None, end_date=None) -> DataFrame:
         F.sum("total_sales").alias("total_revenue"),
         F.avg("unit_price").alias("avg_unit_price"),
         F.countDistinct("product_id").alias("unique_products"),
-        F.countDistinct("date").alias("unique_dates"),
+        F.countDistinct(F.to_date("date")).alias("unique_dates"),
     )
 
 
@@ -64,9 +96,11 @@ def sales_by_product(df: DataFrame, start_date=None, end_date=None) -> DataFrame
 
 
 def sales_by_date(df: DataFrame, start_date=None, end_date=None) -> DataFrame:
-    """QRY4: per-day totals, newest first."""
+    """QRY4: per-day totals, newest first; ``date`` is the day at midnight, in the
+    column's own type."""
     df = _date_range(df, start_date, end_date)
-    return (df.groupBy("date")
+    day = F.to_date("date").cast(df.schema["date"].dataType).alias("date")
+    return (df.groupBy(day)
             .agg(F.count(F.lit(1)).alias("total_records"),
                  F.sum("quantity").alias("total_quantity"),
                  F.sum("total_sales").alias("total_revenue"),

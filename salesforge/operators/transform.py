@@ -63,7 +63,7 @@ def sigma_filter(df: DataFrame, columns: list[str] | None = None, k: float = 3.0
                 continue
             df = df.where(F.lit(False))
             continue
-        bound = k * std + rel_tol * max(1.0, abs(mean))
+        bound = k * std + rel_tol * abs(mean)
         df = df.where(F.abs(x - F.lit(mean)) <= F.lit(bound))
     return df
 

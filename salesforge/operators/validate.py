@@ -52,6 +52,19 @@ def _unparseable(df: DataFrame, c: str, kind: str) -> Column:
     return bad
 
 
+def gate_report(df: DataFrame, config: ValidationConfig | None = None) -> DataFrame:
+    """SCH2-SCH3 as rows (check_order, check, column, failing, passed), one pass."""
+    config = config or ValidationConfig()
+    checks = [("type", c, _unparseable(df, c, k)) for c, k in config.type_checks.items() if c in df.columns]
+    checks += [("range", c, (num(df, c) < F.lit(lo)) | (num(df, c) > F.lit(hi)))
+               for c, (lo, hi) in config.range_checks.items() if c in df.columns]
+    one = df.agg(F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("check_order"), F.lit(kind).alias("check"),
+                                    F.lit(c).alias("column"), F.count_if(bad).alias("failing"))
+                           for i, (kind, c, bad) in enumerate(checks)]).alias("r"))
+    rows = one.select(F.explode("r").alias("r")).select("r.*")
+    return rows.withColumn("passed", F.col("failing") == 0)
+
+
 def gate(df: DataFrame, config: ValidationConfig | None = None) -> DataFrame:
     """SCH1-SCH3 in one pass: required columns, strict type parse, inclusive ranges
     (NULL passes).  Raises ``ValueError`` naming the first failing column."""

@@ -3,15 +3,18 @@ metrics (AGG11) and the dataset fingerprint (FPR1)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from salesforge.functions.schema import NUMERIC_SALES_COLUMNS
 from salesforge.operators import analytics as A
 from salesforge.operators import fingerprint as FP
 from salesforge.operators import queries as Q
 from salesforge.operators import transform as T
 from salesforge.operators import validate as V
-from salesforge.plans.oracle import AS_OF_SQL, DIRTY_CTE, SALES_CTE, TEXT_CTE, R, with_
+from salesforge.plans.oracle import AS_OF_SQL, DATE, DIRTY_CTE, NUM, SALES_CTE, TEXT_CTE, R, with_
 from salesforge.plans.registry import register, stable
 from salesforge.sources import fixtures as FX
+from salesforge.sources import sinks as SK
 
 # ---------------------------------------------------------------------------------------
 # VAL3 (quarantine mode) on the dirty view
@@ -60,9 +63,8 @@ def _validation_summary(spark, sf_dir):
 
 
 @register("numeric_coercion", with_(TEXT_CTE) + f""",
-v AS (SELECT date, product_id, TRY_CAST(trim(quantity) AS DOUBLE) AS quantity,
-             TRY_CAST(trim(unit_price) AS DOUBLE) AS unit_price, TRY_CAST(trim(discount) AS DOUBLE) AS discount,
-             TRY_CAST(trim(total_sales) AS DOUBLE) AS total_sales FROM sales_text),
+v AS (SELECT date, product_id, {NUM('quantity')} AS quantity, {NUM('unit_price')} AS unit_price,
+             {NUM('discount')} AS discount, {NUM('total_sales')} AS total_sales FROM sales_text),
 med AS (SELECT quantile_cont(quantity, 0.5) AS mq, quantile_cont(unit_price, 0.5) AS mp,
                quantile_cont(discount, 0.5) AS md, quantile_cont(total_sales, 0.5) AS mt FROM v)
 SELECT date, product_id, {R('coalesce(quantity, mq)', 6)} AS quantity, {R('coalesce(unit_price, mp)', 6)} AS unit_price,
@@ -130,7 +132,7 @@ def _expectation_summary(spark, sf_dir):
 def _sigma(src: str, col: str, n: int) -> str:
     return (f"s{n} AS (SELECT avg({col}) AS m, stddev_samp({col}) AS s FROM {src}),\n"
             f"f{n} AS (SELECT {src}.* FROM {src}, s{n} "
-            f"WHERE abs({col} - m) <= 3 * s + 1e-9 * greatest(1.0, abs(m)))")
+            f"WHERE abs({col} - m) <= 3 * s + 1e-9 * abs(m))")
 
 
 TRANSFORM_CTES = f""",
@@ -180,6 +182,71 @@ def _load_metrics(spark, sf_dir):
                   sums=("total_sales", "daily_total_revenue", "daily_total_quantity"))
 
 
-@register("dataset_fingerprint")
+# The text of a value: a null mark or "=" and the value; doubles as ten significant digits.
+def _cell(c: str, number: bool) -> str:
+    if not number:
+        return f"'{c}' || coalesce('=' || CAST({c} AS VARCHAR), '!')"
+    e = f"(9 - CAST(floor(log10(abs({c}))) AS INTEGER))"
+    return (f"'{c}' || coalesce(CASE WHEN {c} = 0 THEN '=0' WHEN {e} >= 0 "
+            f"THEN '=' || CAST(CAST(round_even({c} * pow(10.0, {e}), 0) AS BIGINT) AS VARCHAR) || 'e' || CAST(-{e} AS VARCHAR) "
+            f"ELSE '=' || CAST(CAST(round_even({c} / pow(10.0, -{e}), 0) AS BIGINT) AS VARCHAR) || 'e' || CAST(-{e} AS VARCHAR) END, '!')")
+
+
+_CELLS = " || chr(31) || ".join(_cell(c, c in NUMERIC_SALES_COLUMNS) for c in
+                               ["date", "product_id", "quantity", "unit_price", "discount", "total_sales"])
+
+
+@register("dataset_fingerprint", with_(DIRTY_CTE) + f"""
+SELECT count(*) AS rows, CAST(coalesce(sum(CAST(('0x' || substr(md5({_CELLS}), 1, 15)) AS HUGEINT)), 0) AS VARCHAR) AS fingerprint
+FROM sales_dirty""")
 def _dataset_fingerprint(spark, sf_dir):
-    return FP.fingerprint(FX.sales(spark, sf_dir))
+    return FP.fingerprint(FX.sales_dirty(spark, sf_dir), digits=10)
+
+
+# ---------------------------------------------------------------------------------------
+# SCH2-SCH3 as a report, TRF3, and the stored projection with its rejects (SNK2)
+# ---------------------------------------------------------------------------------------
+@register("gate_report", with_(TEXT_CTE) + f""",
+r AS (SELECT 1 AS check_order, 'type' AS "check", 'quantity' AS "column", count(*) FILTER (WHERE quantity IS NOT NULL AND {NUM('quantity')} IS NULL) AS failing FROM sales_text
+UNION ALL SELECT 2, 'type', 'unit_price', count(*) FILTER (WHERE unit_price IS NOT NULL AND {NUM('unit_price')} IS NULL) FROM sales_text
+UNION ALL SELECT 3, 'type', 'date', count(*) FILTER (WHERE date IS NOT NULL AND {DATE('date')} IS NULL) FROM sales_text
+UNION ALL SELECT 4, 'range', 'quantity', count(*) FILTER (WHERE {NUM('quantity')} < 0 OR {NUM('quantity')} > 1000) FROM sales_text
+UNION ALL SELECT 5, 'range', 'unit_price', count(*) FILTER (WHERE {NUM('unit_price')} < 0 OR {NUM('unit_price')} > 10000) FROM sales_text)
+SELECT CAST(check_order AS BIGINT) AS check_order, "check", "column", failing, failing = 0 AS passed FROM r""")
+def _gate_report(spark, sf_dir):
+    return stable(V.gate_report(FX.sales_text(spark, sf_dir)))
+
+
+@register("parsed_dates", with_(TEXT_CTE) + f"""
+SELECT {DATE('date')} AS date, product_id, count(*) AS n FROM sales_text GROUP BY 1, 2""")
+def _parsed_dates(spark, sf_dir):
+    parsed = T.parse_dates(FX.sales_text(spark, sf_dir), "coerce")
+    return stable(parsed.groupBy("date", "product_id").count().withColumnRenamed("count", "n"))
+
+
+RECORDS_CTES = f""",
+typed AS (SELECT *, CAST({DATE('date')} AS DATE) AS d, TRY_CAST(replace(product_id, 'P', '') AS INTEGER) AS p,
+                 CASE WHEN abs({NUM('quantity')}) < 2147483648.0 THEN CAST(trunc({NUM('quantity')}) AS INTEGER) END AS q,
+                 {NUM('unit_price')} AS u, {NUM('discount')} AS s, {NUM('total_sales')} AS t FROM sales_text),
+tagged AS (SELECT *, CASE WHEN d IS NULL THEN 'date_invalid' WHEN p IS NULL THEN 'product_id_invalid' WHEN q IS NULL THEN 'quantity_invalid'
+                          WHEN u IS NULL THEN 'unit_price_invalid' WHEN t IS NULL THEN 'total_sales_invalid'
+                          WHEN discount IS NOT NULL AND s IS NULL THEN 'discount_invalid' END AS reason FROM typed)
+"""
+
+
+@register("sales_records", with_(TEXT_CTE) + RECORDS_CTES + f"""
+SELECT d AS date, CAST(p AS BIGINT) AS product_id, CAST(q AS BIGINT) AS quantity, {R('u', 6)} AS unit_price,
+       {R('coalesce(s, 0)', 6)} AS discount, {R('t', 6)} AS total_sales FROM tagged WHERE reason IS NULL""")
+def _sales_records(spark, sf_dir):
+    records, _ = SK.to_sales_records(FX.sales_text(spark, sf_dir))
+    return stable(records.drop("created_at"), dp=6)
+
+
+@register("sales_record_rejects", with_(TEXT_CTE) + RECORDS_CTES + f"""
+SELECT date, product_id, quantity, {R('TRY_CAST(unit_price AS DOUBLE)')} AS unit_price, {R('TRY_CAST(discount AS DOUBLE)')} AS discount,
+       {R('TRY_CAST(total_sales AS DOUBLE)')} AS total_sales, reason FROM tagged WHERE reason IS NOT NULL AND unit_price <> 'Infinity'""")
+def _sales_record_rejects(spark, sf_dir):
+    # Raw values; those that are numbers are compared as numbers (the engines write them differently).
+    _, rejects = SK.to_sales_records(FX.sales_text(spark, sf_dir))
+    rejects = rejects.where("unit_price <> 'Infinity'")
+    return stable(rejects.withColumns({c: F.col(c).try_cast("double") for c in ("unit_price", "discount", "total_sales")}))

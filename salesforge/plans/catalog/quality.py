@@ -12,7 +12,7 @@ from salesforge.operators import history as H
 from salesforge.operators import legacy as L
 from salesforge.operators import quality as DQ
 from salesforge.operators import rules as RU
-from salesforge.plans.oracle import AS_OF_SQL, DIRTY_CTE, HISTORY_CTE, RUNS_CTE, TEXT_CTE, R, with_
+from salesforge.plans.oracle import AS_OF_SQL, DATE, DIRTY_CTE, HISTORY_CTE, NUM, RUNS_CTE, TEXT_CTE, R, with_
 from salesforge.plans.registry import register, stable
 from salesforge.sources import fixtures as FX
 
@@ -28,8 +28,8 @@ def _report(spark, sf_dir, view="dirty"):
 # SQL for the quality metric rows (generated from the same spec as the Python side)
 # ---------------------------------------------------------------------------------------
 def _stats_cte(src: str, typed: bool) -> str:
-    d = "date" if typed else "TRY_CAST(trim(date) AS TIMESTAMP)"
-    num = (lambda c: c) if typed else (lambda c: f"TRY_CAST(trim({c}) AS DOUBLE)")
+    d = "date" if typed else DATE("date")
+    num = (lambda c: c) if typed else NUM
     parts = ["count(*) AS n"] + [f"count({c}) AS nn_{c}" for c in SALES_COLUMNS]
     parts += [f"count({d}) AS date_ok",
               f"count(*) FILTER (WHERE date IS NOT NULL AND {d} IS NULL) AS date_bad_text",
@@ -372,8 +372,7 @@ def _stable_periods(spark, sf_dir):
 RUNS_AS_OF = datetime(2024, 1, 30)
 
 
-@register("pipeline_health", with_(RUNS_CTE) + f""",
-kept AS (SELECT * FROM pipeline_runs ORDER BY timestamp DESC LIMIT 100)
+@register("pipeline_health", with_(RUNS_CTE) + f"""
 SELECT max(timestamp) AS last_run_time,
        arg_max(CASE WHEN success THEN 'success' ELSE 'failed' END, timestamp) AS last_run_status,
        {R('arg_max(duration_seconds, timestamp)')} AS last_run_duration_seconds,
@@ -382,9 +381,9 @@ SELECT max(timestamp) AS last_run_time,
        count(*) FILTER (WHERE CAST(timestamp AS DATE) = DATE '2024-01-30' AND NOT success) AS failed_runs_today,
        count(*) AS total_runs, count(*) FILTER (WHERE success) AS successful_runs,
        {R('coalesce(CAST(count(*) FILTER (WHERE success) AS DOUBLE) / count(*) * 100.0, 0.0)')} AS success_rate
-FROM kept""")
+FROM pipeline_runs""")
 def _pipeline_health(spark, sf_dir):
-    return stable(H.pipeline_health(FX.pipeline_runs(spark, sf_dir), RUNS_AS_OF, keep_last=100))
+    return stable(H.pipeline_health(FX.pipeline_runs(spark, sf_dir), RUNS_AS_OF))
 
 
 @register("log_tail", """WITH logs AS (

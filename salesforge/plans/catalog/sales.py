@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from salesforge.operators import queries as Q
-from salesforge.plans.oracle import SALES_CTE, R, with_
+from salesforge.plans.oracle import INTRADAY_CTE, SALES_CTE, R, with_
 from salesforge.plans.registry import register, stable
 from salesforge.sources import fixtures as FX
 
@@ -28,7 +28,7 @@ def _sales_page(spark, sf_dir):
 @register("sales_summary", with_(SALES_CTE) + f"""
 SELECT count(*) AS total_records, sum(quantity) AS total_quantity,
        {R('sum(total_sales)', 4)} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
-       count(DISTINCT product_id) AS unique_products, count(DISTINCT date) AS unique_dates
+       count(DISTINCT product_id) AS unique_products, count(DISTINCT CAST(date AS DATE)) AS unique_dates
 FROM sales""")
 def _sales_summary(spark, sf_dir):
     return stable(Q.sales_summary(FX.sales(spark, sf_dir)), sums=("total_revenue",))
@@ -50,3 +50,47 @@ SELECT date, count(*) AS total_records, sum(quantity) AS total_quantity,
 FROM sales GROUP BY date ORDER BY date DESC""")
 def _sales_by_date(spark, sf_dir):
     return stable(Q.sales_by_date(FX.sales(spark, sf_dir)), sums=("total_revenue",))
+
+
+# ---------------------------------------------------------------------------------------
+# The same shapes over sales with a time of day: days, and whole end days
+# ---------------------------------------------------------------------------------------
+_DAYS = f"date >= TIMESTAMP '{PAGE_START}' AND CAST(date AS DATE) <= DATE '{PAGE_END}'"
+
+
+@register("sales_page_intraday", with_(INTRADAY_CTE) + f"""
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount,
+       {R('total_sales', 6)} AS total_sales
+FROM sales WHERE {_DAYS}
+ORDER BY date DESC NULLS LAST, product_id NULLS LAST, quantity NULLS LAST,
+         unit_price NULLS LAST, discount NULLS LAST, total_sales NULLS LAST
+LIMIT 100""")
+def _sales_page_intraday(spark, sf_dir):
+    return stable(Q.sales_page(FX.sales_intraday(spark, sf_dir), PAGE_START, PAGE_END, limit=100), dp=6)
+
+
+@register("sales_summary_intraday", with_(INTRADAY_CTE) + f"""
+SELECT count(*) AS total_records, sum(quantity) AS total_quantity,
+       {R('sum(total_sales)', 4)} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
+       count(DISTINCT product_id) AS unique_products, count(DISTINCT CAST(date AS DATE)) AS unique_dates
+FROM sales WHERE {_DAYS}""")
+def _sales_summary_intraday(spark, sf_dir):
+    return stable(Q.sales_summary(FX.sales_intraday(spark, sf_dir), PAGE_START, PAGE_END), sums=("total_revenue",))
+
+
+@register("sales_by_product_intraday", with_(INTRADAY_CTE) + f"""
+SELECT product_id, count(*) AS total_records, sum(quantity) AS total_quantity,
+       {R('sum(total_sales)', 4)} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
+       {R('avg(discount)')} AS avg_discount
+FROM sales WHERE {_DAYS} GROUP BY product_id""")
+def _sales_by_product_intraday(spark, sf_dir):
+    return stable(Q.sales_by_product(FX.sales_intraday(spark, sf_dir), PAGE_START, PAGE_END), sums=("total_revenue",))
+
+
+@register("sales_by_date_intraday", with_(INTRADAY_CTE) + f"""
+SELECT CAST(CAST(date AS DATE) AS TIMESTAMP) AS date, count(*) AS total_records, sum(quantity) AS total_quantity,
+       {R('sum(total_sales)', 4)} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,
+       count(DISTINCT product_id) AS unique_products
+FROM sales WHERE {_DAYS} GROUP BY 1""")
+def _sales_by_date_intraday(spark, sf_dir):
+    return stable(Q.sales_by_date(FX.sales_intraday(spark, sf_dir), PAGE_START, PAGE_END), sums=("total_revenue",))

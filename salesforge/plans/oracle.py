@@ -30,6 +30,13 @@ SALES_CTE = """sales AS (
          l_extendedprice * (1 - l_discount) AS total_sales
   FROM lineitem)"""
 
+INTRADAY_CTE = """sales AS (
+  SELECT l_shipdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) + to_minutes(CAST(l_orderkey % 60 AS INTEGER)) AS date,
+         'P' || CAST(l_partkey AS VARCHAR) AS product_id, l_quantity AS quantity,
+         CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END AS unit_price,
+         l_discount AS discount, l_extendedprice * (1 - l_discount) AS total_sales
+  FROM lineitem)"""
+
 _DIRTY_BASE = """dirty_base AS (
   SELECT CASE WHEN l_orderkey % 109 = 0 THEN NULL ELSE l_shipdate END AS date,
          'P' || CAST(l_partkey AS VARCHAR) AS product_id,
@@ -54,10 +61,12 @@ sales_dirty AS (
 
 TEXT_CTE = _DIRTY_BASE + """,
 sales_text AS (
-  SELECT CASE WHEN k % 131 = 0 THEN 'invalid-date' ELSE CAST(date AS VARCHAR) END AS date,
+  SELECT CASE WHEN k % 131 = 0 THEN 'invalid-date' WHEN k % 139 = 0 THEN strftime(date, '%m/%d/%Y')
+              WHEN k % 149 = 0 THEN strftime(date, '%d %b %Y') ELSE CAST(date AS VARCHAR) END AS date,
          product_id,
-         CASE WHEN k % 127 = 0 THEN 'ten' ELSE CAST(quantity AS VARCHAR) END AS quantity,
-         CAST(unit_price AS VARCHAR) AS unit_price,
+         CASE WHEN k % 127 = 0 THEN 'ten' WHEN k % 137 = 0 THEN CAST(quantity AS VARCHAR) || 'd'
+              ELSE CAST(quantity AS VARCHAR) END AS quantity,
+         CASE WHEN k % 151 = 0 AND unit_price IS NOT NULL THEN 'Infinity' ELSE CAST(unit_price AS VARCHAR) END AS unit_price,
          CAST(discount AS VARCHAR) AS discount,
          CAST(total_sales AS VARCHAR) AS total_sales
   FROM dirty_rows)"""
@@ -74,6 +83,20 @@ RUNS_CTE = """pipeline_runs AS (
   SELECT ts AS timestamp, event_type <> 'error' AS success, value AS duration_seconds
   FROM events)"""
 
+
+
+def NUM(c: str) -> str:
+    """SQL for ``number_text``."""
+    x = f"TRY_CAST(trim({c}) AS DOUBLE)"
+    return f"(CASE WHEN isfinite({x}) THEN {x} END)"
+
+
+def DATE(c: str) -> str:
+    """SQL for ``date_text`` on the forms of the text view."""
+    t = f"trim({c})"
+    return f"coalesce(TRY_CAST({t} AS TIMESTAMP), try_strptime({t}, '%m/%d/%Y'), try_strptime({t}, '%d %b %Y'))"
+
+
 AS_OF_SQL = "TIMESTAMP '2001-06-30 00:00:00'"
 
 

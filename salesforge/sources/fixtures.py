@@ -27,6 +27,10 @@ TOTAL_SKEW_MOD = 113
 DUPLICATE_MOD = 89
 TEXT_QUANTITY_MOD = 127
 TEXT_DATE_MOD = 131
+TEXT_SUFFIX_MOD = 137  # '12.0d', which is no number
+TEXT_US_DATE_MOD = 139  # 01/15/1998
+TEXT_NAMED_DATE_MOD = 149  # 15 Jan 1998
+TEXT_INFINITE_MOD = 151
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +54,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(*_sales_cols())
 
 
+def sales_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 with a time of day (hour and minute from the order key)."""
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
+    at = F.col("l_shipdate") + F.make_dt_interval(hours=(k % 24).cast("int"), mins=(k % 60).cast("int"))
+    return li.select(at.alias("date"), *_sales_cols()[1:])
+
+
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
@@ -79,16 +91,21 @@ def sales_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V3: V2 as strings, with unparseable quantities and dates mixed in."""
+    """V3: V2 as strings, with unparseable quantities, prices and dates and other date
+    forms mixed in."""
     d = _damaged(spark, sf_dir)
     k = F.col("k")
     return d.select(
         F.when(k % TEXT_DATE_MOD == 0, F.lit("invalid-date"))
+         .when(k % TEXT_US_DATE_MOD == 0, F.date_format("date", "MM/dd/yyyy"))
+         .when(k % TEXT_NAMED_DATE_MOD == 0, F.date_format("date", "dd MMM yyyy"))
          .otherwise(F.col("date").cast("string")).alias("date"),
         "product_id",
         F.when(k % TEXT_QUANTITY_MOD == 0, F.lit("ten"))
+         .when(k % TEXT_SUFFIX_MOD == 0, F.concat(F.col("quantity").cast("string"), F.lit("d")))
          .otherwise(F.col("quantity").cast("string")).alias("quantity"),
-        F.col("unit_price").cast("string").alias("unit_price"),
+        F.when((k % TEXT_INFINITE_MOD == 0) & F.col("unit_price").isNotNull(), F.lit("Infinity"))
+         .otherwise(F.col("unit_price").cast("string")).alias("unit_price"),
         F.col("discount").cast("string").alias("discount"),
         F.col("total_sales").cast("string").alias("total_sales"),
     )

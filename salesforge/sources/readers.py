@@ -1,8 +1,10 @@
 """SRC1-SRC5: sales sources.
 
-Files are read against an explicit schema (all text for landings, so bad values can be
-reported instead of silently nulled by inference); JDBC reads are split into parallel
-range partitions when a partition column is given.
+Landed files are read as text by the names they carry (a CSV header, JSON fields), so a
+reordered, missing or extra column is seen as such, bad values can be reported instead
+of silently nulled by inference, and a line that does not parse is kept whole in
+``_corrupt_record``.  JDBC reads are split into parallel range partitions when a
+partition column is given.
 """
 
 from __future__ import annotations
@@ -16,41 +18,57 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesforge.errors import PipelineError
-from salesforge.functions.schema import RAW_SCHEMA, ValidationConfig
+from salesforge.functions.schema import ValidationConfig
 from salesforge.functions.semantics import num, ts
-from salesforge.operators.validate import gate
+from salesforge.operators.validate import gate, require_columns
 
 log = logging.getLogger(__name__)
 
+#: The column that holds a line which does not have the file's columns; NULL otherwise.
+CORRUPT = "_corrupt_record"
+
 
 def _missing_path(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA,
-             header: bool = True, **options) -> DataFrame:
-    """SRC1: CSV with a header.  A missing path raises ``FileNotFoundError``."""
-    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
-    for k, v in options.items():
-        reader = reader.option(k, v)
+def text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in [*names, CORRUPT] if n])
+
+
+def csv_columns(spark: SparkSession, path: str, **options) -> list[str]:
+    """The column names of a CSV header (reads one line)."""
+    return spark.read.options(header=True, inferSchema=False, **options).csv(path).columns
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, **options) -> DataFrame:
+    """SRC1: CSV with a header, every column of the file as text under its own name, and
+    ``_corrupt_record``.  Files whose headers differ in names or order are refused, not
+    shifted.  ``schema`` skips reading the header; its columns must be the file's.  A
+    missing path raises ``FileNotFoundError``."""
     try:
-        return reader.csv(path)
+        schema = schema or text_schema(csv_columns(spark, path, **options))
+        return spark.read.schema(schema).options(
+            header=True, mode="PERMISSIVE", enforceSchema=False, columnNameOfCorruptRecord=CORRUPT, **options).csv(path)
     except AnalysisException as e:
         if _missing_path(e):
             raise FileNotFoundError(f"CSV file not found: {path}") from e
         raise
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA,
-              multi_line: bool = True) -> DataFrame:
-    """SRC3: JSON record arrays (``multi_line``) or JSON lines, landed from an API."""
-    reader = spark.read.option("multiLine", multi_line)
-    if schema is not None:
-        reader = reader.schema(schema)
+def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False,
+              sampling_ratio: float = 1.0) -> DataFrame:
+    """SRC3: JSON lines (an array within one line is its records), or with ``multi_line``
+    documents that span lines, each file one task.  Fields become text columns under the
+    names the records have, found in one pass over ``sampling_ratio`` of them; ``schema``
+    skips that pass.  Records that do not parse are kept in ``_corrupt_record``."""
+    reader = spark.read.options(multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
+                                primitivesAsString=True, samplingRatio=sampling_ratio)
     try:
-        return reader.json(path)
+        if schema is None:
+            names = [c for c in reader.json(path).columns if c != CORRUPT]
+            schema = text_schema(names)
+        return reader.schema(schema).json(path)
     except AnalysisException as e:
         if _missing_path(e):
             raise FileNotFoundError(f"JSON path not found: {path}") from e
@@ -62,14 +80,15 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, query: st
               lower_bound: int | None = None, upper_bound: int | None = None,
               num_partitions: int | None = None, fetchsize: int = 10_000) -> DataFrame:
     """SRC2: a table or a SQL query over JDBC.  With ``partition_column`` and bounds the
-    read is split into ``num_partitions`` parallel range queries."""
+    read is split into ``num_partitions`` parallel range queries; a query is then read as
+    a derived table."""
     r = spark.read.format("jdbc").option("url", url).option("fetchsize", fetchsize)
     for k, v in (properties or {}).items():
         r = r.option(k, v)
-    if query is not None:
+    if query is not None and partition_column is None:
         r = r.option("query", query)
     else:
-        r = r.option("dbtable", table)
+        r = r.option("dbtable", f"({query}) q" if query is not None else table)
     if partition_column:
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
              .option("upperBound", upper_bound).option("numPartitions", num_partitions or 8))
@@ -101,12 +120,16 @@ def warn_if_empty(df: DataFrame, what: str) -> DataFrame:
 def read_sales(spark: SparkSession, source_type: str, source_identifier: str | None = None,
                validation: ValidationConfig | None = None, **kw) -> DataFrame:
     """SRC4: dispatch on ``csv`` / ``database`` / ``api`` / ``parquet`` (case-insensitive)
-    and run the SCH1-SCH3 gates when a ``validation`` config is given."""
+    and run the SCH1-SCH3 gates when a ``validation`` config is given; the required
+    columns are checked on the source's own columns either way.  A database identifier
+    with a blank in it is a query, any other a table."""
     kind = (source_type or "").lower()
     if kind == "csv":
         df = read_csv(spark, source_identifier, **kw)
     elif kind == "database":
-        df = read_jdbc(spark, kw.pop("url"), table=kw.pop("table", None), query=source_identifier, **kw)
+        is_query = source_identifier is not None and len(source_identifier.split()) > 1
+        name = "query" if is_query else "table"
+        df = read_jdbc(spark, kw.pop("url"), **({name: source_identifier} if source_identifier else {}), **kw)
     elif kind == "api":
         df = read_json(spark, source_identifier, **kw)
     elif kind == "parquet":
@@ -115,8 +138,8 @@ def read_sales(spark: SparkSession, source_type: str, source_identifier: str | N
         raise PipelineError(f"Unsupported source type: {source_type}", "EXTRACT_001",
                             {"source_type": source_type})
     if validation is not None:
-        gate(df, validation)
-    return df
+        return gate(df, validation)
+    return require_columns(df, ValidationConfig().required_columns)
 
 
 def sample_sales(spark: SparkSession, n: int = 100, seed: int = 42, as_of: datetime | None = None) -> DataFrame:

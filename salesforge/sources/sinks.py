@@ -14,12 +14,13 @@ import os
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salesforge.errors import PipelineError
 from salesforge.functions.schema import SALES_RECORDS_DDL, UPLOAD_REQUIRED
 from salesforge.functions.semantics import num, ts
+from salesforge.session import materialize
 
 RECORD_COLUMNS = ["date", "product_id", "quantity", "unit_price", "discount", "total_sales"]
 DEFAULT_BATCH = 1000
@@ -35,24 +36,35 @@ def timestamped(base_dir: str, prefix: str, run_ts: datetime) -> str:
     return os.path.join(base_dir, f"{prefix}_{run_ts.strftime('%Y%m%d_%H%M%S')}")
 
 
+def tag_records(df: DataFrame) -> DataFrame:
+    """The rows with their typed values (struct ``typed``) and the reason of a reject."""
+    pid = F.regexp_replace(F.col("product_id").cast("string"), "P", "").try_cast("int")
+    q, discount = num(df, "quantity"), num(df, "discount")
+    typed = {"date": F.to_date(ts(df, "date")), "product_id": pid,
+             "quantity": F.when(q.isNotNull() & (F.abs(q) < F.lit(2.0 ** 31)), q.cast("int")),
+             "unit_price": num(df, "unit_price"), "discount": discount, "total_sales": num(df, "total_sales")}
+    bad = [(c, typed[c].isNull()) for c in ["date", "product_id", "quantity", "unit_price", "total_sales"]]
+    bad.append(("discount", F.col("discount").isNotNull() & discount.isNull()))
+    reason = F.coalesce(*[F.when(b, F.lit(f"{c}_invalid")) for c, b in bad], F.lit(None).cast("string"))
+    return df.select("*", F.struct(*[v.alias(c) for c, v in typed.items()]).alias("typed"), reason.alias("reason"))
+
+
+def accepted_records(tagged: DataFrame) -> DataFrame:
+    return (tagged.where(F.col("reason").isNull()).select("typed.*")
+            .withColumn("discount", F.coalesce(F.col("discount"), F.lit(0.0)))
+            .withColumn("created_at", F.current_timestamp()))
+
+
+def rejected_records(tagged: DataFrame) -> DataFrame:
+    return tagged.where(F.col("reason").isNotNull()).drop("typed")
+
+
 def to_sales_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """SNK2 projection: (records, rejects).  date -> DATE, 'P123' -> 123, quantity ->
-    INT; a row whose required fields do not type is rejected with a reason."""
-    pid = F.regexp_replace(F.col("product_id").cast("string"), "P", "").try_cast("int")
-    q = num(df, "quantity")
-    typed = df.select(
-        F.to_date(ts(df, "date")).alias("date"), pid.alias("product_id"),
-        F.when(q.isNotNull() & (F.abs(q) < F.lit(2.0 ** 31)), q.cast("int")).alias("quantity"),
-        num(df, "unit_price").alias("unit_price"), num(df, "discount").alias("discount"),
-        num(df, "total_sales").alias("total_sales"))
-    reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"{c}_invalid"))
-                          for c in ["date", "product_id", "quantity", "unit_price", "total_sales"]],
-                        F.lit(None).cast("string"))
-    tagged = typed.withColumn("reason", reason)
-    records = (tagged.where(F.col("reason").isNull()).drop("reason")
-               .withColumn("discount", F.coalesce(F.col("discount"), F.lit(0.0)))
-               .withColumn("created_at", F.current_timestamp()))
-    return records, tagged.where(F.col("reason").isNotNull())
+    INT, a missing discount -> 0; a row with a value that does not type is rejected with
+    all its values as they came and a reason."""
+    tagged = tag_records(df)
+    return accepted_records(tagged), rejected_records(tagged)
 
 
 @dataclass
@@ -61,44 +73,43 @@ class LoadResult:
     rejected: int
 
 
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
 def load_to_table(df: DataFrame, table: str, quarantine_table: str | None = None,
                   analyze: str | None = "noscan") -> LoadResult:
-    """SNK2 into a catalog table (created if absent).  Counts ride on the write through
-    ``observe`` instead of a second pass.  ``analyze``: ``"noscan"`` refreshes size
-    statistics from file metadata (cheap at any size), ``"full"`` recomputes row
-    statistics with a scan of the table, ``None`` skips it."""
+    """SNK2 into a catalog table (created if absent); rejects go to ``quarantine_table``,
+    ``<table>_rejects`` by default.  The tagged rows are settled once, so both outputs
+    see the same input, and rejects are written first: a load that fails in between is
+    repeated without accepted rows in double.  Counts ride on the writes.  ``analyze``:
+    ``"noscan"`` refreshes size statistics from file metadata (cheap at any size),
+    ``"full"`` recomputes row statistics with a scan of the table, ``None`` skips it."""
     spark = df.sparkSession
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({SALES_RECORDS_DDL}) USING parquet")
-    records, rejects = to_sales_records(df)
-    from pyspark.sql import Observation
-    obs = Observation("load")
-    records.observe(obs, F.count(F.lit(1)).alias("n")).select(*spark.table(table).columns) \
-        .write.mode("append").insertInto(table)
-    n_bad = 0
-    if quarantine_table:
-        qobs = Observation("quarantine")
-        rejects.observe(qobs, F.count(F.lit(1)).alias("n")).write.mode("append").saveAsTable(quarantine_table)
-        n_bad = qobs.get["n"]
-    else:
-        n_bad = rejects.count()
+    tagged = materialize(tag_records(df), eager=False)
+    rejects, n_bad = _counted(rejected_records(tagged), "quarantine")
+    rejects.write.mode("append").saveAsTable(quarantine_table or f"{table}_rejects")
+    records, n_good = _counted(accepted_records(tagged), "load")
+    records.select(*spark.table(table).columns).write.mode("append").insertInto(table)
+    tagged.unpersist()
     if analyze:
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS" + (" NOSCAN" if analyze == "noscan" else ""))
-    return LoadResult(obs.get["n"], n_bad)
+    return LoadResult(n_good.get["n"], n_bad.get["n"])
 
 
 def load_to_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
-                 batch_size: int = DEFAULT_BATCH, quarantine_path: str | None = None) -> LoadResult:
-    """SNK2 over JDBC: batched inserts, one transaction per partition."""
-    from pyspark.sql import Observation
-    records, rejects = to_sales_records(df)
-    obs = Observation("jdbc_load")
-    props = dict(properties or {})
-    props["batchsize"] = str(batch_size)
-    (records.select(*RECORD_COLUMNS).observe(obs, F.count(F.lit(1)).alias("n"))
-     .write.mode("append").jdbc(url, table, properties=props))
-    if quarantine_path:
-        rejects.write.mode("append").parquet(quarantine_path)
-    return LoadResult(obs.get["n"], rejects.count())
+                 batch_size: int = DEFAULT_BATCH, *, quarantine_path: str) -> LoadResult:
+    """SNK2 over JDBC: batched inserts, one transaction per partition; rejects are
+    written to ``quarantine_path`` first, both from rows settled once."""
+    tagged = materialize(tag_records(df), eager=False)
+    rejects, n_bad = _counted(rejected_records(tagged), "jdbc_quarantine")
+    rejects.write.mode("append").parquet(quarantine_path)
+    records, n_good = _counted(accepted_records(tagged).select(*RECORD_COLUMNS), "jdbc_load")
+    records.write.mode("append").jdbc(url, table, properties={**(properties or {}), "batchsize": str(batch_size)})
+    tagged.unpersist()
+    return LoadResult(n_good.get["n"], n_bad.get["n"])
 
 
 def load_to_warehouse(df: DataFrame, table: str, partition_by: tuple[str, ...] = ("year", "month"),
@@ -110,6 +121,8 @@ def load_to_warehouse(df: DataFrame, table: str, partition_by: tuple[str, ...] =
         out = out.withColumn("year", F.year("date"))
     if "month" in partition_by and "month" not in df.columns:
         out = out.withColumn("month", F.month("date"))
+    # Rows of a month meet in a few tasks (large months are split), not in a file per task.
+    out = out.hint("rebalance", *partition_by)
     out.write.mode("append").format(fmt).partitionBy(*partition_by).saveAsTable(table)
 
 
@@ -120,11 +133,11 @@ def archive(df: DataFrame, base_dir: str, run_ts: datetime, fmt: str = "parquet"
     return path
 
 
-def write_report(report: dict | str, path: str) -> str:
-    """SNK6: a report (already report-sized) as one JSON document."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w") as f:
-        f.write(report if isinstance(report, str) else json.dumps(report, indent=2, default=str))
+def write_report(spark: SparkSession, report: dict | str, path: str) -> str:
+    """SNK6: a report (already report-sized) as one JSON document, written by Spark so
+    that any file system it knows will do."""
+    text = report if isinstance(report, str) else json.dumps(report, default=str)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path
 
 
@@ -133,7 +146,7 @@ def write_frames_json(frames: dict[str, DataFrame], base_dir: str) -> dict[str,
     out = {}
     for name, f in frames.items():
         p = os.path.join(base_dir, name)
-        f.coalesce(1).write.mode("overwrite").json(p)  # report-sized frames
+        f.repartition(1).write.mode("overwrite").json(p)  # one file; what makes the frame stays parallel
         out[name] = p
     return out
 

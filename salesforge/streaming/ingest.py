@@ -1,14 +1,12 @@
 """STR1: continuous ingest of landed sales files (the streaming form of the upload).
 
-``readStream`` over a landing folder with the raw text schema -> per micro-batch:
-type, validate in quarantine mode, write accepted rows and rejects.  Each batch writes
-to its own ``batch_id=N`` folder with overwrite, so a batch replayed after a failure
-(``foreachBatch`` is at-least-once) rewrites the same files instead of duplicating
-them.  Batch-level quality counts are computed once per batch (one aggregate over the
-persisted batch) and written the same way to ``metrics_dir/batch_id=N``.
-
-Scope: imputation medians and duplicate checks are batch-scoped; no cross-batch state
-is kept (none is needed for the upload semantics).
+``readStream`` over a landing folder, every field as text -> per micro-batch: the
+``sales_records`` projection; rows that type are written, all others go to quarantine
+with the values they came with and a reason.  Nothing is imputed or replaced, and a row's
+fate depends on that row alone, so the result is the same however files fall into
+batches.  Each batch writes to its own ``batch_id=N`` folder with overwrite, so a batch
+replayed after a failure (``foreachBatch`` is at-least-once) rewrites the same files
+instead of duplicating them.  Counts per batch are written to ``metrics_dir/batch_id=N``.
 """
 
 from __future__ import annotations
@@ -20,42 +18,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from salesforge.functions.schema import RAW_SCHEMA, VALIDATION_REQUIRED
-from salesforge.operators.validate import validate_sales
-from salesforge.sources.readers import parse_sales
+from salesforge.functions.schema import UPLOAD_REQUIRED
+from salesforge.operators.validate import require_columns
+from salesforge.sources.readers import CORRUPT, csv_columns, text_schema
+from salesforge.sources.sinks import accepted_records, rejected_records, tag_records
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, fmt: str = "json",
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(RAW_SCHEMA).format(fmt)
-    if fmt == "json":
-        r = r.option("multiLine", True)
+                   max_files_per_trigger: int | None = None, columns: list[str] | None = None) -> DataFrame:
+    """The landed text.  CSV columns are those of the header already in the folder (or
+    ``columns``), and a file with another header fails its batch instead of being
+    shifted; JSON fields are matched by name."""
+    names = columns or (csv_columns(spark, landing_dir) if fmt == "csv" else UPLOAD_REQUIRED)
+    require_columns(spark.createDataFrame([], text_schema(names)), UPLOAD_REQUIRED)
+    r = spark.readStream.schema(text_schema(names)).format(fmt).option("columnNameOfCorruptRecord", CORRUPT)
     if fmt == "csv":
-        r = r.option("header", True)
+        r = r.options(header=True, enforceSchema=False)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return parse_sales(r.load(landing_dir))
+    return r.load(landing_dir)
 
 
 def process_batch(batch: DataFrame, batch_id: int, table_dir: str, quarantine_dir: str,
                   metrics_dir: str | None = None) -> None:
-    """Validate one micro-batch and write every output idempotently by batch id."""
-    batch = batch.select(*VALIDATION_REQUIRED).persist(StorageLevel.MEMORY_AND_DISK)
+    """Type one micro-batch and write every output idempotently by batch id."""
+    tagged = tag_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        m = batch.agg(F.count(F.lit(1)).alias("rows"),
-                      F.count_if(F.col("quantity").isNull()).alias("quantity_missing"),
-                      F.count_if(F.col("date").isNull()).alias("date_missing"),
-                      F.count_if(F.col("quantity") <= 0).alias("quantity_non_positive"))
+        def write(df: DataFrame, where: str) -> None:
+            df.write.mode("overwrite").parquet(os.path.join(where, f"batch_id={batch_id}"))
         if metrics_dir:
-            m = m.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            m.write.mode("overwrite").parquet(os.path.join(metrics_dir, f"batch_id={batch_id}"))
-        if batch.isEmpty():
-            return
-        res = validate_sales(batch, mode="quarantine")
-        res.accepted.write.mode("overwrite").parquet(os.path.join(table_dir, f"batch_id={batch_id}"))
-        res.rejected.write.mode("overwrite").parquet(os.path.join(quarantine_dir, f"batch_id={batch_id}"))
+            write(tagged.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNotNull()).alias("rejected"),
+                             F.count_if(F.col("typed.quantity").isNull()).alias("quantity_missing"),
+                             F.count_if(F.col("typed.date").isNull()).alias("date_missing"),
+                             F.count_if(F.col("typed.quantity") <= 0).alias("quantity_non_positive"))
+                  .withColumn("batch_id", F.lit(batch_id).cast("bigint")), metrics_dir)
+        write(rejected_records(tagged), quarantine_dir)
+        write(accepted_records(tagged), table_dir)
     finally:
-        batch.unpersist()
+        tagged.unpersist()
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, table_dir: str, quarantine_dir: str,
@@ -71,5 +71,5 @@ def start_ingest(spark: SparkSession, landing_dir: str, table_dir: str, quaranti
 
 
 def batch_metrics(spark: SparkSession, metrics_dir: str) -> DataFrame:
-    """Per-batch quality counts written by ``process_batch`` (one row per batch)."""
+    """Per-batch counts written by ``process_batch`` (one row per batch)."""
     return spark.read.parquet(metrics_dir).orderBy("batch_id")

@@ -43,6 +43,40 @@ def test_json_landing_and_dispatch(spark, tmp_dir):
     assert e.value.error_code == "EXTRACT_001"
 
 
+def _file(tmp_dir, name, text):
+    p = os.path.join(tmp_dir, name)
+    with open(p, "w") as f:
+        f.write(text)
+    return p
+
+
+def test_csv_columns_by_name(spark, tmp_dir):
+    p = _file(tmp_dir, "r.csv", "product_id,date,unit_price,quantity,total_sales,discount,note\n"
+                                "P001,2024-01-15,25.5,10,229.5,0.1,x\nP002,2024-01-16\nP003,2024-01-17,1,2,2,0,y,z,w\n")
+    rows = {r["product_id"]: r for r in RD.read_csv(spark, p).collect()}
+    assert (rows["P001"]["date"], rows["P001"]["quantity"], rows["P001"]["unit_price"]) == ("2024-01-15", "10", "25.5")
+    assert rows["P001"]["note"] == "x" and rows["P001"][RD.CORRUPT] is None
+    assert rows["P002"][RD.CORRUPT] == "P002,2024-01-16" and rows["P003"][RD.CORRUPT].endswith("z,w")
+    _file(tmp_dir, "bad.csv", "date,product_id,quantity\n2024-01-15,P1,3\n")
+    with pytest.raises(ValueError, match="Missing required columns: .*unit_price"):
+        RD.read_sales(spark, "csv", os.path.join(tmp_dir, "bad.csv"))
+    folder = os.path.join(tmp_dir, "two")
+    os.makedirs(folder)
+    _file(folder, "a.csv", "date,product_id,quantity,unit_price\n2024-01-15,P1,3,4\n")
+    _file(folder, "b.csv", "date,product_id,unit_price,quantity\n2024-01-15,P1,4,3\n")
+    with pytest.raises(Exception, match="header"):  # refused, not shifted
+        RD.read_csv(spark, folder).collect()
+
+
+def test_json_fields_by_name(spark, tmp_dir):
+    p = _file(tmp_dir, "a.json", '{"date": "2024-01-15", "product_id": "P1", "extra": 1}\nnot json\n{"product_id": "P2", "quantity": 2}\n')
+    df = RD.read_json(spark, p)
+    assert {"date", "product_id", "extra", "quantity"} <= set(df.columns) and "unit_price" not in df.columns
+    assert sorted(r[RD.CORRUPT] or "" for r in df.cache().collect()) == ["", "", "not json"]
+    with pytest.raises(ValueError, match="Missing required columns"):
+        RD.read_sales(spark, "api", p, validation=ValidationConfig())
+
+
 def test_jdbc_round_trip_with_quarantine(spark, tmp_dir):
     url = "jdbc:derby:memory:salesforge_test;create=true"
     df = FX.sales_dirty(spark, SMALL)
@@ -102,6 +136,24 @@ def test_memoize_by_input_fingerprint(spark, tmp_dir):
     assert len(calls) == 1 and a.count() == b.count() == src.count()
     FP.memoize(src.limit(10), fn, tmp_dir, "metrics")
     assert len(calls) == 2
+    FP.memoize(src, fn, tmp_dir, "metrics", {"other": 1})
+    assert len(calls) == 3
+
+
+def test_fingerprint_sees_nulls_names_and_read_errors(spark, tmp_dir):
+    from salesforge.operators import fingerprint as FP
+    def key(rows, ddl="a double, b double"):
+        return FP.fingerprint(spark.createDataFrame(rows, ddl)).first()["fingerprint"]
+    assert key([(1.0, None)]) != key([(None, 1.0)])
+    assert key([(1.0, 2.0)]) != key([(1.0, 2.0)], "a double, c double") and key([(1.0, 2.0)]) == key([(1.0, 2.0)])
+    assert key([(1.0, 2.0), (3.0, 4.0)]) == key([(3.0, 4.0), (1.0, 2.0)]) != key([(1.0, 4.0), (3.0, 2.0)])
+    df = spark.range(3)
+    store = os.path.join(tmp_dir, "n", FP.fingerprint_key(df))
+    os.makedirs(store)
+    _file(store, "part-0.parquet", "broken")
+    with pytest.raises(Exception):
+        FP.memoize(df, lambda d: d, tmp_dir, "n")
+    assert open(os.path.join(store, "part-0.parquet")).read() == "broken"
 
 
 def test_analysis_report_and_json_report(spark, tmp_dir):
@@ -115,6 +167,6 @@ def test_analysis_report_and_json_report(spark, tmp_dir):
     rep = DQ.run_all_checks(df, FX.AS_OF)
     row = rep.to_json_df().first()
     assert json.loads(row["report"])["summary"]["total_records"] == df.count()
-    p = SK.write_report(rep.to_dict(), os.path.join(tmp_dir, "q.json"))
-    assert json.load(open(p))["summary"]["total_metrics"] == len(rep.metrics)
+    p = SK.write_report(spark, rep.to_dict(), os.path.join(tmp_dir, "q.json"))
+    assert json.loads(spark.read.text(p, wholetext=True).first()[0])["summary"]["total_metrics"] == len(rep.metrics)
     df.unpersist()
