@@ -122,7 +122,8 @@ def matches(docs: DataFrame, items: DataFrame, *, shingle: int = 5, similarity:
         F.struct(F.lit(i).alias("block"), _block(i).alias("value")) for i in range(BLOCKS)])).alias("k"))
     probes = probes.select("win", "item_n", "fp", "k.block", "k.value")
     bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = probes.join(index, ["block", "value", "item_n"]).withColumn("bits", bits).where(F.col("bits") <= radius)
+    # The index grows with the benchmark and its size is not checked: no broadcast.
+    near = probes.join(index.hint("merge"), ["block", "value", "item_n"]).withColumn("bits", bits).where(F.col("bits") <= radius)
     near = settled(near.select("win", "item", "bits").distinct())
 
     # Exact weighted similarity of the candidates: words themselves, counted.
