@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.llm.common import pieces_of, text_of
+from salesforge.llm.common import pieces_of, slices, text_of, utf8
 from salesforge.llm.tokens import WORD_PIECES, encoder
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -59,10 +59,10 @@ def pieces(docs: DataFrame, *, tokenizer: str, capacity: int, end_id: int, id_co
     """The documents' ids cut into pieces of at most ``capacity`` (schema ``PIECES``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, cuts)
-        for b in batches:
+        for b in slices(batches):
             rows: list[tuple] = []
             held = 0
-            for doc, ids in zip(b.column(0).to_pylist(), enc.documents(b.column(1).to_pylist(), end_id)):
+            for doc, ids in zip(b.column(0).to_pylist(), enc.documents(utf8(b.column(1)), end_id)):
                 ids = ids.astype("<u4")
                 for at in range(0, len(ids), capacity):
                     part = ids[at:at + capacity]

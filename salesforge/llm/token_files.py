@@ -24,6 +24,7 @@ first; an empty table gives an empty folder that reads back as no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salesforge.llm.common import Scratch, pieces_of, text_of
+from salesforge.llm.common import Scratch, pieces_of, slices, text_of, utf8
 from salesforge.llm.tokens import BYTE_PIECES, encoder
 
 IDS = "doc_id long, ids binary"
@@ -67,13 +68,31 @@ def unpack_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+@cache
+def _zstd():
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+
+
+def squeezed(ids: np.ndarray) -> bytes:
+    """Unsigned 32-bit ids for a written table: two bytes each where that is enough."""
+    wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
+    return bytes([wide]) + _zstd()[0](ids.astype("<u4" if wide else "<u2").tobytes())
+
+
+def opened(blob: bytes) -> np.ndarray:
+    return np.frombuffer(_zstd()[1](blob[1:]), "<u4" if blob[0] else "<u2").astype("<u4")
+
+
 def token_ids(docs: DataFrame, *, tokenizer: str, end_id: int, id_col: str, text_col: str, cuts) -> DataFrame:
+    """(doc_id, ids): the ids of each document, ``squeezed``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, cuts)
-        for b in batches:
+        for b in slices(batches):
             done, out, held = 0, [], 0
-            for ids in enc.documents(b.column(1).to_pylist(), end_id):
-                out.append(ids.astype("<u4").tobytes())
+            for ids in enc.documents(utf8(b.column(1)), end_id):
+                out.append(squeezed(ids))
                 held += len(ids)
                 if held > 4_000_000:
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(done, len(out)), pa.array(out, pa.binary())], names=["doc_id", "ids"])
@@ -89,9 +108,11 @@ def token_counts(ids: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
         for b in batches:
-            new = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), "<u4"), minlength=len(seen))
-            new[:len(seen)] += seen
-            seen = new
+            for at in range(0, b.num_rows, 500):
+                ids = np.concatenate([opened(x) for x in b.column(0).slice(at, 500).to_pylist()])
+                new = np.bincount(ids, minlength=len(seen))
+                new[:len(seen)] += seen
+                seen = new
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["token", "count"])
 
@@ -125,9 +146,9 @@ def write_token_files(docs: DataFrame, path: str, *, tokenizer: str, end_id: int
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
                                               names=["part", "block", "doc_ids", "lengths", "before", "tokens", "control", "data"])
 
-        for b in batches:
+        for b in slices(batches):
             for doc, ids in zip(b.column(0).to_pylist(), b.column(1)):
-                x = np.frombuffer(ids.as_buffer(), "<u4")
+                x = opened(ids.as_py())
                 held.append((doc, x))
                 tokens += len(x)
                 if tokens >= block_tokens:
@@ -151,7 +172,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     table = np.array([r["token"] for r in spark.read.parquet(f"{path}/vocabulary").orderBy("rank").collect()], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 16):
             for part, docs, lengths, before, n, control, data in zip(*(c.to_pylist() for c in b.columns)):
                 ids = table[unpack_values(control, data, n)]
                 ends = np.cumsum(lengths)

@@ -12,29 +12,36 @@ from hypothesis import strategies as st
 
 from salesforge.llm import packing, registry, token_files
 from salesforge.llm.common import Scratch
-from salesforge.llm.tokens import BYTE_PIECES, WORD_PIECES, encoder
+from salesforge.llm.tokens import BYTE_PIECES, WORD_PIECES, Encoder, encoder
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
-TEXT = st.text(st.one_of(st.sampled_from("ab'st.,!? \t\n\r\x0b\x0c\x1c\x1f\x85\xa0  　é́Σς1²漢🙂<|>"), st.characters(exclude_categories=["Cs"])), max_size=60)
+TEXT = st.text(st.one_of(st.sampled_from("abÀé'st.,!?|%*#&$ \t\n\r\x0b\x0c\x1c\x1f\x85\xa0  　é́Σς1²漢🙂<|>"), st.characters(exclude_categories=["Cs"])), max_size=60)
+PLAIN = st.lists(st.sampled_from(["a", "the", "Élan", "don't", "x.y", "end.", "what?!", "|", "\0", "\0a", "a1", "é", "×2", "日", "long" * 6, "née!!"]), max_size=12).flatmap(
+    lambda w: st.sampled_from([" ", "\n", " \n"]).map(lambda gap: gap.join(w)))
 
 
 @pytest.mark.parametrize("path,cuts", [(WORD, WORD_PIECES), (BYTE, BYTE_PIECES)])
 def test_pieces_give_the_tokenizers_ids(path, cuts):
     enc = encoder(path, cuts)
 
-    @settings(max_examples=600, deadline=None)
-    @given(st.lists(TEXT, max_size=4))
+    @settings(max_examples=1500, deadline=None)
+    @given(st.lists(st.one_of(TEXT, PLAIN), max_size=5))
     def check(texts):
-        found = [x.tolist() for x in enc.documents(texts, 2)]
+        found = [x.tolist() for x in enc.documents([t.encode() for t in texts], 2)]
         assert found == [[*enc.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
     check()
 
 
-def test_store_is_emptied():
-    small = type(encoder(WORD, WORD_PIECES))(WORD, WORD_PIECES, max_chars=50)
-    texts = [f"word{i} and more" for i in range(40)]
-    one = [small.encode([t])[0].tolist() for t in texts]
-    assert one == [encoder(WORD, WORD_PIECES).encode([t])[0].tolist() for t in texts] and small.chars < 100
+@pytest.mark.parametrize("path,cuts", [(WORD, WORD_PIECES), (BYTE, BYTE_PIECES)])
+def test_store_is_emptied_and_crowded(path, cuts, docs):
+    small = Encoder(path, cuts, max_pieces=600)
+    texts = [t[:2000].encode() for t in docs.text.head(60)]
+    want = [small.tokenizer.encode(t.decode(errors="ignore"), add_special_tokens=False).ids for t in texts]
+    texts = [t.decode(errors="ignore").encode() for t in texts]
+    assert [small.encode([t])[0].tolist() for t in texts] == want and small.size < 2000
+    assert [x.tolist() for x in Encoder(path, cuts).encode(texts)] == want
+    grown = Encoder(path, cuts, max_pieces=10)
+    assert [x.tolist() for x in grown.encode(texts)] == want and grown.slots.bits > 10
 
 
 @settings(max_examples=200, deadline=None)
