@@ -30,23 +30,58 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.llm.common import pieces_of, utf8
+from salesforge.llm.common import SHORT, packed, pieces_of, slices, utf8
 
 SENT = "bucket long, rid long, lo array<int>, hi array<int>, blob binary"
 RANGES = "rid long, lo array<int>, hi array<int>"
 KEPT = "doc_id long, n_words long, n_removed long, kept string"
 LAST = (1 << 63) - 1  # the order of a null doc_id
+_BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd; mixes word hashes by place
 
 
-def _named(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """An integer per word, equal for equal words only, and the words' hashes."""
-    from xxhash import xxh64_intdigest
-
-    names: dict[bytes, int] = {}
-    ids = np.fromiter((names.setdefault(w, len(names)) for w in words), np.int64, len(words))
-    hashes = np.fromiter(map(xxh64_intdigest, names), np.uint64, len(names))
-    return ids, hashes[ids]
+class Lines:
+    """The words of lines of text, one blank between two words: their places in the
+    bytes, the line of each, two longs per word and a hash.  The longs are the word
+    itself up to 15 bytes and two hashes of a longer one."""
+
+    def __init__(self, text: bytes):
+        from xxhash import xxh64_intdigest
+
+        self.text = text
+        data = np.frombuffer(text + bytes(16), np.uint8)
+        end = data == 10
+        solid = ~(end | (data == 32))
+        solid[len(text):] = False
+        edge = np.flatnonzero(np.diff(solid.view(np.int8), prepend=0, append=0))
+        self.start, self.stop = edge[::2], edge[1::2]
+        self.line = np.cumsum(end, dtype=np.int32)[self.start]
+        lens = self.stop - self.start
+        self.long = lens > SHORT
+        self.a, self.b = packed(data, self.start, np.minimum(lens, SHORT))
+        for i in np.flatnonzero(self.long).tolist():
+            word = text[self.start[i]:self.stop[i]]
+            self.a[i], self.b[i] = xxh64_intdigest(word), xxh64_intdigest(word, 1)
+        self.hash = _mixed(self.a ^ (self.b * MULTIPLIER))
+
+    def window(self, at: int, k: int) -> bytes:
+        return self.text[self.start[at]:self.stop[at + k - 1]]
+
+    def equal(self, x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
+        """Whether the windows at x and y have the same words."""
+        out = np.ones(len(x), bool)
+        for j in range(k):
+            out &= (self.a[x + j] == self.a[y + j]) & (self.b[x + j] == self.b[y + j])
+        longs = np.concatenate([[0], np.cumsum(self.long)])
+        for i in np.flatnonzero(out & (longs[x + k] > longs[x])).tolist():
+            out[i] = self.window(int(x[i]), k) == self.window(int(y[i]), k)
+        return out
+
+
+def one_blank(text: bytes) -> bytes:
+    """The words of a text with one blank between them."""
+    plain = text.translate(_BLANKS)
+    return b" ".join(plain.split()) if b"  " in plain or plain[:1] == b" " or plain[-1:] == b" " else plain
 
 
 def _rolled(h: np.ndarray, k: int, join) -> np.ndarray:
@@ -83,33 +118,29 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _repeats(ids: np.ndarray, h: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
-    """Whether an equal window stands earlier in ``starts``, for each of these windows."""
+def _repeats(lines: Lines, sums: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """Whether an equal window stands earlier in ``starts``, for each of these windows;
+    ``sums``: the hashes of all windows."""
     again = np.zeros(len(starts), bool)
     if not len(starts):
         return again
-    sums = _window_hash(h, k)[starts]
+    sums = sums[starts]
     order = np.argsort(sums, kind="stable")
     same = np.concatenate([[False], sums[order][1:] == sums[order][:-1]])
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))  # first of the run of equal sums
     later = np.flatnonzero(same)
-    if not len(later):
-        return again
-    mine, first = starts[order[later]], starts[order[head[later]]]
-    equal = np.ones(len(later), bool)
-    for j in range(k):
-        equal &= ids[mine + j] == ids[first + j]
+    equal = lines.equal(starts[order[later]], starts[order[head[later]]], k)
     again[order[later[equal]]] = True
-    if not equal.all():  # different words with one hash: compare the words of those runs
-        for run in np.unique(head[later[~equal]]).tolist():
-            stop = run + 1
-            while stop < len(order) and same[stop]:
-                stop += 1
-            seen: set[bytes] = set()
-            for at in order[run:stop].tolist():
-                words = ids[starts[at]:starts[at] + k].tobytes()
-                again[at] = words in seen
-                seen.add(words)
+    # Different words with one hash: compare the words of those runs.
+    for run in np.unique(head[later[~equal]]).tolist():
+        stop = run + 1
+        while stop < len(order) and same[stop]:
+            stop += 1
+        seen: set[bytes] = set()
+        for at in order[run:stop].tolist():
+            words = lines.window(int(starts[at]), k)
+            again[at] = words in seen
+            seen.add(words)
     return again
 
 
@@ -131,19 +162,14 @@ def _starts_of(counts: np.ndarray, words: np.ndarray, k: int) -> tuple[np.ndarra
 def _split(docs: list[tuple], k: int, m: int, buckets: int, squeeze) -> Iterator[tuple]:
     """Rows (SENT) for documents (doc_id, rid, text)."""
     docs.sort(key=lambda d: (LAST if d[0] is None else d[0], d[1]))
-    words: list[bytes] = []
-    sizes = np.zeros(len(docs), np.int64)
-    for i, (_, _, text) in enumerate(docs):
-        own = text.split()
-        sizes[i] = len(own)
-        words += own
+    lines = Lines(b"\n".join([one_blank(text) for _, _, text in docs]))
+    sizes = np.bincount(lines.line, minlength=len(docs))
     counts = np.maximum(sizes - k + 1, 0)
     if not counts.any():
         return
-    ids, h = _named(words)
     starts, doc = _starts_of(counts, sizes, k)
     base = np.cumsum(sizes) - sizes
-    again = _repeats(ids, h, starts, k)
+    again = _repeats(lines, _window_hash(lines.hash, k), starts, k)
     # ranges that repeat within these documents
     at = np.flatnonzero(again)
     if len(at):
@@ -157,15 +183,12 @@ def _split(docs: list[tuple], k: int, m: int, buckets: int, squeeze) -> Iterator
             yield rid % buckets, rid, lo[a:b].tolist(), hi[a:b].tolist(), None
     # super-k-mers of the others
     at = np.flatnonzero(~again)
-    least = _sliding_min(_mixed(_window_hash(h, m)), k - m + 1)[starts[at]]
+    least = _sliding_min(_mixed(_window_hash(lines.hash, m)), k - m + 1)[starts[at]]
     breaks = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(doc[at]) != 0) | (least[1:] != least[:-1])])
     first, stop = _runs(breaks)
     owner, count = doc[at[first]], stop - first
     begin = starts[at[first]]
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    from_byte = np.where(begin > 0, ends[begin - 1], 0)
-    to_byte = ends[begin + count + k - 2] - 1
+    from_byte, to_byte = lines.start[begin], lines.stop[begin + count + k - 2]
     doc_order = np.array([LAST if d[0] is None else d[0] for d in docs], np.int64)
     rids = np.array([d[1] for d in docs], np.int64)
     bucket = (least[first] % np.uint64(buckets)).astype(np.int64)
@@ -173,7 +196,7 @@ def _split(docs: list[tuple], k: int, m: int, buckets: int, squeeze) -> Iterator
     cut_first, cut_stop = _runs(np.concatenate([[True], np.diff(bucket[by_bucket]) != 0]))
     for a, b in zip(cut_first.tolist(), cut_stop.tolist()):
         runs = by_bucket[a:b]
-        text = b"\n".join([line[s:e] for s, e in zip(from_byte[runs].tolist(), to_byte[runs].tolist())])
+        text = b"\n".join([lines.text[s:e] for s, e in zip(from_byte[runs].tolist(), to_byte[runs].tolist())])
         head = np.stack([doc_order[owner[runs]], rids[owner[runs]], begin[runs] - base[owner[runs]], count[runs]])
         blob = struct.pack("<q", b - a) + head.astype("<i8").tobytes() + text
         yield int(bucket[runs[0]]), None, None, None, squeeze(blob)
@@ -181,24 +204,23 @@ def _split(docs: list[tuple], k: int, m: int, buckets: int, squeeze) -> Iterator
 
 def _settle(blobs: list[bytes], k: int) -> Iterator[tuple]:
     """(rid, lo, hi) of what repeats among the windows of one bucket."""
-    heads, words, sizes = [], [], []
+    heads, texts = [], []
     for blob in blobs:
         n, = struct.unpack_from("<q", blob)
         heads.append(np.frombuffer(blob, "<i8", 4 * n, 8).reshape(4, n))
-        for part in blob[8 + 32 * n:].split(b"\n"):
-            own = part.split()
-            words.append(own)
-            sizes.append(len(own))
+        texts.append(blob[8 + 32 * n:])
+    lines = Lines(b"\n".join(texts))
     head = np.concatenate(heads, axis=1)
+    sizes = np.bincount(lines.line, minlength=head.shape[1])
     order = np.lexsort((head[2], head[1], head[0]))  # by doc_id, row, start: the first of equals stays
+    base = (np.cumsum(sizes) - sizes)[order]
     head = head[:, order]
-    sizes = np.array(sizes, np.int64)[order]
-    ids, h = _named([w for i in order.tolist() for w in words[i]])
-    starts, run = _starts_of(head[3], sizes, k)
-    again = np.flatnonzero(_repeats(ids, h, starts, k))
+    run = np.repeat(np.arange(len(order)), head[3])
+    nth = np.arange(len(run)) - np.repeat(np.cumsum(head[3]) - head[3], head[3])
+    again = np.flatnonzero(_repeats(lines, _window_hash(lines.hash, k), base[run] + nth, k))
     if not len(again):
         return
-    place = head[2][run] + starts - (np.cumsum(sizes) - sizes)[run]  # start in the document
+    place = head[2][run] + nth  # start in the document
     rid = head[1][run]
     breaks = np.concatenate([[True], (np.diff(rid[again]) != 0) | (np.diff(place[again]) != 1)])
     first, stop = _runs(breaks)
@@ -226,7 +248,7 @@ def repeated_ranges(docs: DataFrame, *, k: int, m: int, bucket_bytes: int, chunk
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
                                                  names=["bucket", "rid", "lo", "hi", "blob"])
 
-        for b in batches:
+        for b in slices(batches):
             for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2))):
                 held.append(row)
                 room -= len(row[2])
@@ -261,7 +283,7 @@ def drop_repeats(docs: DataFrame, *, k: int = 20, m: int = 3, id_col: str = "doc
     found = found.groupBy("rid").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             out = []
             for text, lo, hi in zip(utf8(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 words = text.split()

@@ -104,14 +104,20 @@ def test_substring_small_chunks(spark, docs, k, m, chunk):
     same(found.toPandas(), brute.substring(few, k), "doc_id")
 
 
-def test_substring_hash_collisions(monkeypatch):
+def test_substring_hash_collisions():
     """Windows whose hashes are all equal are still told apart by their words."""
-    words = [b"a", b"b", b"a", b"b", b"a", b"c", b"a", b"b", b"a"]
-    ids, h = substring._named(words)
-    starts = np.arange(7)
-    want = substring._repeats(ids, h, starts, 3)
-    assert want.tolist() == [False, False, True, False, False, False, True]
-    assert substring._repeats(ids, np.zeros_like(h), starts, 3).tolist() == want.tolist()
+    for tail in (b"", b"-of-more-than-fifteen-bytes"):
+        lines = substring.Lines(b" ".join(w + tail for w in [b"a", b"b", b"a", b"b", b"a", b"c", b"a", b"b", b"a"]))
+        starts, sums = np.arange(7), substring._window_hash(lines.hash, 3)
+        assert substring._repeats(lines, sums, starts, 3).tolist() == [False, False, True, False, False, False, True]
+        if tail:
+            lines.a[:] = lines.b[:] = 0
+            assert substring._repeats(lines, sums * np.uint64(0), starts, 3).tolist() == [False, False, True, False, False, False, True]
+
+
+def test_one_blank():
+    for text in [b"", b" ", b"a", b" a", b"a \n", b"a\tb", b"a  b\r\nc", b"a\x00b\x1c c"]:
+        assert substring.one_blank(text) == b" ".join(text.split())
 
 
 def test_substring_edges(spark, edge, empty):
