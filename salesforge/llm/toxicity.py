@@ -7,15 +7,15 @@ half; two gated recurrent units read a window forwards and backwards, attention
 their states into one logit, and a text scores as its highest window does, through a
 calibrated logistic curve.  All of a text is scored, however long it is.
 
-Training is numpy on the driver.  Its input is bounded: at most ``per_class`` documents
-of each label, chosen by a hash of their ids among the training folds, and of those the
+Training is numpy on the driver.  Its input is bounded: at most ``toxic_docs`` documents
+of label 1 and ``clean_docs`` of label 0, chosen by a hash of their ids among the training folds, and of those the
 ones with at most ``train_bytes`` bytes.  A label belongs to a document and not to a
 window, so only the highest window of a toxic document is taught as toxic, by the
 leaning of its words in the first round and by the network itself from then on.
 
 Scale: scoring is a map over the texts with no shuffle; a task holds the model (a few
 MB) and a bounded store of words it has met.  Only the sampled ids are broadcast, at most
-``2 * per_class`` of them.
+``toxic_docs + clean_docs`` of them.
 
 Edge cases: null and empty texts are one empty window and get its score; without training
 rows of both labels every score is 0; a document labelled twice counts as toxic if one
@@ -25,7 +25,6 @@ label says so; repeated rows get equal scores.  Language, source and id are no i
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,28 +32,53 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.llm.common import text_of
+from salesforge.llm.common import SHORT, KeyTable, packed, text_of
 
 FOLDS = 5
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 12, 12
-TRIPLES, CHAR_BUCKETS = 24, 4096  # character triples of a word; vectors they share
-PAD, UNKNOWN = 0, 1
+CHAR_BUCKETS = 4096  # vectors that the character triples share
+UNKNOWN = 0  # the own vector of words without one
+#: Words are runs of letters and digits (any byte over 127 counts as a letter), A-Z lower-cased.
+_PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def plain(token: str) -> str:
-    """Letters and digits only, lower case."""
-    return "".join(c for c in token.lower() if c.isalnum())
+class Words:
+    """The words of texts (UTF-8), one text after the other: their places in the bytes,
+    the number of each text, and two longs per word that are its key."""
 
+    def __init__(self, texts: list[bytes]):
+        from xxhash import xxh64_intdigest
 
-def triples(word: str) -> list[int]:
-    s = f"<{word}>"
-    if len(s) > TRIPLES + 2:  # both ends of very long words
-        s = s[:TRIPLES // 2 + 1] + s[-(TRIPLES // 2 + 1):]
-    return [1 + zlib.crc32(s[i:i + 3].encode()) % CHAR_BUCKETS for i in range(len(s) - 2)]
+        self.line = b" " + b" ".join([t.translate(_PLAIN) for t in texts]) + bytes([32] * 16)
+        self.data = np.frombuffer(self.line, np.uint8)
+        edge = np.flatnonzero(np.diff((self.data != 32).view(np.int8), prepend=0, append=0))
+        self.start, self.stop = edge[::2], edge[1::2]
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        self.counts = np.diff(np.searchsorted(self.start, ends), prepend=0)
+        lens = self.stop - self.start
+        self.a, self.b = packed(self.data, self.start, np.minimum(lens, SHORT))
+        for i in np.flatnonzero(lens > SHORT).tolist():  # hashes are enough to score by
+            self.a[i], self.b[i] = xxh64_intdigest(self.word(i)), xxh64_intdigest(self.word(i), 1)
+
+    def mixed(self) -> np.ndarray:
+        """One long per word, equal for equal words."""
+        return (self.a ^ (self.b * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+
+    def word(self, i: int) -> bytes:
+        return self.line[self.start[i]:self.stop[i]]
+
+    def triples(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bucket of each character of the chosen words, taken with the one before
+        and the one after it, and the number of each word's characters."""
+        n = (self.stop - self.start)[chosen]
+        at = np.repeat(self.start[chosen] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        three = (self.data[at - 1].astype(np.uint64) << np.uint64(16) | self.data[at].astype(np.uint64) << np.uint64(8)
+                 | self.data[at + 1])
+        return ((three * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % CHAR_BUCKETS, n
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -99,37 +123,29 @@ def _recur_back(d_out: np.ndarray, u: np.ndarray, kept: list) -> tuple[np.ndarra
 
 
 class Network:
-    """Parameters and the two passes.  Words come as numbers into tables of word ids and
-    character triples; number 0 is padding."""
+    """Parameters and the two passes.  ``vocabulary`` has the words with a vector of
+    their own and its row, from 1."""
 
-    def __init__(self, vocabulary: dict[str, int], seed: int = 1):
+    def __init__(self, vocabulary: dict[bytes, int], seed: int = 1):
         rng = np.random.default_rng(seed)
 
         def init(*shape, scale):
             return (rng.standard_normal(shape) * scale).astype(np.float32)
-        self.vocabulary = vocabulary  # word: its row of "words", from 2
+        self.vocabulary = vocabulary
         self.p = {
-            "words": init(len(vocabulary) + 2, WORD_DIM, scale=0.1), "chars": init(CHAR_BUCKETS + 1, CHAR_DIM, scale=0.3),
+            "words": init(len(vocabulary) + 1, WORD_DIM, scale=0.1), "chars": init(CHAR_BUCKETS, CHAR_DIM, scale=0.3),
             "in": init(WORD_DIM + CHAR_DIM, 6 * HIDDEN, scale=0.3), "bias": np.zeros(6 * HIDDEN, np.float32),
             "fwd": init(HIDDEN, 3 * HIDDEN, scale=0.3), "bwd": init(HIDDEN, 3 * HIDDEN, scale=0.3),
             "att": init(2 * HIDDEN, HIDDEN, scale=0.3), "att_v": init(HIDDEN, scale=0.3),
             "out": init(2 * HIDDEN, scale=0.3), "out_b": np.zeros(1, np.float32)}
-        self.p["chars"][0] = 0
         self.curve = (0.0, 1.0)  # score = sigmoid(a + b * highest logit)
 
-    def features(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.fromiter((self.vocabulary.get(w, UNKNOWN) for w in words), np.int64, len(words))
-        chars = np.zeros((len(words), TRIPLES), np.int32)
-        for i, w in enumerate(words):
-            own = triples(w)
-            chars[i, :len(own)] = own
-        return ids, chars
-
-    def inputs(self, ids: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(vectors, number of triples, projections) of words."""
-        n = np.maximum((chars > 0).sum(axis=1, keepdims=True), 1).astype(np.float32)
-        x = np.concatenate([self.p["words"][ids], self.p["chars"][chars].sum(axis=1) / n], axis=1)
-        return x, n, x @ self.p["in"] + self.p["bias"]
+    def inputs(self, ids: np.ndarray, chars: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vectors, projections) of words: rows of their own vectors, buckets of their
+        characters one word after the other, and the number of each word's characters."""
+        mean = np.add.reduceat(self.p["chars"][chars], np.cumsum(n) - n, axis=0) / n[:, None].astype(np.float32)
+        x = np.concatenate([self.p["words"][ids], mean], axis=1)
+        return x, x @ self.p["in"] + self.p["bias"]
 
     def pad_row(self) -> np.ndarray:
         """Keeps the state as it is: the keep gates are open."""
@@ -187,12 +203,12 @@ def windows(sizes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return np.where(inside < sizes[doc][:, None], base[doc][:, None] + inside, -1), doc
 
 
-def _leanings(docs: list[list[str]], y: np.ndarray, min_docs: int) -> dict[str, float]:
+def _leanings(docs: list[list[int]], y: np.ndarray, min_docs: int) -> dict[int, float]:
     """Words of at least ``min_docs`` different documents and how far they lean to label 1:
     the log odds ratio of document counts with a prior of five documents, in standard
     errors."""
     seen: set[int] = set()
-    counts: dict[str, list[int]] = {}
+    counts: dict[int, list[int]] = {}
     n = [0, 0]
     for d, v in zip(docs, y.astype(int).tolist()):
         key = hash(tuple(d))
@@ -211,24 +227,30 @@ def _leanings(docs: list[list[str]], y: np.ndarray, min_docs: int) -> dict[str,
     return out
 
 
-def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: int = 4, least_lean: float = 3.0, max_words: int = 20_000,
-          steps: int = 400, batch: int = 64, rate: float = 0.006, doubt: float = 0.7,
-          decay: float = 0.01, seed: int = 1) -> Network | None:
+def train(texts: list[bytes], labels: list[int], *, window: int = 32, min_docs: int = 4, least_lean: float = 3.0,
+          max_words: int = 20_000, steps: int = 400, batch: int = 64, rate: float = 0.006, doubt: float = 0.7,
+          decay: float = 0.03, seed: int = 1, stands_for: tuple[float, float] = (1.0, 1.0)) -> Network | None:
     """A network fitted to whole documents in about ``steps`` steps; None without both
-    labels."""
+    labels.  ``stands_for``: how many labelled documents one of label 0 and one of label 1
+    in ``texts`` stands for, by which the score is calibrated."""
     y = np.array(labels, np.float32)
     if not len(y) or y.min() == y.max():
         return None
     rng = np.random.default_rng(seed)
-    docs = [[plain(t) for t in text.split()] for text in texts]
+    words = Words(texts)
+    _, first, flat = np.unique(words.mixed(), return_index=True, return_inverse=True)
+    upto = np.cumsum(words.counts)
+    docs = [flat[e - n:e].tolist() for e, n in zip(upto.tolist(), words.counts.tolist())]
     lean = _leanings(docs, y, min_docs)
-    chosen = sorted((w for w in lean if lean[w] >= least_lean), key=lambda w: (-lean[w], w))[:max_words]
-    net = Network({w: i + 2 for i, w in enumerate(chosen)}, seed)
-    net.p["words"][2:, 0] = [np.clip(lean[w] / 3, -2, 2) for w in chosen]
-    names: dict[str, int] = {"": 0}
-    flat = np.array([names.setdefault(w, len(names)) for d in docs for w in d], np.int64)
-    ids, chars = net.features(list(names))
-    places, doc = windows(np.array([len(d) for d in docs], np.int64), window)
+    names = {w: words.word(first[w]) for w in lean if lean[w] >= least_lean}
+    chosen = sorted(names, key=lambda w: (-lean[w], names[w]))[:max_words]
+    net = Network({names[w]: i + 1 for i, w in enumerate(chosen)}, seed)
+    net.p["words"][1:, 0] = [np.clip(lean[w] / 3, -2, 2) for w in chosen]
+    ids = np.zeros(len(first), np.int64)
+    ids[chosen] = np.arange(1, len(chosen) + 1)
+    chars, n_chars = words.triples(first)
+    begin = np.cumsum(n_chars) - n_chars
+    places, doc = windows(words.counts, window)
     word = np.where(places >= 0, flat[places] if len(flat) else 0, -1)
     fit = rng.random(len(docs)) < 0.8  # the others set the curve
     fit[[int(np.flatnonzero(y == v)[0]) for v in (0, 1)]] = True
@@ -236,7 +258,7 @@ def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: in
     step, start = 0, {k: net.p[k].copy() for k in ("words", "chars")}
 
     def scores() -> np.ndarray:
-        _, _, proj = net.inputs(ids, chars)
+        _, proj = net.inputs(ids, chars, n_chars)
         table = np.concatenate([proj, net.pad_row()[None]])
         return np.concatenate([net.logits(table[word[a:a + 2048]], _mask(word[a:a + 2048])) for a in range(0, len(word), 2048)])
 
@@ -246,8 +268,11 @@ def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: in
         used, local = np.unique(w, return_inverse=True)
         local = local.reshape(w.shape)
         real = used >= 0
+        used = np.where(real, used, 0)  # the missing words of a short text; any will do
+        n = n_chars[used]
+        own_chars = chars[np.repeat(begin[used] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         own_ids = np.where(rng.random(len(used)) < 0.2, UNKNOWN, ids[used])  # the characters must do at times
-        x, n, proj = net.inputs(own_ids, chars[used])
+        x, proj = net.inputs(own_ids, own_chars, n)
         proj[~real] = net.pad_row()
         keep: dict = {}
         z = net.logits(proj[local], _mask(w), keep)
@@ -263,8 +288,7 @@ def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: in
         g["in"], g["bias"] = x.T @ dp, dp.sum(axis=0)
         g["words"], g["chars"] = np.zeros_like(net.p["words"]), np.zeros_like(net.p["chars"])
         np.add.at(g["words"], own_ids, dx[:, :WORD_DIM])
-        np.add.at(g["chars"], chars[used], np.repeat((dx[:, WORD_DIM:] / n)[:, None], TRIPLES, axis=1))
-        g["chars"][0] = 0
+        np.add.at(g["chars"], own_chars, np.repeat(dx[:, WORD_DIM:] / n[:, None], n, axis=0))
         step += 1
         for k, v in g.items():
             m, s = moments[k]
@@ -293,7 +317,7 @@ def train(texts: list[str], labels: list[int], *, window: int = 32, min_docs: in
         turn += 1
     z = np.maximum.reduceat(scores(), places_of[:-1]).astype(np.float64)
     rest = ~fit if len(set(y[~fit].tolist())) == 2 else np.ones(len(y), bool)
-    net.curve = _curve(z[rest], y[rest].astype(np.float64))
+    net.curve = _curve(z[rest], y[rest].astype(np.float64), np.where(y[rest] > 0, stands_for[1], stands_for[0]))
     return net
 
 
@@ -304,12 +328,13 @@ def _mask(word: np.ndarray) -> np.ndarray:
     return mask
 
 
-def _curve(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of y on z by Newton steps, with a weak pull to (0, 1)."""
+def _curve(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Weighted logistic regression of y on z by Newton steps, with a weak pull to (0, 1)."""
     a, b = 0.0, 1.0
+    weight = weight * (len(z) / weight.sum())
     for _ in range(50):
         p = _sigmoid(a + b * z)
-        w, e = p * (1 - p), p - y
+        w, e = weight * p * (1 - p), weight * (p - y)
         g = np.array([e.sum() + 0.5 * a, (e * z).sum() + 0.5 * (b - 1)])
         h = np.array([[w.sum() + 0.5, (w * z).sum()], [(w * z).sum(), (w * z * z).sum() + 0.5]])
         da, db = np.linalg.solve(h, g)
@@ -322,75 +347,81 @@ class Scorer:
 
     def __init__(self, net: Network, window: int = 32, max_words: int = 250_000):
         self.net, self.window, self.max_words = net, window, max_words
+        known = Words(list(net.vocabulary))
+        self.own = KeyTable(len(known.a))
+        self.own.put(known.a, known.b, np.fromiter(net.vocabulary.values(), np.int64, len(known.a)))
         self._empty()
 
     def _empty(self) -> None:
-        self.rows: dict[str, int] = {}
+        self.rows = KeyTable(self.max_words)
         self.table = np.zeros((1 << 14, 6 * HIDDEN), np.float32)
         self.table[0] = self.net.pad_row()
         self.size = 1
 
-    def _learn(self, tokens: list[str]) -> None:
-        words = [plain(t) for t in tokens]
-        for a in range(0, len(words), 1 << 14):
-            _, _, proj = self.net.inputs(*self.net.features(words[a:a + (1 << 14)]))
-            while len(self.table) < self.size + len(proj):
+    def _rows_of(self, words: Words) -> np.ndarray:
+        rows = self.rows.find(words.a, words.b)
+        miss = np.flatnonzero(rows == 0)
+        if len(miss):
+            _, first = np.unique(words.mixed()[miss], return_index=True)
+            new = miss[first]
+            while len(self.table) < self.size + len(new):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[self.size:self.size + len(proj)] = proj
-            self.size += len(proj)
-        self.rows.update(zip(tokens, range(self.size - len(tokens), self.size)))
-
-    def scores(self, texts: list[str]) -> np.ndarray:
+            for at in range(0, len(new), 1 << 13):
+                part = new[at:at + (1 << 13)]
+                ids = self.own.find(words.a[part], words.b[part])
+                self.table[self.size + at:self.size + at + len(part)] = self.net.inputs(ids, *words.triples(part))[1]
+            self.rows.put(words.a[new], words.b[new], np.arange(self.size, self.size + len(new)))
+            self.size += len(new)
+            rows[miss] = self.rows.find(words.a[miss], words.b[miss])
+        return rows
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
         if self.size > self.max_words:
             self._empty()
-        tokens: list[str] = []
-        sizes = np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            own = t.split()
-            sizes[i] = len(own)
-            tokens += own
-        new = list(dict.fromkeys(t for t in tokens if t not in self.rows))
-        if new:
-            self._learn(new)
-        flat = np.fromiter(map(self.rows.__getitem__, tokens), np.int32, len(tokens))
-        flat = np.append(flat, np.int32(PAD))  # the place -1
+        words = Words(texts)
+        rows = np.append(self._rows_of(words), 0)  # the place -1 is padding
         best = np.full(len(texts), -np.inf)
         a, b = self.net.curve
-        places, doc = windows(sizes, self.window)
+        places, doc = windows(words.counts, self.window)
         for at in range(0, len(places), 2048):
             own = places[at:at + 2048]
-            z = self.net.logits(self.table[flat[own]], _mask(own))
+            z = self.net.logits(self.table[rows[own]], _mask(own))
             np.maximum.at(best, doc[at:at + 2048], z)
         return _sigmoid(a + b * best)
 
 
-def sample(docs: DataFrame, labels: DataFrame, *, per_class: int, train_bytes: int, id_col: str = "doc_id",
-           text_col: str = "text", label_col: str = "toxic") -> tuple[list[str], list[int]]:
-    """Training texts and labels, in an order that does not depend on the cluster."""
+def sample(docs: DataFrame, labels: DataFrame, *, toxic_docs: int, clean_docs: int, train_bytes: int, id_col: str = "doc_id",
+           text_col: str = "text", label_col: str = "toxic") -> tuple[list[bytes], list[int], tuple[float, float]]:
+    """Training texts and labels, in an order that does not depend on the cluster, and
+    how many labelled documents of either label one of them stands for."""
     own = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
     own = own.where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
     order = F.xxhash64(F.col("id"), F.lit(5))
-    picked = [own.where(F.col("y") == v).orderBy(order, "id").limit(per_class) for v in (0, 1)]
-    ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * per_class rows
+    picked = [own.where(F.col("y") == v).orderBy(order, "id").limit(n) for v, n in ((0, clean_docs), (1, toxic_docs))]
+    ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most toxic_docs + clean_docs rows
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     rows = rows.where(F.octet_length("text") <= train_bytes).join(ids, "id").groupBy("id").agg(
         F.min("text").alias("text"), F.max("y").alias("y"))
     found = sorted(rows.collect(), key=lambda r: r["id"])
-    return [r["text"] for r in found], [r["y"] for r in found]
+    counts = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}  # two rows
+    drawn = [r["y"] for r in found]
+    stands_for = tuple(counts.get(v, 0) / max(drawn.count(v), 1) for v in (0, 1))
+    return [r["text"].encode() for r in found], drawn, stands_for
 
 
-def scorer(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500, train_bytes: int = 16_384, window: int = 32,
+def scorer(docs: DataFrame, labels: DataFrame, *, toxic_docs: int = 1500, clean_docs: int = 4500, train_bytes: int = 16_384, window: int = 32,
            id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """Train on the labelled rows of ``docs``; a function from a text column to its score."""
-    net = train(*sample(docs, labels, per_class=per_class, train_bytes=train_bytes, id_col=id_col, text_col=text_col,
-                        label_col=label_col), window=window)
+    texts, marks, stands_for = sample(docs, labels, toxic_docs=toxic_docs, clean_docs=clean_docs, train_bytes=train_bytes, id_col=id_col,
+                                      text_col=text_col, label_col=label_col)
+    net = train(texts, marks, window=window, stands_for=stands_for)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = Scorer(shared.value, window) if shared.value else None
         for batch in batches:
-            texts, out, at = batch.tolist(), np.zeros(len(batch)), 0
+            texts, out, at = [t.encode() for t in batch], np.zeros(len(batch)), 0
             while own and at < len(texts):  # about a megabyte of text at a time
                 stop, room = at, 1 << 20
                 while stop < len(texts) and (stop == at or room >= len(texts[stop])):
