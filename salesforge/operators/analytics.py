@@ -15,6 +15,7 @@ from salesforge.functions.semantics import (
     fmt_fixed, fmt_thousands, num, pairwise_corr, round_half_even, sum0, ts, weekday_name,
 )
 from salesforge.functions.schema import NUMERIC_SALES_COLUMNS
+from salesforge.session import materialize
 
 METRIC_COLS = ["name", "value", "unit", "description", "period"]
 # Weekday names in calendar order.
@@ -278,6 +279,7 @@ def product_performance(df: DataFrame, top_n: int = 10) -> DataFrame:
                  r2(sum0("quantity")).alias("total_quantity"),
                  r2(F.avg("unit_price")).alias("avg_price"),
                  r2(F.avg("discount")).alias("avg_discount")))
+    perf = materialize(perf)  # one row per product; the table is read once
     top = perf.orderBy(F.col("total_revenue").desc(), F.col("product_id")).limit(top_n)
     ties = (perf.select("total_revenue")
             .join(F.broadcast(top.select("total_revenue").distinct()), "total_revenue")
@@ -373,11 +375,11 @@ def seasonal_patterns(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 def all_metrics(df: DataFrame) -> DataFrame:
     """AGG10: every metric list, tagged with its category.  The lists share three
-    aggregates -- one over the rows, one per month, one per product -- so the table is
-    read three times, not once per list."""
-    flat = df.agg(*_flat_aggs(df)) if _flat_aggs(df) else None
-    per = _period_revenue(df, "month", style="period") if _has(df, "date", "total_sales") else None
-    prod = _products(df) if _has(df, "product_id", "total_sales", "quantity") else None
+    aggregates -- one over the rows, one per month, one per product -- that are settled
+    first, so the table is read three times, not once per list."""
+    flat = materialize(df.agg(*_flat_aggs(df))) if _flat_aggs(df) else None
+    per = materialize(_period_revenue(df, "month", style="period")) if _has(df, "date", "total_sales") else None
+    prod = materialize(_products(df)) if _has(df, "product_id", "total_sales", "quantity") else None
     frames = [("basic", basic_metrics_long(df, flat)), ("time_based", time_based_metrics(df, "month", per)),
               ("product", product_metrics(df, prod)), ("trends", trend_metrics(df, 3, per).drop("trend")),
               ("efficiency", efficiency_metrics(df, prod, flat))]
@@ -467,7 +469,7 @@ def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
     cols = ["type", "title", "description", "value_num", "value_text"]
     scalars = [a for a, ok in ((snap(sum0("total_sales")).alias("rev"), _has(df, "total_sales")),
                                (F.avg("discount").alias("disc"), _has(df, "discount"))) if ok]
-    flat = df.agg(*scalars) if scalars else None  # one pass for both scalar insights
+    flat = materialize(df.agg(*scalars)) if scalars else None  # one pass for both scalar insights
     if _has(df, "total_sales"):
         rev = flat.select(F.col("rev").alias("v")).where(F.col("v") > 0)
         frames.append(rev.select(F.lit("revenue").alias("type"), F.lit("Total Revenue").alias("title"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from salesforge.functions.quantiles import exact_quantiles
 from salesforge.functions.semantics import numeric_columns, pct
+from salesforge.operators.fingerprint import row_key
 
 ANOMALY_COLUMNS = ["total_sales", "quantity", "unit_price"]
 
@@ -78,14 +79,16 @@ def outlier_summary(df: DataFrame, columns: list[str] | None = None, method: str
             .withColumn("outlier_percentage", pct("outlier_count", "__n")).drop("__n"))
 
 
-def outlier_rows(df: DataFrame, columns: list[str] | None = None, method: str = "iqr") -> DataFrame:
+def outlier_rows(df: DataFrame, columns: list[str] | None = None, method: str = "iqr", digits: int | None = None) -> DataFrame:
     """The outlier rows themselves for OUT1/OUT2 (the reference lists row positions; a
-    distributed table has none, so rows are returned with the offending column)."""
+    distributed table has none, so rows are returned with the offending column and
+    ``row_key``, by which they can be joined back)."""
     columns = columns or numeric_columns(df)
     params = _params(df, columns, method)
     # explode + filter (not array_compact, a lambda function that leaves codegen)
     tags = F.array(*[F.when(_flag(c, method, params[c]), F.lit(c)) for c in columns])
-    return df.withColumn("outlier_column", F.explode(tags)).where(F.col("outlier_column").isNotNull())
+    keyed = df.withColumn("row_key", row_key(df, digits))
+    return keyed.withColumn("outlier_column", F.explode(tags)).where(F.col("outlier_column").isNotNull())
 
 
 def anomalies(df: DataFrame, method: str = "iqr") -> DataFrame:

@@ -40,12 +40,16 @@ def _cell(f: T.StructField, digits: int | None) -> Column:
     return F.concat(F.lit(f.name), F.coalesce(F.concat(F.lit("="), value), F.lit("!")))
 
 
+def row_key(df: DataFrame, digits: int | None = None) -> Column:
+    """A key of a row's content: the MD5 of its text.  Equal rows have equal keys."""
+    return F.md5(F.concat_ws(SEPARATOR, *[_cell(f, digits) for f in df.schema.fields]))
+
+
 def fingerprint(df: DataFrame, digits: int | None = None) -> DataFrame:
     """One row: ``rows`` and ``fingerprint`` (the sum of the row hashes, as text).  With
     ``digits`` doubles that agree in so many significant digits count as equal; without,
     only equal ones do."""
-    row = F.concat_ws(SEPARATOR, *[_cell(f, digits) for f in df.schema.fields])
-    h = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)")
+    h = F.conv(F.substring(row_key(df, digits), 1, 15), 16, 10).cast("decimal(38,0)")
     zero = F.lit(0).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), zero).cast("string").alias("fingerprint"))
 

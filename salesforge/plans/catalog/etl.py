@@ -11,7 +11,7 @@ from salesforge.operators import fingerprint as FP
 from salesforge.operators import queries as Q
 from salesforge.operators import transform as T
 from salesforge.operators import validate as V
-from salesforge.plans.oracle import AS_OF_SQL, DATE, DIRTY_CTE, NUM, SALES_CTE, TEXT_CTE, R, with_
+from salesforge.plans.oracle import AS_OF_SQL, DATE, DIRTY_CTE, NUM, ROW_KEY, SALES_CTE, TEXT_CTE, R, with_
 from salesforge.plans.registry import register, stable
 from salesforge.sources import fixtures as FX
 from salesforge.sources import sinks as SK
@@ -182,22 +182,8 @@ def _load_metrics(spark, sf_dir):
                   sums=("total_sales", "daily_total_revenue", "daily_total_quantity"))
 
 
-# The text of a value: a null mark or "=" and the value; doubles as ten significant digits.
-def _cell(c: str, number: bool) -> str:
-    if not number:
-        return f"'{c}' || coalesce('=' || CAST({c} AS VARCHAR), '!')"
-    e = f"(9 - CAST(floor(log10(abs({c}))) AS INTEGER))"
-    return (f"'{c}' || coalesce(CASE WHEN {c} = 0 THEN '=0' WHEN {e} >= 0 "
-            f"THEN '=' || CAST(CAST(round_even({c} * pow(10.0, {e}), 0) AS BIGINT) AS VARCHAR) || 'e' || CAST(-{e} AS VARCHAR) "
-            f"ELSE '=' || CAST(CAST(round_even({c} / pow(10.0, -{e}), 0) AS BIGINT) AS VARCHAR) || 'e' || CAST(-{e} AS VARCHAR) END, '!')")
-
-
-_CELLS = " || chr(31) || ".join(_cell(c, c in NUMERIC_SALES_COLUMNS) for c in
-                               ["date", "product_id", "quantity", "unit_price", "discount", "total_sales"])
-
-
 @register("dataset_fingerprint", with_(DIRTY_CTE) + f"""
-SELECT count(*) AS rows, CAST(coalesce(sum(CAST(('0x' || substr(md5({_CELLS}), 1, 15)) AS HUGEINT)), 0) AS VARCHAR) AS fingerprint
+SELECT count(*) AS rows, CAST(coalesce(sum(CAST(('0x' || substr({ROW_KEY}, 1, 15)) AS HUGEINT)), 0) AS VARCHAR) AS fingerprint
 FROM sales_dirty""")
 def _dataset_fingerprint(spark, sf_dir):
     return FP.fingerprint(FX.sales_dirty(spark, sf_dir), digits=10)
@@ -250,3 +236,23 @@ def _sales_record_rejects(spark, sf_dir):
     _, rejects = SK.to_sales_records(FX.sales_text(spark, sf_dir))
     rejects = rejects.where("unit_price <> 'Infinity'")
     return stable(rejects.withColumns({c: F.col(c).try_cast("double") for c in ("unit_price", "discount", "total_sales")}))
+
+
+# ---------------------------------------------------------------------------------------
+# TRF5 (totals that are absent) and TRF7 (names that need normalising)
+# ---------------------------------------------------------------------------------------
+@register("computed_totals", with_(SALES_CTE) + f"""
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount,
+       {R('quantity * unit_price * (1 - discount)', 6)} AS total_sales, {R('quantity * unit_price', 6)} AS gross_sales
+FROM sales""")
+def _computed_totals(spark, sf_dir):
+    out = T.calculate_metrics(FX.sales(spark, sf_dir).drop("total_sales"))
+    return stable(out.drop("discount_amount", "profit_margin"), dp=6)
+
+
+@register("normalized_names", with_(DIRTY_CTE) + f"""
+SELECT date, product_id, {R(R('quantity', 2), 6)} AS quantity, {R(R('unit_price', 2), 6)} AS unit_price,
+       {R(R('discount', 2), 6)} AS discount, {R(R('total_sales', 2), 6)} AS total_sales FROM sales_dirty""")
+def _normalized_names(spark, sf_dir):
+    raw = FX.sales_dirty(spark, sf_dir).toDF("Date ", " PRODUCT ID", "Quantity", "Unit Price", "DISCOUNT", "Total Sales")
+    return stable(T.standardize_columns(raw), dp=6)

@@ -12,7 +12,7 @@ from salesforge.operators import history as H
 from salesforge.operators import legacy as L
 from salesforge.operators import quality as DQ
 from salesforge.operators import rules as RU
-from salesforge.plans.oracle import AS_OF_SQL, DATE, DIRTY_CTE, HISTORY_CTE, NUM, RUNS_CTE, TEXT_CTE, R, with_
+from salesforge.plans.oracle import AS_OF_SQL, DATE, DIRTY_CTE, HISTORY_CTE, NUM, ROW_KEY, RUNS_CTE, TEXT_CTE, R, with_
 from salesforge.plans.registry import register, stable
 from salesforge.sources import fixtures as FX
 
@@ -135,10 +135,12 @@ def _issues_sql(cte: str, src: str, typed: bool) -> str:
             "affected_rows, affected_columns FROM (" + "\nUNION ALL\n".join(parts) + ")")
 
 
-def _score_sql(cte: str, src: str, typed: bool) -> str:
-    """Intended weighting: mean metric value per category, weighted."""
+def _score_sql(cte: str, src: str, typed: bool, as_written: bool = False) -> str:
+    """Mean metric value per category, weighted; ``as_written`` takes the first token of
+    the metric's name for its category."""
     rows = _metric_rows(typed)
-    m = "\nUNION ALL\n".join(f"SELECT '{cat}' AS category, {v} AS value FROM s" for (_n, v, *_r, cat, _i) in rows)
+    m = "\nUNION ALL\n".join(f"SELECT '{n.split('_')[0] if as_written else cat}' AS category, {v} AS value FROM s"
+                              for (n, v, *_r, cat, _i) in rows)
     w = " UNION ALL ".join(f"SELECT '{k}' AS category, {wt} AS weight" for k, wt in DQ.WEIGHTS.items())
     return f"""(SELECT coalesce(sum(mv * weight), 0) FROM
       (SELECT category, avg(value) AS mv FROM ({m}) GROUP BY category) x JOIN ({w}) y USING (category))"""
@@ -171,6 +173,13 @@ def _quality_issues(spark, sf_dir):
     return stable(_report(spark, sf_dir).issues_df().drop("sample_data"))
 
 
+@register("quality_score_as_written", with_(DIRTY_CTE, _stats_cte("sales_dirty", True)) + f"""
+SELECT {R(_score_sql(DIRTY_CTE, 'sales_dirty', True, as_written=True))} AS overall_score FROM s""")
+def _quality_score_as_written(spark, sf_dir):
+    rep = DQ.run_all_checks(FX.sales_dirty(spark, sf_dir), FX.AS_OF, score_mode="as_written", samples=False)
+    return stable(spark.createDataFrame([(rep.overall_score,)], "overall_score double"))
+
+
 @register("quality_summary", with_(DIRTY_CTE, _stats_cte("sales_dirty", True)) + f"""
 SELECT {AS_OF_SQL} AS timestamp, n AS total_records, CAST(6 AS BIGINT) AS total_columns,
        {R(R(_score_sql(DIRTY_CTE, 'sales_dirty', True), 2))} AS overall_score,
@@ -330,6 +339,48 @@ def _legacy_quality_score(spark, sf_dir):
     return stable(L.quality_score(FX.sales_dirty(spark, sf_dir)))
 
 
+def _legacy_report_sql() -> str:
+    rows = [f"SELECT 'completeness' AS section, '{c}' AS name, {R(f'(1.0 - CAST(count(*) - count({c}) AS DOUBLE) / count(*)) * 100.0')} AS value "
+            "FROM sales_dirty" for c in SALES_COLUMNS]
+    rows += [f"SELECT 'outliers', '{c}', {R(f'CAST(count(*) FILTER (WHERE {c} < {c}_lo OR {c} > {c}_hi) AS DOUBLE) / count(*) * 100')} "
+             "FROM sales_dirty, bnd" for c in NUM4]
+    rows += [f"SELECT 'business_rules', '{name}', {R(f'count(*) FILTER (WHERE coalesce({cond}, false))')} FROM sales_dirty"
+             for name, cond in LEG_FLAGS.items()]
+    score = _legacy_score_sql().split("SELECT " + R("completeness_penalty"))[0].removeprefix(with_(DIRTY_CTE))
+    rows.append(f"SELECT 'score', 'data_quality_score', {R('data_quality_score')} FROM fin")
+    return with_(DIRTY_CTE) + score + "\nUNION ALL\n".join(rows)
+
+
+@register("legacy_report", _legacy_report_sql())
+def _legacy_report(spark, sf_dir):
+    return stable(L.comprehensive_report(FX.sales_dirty(spark, sf_dir)))
+
+
+@register("business_rule_rows", with_(DIRTY_CTE) + "\nUNION ALL\n".join(
+    f"SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, {R('total_sales', 6)} AS total_sales, "
+    f"{ROW_KEY} AS row_key, '{name}' AS rule FROM sales_dirty WHERE coalesce({cond}, false)"
+    for name, cond in LEG_FLAGS.items()))
+def _business_rule_rows(spark, sf_dir):
+    return stable(L.business_rule_rows(FX.sales_dirty(spark, sf_dir), digits=10), dp=6)
+
+
+@register("rule_results_custom", with_(DIRTY_CTE) + f"""
+SELECT CAST(1 AS BIGINT) AS rule_order, 'large_orders' AS rule_name, 'warning' AS severity, 90.0::DOUBLE AS threshold,
+       (count(*) - count(*) FILTER (WHERE quantity > 45)) * 100.0 / count(*) >= 90.0 AS passed,
+       {R('(count(*) - count(*) FILTER (WHERE quantity > 45)) / count(*) * 100.0')} AS score,
+       CAST(count(*) FILTER (WHERE quantity > 45) AS VARCHAR) || ' large orders' AS issues, NULL::VARCHAR AS error
+FROM sales_dirty""")
+def _rule_results_custom(spark, sf_dir):
+    """UDF1: a rule of the user's own, evaluated in the shared aggregate."""
+    def check(df, context):
+        def evaluate(v):
+            score = (v["n"] - v["large"]) / v["n"] * 100.0
+            return {"passed": score >= context["threshold"], "score": score, "issues": [f"{v['large']} large orders"]}
+        return RU.RuleCheck({"n": F.count(F.lit(1)), "large": F.count_if(F.col("quantity") > 45)}, evaluate)
+    rule = RU.QualityRule("large_orders", "Few orders are large", "warning", check, 90.0)
+    return stable(RU.DataQualityRules([rule]).run_all(FX.sales_dirty(spark, sf_dir), FX.AS_OF))
+
+
 # ---------------------------------------------------------------------------------------
 # DQ17 / WIN4 / WIN5 / AGG12 / AGG13
 # ---------------------------------------------------------------------------------------

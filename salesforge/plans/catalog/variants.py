@@ -12,7 +12,7 @@ from salesforge.operators import validate as V
 from salesforge.plans.catalog.analytics import _iqr_cte, _trend_sql
 from salesforge.plans.catalog.etl import TRANSFORM_CTES, _exp_sql
 from salesforge.plans.catalog.quality import _issues_sql, _metrics_sql, _rules_sql
-from salesforge.plans.oracle import DIRTY_CTE, SALES_CTE, TEXT_CTE, R, with_
+from salesforge.plans.oracle import DIRTY_CTE, ROW_KEY, SALES_CTE, TEXT_CTE, R, with_
 from salesforge.plans.registry import register, stable
 from salesforge.sources import fixtures as FX
 
@@ -101,10 +101,10 @@ NUM4 = ["quantity", "unit_price", "discount", "total_sales"]
 
 @register("outlier_rows_iqr", with_(SALES_CTE, _iqr_cte("sales", NUM4)) + "\nUNION ALL\n".join(
     f"SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, "
-    f"{R('total_sales', 6)} AS total_sales, '{c}' AS outlier_column FROM sales, bnd "
+    f"{R('total_sales', 6)} AS total_sales, {ROW_KEY} AS row_key, '{c}' AS outlier_column FROM sales, bnd "
     f"WHERE {c} < {c}_lo OR {c} > {c}_hi" for c in NUM4))
 def _outlier_rows_iqr(spark, sf_dir):
-    return stable(O.outlier_rows(FX.sales(spark, sf_dir), method="iqr"), dp=6)
+    return stable(O.outlier_rows(FX.sales(spark, sf_dir), method="iqr", digits=10), dp=6)
 
 
 @register("expectation_suite_dirty", with_(DIRTY_CTE) + _exp_sql("sales_dirty"))
