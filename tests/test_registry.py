@@ -53,7 +53,7 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = rel.columns
     assert sorted(dcols) == cols
     tmap = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
-            "timestamp_ntz": "TIMESTAMP"}
+            "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
     dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
     assert {f.name: tmap.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields} \
         == dtypes
