@@ -36,10 +36,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.llm.common import Scratch, join_groups, settled, utf8
+from salesforge.llm.common import Scratch, join_groups, settled, slices, utf8
 from salesforge.llm.graph import components
 
 BITS = 64
+SMALL = 200_000  # rows that may be broadcast
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -66,7 +67,7 @@ def fingerprint(text: bytes, shingle: int) -> int:
 def fingerprints(docs: DataFrame, *, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = np.fromiter((fingerprint(t, shingle) for t in utf8(b.column(1))), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
@@ -117,10 +118,13 @@ def links(fps: DataFrame, *, radius: int, segments: int = 3, crowd: int = 64) ->
     probes = fps.select("fp", F.explode(around).alias("k")).select("fp", "k.part", "k.value")
     crowded = settled(entries.groupBy("part", "value").count().where(F.col("count") > crowd).select("part", "value"))
     at = ["part", "value"]
-    roomy = entries.join(crowded, at, "left_anti").withColumnRenamed("fp", "b")
-    found = (probes.withColumnRenamed("fp", "a").join(roomy, at).where("a <> b")
+    some = crowded.count()
+    if some and some <= SMALL:  # a few entries, by a check of their number: the probes stay where they are
+        crowded = F.broadcast(crowded)
+    roomy = entries.join(crowded, at, "left_anti") if some else entries
+    found = (probes.withColumnRenamed("fp", "a").join(roomy.withColumnRenamed("fp", "b"), at).where("a <> b")
              .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b"))
-    if crowded.isEmpty():
+    if not some:
         return found
     dense = settled(probes.join(crowded, at, "left_semi").select("fp").distinct())
     return found.unionByName(_ball_links(dense, radius))
