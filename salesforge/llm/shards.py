@@ -9,9 +9,9 @@ places in the whole order.  A shard is an equal share of that order by bytes: sh
 sizes differ by the size of one record at most.
 
 Scale: only (hash, id, salt, size) is read for sampling and counting; the records are
-shuffled once, into ranges of about a ``per_shard``-th of a shard; the salt splits a
-range of identical rows.  The sample and the totals have a few rows per range, and the
-number of ranges is a parameter times the number of shards.
+shuffled once, into ranges of about a ``per_shard``-th of a shard and at most about ``range_bytes``;
+the salt splits a range of identical rows.  The sample and the totals have a few rows
+per range: the driver holds some ``oversample`` keys for every ``range_bytes`` of text.
 
 Edge cases: null text has no bytes; a null id comes first; repeated rows are records of
 their own; an empty table gives no rows; with fewer records than shards some shards are
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salesforge.llm.common import Scratch, settled, text_of
+from salesforge.llm.common import Scratch, pieces_of, settled, text_of
 
 OVERHEAD = 16  # bytes a record takes besides its text
 
@@ -70,7 +70,7 @@ def _sample(keys: DataFrame, rate: Column, seed: int) -> DataFrame:
 
 def splitters(keys: DataFrame, ranges: int, oversample: int, rounds: int) -> list[tuple[int, int]]:
     """Range boundaries for keys (k1, k2, size).  The driver sees about ``ranges *
-    oversample`` sampled keys and one total per range, whatever the size of the table."""
+    oversample`` sampled keys and one total per range."""
     total = keys.agg(F.sum("size")).first()[0] or 0
     if not total:
         return []
@@ -95,7 +95,7 @@ def splitters(keys: DataFrame, ranges: int, oversample: int, rounds: int) -> lis
 
 
 def shard(docs: DataFrame, scratch: Scratch, *, shards: int, text_col: str = "text", id_col: str = "doc_id",
-          per_shard: int = 8, oversample: int = 8, rounds: int = 4) -> DataFrame:
+          per_shard: int = 8, range_bytes: int = 256 << 20, oversample: int = 8, rounds: int = 4) -> DataFrame:
     """All columns of ``docs`` and ``size``, ``shard`` (0 to shards - 1), ``slot`` (0, 1,
     ... within the shard); columns of these three names that ``docs`` has are replaced.
     Release ``scratch`` once the result has been written."""
@@ -105,14 +105,15 @@ def shard(docs: DataFrame, scratch: Scratch, *, shards: int, text_col: str = "te
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("record"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
         F.xxhash64(text).alias("k1"), F.xxhash64(F.col(f"`{id_col}`"), F.rand(7)).alias("k2"))
     keys = settled(keyed.select("k1", "k2", "size"))
-    found = splitters(keys, shards * per_shard, oversample, rounds)
+    ranges = pieces_of(keys.agg(F.sum("size")).first()[0], range_bytes, shards * per_shard)
+    found = splitters(keys, ranges, oversample, rounds)
     inside = Window.partitionBy("range").orderBy("k1", "k2")
     placed = (keyed.withColumn("range", range_number(found, F.col("k1"), F.col("k2")))
               .repartition("range")
               .withColumn("row", F.row_number().over(inside).cast("long"))
               .withColumn("upto", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))))
     placed = scratch.table(placed.drop("k1", "k2"), "ranges")
-    # One row per range: their number follows the parameters, not the table.
+    # One row per range, that is one for every range_bytes of the table.
     held = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     order = Window.orderBy("range")
     held = held.select("range", (F.sum("bytes").over(order) - F.col("bytes")).alias("bytes_before"),
