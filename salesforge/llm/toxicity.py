@@ -24,7 +24,6 @@ label says so; repeated rows get equal scores.  Language, source and id are no i
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,12 +184,6 @@ class Network:
         return g, np.concatenate([dfx, dbx[:, ::-1]], axis=2)
 
 
-def window_starts(n: int, window: int) -> range:
-    """Overlapping windows by half; the last one reaches the end."""
-    step = window // 2
-    return range(0, max(math.ceil((n - window) / step), 0) * step + 1, step)
-
-
 def windows(sizes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """(word places (N, window), -1 where a text has ended; the text of each window) for
     texts that stand one after the other."""
@@ -200,59 +193,53 @@ def windows(sizes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
     base = np.cumsum(sizes) - sizes
     inside = nth[:, None] * step + np.arange(window)
-    return np.where(inside < sizes[doc][:, None], base[doc][:, None] + inside, -1), doc
-
-
-def _leanings(docs: list[list[int]], y: np.ndarray, min_docs: int) -> dict[int, float]:
-    """Words of at least ``min_docs`` different documents and how far they lean to label 1:
-    the log odds ratio of document counts with a prior of five documents, in standard
-    errors."""
-    seen: set[int] = set()
-    counts: dict[int, list[int]] = {}
-    n = [0, 0]
-    for d, v in zip(docs, y.astype(int).tolist()):
-        key = hash(tuple(d))
-        if key in seen:  # copies count once
-            continue
-        seen.add(key)
-        n[v] += 1
-        for w in set(d):
-            counts.setdefault(w, [0, 0])[v] += 1
-    share = [5 * x / sum(n) for x in n]
-    out = {}
-    for w, (clean, toxic) in counts.items():
-        if clean + toxic >= min_docs:
-            a, b = toxic + share[1], clean + share[0]
-            out[w] = (math.log(a / (n[1] + 2 * share[1] - a)) - math.log(b / (n[0] + 2 * share[0] - b))) / math.sqrt(1 / a + 1 / b)
-    return out
+    return np.where(inside < sizes[doc][:, None], base[doc][:, None] + inside, -1).astype(np.int32), doc
 
 
-def train(texts: list[bytes], labels: list[int], *, window: int = 32, min_docs: int = 4, least_lean: float = 3.0,
-          max_words: int = 20_000, steps: int = 400, batch: int = 64, rate: float = 0.006, doubt: float = 0.7,
+def _leanings(word: np.ndarray, doc: np.ndarray, y: np.ndarray, min_docs: int) -> np.ndarray:
+    """How far each word leans to label 1: the log odds ratio of document counts with a
+    prior of five documents, in standard errors; 0 below ``min_docs`` documents."""
+    size = int(word.max()) + 1 if len(word) else 0
+    pairs = np.unique(doc.astype(np.int64) * max(size, 1) + word)
+    label, word = y[pairs // max(size, 1)], pairs % max(size, 1)
+    toxic, clean = (np.bincount(word[label == v], minlength=size) for v in (1, 0))
+    n = np.array([(y == 0).sum(), (y == 1).sum()], np.float64)
+    share = 5 * n / n.sum()
+    a, b = toxic + share[1], clean + share[0]
+    lean = (np.log(a / (n[1] + 2 * share[1] - a)) - np.log(b / (n[0] + 2 * share[0] - b))) / np.sqrt(1 / a + 1 / b)
+    return np.where(toxic + clean >= min_docs, lean, 0)
+
+
+def train(texts: list[bytes], labels: list[int], *, window: int = 32, min_docs: int = 4, least_lean: float = 4.0,
+          max_words: int = 20_000, steps: int = 400, batch: int = 128, rate: float = 0.01, doubt: float = 0.7,
           decay: float = 0.03, seed: int = 1, stands_for: tuple[float, float] = (1.0, 1.0)) -> Network | None:
     """A network fitted to whole documents in about ``steps`` steps; None without both
     labels.  ``stands_for``: how many labelled documents one of label 0 and one of label 1
     in ``texts`` stands for, by which the score is calibrated."""
-    y = np.array(labels, np.float32)
+    seen: dict[bytes, int] = {}
+    for text, label in zip(texts, labels):  # copies count once
+        seen[text] = max(seen.get(text, 0), label)
+    texts, y = list(seen), np.array(list(seen.values()), np.float32)
     if not len(y) or y.min() == y.max():
         return None
     rng = np.random.default_rng(seed)
     words = Words(texts)
     _, first, flat = np.unique(words.mixed(), return_index=True, return_inverse=True)
-    upto = np.cumsum(words.counts)
-    docs = [flat[e - n:e].tolist() for e, n in zip(upto.tolist(), words.counts.tolist())]
-    lean = _leanings(docs, y, min_docs)
-    names = {w: words.word(first[w]) for w in lean if lean[w] >= least_lean}
+    flat = flat.astype(np.int32)
+    lean = _leanings(flat, np.repeat(np.arange(len(texts)), words.counts), y, min_docs)
+    names = {w: words.word(first[w]) for w in np.flatnonzero(lean >= least_lean).tolist()}
     chosen = sorted(names, key=lambda w: (-lean[w], names[w]))[:max_words]
     net = Network({names[w]: i + 1 for i, w in enumerate(chosen)}, seed)
-    net.p["words"][1:, 0] = [np.clip(lean[w] / 3, -2, 2) for w in chosen]
-    ids = np.zeros(len(first), np.int64)
+    net.p["words"][1:, 0] = np.clip(lean[chosen] / 3, -2, 2)
+    ids = np.zeros(len(first), np.int32)
     ids[chosen] = np.arange(1, len(chosen) + 1)
     chars, n_chars = words.triples(first)
+    chars = chars.astype(np.int32)
     begin = np.cumsum(n_chars) - n_chars
     places, doc = windows(words.counts, window)
-    word = np.where(places >= 0, flat[places] if len(flat) else 0, -1)
-    fit = rng.random(len(docs)) < 0.8  # the others set the curve
+    word = np.where(places >= 0, flat[places] if len(flat) else 0, -1).astype(np.int32)
+    del words, flat, places
+    fit = rng.random(len(y)) < 0.8  # the others set the curve
     fit[[int(np.flatnonzero(y == v)[0]) for v in (0, 1)]] = True
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step, start = 0, {k: net.p[k].copy() for k in ("words", "chars")}
@@ -296,9 +283,9 @@ def train(texts: list[bytes], labels: list[int], *, window: int = 32, min_docs:
                 v += decay * (net.p[k] - start[k])
             m += 0.1 * (v - m)
             s += 0.001 * (v * v - s)
-            net.p[k] -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)
+            net.p[k] -= rate * max(1 - step / steps, 0.02) * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.999 ** step)) + 1e-8)
 
-    places_of = np.searchsorted(doc, np.arange(len(docs) + 1))
+    places_of = np.searchsorted(doc, np.arange(len(y) + 1))
     known = np.append(net.p["words"][ids, 0], np.float32(-2))  # the place -1
     turn = 0
     while step < steps:
@@ -308,7 +295,7 @@ def train(texts: list[bytes], labels: list[int], *, window: int = 32, min_docs:
         for i in np.flatnonzero(fit).tolist():
             own = np.arange(places_of[i], places_of[i + 1])
             top = own[np.argsort(-z[own], kind="stable")]
-            rows.append(top[:1] if y[i] else np.concatenate([top[:2], rng.permutation(top[2:])[:4]]))
+            rows.append(top[:1] if y[i] else np.concatenate([top[:1], rng.permutation(top[1:])[:1]]))
         rows = rng.permutation(np.concatenate(rows))
         share = y[doc[rows]].mean()
         weight = np.where(y[doc[rows]] > 0, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6)).astype(np.float32)
@@ -329,17 +316,24 @@ def _mask(word: np.ndarray) -> np.ndarray:
 
 
 def _curve(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Weighted logistic regression of y on z by Newton steps, with a weak pull to (0, 1)."""
-    a, b = 0.0, 1.0
+    """Weighted logistic regression of y on z by damped Newton steps, with a weak pull to
+    (0, 1)."""
     weight = weight * (len(z) / weight.sum())
+
+    def loss(t: np.ndarray) -> float:
+        m = t[0] + t[1] * z
+        return float((weight * (np.logaddexp(0, m) - y * m)).sum() + 0.25 * (t[0] ** 2 + (t[1] - 1) ** 2))
+    t = np.array([0.0, 1.0])
     for _ in range(50):
-        p = _sigmoid(a + b * z)
+        p = _sigmoid(t[0] + t[1] * z)
         w, e = weight * p * (1 - p), weight * (p - y)
-        g = np.array([e.sum() + 0.5 * a, (e * z).sum() + 0.5 * (b - 1)])
+        g = np.array([e.sum() + 0.5 * t[0], (e * z).sum() + 0.5 * (t[1] - 1)])
         h = np.array([[w.sum() + 0.5, (w * z).sum()], [(w * z).sum(), (w * z * z).sum() + 0.5]])
-        da, db = np.linalg.solve(h, g)
-        a, b = a - float(np.clip(da, -2, 2)), b - float(np.clip(db, -2, 2))
-    return a, max(b, 1e-3)
+        step, now = np.linalg.solve(h, g), loss(t)
+        while loss(t - step) > now and np.abs(step).max() > 1e-9:
+            step /= 2
+        t = t - step
+    return float(t[0]), max(float(t[1]), 1e-3)
 
 
 class Scorer:
@@ -409,7 +403,7 @@ def sample(docs: DataFrame, labels: DataFrame, *, toxic_docs: int, clean_docs: i
     return [r["text"].encode() for r in found], drawn, stands_for
 
 
-def scorer(docs: DataFrame, labels: DataFrame, *, toxic_docs: int = 1500, clean_docs: int = 4500, train_bytes: int = 16_384, window: int = 32,
+def scorer(docs: DataFrame, labels: DataFrame, *, toxic_docs: int = 1500, clean_docs: int = 3000, train_bytes: int = 8_192, window: int = 32,
            id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """Train on the labelled rows of ``docs``; a function from a text column to its score."""
     texts, marks, stands_for = sample(docs, labels, toxic_docs=toxic_docs, clean_docs=clean_docs, train_bytes=train_bytes, id_col=id_col,
