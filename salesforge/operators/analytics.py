@@ -175,6 +175,7 @@ def revenue_by_period(df: DataFrame, period: str = "month", style: str = "analyz
 def time_based_metrics(df: DataFrame, period: str = "month", per: DataFrame | None = None) -> DataFrame:
     """AGG4: best period (first in time order on ties) and, for months, the mean.
     ``per`` is an optional precomputed ``revenue_by_period`` frame."""
+    # Metric names, units and descriptions.
     if period not in ("month", "quarter") or not _has(df, "date", "total_sales"):
         return _explode_long(df.limit(0), [])
     per = per if per is not None else _period_revenue(df, period, style="period")
@@ -238,6 +239,7 @@ def _products(df: DataFrame) -> DataFrame:
 def product_metrics(df: DataFrame, prod: DataFrame | None = None) -> DataFrame:
     """AGG5: top product by revenue and by quantity (smallest id on ties), and the top-5
     revenue share.  The top 5 come from a bounded top-k, not a sort of all products."""
+    # Metric names, units and descriptions.
     if not _has(df, "product_id", "total_sales", "quantity"):
         return _explode_long(df.limit(0), [])
     prod = prod if prod is not None else _products(df)
@@ -463,6 +465,7 @@ def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
     to that many places before they are formatted, so the text does not depend on the
     order in which partial sums were added.
     """
+    # The types, titles and texts of the insights below.
     spark = df.sparkSession
     snap = (lambda c: round_half_even(c, money_dp)) if money_dp is not None else (lambda c: c)
     frames = []

@@ -171,7 +171,8 @@ def _inconsistent_sample(df: DataFrame, k: int = 3) -> list[dict]:
 
 def build_metrics(df_columns: list[str], s: dict, with_samples: list[dict] | None = None
                   ) -> tuple[list[dict], list[dict]]:
-    """Metric and issue rows from the stats row, in the reference's order and wording."""
+    """Metric and issue rows from the stats row, in the reference's order and wording.
+    Fixed values: metric names, descriptions, thresholds and issue messages below."""
     n = s["n"]
     metrics, issues = [], []
 

@@ -59,7 +59,7 @@ def _numeric(df: DataFrame, c: str) -> bool:
 
 
 # ---------------------------------------------------------------------------------------
-# Built-in rules (RUL1-RUL11)
+# Built-in rules (RUL1-RUL11).  Fixed values: their names, thresholds and messages.
 # ---------------------------------------------------------------------------------------
 def _required_fields(df: DataFrame, ctx: dict) -> RuleCheck:
     missing = [c for c in RULE_REQUIRED if c not in df.columns]

@@ -66,7 +66,7 @@ def gate_report(df: DataFrame, config: ValidationConfig | None = None) -> DataFr
 
 
 def gate(df: DataFrame, config: ValidationConfig | None = None) -> DataFrame:
-    """SCH1-SCH3 in one pass: required columns, strict type parse, inclusive ranges
+    """The error texts.  SCH1-SCH3 in one pass: required columns, strict type parse, inclusive ranges
     (NULL passes).  Raises ``ValueError`` naming the first failing column."""
     config = config or ValidationConfig()
     require_columns(df, config.required_columns)

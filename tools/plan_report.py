@@ -10,13 +10,15 @@ import argparse
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from salesforge.session import get_session  # noqa: E402
+from salesforge.session import ensure_checkpoint_dir, get_session  # noqa: E402
 
 COUNTERS = [
-    ("scans", r"(?:FileScan|Scan parquet|Scan ExistingRDD|Scan JDBC|LocalTableScan)"),
+    ("scans", r"FileScan|Scan JDBC"),
+    ("settled", r"Scan ExistingRDD"),
     ("shuffles", r"Exchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)"),
     ("broadcasts", r"BroadcastExchange"),
     ("reused", r"Reused"),
@@ -35,13 +37,14 @@ def main() -> None:
     a = ap.parse_args()
     spark = get_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="sf-plans-"))  # a local run
     from salesforge.plans import registry
 
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `tools/plan_report.py` at `{a.sf}`: counts of operators in each query's final "
           "(post-AQE) physical plan. Operators that compute statistics or settle shared aggregates first "
           "(quantiles, sigma filters, quality counts, product totals) run those as jobs of their own before: "
-          "their number is in the last column.\n")
+          "their number is in the last column; `settled` are reads of such a result.\n")
     print("| query | " + " | ".join(n for n, _ in COUNTERS) + " | jobs before |")
     print("|---|" + "---|" * (len(COUNTERS) + 1))
     for name, fn in registry.queries().items():
