@@ -39,6 +39,13 @@ class PipelineResult:
     load_metrics: DataFrame
     gate_passed: bool
     durations: dict[str, float] = field(default_factory=dict)
+    settled: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Free what the run persisted, once its frames have been read.  Checkpointed
+        stages go with their files when Spark's cleaner finds them unused."""
+        for df in self.settled:
+            df.unpersist()
 
 
 def run(source: DataFrame, as_of: datetime, order: tuple[str, str] = ("validate", "transform"),
@@ -89,4 +96,5 @@ def run(source: DataFrame, as_of: datetime, order: tuple[str, str] = ("validate"
     perf = A.product_performance(transformed)
     load = A.load_metrics(transformed, Q.sales_by_date(transformed))
     lap("analytics_plan")
-    return PipelineResult(pre, post, accepted, rejected, transformed, insights, perf, load, gate_ok, durations)
+    return PipelineResult(pre, post, accepted, rejected, transformed, insights, perf, load, gate_ok, durations,
+                          [df, transformed] if materialize_stages else [])

@@ -34,6 +34,8 @@ def test_pipeline_end_to_end(spark):
     assert 0 < res.product_performance.count() <= 10
     lm = res.load_metrics.first()
     assert lm["records_processed"] == res.transformed.count()
+    res.release()
+    assert res.settled and not any(df.is_cached for df in res.settled)
 
 
 def test_pipeline_transform_first(spark):
