@@ -1,19 +1,23 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
 Words are runs of letters and digits, lower-cased; shingles are ``shingle`` consecutive
-words.  Wherever a document has a shingle of a benchmark item, the window of the item's
-size that puts both in the same place gets a SimHash (a window without any common
-shingle has similarity zero).  The items' fingerprints are indexed by four 16-bit
-blocks, each with all values at most ``radius // 4`` bits away: a window within
-``radius`` bits of an item has at least one block within that many bits of the item's
-(otherwise the distance would be larger), so no such window is missed.  Of the
-candidates the whole distance is checked and then the exact similarity: common over all
-shingles, each weighted by how often it occurs.
-
-Scale: documents are read once and not shuffled; a map-side join with the items'
-shingles, broadcast in blocks of at most ``block_rows`` rows, leaves only windows, which
-are small.  Everything after that works on windows and items.  A passage that many
-documents share costs each of them its own windows; nothing is grouped by passage.
+words.  A window has the size of an item.  The places of a document whose shingle stands
+in any item of that size are counted over the window's length: where fewer are hit than
+the similarity needs, no item of the size can reach it, and every other start gets a
+window and a SimHash, wherever in the item the hits stand.  The items' fingerprints are
+indexed by four 16-bit blocks, each with all values at most ``radius // 4`` bits away: a
+window within ``radius`` bits of an item has at least one block within that many bits of
+the item's (otherwise the distance would be larger), so no such window is missed.  Of
+the candidates the whole distance is checked and then the exact similarity: common over
+all shingles, each weighted by how often it occurs.
+
+Scale: documents are numbered in a written table and read twice.  A map-side join with
+the items' shingles, broadcast in blocks of at most ``block_rows`` rows, leaves the hit
+places, which meet per document and size.  Their window starts are broadcast to the
+documents if they are at most ``block_rows``; otherwise documents and starts are
+shuffled by the document's number.  Everything after that works on windows and items.  A
+passage that many documents share costs each of them its own windows; nothing is grouped
+by passage.
 
 Edge cases: null text is empty; items or documents with fewer words than a shingle are
 one shingle of all their words; an item without words matches nothing; items with the
@@ -77,6 +81,35 @@ def _block(i: int, mask: Column | None = None) -> Column:
     return value if mask is None else value.bitwiseXOR(mask)
 
 
+def _weight(n: Column, shingle: int) -> Column:
+    """How many shingles ``n`` words have."""
+    return F.greatest(n - shingle + 1, F.lit(1))
+
+
+def _starts(hits: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(rid, item_n, starts): all starts of windows of item_n words with enough hits, for
+    hit places (rid, n, item_n, at) of documents of n words.
+
+    If c hits are needed, a window has them if it begins at or before some hit and ends
+    with or after the (c - 1)th hit after that; the starts each hit adds to those before
+    it are one range."""
+    size = _weight(F.least("n", "item_n"), shingle)  # shingles of a window
+    need = (size + _weight(F.col("item_n"), shingle)) * (similarity / (1 + similarity))
+    spots = (hits.groupBy("rid", "n", "item_n").agg(F.sort_array(F.collect_list("at")).alias("places"))
+             .select("rid", "item_n", "places", size.alias("size"), F.greatest(F.col("n") - F.col("item_n"), F.lit(0)).alias("last"),
+                     F.greatest(F.ceil(need - 1e-6).cast("int"), F.lit(1)).alias("need"))
+             .where(F.size("places") >= F.col("need")))
+
+    def added(i: Column) -> Column:
+        before = F.when(i > 0, F.least(F.get("places", i - 1), F.col("last"))).otherwise(F.lit(-1))
+        lo = F.greatest(F.get("places", i + F.col("need") - 1) - F.col("size") + 1, before + 1)
+        hi = F.least(F.get("places", i), F.col("last"))
+        return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+
+    spots = spots.select("rid", "item_n", F.flatten(F.transform(F.sequence(F.lit(0), F.size("places") - F.col("need")), added)).alias("starts"))
+    return spots.where(F.size("starts") > 0)
+
+
 def matches(docs: DataFrame, items: DataFrame, *, shingle: int = 5, similarity: float = 0.8, radius: int = 15,
             rid: Column | None = None, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
             item_text_col: str = "text", block_rows: int = 500_000) -> DataFrame:
@@ -87,27 +120,34 @@ def matches(docs: DataFrame, items: DataFrame, *, shingle: int = 5, similarity:
                     .withColumn("item", F.monotonically_increasing_id()))
     anchors = bench.select("words", "n", F.explode(_places(F.col("n"), shingle)).alias("at"))
     anchors = settled(anchors.select(
-        F.xxhash64(*_shingle_at("words", F.col("at"), shingle)).alias("h"), F.col("at").alias("item_at"),
-        F.col("n").alias("item_n")).distinct())
-
-    own = docs.select((F.monotonically_increasing_id() if rid is None else rid).alias("rid"),
-                      F.col(f"`{id_col}`").alias("doc_id"), words_of(text_of(text_col)).alias("words"))
-    own = own.withColumn("n", F.size("words")).where("n > 0")
-    at = own.select("rid", "doc_id", "words", "n", F.explode(_places(F.col("n"), shingle)).alias("at"))
-    at = at.select("rid", "doc_id", "words", "n", "at", F.xxhash64(*_shingle_at("words", F.col("at"), shingle)).alias("h"))
+        F.xxhash64(*_shingle_at("words", F.col("at"), shingle)).alias("h"), F.col("n").alias("item_n")).distinct())
+
+    scratch = Scratch(docs.sparkSession)
+    if rid is None:
+        docs, number = scratch.numbered(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+        rid = F.col(number)
+    text = docs.select(rid.alias("rid"), F.col(f"`{id_col}`").alias("doc_id"), text_of(text_col).alias("text"))
+    own = text.select("rid", words_of(F.col("text")).alias("words")).withColumn("n", F.size("words")).where("n > 0")
+    at = own.select("rid", "words", "n", F.explode(_places(F.col("n"), shingle)).alias("at"))
+    at = at.select("rid", "n", "at", F.xxhash64(*_shingle_at("words", F.col("at"), shingle)).alias("h"))
     # The benchmark's shingles in blocks: each is broadcast and is bounded by block_rows.
     blocks = max(1, -(-anchors.count() // block_rows))
-    windows = None
+    hits = None
     for i in range(blocks):
         part = anchors.where(F.pmod("h", F.lit(blocks)) == i)
-        hit = at.join(F.broadcast(part), "h")
-        start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("item_at"), F.col("n") - F.col("item_n")))
-        hit = hit.select("rid", "doc_id", "words", "item_n", start.alias("start")).select(
-            "rid", "doc_id", "start", "item_n",
-            F.concat_ws(" ", F.slice("words", F.col("start") + 1, F.col("item_n"))).alias("window"))
-        windows = hit if windows is None else windows.unionByName(hit)
-    windows = settled(windows.distinct().withColumn("words", F.split("window", " ", -1)).drop("window")
+        hit = at.join(F.broadcast(part), "h").select("rid", "n", "item_n", "at")
+        hits = hit if hits is None else hits.unionByName(hit)
+    spots = settled(_starts(hits, shingle, similarity))
+    held = spots.agg(F.sum(F.size("starts"))).first()[0] or 0
+    spots = F.broadcast(spots) if held <= block_rows else spots.hint("shuffle_hash")
+    windows = (text.join(spots, "rid").withColumn("words", words_of(F.col("text")))
+               .select("rid", "doc_id", "item_n", "words", F.explode("starts").alias("start"))
+               .select("rid", "doc_id", "item_n", "start", F.concat_ws(" ", F.slice("words", F.col("start") + 1, F.col("item_n"))).alias("window")))
+    # Of a document's equal windows the first one stands for all.
+    windows = windows.groupBy("rid", "doc_id", "item_n", "window").agg(F.min("start").alias("start"))
+    windows = settled(windows.withColumn("words", F.split("window", " ", -1)).drop("window")
                       .withColumn("win", F.monotonically_increasing_id()))
+    scratch.release()
 
     # Fingerprints of windows and items; the index of the items with their Hamming balls.
     win_fp = simhash(_shingles(windows.select("win", "item_n", "words"), shingle), ["win", "item_n"])
@@ -134,8 +174,7 @@ def matches(docs: DataFrame, items: DataFrame, *, shingle: int = 5, similarity:
               .agg(F.sum(F.least("win_w", "item_w")).alias("both")))
     sized = (common.join(windows.select("win", "rid", "doc_id", "start", F.size("words").alias("wn")), "win")
              .join(bench.select("item", "item_id", "n"), "item"))
-    weight = lambda n: F.greatest(F.col(n) - shingle + 1, F.lit(1))
-    value = F.col("both") / (weight("wn") + weight("n") - F.col("both"))
+    value = F.col("both") / (_weight(F.col("wn"), shingle) + _weight(F.col("n"), shingle) - F.col("both"))
     found = sized.withColumn("similarity", value).where(F.col("similarity") >= similarity)
     best = found.groupBy("rid", "item").agg(F.min(F.struct(
         (-F.col("similarity")).alias("order"), "bits", "start", "doc_id", "item_id")).alias("b"))

@@ -83,6 +83,29 @@ def test_leaks_of_altered_passages(spark, block_rows):
     assert pairs <= want and len(pairs) >= 0.97 * len(want) and {(n, n % 12) for n in range(24)} <= pairs
 
 
+@pytest.mark.parametrize("block_rows", [1_000_000, 50])
+def test_leaks_of_swapped_passages(spark, block_rows):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), rng.integers(4, 9)))
+    items = [[word() for _ in range(n)] for n in (60, 60, 100, 100, 200, 200, 15)]
+    items[6][5:] = ["again"] * 10  # one shingle many times over
+    docs = []
+    for item in items:
+        n = len(item)
+        for cuts in ([n // 2], [n // 3, 2 * n // 3], [n // 4]):  # halves, three sentences, unequal parts
+            parts = [item[a:b] for a, b in zip([0, *cuts], [*cuts, n])]
+            for before, after in ((300, 300), (0, 7), (7, 0)):
+                docs.append(" ".join([*(word() for _ in range(before)), *(w for p in parts[::-1] for w in p), *(word() for _ in range(after))]))
+    docs.append(" ".join(["again"] * 400 + items[6] + ["again"] * 400))
+    docs = pd.DataFrame({"doc_id": range(len(docs)), "text": docs})
+    items = pd.DataFrame({"item_id": range(len(items)), "text": [" ".join(w) for w in items]})
+    found = decontaminate.matches(spark.createDataFrame(docs), spark.createDataFrame(items), block_rows=block_rows).toPandas()
+    pairs, want = set(zip(found.doc_id, found.item_id)), brute.leaks(docs, items)
+    assert len(want) > 40 and pairs == want
+    whole = found[found.doc_id == len(docs) - 1].iloc[0]
+    assert (whole.start, whole.bits, whole.similarity) == (400, 0, 1.0)
+
+
 def test_leak_edges(spark, edge, empty):
     items = spark.createDataFrame([(1, "one, two three FOUR five six"), (2, None), (3, "  "), (4, "a b c"), (4, "a b c"), (None, "other words here")],
                                   "item_id long, text string")
