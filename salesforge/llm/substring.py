@@ -1,9 +1,11 @@
 """Repeated passages by super-k-mer partitioning.
 
 A window is ``k`` consecutive words.  Every window has a minimiser: the smallest hash of
-its runs of ``m`` words.  Consecutive windows of a document with the same minimiser
-travel as one packed string of their words to the bucket of that minimiser, so equal
-windows meet in one bucket and a word is sent about three times instead of ``k`` times.
+its runs of ``m`` words, without runs that are crowded, or the hash of the whole window
+if all its runs are.  Equal windows have equal minimisers.  Consecutive windows of a
+document with the same minimiser travel as one packed string of their words to the
+bucket of that minimiser, so equal windows meet in one bucket and a word is sent about
+three times instead of ``k`` times.
 In its bucket the windows are sorted, which puts equal ones side by side; the words
 themselves are compared, so no hash decides.  Of equal windows the first one (smallest
 doc_id, then earliest start) stays; the words of all others are removed.
@@ -11,8 +13,13 @@ doc_id, then earliest start) stays; the words of all others are removed.
 Scale: the map side first sorts the windows of a few megabytes of text on its own and
 sends each different window once; what repeats there is removed already.  A passage that
 a third of all documents share therefore reaches its bucket once per few megabytes.
-Buckets are as many as the text has ``bucket_bytes``.  Only doc ids, starts and packed
-strings are shuffled, and the texts once to meet their removed ranges.
+Buckets are as many as the text has ``bucket_bytes``.  A run of words is crowded if it
+stands in the text about ``crowd`` times or more (``crowded_runs``): a short boilerplate
+in ever differing surroundings draws no windows to one bucket, they are dealt by their
+surroundings.  So a minimiser has at most ``crowd`` places, each with up to 2k - m words
+(some 30 MB), besides equal windows, of which there is one per few megabytes.  The driver
+holds the crowded runs' hashes, at most two for each ``crowd`` words.  Only doc ids,
+starts and packed strings are shuffled, and the texts once to meet their removed ranges.
 
 Edge cases: null text has no words; texts under ``k`` words keep all; documents that
 share a doc_id (repeated rows) are told apart and ordered by their place in the table; a
@@ -37,6 +44,7 @@ RANGES = "rid long, lo array<int>, hi array<int>"
 KEPT = "doc_id long, n_words long, n_removed long, kept string"
 LAST = (1 << 63) - 1  # the order of a null doc_id
 _BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
+NONE = np.uint64((1 << 64) - 1)  # after all hashes
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd; mixes word hashes by place
 
 
@@ -159,8 +167,16 @@ def _starts_of(counts: np.ndarray, words: np.ndarray, k: int) -> tuple[np.ndarra
     return base[of] + np.arange(len(of)) - begin[of], of
 
 
-def _split(docs: list[tuple], k: int, m: int, buckets: int, squeeze) -> Iterator[tuple]:
-    """Rows (SENT) for documents (doc_id, rid, text)."""
+def _frequent(text: bytes, m: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of m words that stand ``least`` times or more, and how often."""
+    runs, times = np.unique(_mixed(_window_hash(Lines(text).hash, m)), return_counts=True)
+    often = times >= least
+    return runs[often], times[often]
+
+
+def _split(docs: list[tuple], k: int, m: int, buckets: int, squeeze, crowded: np.ndarray) -> Iterator[tuple]:
+    """Rows (SENT) for documents (doc_id, rid, text); ``crowded``: sorted hashes of runs
+    that are no minimisers."""
     docs.sort(key=lambda d: (LAST if d[0] is None else d[0], d[1]))
     lines = Lines(b"\n".join([one_blank(text) for _, _, text in docs]))
     sizes = np.bincount(lines.line, minlength=len(docs))
@@ -169,7 +185,8 @@ def _split(docs: list[tuple], k: int, m: int, buckets: int, squeeze) -> Iterator
         return
     starts, doc = _starts_of(counts, sizes, k)
     base = np.cumsum(sizes) - sizes
-    again = _repeats(lines, _window_hash(lines.hash, k), starts, k)
+    sums = _window_hash(lines.hash, k)
+    again = _repeats(lines, sums, starts, k)
     # ranges that repeat within these documents
     at = np.flatnonzero(again)
     if len(at):
@@ -183,7 +200,13 @@ def _split(docs: list[tuple], k: int, m: int, buckets: int, squeeze) -> Iterator
             yield rid % buckets, rid, lo[a:b].tolist(), hi[a:b].tolist(), None
     # super-k-mers of the others
     at = np.flatnonzero(~again)
-    least = _sliding_min(_mixed(_window_hash(lines.hash, m)), k - m + 1)[starts[at]]
+    runs = _mixed(_window_hash(lines.hash, m))
+    if len(crowded):
+        place = np.minimum(np.searchsorted(crowded, runs), len(crowded) - 1)
+        runs[crowded[place] == runs] = NONE
+    least = _sliding_min(runs, k - m + 1)[starts[at]]
+    if len(crowded):
+        least = np.where(least == NONE, _mixed(sums[starts[at]]), least)
     breaks = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(doc[at]) != 0) | (least[1:] != least[:-1])])
     first, stop = _runs(breaks)
     owner, count = doc[at[first]], stop - first
@@ -228,10 +251,46 @@ def _settle(blobs: list[bytes], k: int) -> Iterator[tuple]:
         yield int(rid[a]), [int(place[a])], [int(place[b]) + k]
 
 
-def repeated_ranges(docs: DataFrame, *, k: int, m: int, bucket_bytes: int, chunk_bytes: int) -> DataFrame:
+def crowded_runs(docs: DataFrame, size: int, *, m: int, crowd: int, chunk_bytes: int) -> np.ndarray:
+    """Sorted hashes of runs of ``m`` words in ``docs`` (text) of ``size`` bytes: all that
+    stand there ``crowd`` times, and none that stands there less than half as often (runs
+    over the edge of two texts count too).
+
+    Each few megabytes report what stands there at least as often as their share of
+    ``crowd / 2``.  What they leave out adds up to less than ``crowd / 2`` for any run, so
+    one that stands there ``crowd`` times is reported over ``crowd / 2`` times."""
+    if size < crowd:  # fewer words than that
+        return np.empty(0, np.uint64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        room = chunk_bytes
+
+        def put():
+            share = sum(map(len, held)) / size
+            runs, times = _frequent(b"\n".join([one_blank(text) for text in held]), m, share * crowd / 2)
+            return pa.RecordBatch.from_arrays([pa.array(runs.view(np.int64)), pa.array(times.astype(np.int64))], names=["run", "times"])
+
+        for b in slices(batches):
+            for text in utf8(b.column(0)):
+                held.append(text)
+                room -= len(text)
+                if room < 0:
+                    yield put()
+                    held, room = [], chunk_bytes
+        if held:
+            yield put()
+
+    found = docs.select("text").mapInArrow(count, "run long, times long").groupBy("run").agg(F.sum("times").alias("times"))
+    rows = found.where(F.col("times") >= crowd / 2).select("run").toArrow()
+    return np.sort(rows.column("run").to_numpy().view(np.uint64))
+
+
+def repeated_ranges(docs: DataFrame, *, k: int, m: int, bucket_bytes: int, chunk_bytes: int, crowd: int) -> DataFrame:
     """(rid, lo, hi): word ranges to remove, for documents (rid, doc_id, text)."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = pieces_of(size, bucket_bytes)
+    crowded = crowded_runs(docs, size, m=m, crowd=crowd, chunk_bytes=chunk_bytes)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -241,7 +300,7 @@ def repeated_ranges(docs: DataFrame, *, k: int, m: int, bucket_bytes: int, chunk
         room = chunk_bytes
 
         def put():
-            rows = list(_split(held, k, m, buckets, squeeze))
+            rows = list(_split(held, k, m, buckets, squeeze, crowded))
             for at in range(0, len(rows), 512):
                 columns = list(zip(*rows[at:at + 512]))
                 kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
@@ -275,11 +334,11 @@ def repeated_ranges(docs: DataFrame, *, k: int, m: int, bucket_bytes: int, chunk
 
 
 def drop_repeats(docs: DataFrame, *, k: int = 20, m: int = 3, id_col: str = "doc_id", text_col: str = "text",
-                 bucket_bytes: int = 4 << 20, chunk_bytes: int = 8 << 20) -> DataFrame:
+                 bucket_bytes: int = 4 << 20, chunk_bytes: int = 8 << 20, crowd: int = 1 << 17) -> DataFrame:
     """One row per document (schema ``KEPT``): the words that stay, joined by a space."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    found = repeated_ranges(rows, k=k, m=m, bucket_bytes=bucket_bytes, chunk_bytes=chunk_bytes)
+    found = repeated_ranges(rows, k=k, m=m, bucket_bytes=bucket_bytes, chunk_bytes=chunk_bytes, crowd=crowd)
     found = found.groupBy("rid").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -104,6 +104,36 @@ def test_substring_small_chunks(spark, docs, k, m, chunk):
     same(found.toPandas(), brute.substring(few, k), "doc_id")
 
 
+def test_substring_crowded_runs(spark):
+    """Ten shared words in differing surroundings: results stay, and no bucket is hot."""
+    rng = np.random.default_rng(8)
+    shared = [f"shared{i}" for i in range(10)]
+    texts = []
+    for i in range(240):
+        own = [f"{i}x{j}" for j in range(60)]
+        own[30:30] = shared if i % 3 else []
+        texts.append(" ".join(own))
+    texts += [texts[4], " ".join(texts[7].split()[20:50]), " ".join(shared * 4), " ".join(shared * 3)]
+    order = rng.permutation(len(texts))
+    docs = pd.DataFrame({"doc_id": range(len(texts)), "text": [texts[i] for i in order]})
+    frame = spark.createDataFrame(docs)
+    size = int(docs.text.str.len().sum())
+    crowded = substring.crowded_runs(frame, size, m=3, crowd=100, chunk_bytes=1500)
+    assert len(crowded) == 8  # the runs inside the ten words; those over their edges are rare
+    for crowd in (2, 100):
+        found = substring.drop_repeats(frame, bucket_bytes=500, chunk_bytes=1500, crowd=crowd)
+        found = found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+        same(found.toPandas(), brute.substring(docs), "doc_id")
+    rows = [(d, d, t.encode()) for d, t in docs.itertuples(index=False)]
+
+    def largest(crowded):
+        sent = {}
+        for bucket, _, _, _, blob in substring._split(list(rows), 20, 3, 1 << 40, lambda b: b, crowded):
+            sent[bucket] = sent.get(bucket, 0) + len(blob or b"")
+        return max(sent.values())
+    assert largest(np.empty(0, np.uint64)) > 10 * largest(crowded)
+
+
 def test_substring_hash_collisions():
     """Windows whose hashes are all equal are still told apart by their words."""
     for tail in (b"", b"-of-more-than-fifteen-bytes"):
