@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salesforge.functions.schema import NUMERIC_SALES_COLUMNS
+from salesforge.functions.semantics import number_text
 from salesforge.operators import analytics as A
 from salesforge.operators import fingerprint as FP
 from salesforge.operators import queries as Q
@@ -238,6 +239,19 @@ def _sales_record_rejects(spark, sf_dir):
     return stable(rejects.withColumns({c: F.col(c).try_cast("double") for c in ("unit_price", "discount", "total_sales")}))
 
 
+@register("sales_record_rejects_whole", with_(TEXT_CTE) + RECORDS_CTES + f"""
+SELECT date, product_id, quantity, {R(NUM('unit_price'))} AS unit_price, CASE WHEN u IS NULL THEN unit_price END AS unit_price_text,
+       {R('TRY_CAST(discount AS DOUBLE)')} AS discount, {R('TRY_CAST(total_sales AS DOUBLE)')} AS total_sales, reason
+FROM tagged WHERE reason IS NOT NULL""")
+def _sales_record_rejects_whole(spark, sf_dir):
+    # All rejects; a price that is no finite number is compared as the text it came as.
+    _, rejects = SK.to_sales_records(FX.sales_text(spark, sf_dir))
+    price = number_text("unit_price")
+    rejects = rejects.select("date", "product_id", "quantity", price.alias("unit_price"), F.when(price.isNull(), F.col("unit_price")).alias("unit_price_text"),
+                             *[F.col(c).try_cast("double").alias(c) for c in ("discount", "total_sales")], "reason")
+    return stable(rejects)
+
+
 # ---------------------------------------------------------------------------------------
 # TRF5 (totals that are absent) and TRF7 (names that need normalising)
 # ---------------------------------------------------------------------------------------
