@@ -20,7 +20,8 @@ passage that many documents share costs each of them its own windows; nothing is
 by passage.
 
 Edge cases: null text is empty; items or documents with fewer words than a shingle are
-one shingle of all their words; an item without words matches nothing; items with the
+one shingle of all their words, and such an item matches wherever its words stand in a
+document one after the other; an item without words matches nothing; items with the
 same text are all reported; rows that share a doc_id or item_id (repeated rows, null)
 are told apart while matching and reported under that id.  Only the named columns are
 read.
@@ -128,15 +129,23 @@ def matches(docs: DataFrame, items: DataFrame, *, shingle: int = 5, similarity:
         rid = F.col(number)
     text = docs.select(rid.alias("rid"), F.col(f"`{id_col}`").alias("doc_id"), text_of(text_col).alias("text"))
     own = text.select("rid", words_of(F.col("text")).alias("words")).withColumn("n", F.size("words")).where("n > 0")
-    at = own.select("rid", "words", "n", F.explode(_places(F.col("n"), shingle)).alias("at"))
-    at = at.select("rid", "n", "at", F.xxhash64(*_shingle_at("words", F.col("at"), shingle)).alias("h"))
+    # An item of fewer words than a shingle is one run of all its words: runs of that length count for it.
+    short = sorted(r["n"] for r in bench.where(F.col("n") < shingle).select("n").distinct().collect())
+
+    def runs(length: int) -> DataFrame:
+        at = own.where(F.col("n") >= length) if length < shingle else own
+        at = at.select("rid", "words", "n", F.explode(_places(F.col("n"), length)).alias("at"))
+        return at.select("rid", "n", "at", F.xxhash64(*_shingle_at("words", F.col("at"), length)).alias("h"))
+
     # The benchmark's shingles in blocks: each is broadcast and is bounded by block_rows.
     blocks = max(1, -(-anchors.count() // block_rows))
     hits = None
     for i in range(blocks):
         part = anchors.where(F.pmod("h", F.lit(blocks)) == i)
-        hit = at.join(F.broadcast(part), "h").select("rid", "n", "item_n", "at")
-        hits = hit if hits is None else hits.unionByName(hit)
+        for length in [shingle, *short]:
+            fits = F.col("item_n") >= shingle if length == shingle else F.col("item_n") == length
+            hit = runs(length).join(F.broadcast(part.where(fits)), "h").select("rid", "n", "item_n", "at")
+            hits = hit if hits is None else hits.unionByName(hit)
     spots = settled(_starts(hits, shingle, similarity))
     held = spots.agg(F.sum(F.size("starts"))).first()[0] or 0
     spots = F.broadcast(spots) if held <= block_rows else spots.hint("shuffle_hash")

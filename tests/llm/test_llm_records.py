@@ -106,6 +106,14 @@ def test_leaks_of_swapped_passages(spark, block_rows):
     assert (whole.start, whole.bits, whole.similarity) == (400, 0, 1.0)
 
 
+def test_leaks_of_short_items(spark):
+    items = spark.createDataFrame([(1, "Net"), (2, "red fox"), (3, "one two three"), (4, "a b c d"), (5, "a b c d e")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the red, FOX ran into a net and the red fox slept"), (2, "fox red netto zero one two four three"), (3, "red fox"),
+                                  (4, "zero one two three four five"), (5, "x a b c d e f"), (6, "red"), (7, "a b c d"), (8, "one two")], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["start"], r["bits"], r["similarity"]) for r in decontaminate.matches(docs, items).collect()}
+    assert found == {(1, 1): (6, 0, 1.0), (1, 2): (1, 0, 1.0), (3, 2): (0, 0, 1.0), (4, 3): (1, 0, 1.0), (5, 4): (1, 0, 1.0), (5, 5): (1, 0, 1.0), (7, 4): (0, 0, 1.0)}
+
+
 def test_leak_edges(spark, edge, empty):
     items = spark.createDataFrame([(1, "one, two three FOUR five six"), (2, None), (3, "  "), (4, "a b c"), (4, "a b c"), (None, "other words here")],
                                   "item_id long, text string")
