@@ -3,11 +3,12 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
-from datetime import datetime
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
+
+from frames import F1_ROWS, SALES_DDL  # noqa: E402
 
 from salesforge.session import ensure_checkpoint_dir, get_session  # noqa: E402
 
@@ -30,20 +31,8 @@ def tmp_dir():
     return tempfile.mkdtemp(prefix="sf-test-")
 
 
-# Reference test frames (FIXTURES.md F1-F8) -------------------------------------------------
-F1_ROWS = [("2024-01-15", "P001", 10.0, 25.50, 0.10, 229.50),
-           ("2024-01-15", "P002", 5.0, 100.00, 0.00, 500.00),
-           ("2024-01-16", "P001", 8.0, 25.50, 0.05, 193.80),
-           ("2024-01-16", "P003", 12.0, 75.25, 0.15, 767.55)]
-SALES_DDL = ("date string, product_id string, quantity double, unit_price double, discount double, "
-             "total_sales double")
-
-
 @pytest.fixture()
 def f1(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame(F1_ROWS, SALES_DDL)
     return df.withColumn("date", F.col("date").cast("timestamp_ntz"))
-
-
-AS_OF = datetime(2024, 2, 1)

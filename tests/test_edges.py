@@ -12,7 +12,7 @@ from salesforge.operators import quality as DQ
 from salesforge.operators import rules as RU
 from salesforge.operators import validate as V
 
-from conftest import SALES_DDL
+from frames import SALES_DDL
 
 AS_OF = datetime(2024, 2, 1)
 

@@ -7,7 +7,7 @@ from salesforge.operators import legacy as L
 from salesforge.operators import quality as DQ
 from salesforge.operators import rules as RU
 
-from conftest import AS_OF, SALES_DDL
+from frames import AS_OF, SALES_DDL
 
 F3_ROWS = [("2024-01-15", "P001", 10.0, 25.50, 0.1, 229.50),
            (None, "P002", 999999.0, 100.00, 0.0, 500.00),
