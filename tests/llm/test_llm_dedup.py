@@ -6,7 +6,7 @@ import brute
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import SF, same
+from llm_frames import SF, same
 from pyspark.sql import functions as F
 
 from salesforge.llm import exact_names, graph, registry, simhash_near, substring

@@ -6,7 +6,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF
+from llm_frames import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

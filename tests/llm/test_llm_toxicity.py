@@ -6,7 +6,7 @@ import brute
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from conftest import SF
+from llm_frames import SF
 from pyspark.sql import functions as F
 
 import corpus_pipeline
