@@ -34,6 +34,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         # let Spark fall back to per-expression code for those (wide aggregates and
         # many-column projections) instead.
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # Checkpoint files go when the frame that reads them does.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
