@@ -3,80 +3,26 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.session import checkpoint_dir
+from salesforge.scratch import Scratch, file_system, shared_folder  # noqa: F401
 
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.  Only where the session names none (local
-    runs and tests) a temporary folder of this machine takes its place."""
-    found = checkpoint_dir(spark)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="salesforge-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = checkpoint_dir(spark)
-    return found.rstrip("/")
-
-
-class Scratch:
-    """Parquet tables in the shared folder, for what an operator reads more than once.
-
-    A written table cuts the lineage: an executor that is lost later costs a read, not
-    the work before it, and values such as row ids stay what they were.  ``release``
-    deletes the tables as soon as nothing reads them; what is left goes when the session
-    ends.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.paths: list[str] = []
-
-    def folder(self, label: str) -> str:
-        """A path of its own for files that are deleted with the others."""
-        path = f"{shared_folder(self.spark)}/{label}-{uuid.uuid4().hex}"
-        self.paths.append(path)
-        fs, where = self._at(path)
-        fs.deleteOnExit(where)
-        return path
-
-    def table(self, df: DataFrame, label: str) -> DataFrame:
-        path = self.folder(label)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def numbered(self, df: DataFrame) -> tuple[DataFrame, str]:
-        """The rows with a written number of their own, and the name of that column."""
-        rid = "rid"
-        while rid in df.columns:
-            rid += "_"
-        return self.table(df.withColumn(rid, F.monotonically_increasing_id()), "rows"), rid
-
-    def release(self, paths: list[str] | None = None) -> None:
-        for path in list(self.paths if paths is None else paths):
-            fs, where = self._at(path)
-            fs.delete(where, True)
-            self.paths.remove(path)
-
-    def _at(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
-
-
 def settled(df: DataFrame) -> DataFrame:
-    """A checkpoint in the shared folder; Spark deletes its files once nothing uses it."""
-    shared_folder(df.sparkSession)
+    """A checkpoint in the shared folder.  Spark deletes its files once nothing uses it
+    where the session cleans checkpoints (``get_session`` does); what is left anywhere
+    goes when the session ends."""
+    spark = df.sparkSession
+    shared_folder(spark)
+    fs, own = file_system(spark, spark.sparkContext.getCheckpointDir())  # this application's folder
+    fs.deleteOnExit(own)
     return df.checkpoint(eager=True)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesforge.llm import chat, decontaminate, exact_names, packing, shards, simhash_near, substring, token_files, toxicity, url_rules
+from salesforge.llm import chat, decontaminate, exact_names, importance, packing, shards, simhash_near, substring, token_files, toxicity, url_rules
 from salesforge.llm.common import Scratch, text_of
 from salesforge.llm.sql import ORACLE
 from salesforge.llm.tokens import BYTE_PIECES, WORD_PIECES
@@ -104,6 +104,13 @@ def op10_ranked_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_overlapped_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn by their likeness to the benchmark."""
+    found = importance.importance(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), Scratch(spark),
+                                  ngrams=(1, 1), buckets=10_000, percent=10, min_words=20, seed=2024)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
