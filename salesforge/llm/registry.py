@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesforge.llm import chat, decontaminate, exact_names, importance, packing, shards, simhash_near, substring, token_files, toxicity, url_rules
+from salesforge.llm import chat, decontaminate, exact_names, importance, packing, repair, shards, simhash_near, substring, token_files, toxicity, url_rules, warc
 from salesforge.llm.common import Scratch, text_of
 from salesforge.llm.sql import ORACLE
 from salesforge.llm.tokens import BYTE_PIECES, WORD_PIECES
@@ -111,6 +111,19 @@ def op11_overlapped_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back."""
+    path = Scratch(spark).folder("warc")
+    warc.write_warc(_read(spark, sf_dir, "pages"), path, revisit_bytes=100)
+    return warc.read_warc(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_audit_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and the cheapest edits that repair them."""
+    rows = repair.damaged(_read(spark, sf_dir, "conversations"))
+    return repair.audits(rows, present=F.col("present"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

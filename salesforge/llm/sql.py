@@ -52,4 +52,10 @@ h AS (SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight
 scores AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score, n_features >= 20 AS fit FROM h),
 ranks AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY fit) AS n FROM scores)
 SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= 10 * n // 100 THEN place END AS rank FROM ranks""",
+    "op12_sharded_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id) AS n,
+             first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND n > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND n > 1 THEN first END AS refers_to FROM r""",
 }
