@@ -4,26 +4,24 @@ that stay distributed at any row count.
 Spark's exact ``percentile`` aggregate merges a value->count map of the whole column in a
 single final task, which does not survive billions of distinct doubles (and its
 interpolation weights the two neighbours, which can differ from ``quantile_cont`` in the
-last bit).  Instead:
-
-* one scan counts the values and builds GK sketches (``percentile_approx``, rank error
-  <= n/A) around every requested probability, widened by two error bounds;
-* a column with at most ``direct_max`` values goes straight to the exact pick;
-* otherwise one scan counts the rows below and inside each bracket (checking that the
-  target ranks are covered); brackets that still hold more than ``max_candidates`` rows
-  are narrowed with equal-width histograms, one scan per level, until they are small or
-  hold a single value;
-* exact pick: Spark's ``percentile`` returns the element itself when its position
-  ``(m - 1) * p`` is a whole number.  Every value is weighted by ``FREQ`` (the
-  aggregate's frequency argument), so the r-th value covers ``FREQ`` consecutive
-  positions and a ``p`` whose product lands exactly on one of them always exists;
-  one ``percentile(v, array(...), FREQ)`` per
-  column (or per bracket, over the bracketed values with local ranks ``r = k - below``)
-  fetches all of them.  Its value->count map holds at most ``max_candidates`` distinct
-  values (identical values share one entry, so a value holding a third of the table
-  costs one entry).  The two order statistics around
-  ``(n - 1) * p`` are interpolated as numpy does (``quantile_cont`` in SQL engines may
-  differ from it in the last bit).
+last bit).  Instead a selection in two scans of the source:
+
+1. counts and KLL sketches of all columns, merged in two levels (``MERGE_TASKS`` tasks
+   merge those of the input splits, the last one merges theirs), give a bracket of values
+   around every target rank;
+2. one aggregate counts the rows of every zone that the brackets cut a column into, and
+   the values inside brackets one by one.  Rows outside collapse to one row per task on the
+   map side, equal values to one entry, so a value holding a third of the table costs
+   one row.  The result, the candidates, is written; the source is not read again.
+
+A running count over zones and candidates finds the order statistics exactly, however good
+the sketch was: a rank that lies outside every bracket (the sketch's bound holds with high
+probability only) takes the zone it lies in as its bracket and the second scan again.
+Up to ``max_candidates`` candidates (a few MB) are counted through on the driver; more are
+put in order over ranges (``functions.ordered``), the ranges' totals name the one range that
+holds a rank, and only that is counted through.  The two
+order statistics around ``(n - 1) * p`` are interpolated as numpy does (``quantile_cont``
+in SQL engines may differ from it in the last bit).
 
 Every driver round trip carries a bounded result (one row, or a few rows per target).
 """
@@ -31,19 +29,23 @@ Every driver round trip carries a bounded result (one row, or a few rows per tar
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesforge.functions.ordered import in_order
 from salesforge.functions.semantics import field_type, finite, num
-from salesforge.session import materialize
+from salesforge.scratch import Scratch
 
 MAX_CANDIDATES = 250_000
 ACCURACY = 10_000
 DIRECT_MAX = 50_000
-HIST_BINS = 4096
-FREQ = 1024
+SKETCH_K = 8192
+MERGE_TASKS = 64
 
 
 def _position(n: int, p: float) -> tuple[int, int, float]:
@@ -75,7 +77,8 @@ def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float],
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     max_candidates: int = MAX_CANDIDATES, accuracy: int = ACCURACY,
-                    direct_max: int = DIRECT_MAX, approx: bool = False) -> dict[str, list[float | None]]:
+                    direct_max: int = DIRECT_MAX, approx: bool = False,
+                    sketch_k: int = SKETCH_K) -> dict[str, list[float | None]]:
     """Return ``{column: [q(p) for p in probs]}``; NULL and non-finite values are skipped on
     every path, and a column without values yields ``None``s.  ``approx=True`` trades exactness for a
     single pass (``approx_quantiles``)."""
@@ -83,151 +86,124 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         return {}
     if approx:
         return approx_quantiles(df, columns, probs, accuracy)
-    vals = df.select(*[finite(num(df, c)).alias(f"v{i}") for i, c in enumerate(columns)])
-    if any(isinstance(field_type(df, c), T.StringType) for c in columns):
-        vals = materialize(vals, eager=False)  # the text is read and parsed once, not in every pass
-    eps = 2.0 / accuracy
-    # Pass 1: value counts and GK brackets around every requested probability.
-    first = vals.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))],
-                     *[F.percentile_approx(f"v{i}", F.array(*[F.lit(x) for p in probs
-                                                             for x in (max(p - eps, 0.0), min(p + eps, 1.0))]),
-                                           accuracy).alias(f"b{i}") for i in range(len(columns))]).first()
-    ns = [int(first[f"n{i}"]) for i in range(len(columns))]
+    scratch = Scratch(df.sparkSession)
+    try:
+        vals = df.select(*[finite(num(df, c)).alias(f"v{i}") for i, c in enumerate(columns)])
+        if any(isinstance(field_type(df, c), T.StringType) for c in columns):
+            vals = scratch.table(vals, "values")  # the text is read and parsed once
+        ns, brackets = _sketched(vals, len(columns), probs, direct_max, sketch_k)
+        ranks = {(i, k) for i, n in enumerate(ns) if n for p in probs for k in _position(n, p)[:2]}
+        found: dict[tuple[int, int], float] = {}
+        for _ in range(len(ranks) + 1):  # once, unless a sketch was worse than its bound
+            if not ranks:
+                break
+            got, missed = _select(vals, brackets, ranks, max_candidates, scratch)
+            found |= got
+            ranks = {(i, k) for i, k, _ in missed}
+            brackets = {i: _disjoint([z for j, _, z in missed if j == i]) for i, _, _ in missed}
+    finally:
+        scratch.release()
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-    targets = []
-    for i, n in enumerate(ns):
-        if n == 0:
-            continue
-        for j, p in enumerate(probs):
-            k0, k1, frac = _position(n, p)
-            t = {"col": i, "prob": j, "p": p, "k0": k0, "k1": k1, "frac": frac,
-                 "lo": float("-inf"), "hi": float("inf"), "below": 0, "inside": n}
-            if n > direct_max:
-                lo, hi = first[f"b{i}"][2 * j], first[f"b{i}"][2 * j + 1]
-                t["lo"] = float(lo) if p - eps > 0 else float("-inf")
-                t["hi"] = float(hi) if p + eps < 1 else float("inf")
-            targets.append(t)
-    if not targets:
-        return out
-    wide = [t_id for t_id, t in enumerate(targets) if ns[t["col"]] > direct_max]
-    if wide:
-        _bracket(vals, targets, wide, max_candidates)
-    got = _pick(vals, targets)
-    for t_id, t in enumerate(targets):
-        out[columns[t["col"]]][t["prob"]] = _interp(got[(t_id, 0)], got[(t_id, 1)], t["frac"])
+    for i, c in enumerate(columns):
+        for j, p in enumerate(probs if ns[i] else []):
+            k0, k1, frac = _position(ns[i], p)
+            out[c][j] = _interp(found[i, k0], found[i, k1], frac)
     return out
 
 
-def _inside(t: dict):
-    v = F.col(f"v{t['col']}")
-    return (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
-
-
-def _exact_p(r: int, m: int) -> float:
-    """A percentage ``p`` whose position ``(FREQ * m - 1) * p`` (Spark's formula) is a
-    whole number inside the block of positions held by the r-th value."""
-    top = FREQ * m - 1
-    lo, hi = FREQ * r, FREQ * r + FREQ - 1
-    for x in sorted(range(lo, hi + 1), key=lambda x: abs(2 * x - lo - hi)):
-        p = x / top
-        for _ in range(4):
-            pos = top * p
-            if pos == x:
-                return p
-            p = math.nextafter(p, math.inf if pos < x else -math.inf)
-    raise ArithmeticError(f"no exact percentage for rank {r} of {m}")
-
-
-def _pick(vals: DataFrame, targets: list[dict]) -> dict[tuple[int, int], float]:
-    """The k0-th and k1-th smallest value of every target: one ``percentile`` per column
-    and bracket, all in one aggregate."""
-    groups: dict[tuple, list] = {}
-    for t_id, t in enumerate(targets):
-        g = groups.setdefault((t["col"], t["lo"], t["hi"], t["below"], t["inside"]), [])
-        g += [(t_id, 0, t["k0"]), (t_id, 1, t["k1"])]
-    aggs, layout = [], []
-    for gi, ((c, lo, hi, below, inside), wants) in enumerate(groups.items()):
-        v = F.col(f"v{c}")
-        cond = F.lit(True)
-        if lo != float("-inf"):
-            cond = cond & (v >= F.lit(lo))
-        if hi != float("inf"):
-            cond = cond & (v <= F.lit(hi))
-        ps = [_exact_p(k - below, inside) for _, _, k in wants]
-        aggs.append(F.percentile(F.when(cond, v), F.array(*[F.lit(p) for p in ps]), F.lit(FREQ))
-                    .alias(f"g{gi}"))
-        layout.append(wants)
-    row = vals.agg(*aggs).first()
+def _sketched(vals: DataFrame, n_cols: int, probs: list[float], direct_max: int,
+              k: int) -> tuple[list[int], dict[int, list[tuple[float, float]]]]:
+    """How many values each column has, and its brackets: everything for a small column,
+    else three error bounds of the sketch to each side of every probability."""
+    cols = range(n_cols)
+    part = vals.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_TASKS)).alias("g")).agg(
+        *[F.count(f"v{i}").alias(f"n{i}") for i in cols], *[F.kll_sketch_agg_double(f"v{i}", k).alias(f"s{i}") for i in cols])
+    whole = part.agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in cols], *[F.kll_merge_agg_double(f"s{i}", k).alias(f"s{i}") for i in cols])
+    eps = 3 * 2.296 / k ** 0.9021  # the public bound of KLL's rank error
+    at = [min(max(x, 0.0), 1.0) for p in probs for x in (p - eps, p + eps)]
+    row = whole.select(*[F.coalesce(f"n{i}", F.lit(0)).alias(f"n{i}") for i in cols],
+                       *[F.when(F.col(f"n{i}") > direct_max, F.kll_sketch_get_quantile_double(f"s{i}", F.array(*map(F.lit, at)))).alias(f"b{i}")
+                         for i in cols]).first()
+    brackets = {}
+    for i in cols:
+        b = row[f"b{i}"]
+        if b is None:
+            brackets[i] = [(-math.inf, math.inf)]
+        else:
+            brackets[i] = _disjoint([(-math.inf if p <= eps else b[2 * j], math.inf if p >= 1 - eps else b[2 * j + 1]) for j, p in enumerate(probs)])
+    return [row[f"n{i}"] for i in cols], brackets
+
+
+def _disjoint(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """The closed spans, those that overlap united."""
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _zone(v: Column, spans: list[tuple[float, float]]) -> Column:
+    """0, 1, 2, ... in the order of the values: odd inside a span, even between them."""
+    out = None
+    for j, (lo, hi) in enumerate(spans):
+        for zone, cond in ((2 * j, v < F.lit(lo)), (2 * j + 1, v <= F.lit(hi))):
+            out = F.when(cond, F.lit(zone)) if out is None else out.when(cond, F.lit(zone))
+    return out.otherwise(F.lit(2 * len(spans)))
+
+
+def _select(vals: DataFrame, brackets: dict[int, list[tuple[float, float]]], ranks: set[tuple[int, int]],
+            max_candidates: int, scratch: Scratch) -> tuple[dict, list]:
+    """The values at (column, rank), and (column, rank, zone) of ranks outside brackets."""
+    zones = []
+    for i, spans in brackets.items():
+        v = F.col(f"v{i}")
+        zones.append(F.when(v.isNotNull(), F.struct(F.lit(i).alias("c"), _zone(v, spans).alias("z"), v.alias("x"))))
+    each = vals.select(F.explode(F.array(*zones)).alias("r")).where(F.col("r").isNotNull()).select("r.*")
+    each = each.withColumn("x", F.when(F.col("z") % 2 == 1, F.col("x")))
+    cand = scratch.table(each.groupBy("c", "z", "x").agg(F.count(F.lit(1)).alias("n")), "candidates")
+    if cand.count() <= max_candidates:  # of the written files' own row counts
+        got = _found(cand.toArrow().to_pandas(), ranks)
+    else:
+        placed = in_order(cand, [F.col("c"), F.col("z"), F.col("x")], scratch)
+        # At most a row for each column in each range of the shuffle, whose number is a setting.
+        totals = sorted(tuple(r) for r in placed.groupBy("c", "range").agg(F.sum("n").alias("n")).collect())
+        wants = []
+        for i, k in ranks:
+            local = k
+            for c, at, n in totals:
+                if c == i and local < n:
+                    wants.append(((i, at), k, local))
+                    break
+                local -= n if c == i else 0
+        got = _counted(placed.where(F.col("range").isin(sorted({key[1] for key, _, _ in wants}))), ["c", "range"], wants)
+    missed = []
+    for (i, k), (z, x) in got.items():
+        if x is None:
+            edges = [-math.inf, *(e for s in brackets[i] for e in s), math.inf]
+            missed.append((i, k, (edges[z], edges[z + 1])))
+    return {at: x for at, (_, x) in got.items() if x is not None}, missed
+
+
+def _found(cand: pd.DataFrame, ranks: set[tuple[int, int]]) -> dict[tuple[int, int], tuple[int, float | None]]:
+    """(zone, value) at each (column, rank), of few candidates."""
+    cand = cand.sort_values(["c", "z", "x"])
+    own = {i: (rows, rows["n"].cumsum().to_numpy()) for i, rows in cand.groupby("c")}
     out = {}
-    for gi, wants in enumerate(layout):
-        for (t_id, j, _k), x in zip(wants, row[f"g{gi}"]):
-            out[(t_id, j)] = float(x)
+    for i, k in ranks:
+        rows, upto = own[i]
+        hit = rows.iloc[int(np.searchsorted(upto, k, "right"))]
+        out[i, k] = int(hit["z"]), None if np.isnan(hit["x"]) else float(hit["x"])
     return out
 
 
-def _bracket(vals: DataFrame, targets: list[dict], ids: list[int], max_candidates: int) -> None:
-    """Count the rows below and inside each GK bracket (checking the target ranks are
-    covered) and narrow brackets that still hold more than ``max_candidates`` rows."""
-    for _level in range(16):
-        aggs = []
-        for t_id in ids:
-            t = targets[t_id]
-            v = F.col(f"v{t['col']}")
-            inside = _inside(t)
-            aggs += [F.count_if(v < F.lit(t["lo"])).alias(f"below{t_id}"),
-                     F.count_if(inside).alias(f"in{t_id}"),
-                     F.min(F.when(inside, v)).alias(f"mn{t_id}"),
-                     F.max(F.when(inside, v)).alias(f"mx{t_id}")]
-        row = vals.agg(*aggs).first()
-        still_wide, reset = [], []
-        for t_id in ids:
-            t = targets[t_id]
-            t["below"], t["inside"] = int(row[f"below{t_id}"]), int(row[f"in{t_id}"])
-            if not (t["below"] <= t["k0"] and t["k1"] < t["below"] + t["inside"]):
-                # The sketch missed (its guarantee failed): start this target over from
-                # the whole column; the next count pass re-derives the exact bounds.
-                t["lo"], t["hi"] = float("-inf"), float("inf")
-                reset.append(t_id)
-                continue
-            t["lo"], t["hi"] = float(row[f"mn{t_id}"]), float(row[f"mx{t_id}"])
-            # Rows bound the distinct values; a bracket of one value is already exact.
-            if t["inside"] > max_candidates and t["lo"] < t["hi"]:
-                still_wide.append(t_id)
-        if not still_wide and not reset:
-            return
-        if still_wide:
-            _narrow(vals, targets, still_wide)
-        ids = still_wide + reset
-    raise RuntimeError("quantile brackets did not converge")
-
-
-def _narrow(vals: DataFrame, targets: list[dict], wide: list[int]) -> None:
-    """One histogram scan: split each wide bracket into equal-width bins and keep the
-    bins holding the target ranks (plus one neighbour each side against rounding)."""
-    parts = []
-    for t_id in wide:
-        t = targets[t_id]
-        v = F.col(f"v{t['col']}")
-        width = (t["hi"] - t["lo"]) / HIST_BINS
-        b = F.least(F.lit(HIST_BINS - 1), F.floor((v - F.lit(t["lo"])) / F.lit(width)).cast("int"))
-        parts.append(F.when(_inside(t), F.struct(F.lit(t_id).alias("t"), b.alias("b"))))
-    hist = (vals.select(F.explode(F.array(*parts)).alias("h")).where(F.col("h").isNotNull())
-            .groupBy("h.t", "h.b").count().collect())  # <= HIST_BINS rows per target
-    by_t: dict[int, list[tuple[int, int]]] = {}
-    for r in hist:
-        by_t.setdefault(r["t"], []).append((r["b"], r["count"]))
-    for t_id in wide:
-        t = targets[t_id]
-        width = (t["hi"] - t["lo"]) / HIST_BINS
-        cum, first_b, last_b = t["below"], None, None
-        for b, c in sorted(by_t[t_id]):
-            if first_b is None and cum + c > t["k0"]:
-                first_b = b
-            if last_b is None and cum + c > t["k1"]:
-                last_b = b
-            cum += c
-        base = t["lo"]
-        if first_b > 1:
-            t["lo"] = base + (first_b - 1) * width
-        if last_b < HIST_BINS - 2:
-            t["hi"] = base + (last_b + 2) * width
+def _counted(rows: DataFrame, keys: list[str], wants: list[tuple]) -> dict[tuple[int, int], tuple[int, float | None]]:
+    """(zone, value) at the local ranks of (group, rank, local rank)."""
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("z", "x"))
+    hit = reduce(Column.__or__, [reduce(Column.__and__, [F.col(c) == v for c, v in zip(keys, key)])
+                                 & (F.col("upto") > local) & (F.col("upto") - F.col("n") <= local) for key, _, local in wants])
+    got = [(tuple(r[c] for c in keys), r["upto"] - r["n"], r["upto"], (r["z"], r["x"]))
+           for r in rows.withColumn("upto", upto).where(hit).collect()]
+    return {(key[0], k): next(v for g, a, b, v in got if g == key and a <= local < b) for key, k, local in wants}

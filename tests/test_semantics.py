@@ -68,18 +68,48 @@ def test_exact_quantiles_empty_and_single(spark):
     assert got == {"a": [None, None], "b": [3.0, 3.0]}
 
 
-def test_quantile_bracket_miss_recovers(spark):
-    """A bracket that does not contain the target rank (a sketch failing its bound) is
-    reset to the whole column and narrowed again; the result stays exact."""
+@pytest.mark.parametrize("wrong", [[(900.0, 950.0)], [(10.0, 20.0), (480.0, 490.0)], [(2000.0, 3000.0)]])
+def test_quantile_bracket_miss_recovers(spark, monkeypatch, wrong):
+    """Brackets that do not contain the target ranks (a sketch failing its bound): the zone
+    that the counts name becomes the bracket; the result stays exact."""
     from salesforge.functions import quantiles as QT
-    vals_np = np.arange(1000, dtype=float)
-    vals = spark.createDataFrame([(float(v),) for v in vals_np], "v0 double")
-    k0, k1, frac = QT._position(1000, 0.5)
-    t = {"col": 0, "prob": 0, "p": 0.5, "k0": k0, "k1": k1, "frac": frac,
-         "lo": 900.0, "hi": 950.0, "below": 0, "inside": 1000}  # wrong on purpose
-    QT._bracket(vals, [t], [0], max_candidates=100)
-    got = QT._pick(vals, [t])
-    assert QT._interp(got[(0, 0)], got[(0, 1)], frac) == float(np.quantile(vals_np, 0.5))
+    vals = np.arange(1000, dtype=float)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    monkeypatch.setattr(QT, "_sketched", lambda *a: ([1000], {0: wrong}))
+    probs = [0.001, 0.25, 0.5, 0.999]
+    assert QT.exact_quantiles(df, ["x"], probs, max_candidates=100)["x"] == np.quantile(vals, probs).tolist()
+
+
+def test_quantiles_with_a_rough_sketch_over_many_splits(spark):
+    from salesforge.functions import quantiles as QT
+    rng = np.random.default_rng(3)
+    vals = rng.normal(size=(4000, 2)).round(3)
+    df = spark.createDataFrame(vals.tolist(), "x double, y double").repartition(90)
+    got = QT.exact_quantiles(df, ["x", "y"], [0.1, 0.5, 0.9], direct_max=0, sketch_k=8, max_candidates=50)
+    for at, c in enumerate("xy"):
+        assert got[c] == np.quantile(vals[:, at], [0.1, 0.5, 0.9]).tolist()
+
+
+def test_quantiles_read_the_source_twice(spark):
+    """Two scans of the source, whatever the number of columns and probabilities; the
+    scratch tables are gone afterwards."""
+    from salesforge.functions import quantiles as QT
+    from salesforge.scratch import shared_folder
+    import glob
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(30_000).select((F.col("id") * 7919 % 30_011).cast("double").alias("x"), F.sqrt("id").alias("y"))
+    counted = df.repartition(12).mapInArrow(count, df.schema)
+    before = set(glob.glob(f"{shared_folder(spark).removeprefix('file:')}/*"))
+    got = QT.exact_quantiles(counted, ["x", "y"], [0.25, 0.5, 0.75], direct_max=1000, max_candidates=100)
+    pdf = df.toPandas()
+    assert got == {c: np.quantile(pdf[c], [0.25, 0.5, 0.75]).tolist() for c in "xy"}
+    assert seen.value == 2 * 30_000
+    assert set(glob.glob(f"{shared_folder(spark).removeprefix('file:')}/*")) == before
 
 
 def test_approx_quantiles_within_rank_error(spark):
