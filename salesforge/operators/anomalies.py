@@ -79,7 +79,7 @@ def outlier_summary(df: DataFrame, columns: list[str] | None = None, method: str
             .withColumn("outlier_percentage", pct("outlier_count", "__n")).drop("__n"))
 
 
-def outlier_rows(df: DataFrame, columns: list[str] | None = None, method: str = "iqr", digits: int | None = None) -> DataFrame:
+def outlier_rows(df: DataFrame, columns: list[str] | None = None, method: str = "iqr", places: int | None = None) -> DataFrame:
     """The outlier rows themselves for OUT1/OUT2 (the reference lists row positions; a
     distributed table has none, so rows are returned with the offending column and
     ``row_key``, by which they can be joined back)."""
@@ -87,7 +87,7 @@ def outlier_rows(df: DataFrame, columns: list[str] | None = None, method: str =
     params = _params(df, columns, method)
     # explode + filter (not array_compact, a lambda function that leaves codegen)
     tags = F.array(*[F.when(_flag(c, method, params[c]), F.lit(c)) for c in columns])
-    keyed = df.withColumn("row_key", row_key(df, digits))
+    keyed = df.withColumn("row_key", row_key(df, places))
     return keyed.withColumn("outlier_column", F.explode(tags)).where(F.col("outlier_column").isNotNull())
 
 

@@ -14,44 +14,101 @@ import os
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEPARATOR = "\x1f"
 
 
-def _digits(c: Column, digits: int) -> Column:
-    """A double as ``digits`` significant digits and an exponent."""
-    e = F.lit(digits - 1) - F.floor(F.log10(F.abs(c))).cast("int")
-    scaled = F.when(e >= 0, c * F.pow(F.lit(10.0), e)).otherwise(c / F.pow(F.lit(10.0), -e))
-    return F.when(c == 0, F.lit("0")).otherwise(
-        F.concat(F.rint(scaled).cast("bigint").cast("string"), F.lit("e"), (-e).cast("string")))
+def _on_grid(c: Column, places: int) -> Column:
+    """A double as a whole number of steps of ``places`` decimal places: one multiplication
+    and one rounding (half to even) that every engine does alike.  What has no such number
+    (beyond 2^62 steps, NaN) is written as it is."""
+    steps = F.rint(c * F.lit(10.0 ** places))
+    return F.when(F.abs(steps) < F.lit(2.0 ** 62), steps.cast("bigint").cast("string")).otherwise(c.cast("string"))
 
 
-def _cell(f: T.StructField, digits: int | None) -> Column:
+def _cell(f: T.StructField, places: int | None) -> Column:
     c = F.col(f"`{f.name}`")
-    if digits and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-        value = _digits(c.cast("double"), digits)
+    if places is not None and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        value = _on_grid(c.cast("double"), places)
     elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
         value = F.to_json(c)
     else:
         value = c.cast("string")
-    return F.concat(F.lit(f.name), F.coalesce(F.concat(F.lit("="), value), F.lit("!")))
+    return F.coalesce(F.concat(F.lit(f"{f.name}="), value), F.lit(f"{f.name}!"))
 
 
-def row_key(df: DataFrame, digits: int | None = None) -> Column:
+def row_key(df: DataFrame, places: int | None = None) -> Column:
     """A key of a row's content: the MD5 of its text.  Equal rows have equal keys."""
-    return F.md5(F.concat_ws(SEPARATOR, *[_cell(f, digits) for f in df.schema.fields]))
+    return F.md5(F.concat_ws(SEPARATOR, *[_cell(f, places) for f in df.schema.fields]))
 
 
-def fingerprint(df: DataFrame, digits: int | None = None) -> DataFrame:
+def _row_hash(df: DataFrame, places: int | None) -> Column:
+    return F.conv(F.substring(row_key(df, places), 1, 15), 16, 10).cast("bigint").cast("decimal(38,0)")
+
+
+def _total(c: str) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0).cast("decimal(38,0)")).cast("string")
+
+
+def fingerprint(df: DataFrame, places: int | None = None) -> DataFrame:
     """One row: ``rows`` and ``fingerprint`` (the sum of the row hashes, as text).  With
-    ``digits`` doubles that agree in so many significant digits count as equal; without,
-    only equal ones do."""
-    h = F.conv(F.substring(row_key(df, digits), 1, 15), 16, 10).cast("decimal(38,0)")
-    zero = F.lit(0).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), zero).cast("string").alias("fingerprint"))
+    ``places`` doubles count as equal that agree when rounded to so many decimal places;
+    without, only equal ones do."""
+    hashed = df.select(_row_hash(df, places).alias("h"))
+    return hashed.agg(F.count(F.lit(1)).alias("rows"), _total("h").alias("fingerprint"))
+
+
+FILE_SUMS = "about string, file string, size long, time timestamp, rows long, h decimal(38,0)"
+_FILE = {"file": "file_path", "size": "file_size", "time": "file_modification_time"}
+
+
+def _with_file(df: DataFrame) -> DataFrame:
+    return df.withColumns({name: F.col(f"_metadata.{c}") for name, c in _FILE.items()})
+
+
+def fingerprint_files(spark: SparkSession, path: str, store: str, *, places: int | None = None, fmt: str = "parquet",
+                      max_paths: int = 10_000, **options) -> DataFrame:
+    """``fingerprint`` of a folder of files, hashing only files that ``store`` does not know.
+
+    The fingerprint is a sum over rows, so a file has a sum of its own.  ``store`` (a
+    Parquet folder) keeps it by the file's path, size and time and by the schema and
+    ``places`` it was hashed with; files that are gone or were rewritten simply find no
+    match.  An append is read alone; more than ``max_paths`` new files are not passed by
+    name but picked out of the whole folder.  Returns one row: rows, fingerprint, files,
+    files_hashed.  An entry that is written twice (by a repeated job) counts once."""
+    whole = spark.read.format(fmt).options(**options).load(path)
+    about = hashlib.md5(json.dumps([whole.schema.jsonValue(), fmt, places], sort_keys=True).encode()).hexdigest()
+    keys = list(_FILE)
+    # Only the listing: the files' content is not read.
+    listed = _with_file(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)).select(*keys)
+    listed = listed.where(~F.element_at(F.split("file", "/"), -1).rlike("^[._]"))
+
+    def known() -> DataFrame:
+        try:
+            held = spark.read.schema(FILE_SUMS).parquet(store)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            held = spark.createDataFrame([], FILE_SUMS)
+        return held.where(F.col("about") == about).drop("about").dropDuplicates(keys)
+
+    new = listed.join(known(), keys, "left_anti")
+    n_new = new.count()
+    if n_new:
+        if n_new <= max_paths:
+            names = [r["file"] for r in new.select("file").collect()]
+            rows = _with_file(spark.read.schema(whole.schema).format(fmt).options(**{"basePath": path, **options}).load(names))
+        else:
+            rows = _with_file(whole).join(new, keys, "left_semi")
+        sums = rows.select(*keys, _row_hash(whole, places).alias("h")).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum("h").alias("h"))
+        done = new.join(sums, keys, "left").select(F.lit(about).alias("about"), *keys, F.coalesce("rows", F.lit(0)).alias("rows"),
+                                                   F.coalesce("h", F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)").alias("h"))
+        done.write.mode("append").parquet(store)
+    return listed.join(known(), keys).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), _total("h").alias("fingerprint"),
+                                          F.count(F.lit(1)).alias("files")).withColumn("files_hashed", F.lit(n_new).cast("bigint"))
 
 
 def fingerprint_key(df: DataFrame, params: dict | None = None) -> str:

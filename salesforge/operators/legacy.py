@@ -60,11 +60,11 @@ def business_rules(df: DataFrame) -> DataFrame:
             .where(F.col("invalid_records") > 0))
 
 
-def business_rule_rows(df: DataFrame, digits: int | None = None) -> DataFrame:
+def business_rule_rows(df: DataFrame, places: int | None = None) -> DataFrame:
     """LEG2 details: the violating rows with ``rule`` (a row once per rule it violates)
     and ``row_key`` (``fingerprint.row_key``), by which they can be joined back."""
     tags = F.array(*[F.when(F.coalesce(p, F.lit(False)), F.lit(name)) for name, p in business_rule_flags().items()])
-    keyed = df.withColumn("row_key", row_key(df, digits))
+    keyed = df.withColumn("row_key", row_key(df, places))
     return keyed.withColumn("rule", F.explode(tags)).where(F.col("rule").isNotNull())
 
 

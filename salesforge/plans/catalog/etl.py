@@ -187,7 +187,7 @@ def _load_metrics(spark, sf_dir):
 SELECT count(*) AS rows, CAST(coalesce(sum(CAST(('0x' || substr({ROW_KEY}, 1, 15)) AS HUGEINT)), 0) AS VARCHAR) AS fingerprint
 FROM sales_dirty""")
 def _dataset_fingerprint(spark, sf_dir):
-    return FP.fingerprint(FX.sales_dirty(spark, sf_dir), digits=10)
+    return FP.fingerprint(FX.sales_dirty(spark, sf_dir), places=4)
 
 
 # ---------------------------------------------------------------------------------------

@@ -361,7 +361,7 @@ def _legacy_report(spark, sf_dir):
     f"{ROW_KEY} AS row_key, '{name}' AS rule FROM sales_dirty WHERE coalesce({cond}, false)"
     for name, cond in LEG_FLAGS.items()))
 def _business_rule_rows(spark, sf_dir):
-    return stable(L.business_rule_rows(FX.sales_dirty(spark, sf_dir), digits=10), dp=6)
+    return stable(L.business_rule_rows(FX.sales_dirty(spark, sf_dir), places=4), dp=6)
 
 
 @register("rule_results_custom", with_(DIRTY_CTE) + f"""

@@ -104,7 +104,7 @@ NUM4 = ["quantity", "unit_price", "discount", "total_sales"]
     f"{R('total_sales', 6)} AS total_sales, {ROW_KEY} AS row_key, '{c}' AS outlier_column FROM sales, bnd "
     f"WHERE {c} < {c}_lo OR {c} > {c}_hi" for c in NUM4))
 def _outlier_rows_iqr(spark, sf_dir):
-    return stable(O.outlier_rows(FX.sales(spark, sf_dir), method="iqr", digits=10), dp=6)
+    return stable(O.outlier_rows(FX.sales(spark, sf_dir), method="iqr", places=4), dp=6)
 
 
 @register("expectation_suite_dirty", with_(DIRTY_CTE) + _exp_sql("sales_dirty"))

@@ -97,14 +97,10 @@ def DATE(c: str) -> str:
     return f"coalesce(TRY_CAST({t} AS TIMESTAMP), try_strptime({t}, '%m/%d/%Y'), try_strptime({t}, '%d %b %Y'))"
 
 
-# The text of a value: a null mark or "=" and the value; doubles as ten significant digits.
+# The text of a value: a null mark or "=" and the value; doubles as steps of four places.
 def _cell(c: str, number: bool) -> str:
-    if not number:
-        return f"'{c}' || coalesce('=' || CAST({c} AS VARCHAR), '!')"
-    e = f"(9 - CAST(floor(log10(abs({c}))) AS INTEGER))"
-    return (f"'{c}' || coalesce(CASE WHEN {c} = 0 THEN '=0' WHEN {e} >= 0 "
-            f"THEN '=' || CAST(CAST(round_even({c} * pow(10.0, {e}), 0) AS BIGINT) AS VARCHAR) || 'e' || CAST(-{e} AS VARCHAR) "
-            f"ELSE '=' || CAST(CAST(round_even({c} / pow(10.0, -{e}), 0) AS BIGINT) AS VARCHAR) || 'e' || CAST(-{e} AS VARCHAR) END, '!')")
+    text = f"CAST(CAST(round_even({c} * 10000.0, 0) AS BIGINT) AS VARCHAR)" if number else f"CAST({c} AS VARCHAR)"
+    return f"'{c}' || coalesce('=' || {text}, '!')"
 
 
 ROW_KEY = "md5(" + " || chr(31) || ".join(_cell(c, c in ("quantity", "unit_price", "discount", "total_sales")) for c in
