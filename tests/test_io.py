@@ -170,3 +170,24 @@ def test_analysis_report_and_json_report(spark, tmp_dir):
     p = SK.write_report(spark, rep.to_dict(), os.path.join(tmp_dir, "q.json"))
     assert json.loads(spark.read.text(p, wholetext=True).first()[0])["summary"]["total_metrics"] == len(rep.metrics)
     df.unpersist()
+
+
+def test_fingerprint_of_an_append_reads_only_new_files(spark, tmp_dir):
+    from salesforge.operators import fingerprint as FP
+    folder, store = os.path.join(tmp_dir, "data"), os.path.join(tmp_dir, "sums")
+    src = FX.sales(spark, SMALL)
+    src.where("quantity < 20").repartition(3).write.parquet(folder)
+    first = FP.fingerprint_files(spark, folder, store).first()
+    assert (first["files"], first["files_hashed"]) == (3, 3)
+    assert FP.fingerprint_files(spark, folder, store).first()["files_hashed"] == 0
+    src.where("quantity >= 20").coalesce(1).write.mode("append").parquet(folder)
+    old = [f for f in os.listdir(folder) if f.startswith("part")]
+    both = FP.fingerprint_files(spark, folder, store).first()
+    assert (both["files"], both["files_hashed"]) == (4, 1)
+    whole = FP.fingerprint(spark.read.parquet(folder)).first()
+    assert tuple(both)[:2] == tuple(whole) and whole["rows"] == src.count()
+    assert FP.fingerprint_files(spark, folder, os.path.join(tmp_dir, "other"), max_paths=0).first()[:2] == tuple(whole)
+    assert FP.fingerprint_files(spark, folder, store, places=2).first()["files_hashed"] == 4  # other numbers, other sums
+    os.remove(os.path.join(folder, old[0]))  # a file that goes takes its sum with it
+    rest = FP.fingerprint_files(spark, folder, store).first()
+    assert rest["files_hashed"] == 0 and tuple(rest)[:2] == tuple(FP.fingerprint(spark.read.parquet(folder)).first())
