@@ -1,8 +1,8 @@
 """Histories: quality-report trends (DQ17, WIN4, WIN5), pipeline-run health (AGG12) and
 structured-log queries (AGG13).
 
-A report or run history has one row per run; the ordered windows here run over that
-history (not over sales rows), so a single ordered partition is the natural plan.
+Histories may be long: ordered passes run over ranges of time, and the newest lines of a
+log are read from its newest days.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from salesforge.functions.ordered import in_order
 from salesforge.functions.schema import LOG_SCHEMA
 from salesforge.functions.semantics import round_half_even, ts_lit
+from salesforge.scratch import Scratch, file_system
 
 
 def summary_report(history: DataFrame) -> DataFrame:
@@ -47,13 +49,27 @@ def score_trend(history: DataFrame) -> DataFrame:
 def stable_periods(history: DataFrame, threshold: float = 5.0) -> DataFrame:
     """WIN5: maximal runs of >= 2 consecutive reports whose score moves by at most
     ``threshold`` per step (gaps and islands): start/end position (0-based, in time
-    order), duration and mean score."""
-    w = Window.orderBy("timestamp")  # over the report history
-    s = (history.select("timestamp", "overall_score")
-         .withColumn("idx", F.row_number().over(w) - 1)
-         .withColumn("brk", F.coalesce((F.abs(F.col("overall_score") - F.lag("overall_score").over(w))
-                                        > F.lit(threshold)).cast("int"), F.lit(0)))
-         .withColumn("island", F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    order), duration and mean score.
+
+    A prefix scan over ranges of time: every range counts its own steps, one row per range
+    (rows, first and last score, breaks) carries the last score and the numbers of rows and
+    islands into the next, and a range's rows add what was carried to their own."""
+    scratch = Scratch(history.sparkSession)
+    held = in_order(history.select("timestamp", "overall_score"), [F.col("timestamp"), F.col("overall_score")], scratch, label="history")
+    local = Window.partitionBy("range").orderBy("number")
+    jump = lambda a, b: F.coalesce((F.abs(a - b) > F.lit(threshold)).cast("int"), F.lit(0))
+    score = F.col("overall_score")
+    steps = held.withColumn("brk", jump(score, F.lag(score).over(local)))  # the first of a range has no break yet
+    ends = steps.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.sum("brk").alias("breaks"),
+                                      F.min_by(score, "number").alias("first"), F.max_by(score, "number").alias("last"))
+    over = Window.orderBy("range")  # one row per range of the shuffle, whose number is a setting
+    ends = ends.withColumn("edge", jump(F.col("first"), F.lag("last").over(over)))
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("range", "edge", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"),
+                          (F.coalesce(F.sum(F.col("breaks") + F.col("edge")).over(before), F.lit(0)) + F.col("edge")).alias("islands_before"))
+    upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s = (steps.withColumn("inner", F.sum("brk").over(upto)).join(F.broadcast(carried), "range")
+         .select(score, (F.col("rows_before") + F.col("number")).alias("idx"), (F.col("islands_before") + F.col("inner")).alias("island")))
     return (s.groupBy("island")
             .agg(F.min("idx").alias("start_index"), F.max("idx").alias("end_index"),
                  F.count(F.lit(1)).alias("duration"), F.avg("overall_score").alias("avg_score"))
@@ -93,3 +109,29 @@ def tail_logs(logs: DataFrame, limit: int = 100, level: str | None = None) -> Da
         logs = logs.where(F.upper(F.col("level")) == level.upper())
     return logs.orderBy(F.col("timestamp").desc(), *[F.col(c).asc() for c in logs.columns if c != "timestamp"]) \
         .limit(limit)
+
+
+def store_logs(logs: DataFrame, path: str, mode: str = "append") -> None:
+    """AGG13 store: log lines by day, for ``tail_stored``.  ``timestamp`` may be text."""
+    day = F.coalesce(F.date_format(F.to_date(F.col("timestamp").cast("timestamp_ntz")), "yyyy-MM-dd"), F.lit("none"))
+    logs.withColumn("day", day).hint("rebalance", "day").write.mode(mode).partitionBy("day").parquet(path)
+
+
+def tail_stored(spark: SparkSession, path: str, limit: int = 100, level: str | None = None) -> DataFrame:
+    """``tail_logs`` of a ``store_logs`` folder that reads the newest days only: the
+    newest day first, then twice as many days at a time, until ``limit`` lines of the level
+    are found.  Lines without a time are the oldest.  The driver sees one name per day."""
+    fs, where = file_system(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory()]
+    days = sorted((n.removeprefix("day=") for n in names if n.startswith("day=")), key=lambda d: (d != "none", d), reverse=True)
+    if not days:
+        return tail_logs(spark.createDataFrame([], LOG_SCHEMA), 0)
+    stored = spark.read.option("basePath", path)
+    stored, logs = stored.schema(stored.parquet(f"{path}/day={days[0]}").schema), None
+    found, upto, step = 0, 0, 1
+    while found < limit and upto < len(days):
+        new = stored.parquet(*[f"{path}/day={d}" for d in days[upto:upto + step]])
+        found += (new.where(F.upper(F.col("level")) == level.upper()) if level else new).limit(limit).count()
+        logs = new if logs is None else logs.unionByName(new)
+        upto, step = upto + step, 2 * step
+    return tail_logs(logs.drop("day"), limit, level)

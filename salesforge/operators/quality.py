@@ -13,7 +13,7 @@ import json
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesforge.functions.semantics import NUMERIC_TYPES, num, ts, ts_lit
@@ -132,9 +132,9 @@ def duplicate_count(df: DataFrame) -> DataFrame:
             .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicates")))
 
 
-def collect_stats(df: DataFrame, as_of: datetime) -> dict:
-    """The one wide aggregate (+ the duplicate count) every quality check reads.  Dates
-    and numbers are parsed once, in a projection below it."""
+def stat_columns(df: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """The rows with dates and numbers parsed once (in columns that begin with ``__``) and
+    the counts over them that depend on no point in time.  Counts of parts add up."""
     have = [c for c in NUMERIC_SALES_COLUMNS if c in df.columns]
     parsed = {f"__{c}": num(df, c) for c in have} | ({"__date": ts(df, "date")} if "date" in df.columns else {})
     rows = df.withColumns(parsed) if parsed else df
@@ -142,10 +142,7 @@ def collect_stats(df: DataFrame, as_of: datetime) -> dict:
     aggs += [_count_nonnull(df, c).alias(f"nn_{c}") for c in df.columns]
     if "date" in df.columns:
         d = F.col("__date")
-        aggs += [F.count(d).alias("date_ok"),
-                 F.count_if(F.col("date").isNotNull() & d.isNull()).alias("date_bad_text"),
-                 F.count_if(d > ts_lit(as_of)).alias("future"),
-                 F.count_if(d < ts_lit(as_of - timedelta(days=FRESHNESS_DAYS))).alias("old")]
+        aggs += [F.count(d).alias("date_ok"), F.count_if(F.col("date").isNotNull() & d.isNull()).alias("date_bad_text")]
     aggs += [F.count(f"__{c}").alias(f"num_ok_{c}") for c in have]
     if _is_numeric(df, *NUMERIC_SALES_COLUMNS):
         q, p, dsc, tot = (F.col(f"__{c}") for c in NUMERIC_SALES_COLUMNS)
@@ -157,6 +154,17 @@ def collect_stats(df: DataFrame, as_of: datetime) -> dict:
     if _is_numeric(df, "discount"):
         x = F.col("__discount")
         aggs.append(F.count_if((x < 0) | (x > 1)).alias("bad_discount"))
+    return rows, aggs
+
+
+def collect_stats(df: DataFrame, as_of: datetime) -> dict:
+    """The one wide aggregate (+ the duplicate count) every quality check reads.  Dates
+    and numbers are parsed once, in a projection below it."""
+    rows, aggs = stat_columns(df)
+    if "date" in df.columns:
+        d = F.col("__date")
+        aggs += [F.count_if(d > ts_lit(as_of)).alias("future"),
+                 F.count_if(d < ts_lit(as_of - timedelta(days=FRESHNESS_DAYS))).alias("old")]
     stats = rows.agg(*aggs).first().asDict()
     stats.update(duplicate_count(df).first().asDict())
     return stats
@@ -291,7 +299,13 @@ def run_all_checks(df: DataFrame, as_of: datetime, score_mode: str = "intended",
     """DQ12: every check over ``df`` as of ``as_of``; returns the report."""
     s = collect_stats(df, as_of)
     sample = _inconsistent_sample(df) if samples and s.get("inconsistent") else None
-    metrics, issues = build_metrics(df.columns, s, sample)
-    return QualityReport(timestamp=as_of, total_records=s["n"], total_columns=len(df.columns),
+    return report_of(df.sparkSession, df.columns, s, as_of, score_mode, sample)
+
+
+def report_of(spark: SparkSession, columns: list[str], s: dict, as_of: datetime, score_mode: str = "intended",
+              sample: list[dict] | None = None) -> QualityReport:
+    """The report that the counts ``s`` give."""
+    metrics, issues = build_metrics(columns, s, sample)
+    return QualityReport(timestamp=as_of, total_records=s["n"], total_columns=len(columns),
                          metrics=metrics, issues=issues, overall_score=overall_score(metrics, score_mode),
-                         spark=df.sparkSession)
+                         spark=spark)

@@ -4,18 +4,22 @@ A sale's ``date`` may carry a time of day; the shapes work by calendar day, and
 date includes that whole day.  Bounds are plain comparisons of the stored column, so they
 reach the Parquet/JDBC scan as pushed filters; ordering with a limit plans as
 ``TakeOrderedAndProject``.  An offset keeps ``offset + limit`` rows per partition: for
-deep pages pass ``after``, the last row of the page before, which is a plain filter.
+deep pages pass ``after``, the last row of the page before, which is a plain filter, or
+build a ``PageIndex``, which reads only the rows of the page.
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from salesforge.functions.ordered import in_order, range_totals
 from salesforge.functions.schema import SALES_COLUMNS
 from salesforge.functions.semantics import ts_lit
+from salesforge.scratch import Scratch
 
 
 def _has_time(value: date | datetime | str) -> bool:
@@ -53,6 +57,11 @@ def _after(df: DataFrame, last: Row | dict, keys: list[str]) -> Column:
     return out
 
 
+def _page_order(df: DataFrame) -> list[Column]:
+    names = [c for c in SALES_COLUMNS if c != "date" and c in df.columns]
+    return [F.col("date").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in names]]
+
+
 def sales_page(df: DataFrame, start_date=None, end_date=None, product_id: str | None = None,
                limit: int = 100, offset: int = 0, after: Row | dict | None = None) -> DataFrame:
     """QRY1: filtered rows, newest first, one page.  Remaining columns break date ties
@@ -64,8 +73,43 @@ def sales_page(df: DataFrame, start_date=None, end_date=None, product_id: str |
     names = ["date", *[c for c in SALES_COLUMNS if c != "date" and c in df.columns]]
     if after is not None:
         df = df.where(_after(df, after, names))
-    keys = [F.col("date").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in names[1:]]]
-    return df.orderBy(*keys).offset(offset).limit(limit)
+    return df.orderBy(*_page_order(df)).offset(offset).limit(limit)
+
+
+class PageIndex:
+    """QRY1 at any depth: the rows in page order, in ranges with known row counts.
+
+    ``build`` sorts the table once over ranges (newest first, ties as in ``sales_page``)
+    and writes it, a folder per range, each row with its number in the range, besides one
+    row per range with the number of rows before it.  A page then names the ranges it lies
+    in (mostly one) and the numbers in them: it reads those folders only, and from them the
+    row groups that hold the numbers.  Nothing is sorted or skipped, however large the
+    offset.  The index is as old as its build."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    @classmethod
+    def build(cls, df: DataFrame, path: str, ranges: int | None = None) -> PageIndex:
+        scratch = Scratch(df.sparkSession)
+        placed = in_order(df, _page_order(df), scratch, number="_number", range_col="_range", ranges=ranges, label="pages")
+        # A task holds neighbouring ranges whole and in order, as the sort has left them.
+        placed.repartitionByRange("_range", "_number").sortWithinPartitions("_range", "_number").write.mode("overwrite") \
+            .partitionBy("_range").parquet(f"{path}/rows")
+        range_totals(placed, "_range").join(placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n")), "_range") \
+            .write.mode("overwrite").parquet(f"{path}/ranges")
+        scratch.release()
+        return cls(df.sparkSession, path)
+
+    def page(self, limit: int = 100, offset: int = 0) -> DataFrame:
+        """``limit`` rows from ``offset`` on, in page order."""
+        held = self.spark.read.parquet(f"{self.path}/ranges")
+        hit = held.where((F.col("before") < offset + limit) & (F.col("before") + F.col("n") > offset)).collect()
+        rows = self.spark.read.parquet(f"{self.path}/rows")
+        wanted = [(F.col("_range") == r["_range"]) & (F.col("_number") >= offset - r["before"]) & (F.col("_number") < offset + limit - r["before"])
+                  for r in hit]
+        rows = rows.where(reduce(Column.__or__, wanted, F.lit(False)))
+        return rows.orderBy("_range", "_number").limit(limit).drop("_range", "_number")
 
 
 def sales_summary(df: DataFrame, start_date=None, end_date=None) -> DataFrame:

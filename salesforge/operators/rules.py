@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesforge.functions.schema import NUMERIC_SALES_COLUMNS, RULE_REQUIRED
@@ -248,27 +248,30 @@ class DataQualityRules:
     def get_enabled_rules(self) -> list[QualityRule]:
         return [r for r in self.rules.values() if r.enabled]
 
-    def _evaluate(self, df: DataFrame, rules: list[QualityRule], as_of: datetime) -> list[dict]:
-        checks = []
+    @staticmethod
+    def checks(df: DataFrame, rules: list[QualityRule], as_of: datetime) -> list[RuleCheck | Exception]:
+        found = []
         for r in rules:
             try:
-                checks.append(r.check(df, {"threshold": r.threshold, "as_of": as_of}))
+                found.append(r.check(df, {"threshold": r.threshold, "as_of": as_of}))
             except Exception as e:  # noqa: BLE001 - a broken rule is a failed result
-                checks.append(e)
+                found.append(e)
+        return found
+
+    @staticmethod
+    def columns(checks: list[RuleCheck | Exception]) -> tuple[list[Column], bool]:
+        """The aggregates of all checks, and whether one wants the duplicate count."""
         cols, need_dup = [], False
         for i, c in enumerate(checks):
-            if isinstance(c, Exception):
-                continue
-            for k, v in c.aggs.items():
+            for k, v in ({} if isinstance(c, Exception) else c.aggs).items():
                 if isinstance(v, str) and v == DUPLICATES:
                     need_dup = True
                 else:
                     cols.append(v.alias(f"r{i}__{k}"))
-        row: dict = {}
-        if cols or need_dup:
-            row = df.agg(*cols).first().asDict() if cols else {}
-            if need_dup:
-                row.update(duplicate_count(df).first().asDict())
+        return cols, need_dup
+
+    @staticmethod
+    def judged(rules: list[QualityRule], checks: list[RuleCheck | Exception], row: dict) -> list[dict]:
         out = []
         for i, (r, c) in enumerate(zip(rules, checks)):
             if isinstance(c, Exception):
@@ -286,6 +289,16 @@ class DataQualityRules:
                         "error": res.get("error")})
         return out
 
+    def _evaluate(self, df: DataFrame, rules: list[QualityRule], as_of: datetime) -> list[dict]:
+        checks = self.checks(df, rules, as_of)
+        cols, need_dup = self.columns(checks)
+        row: dict = {}
+        if cols or need_dup:
+            row = df.agg(*cols).first().asDict() if cols else {}
+            if need_dup:
+                row.update(duplicate_count(df).first().asDict())
+        return self.judged(rules, checks, row)
+
     def run_rule(self, name: str, df: DataFrame, as_of: datetime) -> dict:
         rule = self.get_rule(name)
         if not rule or not rule.enabled:
@@ -295,8 +308,11 @@ class DataQualityRules:
     def run_all(self, df: DataFrame, as_of: datetime) -> DataFrame:
         """Every enabled rule; one row per rule (report-sized)."""
         rules = self.get_enabled_rules()
-        res = self._evaluate(df, rules, as_of)
+        return self.result_df(df.sparkSession, rules, self._evaluate(df, rules, as_of))
+
+    @staticmethod
+    def result_df(spark: SparkSession, rules: list[QualityRule], res: list[dict]) -> DataFrame:
         rows = [(i + 1, r.name, r.severity, float(r.threshold), x["passed"],
                  float(x["score"]) if x.get("score") is not None else None,
                  x.get("issues", []), x.get("error")) for i, (r, x) in enumerate(zip(rules, res))]
-        return df.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
+        return spark.createDataFrame(rows, RESULT_SCHEMA)

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from salesforge.functions.schema import SALES_COLUMNS
 from salesforge.operators import history as H
+from salesforge.operators import incremental as IN
 from salesforge.operators import legacy as L
 from salesforge.operators import quality as DQ
 from salesforge.operators import rules as RU
 from salesforge.plans.oracle import AS_OF_SQL, DATE, DIRTY_CTE, HISTORY_CTE, NUM, ROW_KEY, RUNS_CTE, TEXT_CTE, R, with_
 from salesforge.plans.registry import register, stable
+from salesforge.scratch import Scratch
 from salesforge.sources import fixtures as FX
 
 NUM4 = ["quantity", "unit_price", "discount", "total_sales"]
@@ -437,13 +439,46 @@ def _pipeline_health(spark, sf_dir):
     return stable(H.pipeline_health(FX.pipeline_runs(spark, sf_dir), RUNS_AS_OF))
 
 
-@register("log_tail", """WITH logs AS (
+_TAIL_SQL = """WITH logs AS (
   SELECT ts AS timestamp,
          CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'signup' THEN 'WARNING' ELSE 'INFO' END AS level,
          'events' AS logger, concat_ws(' ', event_type, props) AS message, CAST(user_id AS VARCHAR) AS user_id,
          event_id
   FROM events)
 SELECT * FROM logs WHERE upper(level) = 'ERROR'
-ORDER BY timestamp DESC, level, logger, message, user_id, event_id LIMIT 100""")
+ORDER BY timestamp DESC, level, logger, message, user_id, event_id LIMIT 100"""
+
+
+@register("log_tail", _TAIL_SQL)
 def _log_tail(spark, sf_dir):
     return stable(H.tail_logs(FX.log_lines(spark, sf_dir), 100, "error"))
+
+
+@register("log_tail_stored", _TAIL_SQL)
+def _log_tail_stored(spark, sf_dir):
+    path = Scratch(spark).folder("logs")
+    H.store_logs(FX.log_lines(spark, sf_dir), path)
+    lines = H.tail_stored(spark, path, 100, "error")
+    return stable(lines)
+
+
+# ---------------------------------------------------------------------------------------
+# DQ12 / RUL0 by parts: the states of two appends, merged
+# ---------------------------------------------------------------------------------------
+def _store(spark, sf_dir, rules=None):
+    df = FX.sales_dirty(spark, sf_dir)
+    store = IN.QualityStore(Scratch(spark).folder("quality"), df, rules, FX.AS_OF)
+    recent = F.col("date") >= F.lit("1997-01-01").cast("timestamp_ntz")
+    for rows in (df.where(~F.coalesce(recent, F.lit(False))), df.where(recent)):
+        store.add(rows, F.date_format("date", "yyyy"))
+    return store
+
+
+@register("quality_metrics_merged", _metrics_sql(DIRTY_CTE, "sales_dirty", True))
+def _quality_metrics_merged(spark, sf_dir):
+    return stable(_store(spark, sf_dir).report(FX.AS_OF).metrics_df())
+
+
+@register("rule_results_merged", _rules_sql())
+def _rule_results_merged(spark, sf_dir):
+    return stable(_store(spark, sf_dir, RU.DataQualityRules()).rule_results())

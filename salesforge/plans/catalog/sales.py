@@ -5,6 +5,7 @@ from __future__ import annotations
 from salesforge.operators import queries as Q
 from salesforge.plans.oracle import INTRADAY_CTE, SALES_CTE, R, with_
 from salesforge.plans.registry import register, stable
+from salesforge.scratch import Scratch
 from salesforge.sources import fixtures as FX
 
 # ---------------------------------------------------------------------------------------
@@ -25,6 +26,35 @@ def _sales_page(spark, sf_dir):
     return stable(Q.sales_page(FX.sales(spark, sf_dir), PAGE_START, PAGE_END, limit=100, offset=20), dp=6)
 
 
+DEEP_OFFSET = 50_500
+
+
+@register("sales_page_deep", with_(SALES_CTE) + f"""
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount,
+       {R('total_sales', 6)} AS total_sales
+FROM sales
+ORDER BY date DESC NULLS LAST, product_id NULLS LAST, quantity NULLS LAST,
+         unit_price NULLS LAST, discount NULLS LAST, total_sales NULLS LAST
+LIMIT 100 OFFSET {DEEP_OFFSET}""")
+def _sales_page_deep(spark, sf_dir):
+    index = Q.PageIndex.build(FX.sales(spark, sf_dir), Scratch(spark).folder("page-index"))
+    return stable(index.page(limit=100, offset=DEEP_OFFSET), dp=6)
+
+
+@register("sales_page_after", with_(SALES_CTE) + f"""
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount,
+       {R('total_sales', 6)} AS total_sales
+FROM (SELECT DISTINCT * FROM sales)
+ORDER BY date DESC NULLS LAST, product_id NULLS LAST, quantity NULLS LAST,
+         unit_price NULLS LAST, discount NULLS LAST, total_sales NULLS LAST
+LIMIT 100 OFFSET 40""")
+def _sales_page_after(spark, sf_dir):
+    # The page behind the 40th row, by its values instead of an offset.
+    df = FX.sales(spark, sf_dir).distinct()
+    last = Q.sales_page(df, limit=1, offset=39).first()
+    return stable(Q.sales_page(df, limit=100, after=last), dp=6)
+
+
 @register("sales_summary", with_(SALES_CTE) + f"""
 SELECT count(*) AS total_records, sum(quantity) AS total_quantity,
        {R('sum(total_sales)', 4)} AS total_revenue, {R('avg(unit_price)')} AS avg_unit_price,

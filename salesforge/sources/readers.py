@@ -10,7 +10,9 @@ partition column is given.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -41,15 +43,52 @@ def csv_columns(spark: SparkSession, path: str, **options) -> list[str]:
     return spark.read.options(header=True, inferSchema=False, **options).csv(path).columns
 
 
+def csv_headers(spark: SparkSession, path: str, **options) -> dict[str, list[str]]:
+    """The files of a landing by the text of their first line.  The driver reads one line
+    of each file, 32 files at a time; empty files are left out."""
+    listing = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter")}
+    files = sorted(spark.read.options(**listing).text(path).inputFiles())
+    hadoop, java = spark._jvm.org.apache.hadoop, spark._jvm.java
+    conf = spark._jsc.hadoopConfiguration()
+    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(uri: str) -> str | None:
+        where = hadoop.fs.Path(java.net.URI(uri))
+        raw = where.getFileSystem(conf).open(where)
+        try:
+            codec = codecs.getCodec(where)
+            stream = raw if codec is None else codec.createInputStream(raw)
+            return java.io.BufferedReader(java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            raw.close()
+
+    found: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(32) as pool:
+        for uri, line in zip(files, pool.map(first_line, files)):
+            if line is not None:
+                found.setdefault(line, []).append(uri)
+    return found
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, **options) -> DataFrame:
     """SRC1: CSV with a header, every column of the file as text under its own name, and
-    ``_corrupt_record``.  Files whose headers differ in names or order are refused, not
-    shifted.  ``schema`` skips reading the header; its columns must be the file's.  A
+    ``_corrupt_record``.  Files with different headers (order, missing or further columns)
+    are read by the names they have and united, a column that a file lacks being NULL.
+    ``schema`` skips reading the headers; its columns must be those of every file.  A
     missing path raises ``FileNotFoundError``."""
+    def read(columns: T.StructType, paths: str | list[str]) -> DataFrame:
+        return spark.read.schema(columns).options(
+            header=True, mode="PERMISSIVE", enforceSchema=False, columnNameOfCorruptRecord=CORRUPT, **options).csv(paths)
+
     try:
-        schema = schema or text_schema(csv_columns(spark, path, **options))
-        return spark.read.schema(schema).options(
-            header=True, mode="PERMISSIVE", enforceSchema=False, columnNameOfCorruptRecord=CORRUPT, **options).csv(path)
+        if schema is not None:
+            return read(schema, path)
+        groups = csv_headers(spark, path, **options)
+        if len(groups) <= 1:
+            return read(text_schema(csv_columns(spark, path, **options)), path)
+        parts = [read(text_schema(csv_columns(spark, files[0], **options)), files) for files in groups.values()]
+        whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return whole.select(*[c for c in whole.columns if c != CORRUPT], CORRUPT)
     except AnalysisException as e:
         if _missing_path(e):
             raise FileNotFoundError(f"CSV file not found: {path}") from e

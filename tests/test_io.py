@@ -64,8 +64,21 @@ def test_csv_columns_by_name(spark, tmp_dir):
     os.makedirs(folder)
     _file(folder, "a.csv", "date,product_id,quantity,unit_price\n2024-01-15,P1,3,4\n")
     _file(folder, "b.csv", "date,product_id,unit_price,quantity\n2024-01-15,P1,4,3\n")
-    with pytest.raises(Exception, match="header"):  # refused, not shifted
-        RD.read_csv(spark, folder).collect()
+    _file(folder, "c.csv", "product_id,date,note\nP2,2024-01-16,hello\nP3\n")
+    _file(folder, "d.csv", "date,product_id,unit_price,quantity\n2024-01-17,P4,6,5\n")
+    _file(folder, "empty.csv", "")
+    df = RD.read_csv(spark, folder)
+    assert set(df.columns) == {"date", "product_id", "quantity", "unit_price", "note", RD.CORRUPT}
+    rows = [r for r in df.cache().collect()]
+    whole = {(r["date"], r["product_id"], r["quantity"], r["unit_price"], r["note"]) for r in rows if r[RD.CORRUPT] is None}
+    assert whole == {("2024-01-15", "P1", "3", "4", None), ("2024-01-16", "P2", None, None, "hello"), ("2024-01-17", "P4", "5", "6", None)}
+    assert sorted(r["product_id"] for r in rows if r["date"] == "2024-01-15") == ["P1", "P1"]  # one row each of a and b
+    assert [r[RD.CORRUPT] for r in rows if r[RD.CORRUPT]] == ["P3"]
+    assert {len(f) for f in RD.csv_headers(spark, folder).values()} == {1, 2}
+    import gzip
+    with gzip.open(os.path.join(folder, "e.csv.gz"), "wt") as f:
+        f.write("quantity,product_id,date\n9,P9,2024-02-01\n")
+    assert RD.read_csv(spark, folder).where("product_id = 'P9' and quantity = '9'").count() == 1
 
 
 def test_json_fields_by_name(spark, tmp_dir):
