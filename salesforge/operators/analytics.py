@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from salesforge.functions.semantics import (
     fmt_fixed, fmt_thousands, num, pairwise_corr, round_half_even, sum0, ts, weekday_name,
 )
-from salesforge.functions.schema import NUMERIC_SALES_COLUMNS
+from salesforge.functions.schema import NUMERIC_SALES_COLUMNS, SALES_COLUMNS
+from salesforge.scratch import Scratch
 from salesforge.session import materialize
 
 METRIC_COLS = ["name", "value", "unit", "description", "period"]
@@ -281,7 +282,10 @@ def product_performance(df: DataFrame, top_n: int = 10) -> DataFrame:
                  r2(sum0("quantity")).alias("total_quantity"),
                  r2(F.avg("unit_price")).alias("avg_price"),
                  r2(F.avg("discount")).alias("avg_discount")))
-    perf = materialize(perf)  # one row per product; the table is read once
+    return _performance(materialize(perf), top_n)  # one row per product; the table is read once
+
+
+def _performance(perf: DataFrame, top_n: int) -> DataFrame:
     top = perf.orderBy(F.col("total_revenue").desc(), F.col("product_id")).limit(top_n)
     ties = (perf.select("total_revenue")
             .join(F.broadcast(top.select("total_revenue").distinct()), "total_revenue")
@@ -330,12 +334,20 @@ def correlation_matrix(df: DataFrame) -> DataFrame:
     cols = [c for c in NUMERIC_SALES_COLUMNS if c in df.columns]
     if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
+    return _correlation_cells(df.agg(*_correlation_aggs(cols)), cols)
+
+
+def _correlation_aggs(cols: list[str]) -> list[Column]:
+    """Every pair once, and the unit diagonal."""
     aggs = []
     for i, a in enumerate(cols):
         aggs.append(F.when(F.stddev_samp(a) > 0, F.lit(1.0)).alias(f"{a}__{a}"))
         for b in cols[i + 1:]:
             aggs.append(pairwise_corr(a, b).alias(f"{a}__{b}"))
-    one = df.agg(*aggs)
+    return aggs
+
+
+def _correlation_cells(one: DataFrame, cols: list[str]) -> DataFrame:
     cells = []
     for a in cols:
         for b in cols:
@@ -456,14 +468,15 @@ def forecast(df: DataFrame, periods: int = 12, method: str = "simple") -> DataFr
 # ---------------------------------------------------------------------------------------
 # INS1
 # ---------------------------------------------------------------------------------------
-def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
-             money_dp: int | None = None) -> DataFrame:
+def insights(df: DataFrame, anomaly_count: DataFrame | None = None, money_dp: int | None = None,
+             flat: DataFrame | None = None, prod: DataFrame | None = None, seasons: DataFrame | None = None) -> DataFrame:
     """INS1: insight rows (type, title, description, value_num, value_text).
 
     ``anomaly_count`` is a one-row frame with column ``n`` (IQR anomaly rows); see
     ``salesforge.operators.anomalies.anomaly_count``.  ``money_dp`` snaps revenue sums
     to that many places before they are formatted, so the text does not depend on the
-    order in which partial sums were added.
+    order in which partial sums were added.  ``flat`` (rev, disc), ``prod`` (product_id,
+    revenue) and ``seasons`` (``seasonal_patterns``) are optional precomputed frames.
     """
     # The types, titles and texts of the insights below.
     spark = df.sparkSession
@@ -472,15 +485,19 @@ def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
     cols = ["type", "title", "description", "value_num", "value_text"]
     scalars = [a for a, ok in ((snap(sum0("total_sales")).alias("rev"), _has(df, "total_sales")),
                                (F.avg("discount").alias("disc"), _has(df, "discount"))) if ok]
-    flat = materialize(df.agg(*scalars)) if scalars else None  # one pass for both scalar insights
+    if flat is not None:
+        flat = flat.select(snap(F.col("rev")).alias("rev"), "disc")
+    elif scalars:
+        flat = materialize(df.agg(*scalars))  # one pass for both scalar insights
     if _has(df, "total_sales"):
         rev = flat.select(F.col("rev").alias("v")).where(F.col("v") > 0)
         frames.append(rev.select(F.lit("revenue").alias("type"), F.lit("Total Revenue").alias("title"),
                                  F.concat(F.lit("Total revenue generated: $"), fmt_thousands("v", 2)).alias("description"),
                                  F.col("v").alias("value_num"), F.lit(None).cast("string").alias("value_text")))
     if _has(df, "product_id", "total_sales"):
-        prod = (df.where(F.col("product_id").isNotNull()).groupBy("product_id")
-                .agg(sum0("total_sales").alias("revenue")))
+        if prod is None:
+            prod = (df.where(F.col("product_id").isNotNull()).groupBy("product_id")
+                    .agg(sum0("total_sales").alias("revenue")))
         top = prod.agg(F.min_by("product_id", F.struct(-F.col("revenue"), F.col("product_id"))).alias("pid"),
                        snap(F.max("revenue")).alias("v")).where(F.col("pid").isNotNull())
         frames.append(top.select(F.lit("product").alias("type"), F.lit("Top Performing Product").alias("title"),
@@ -494,7 +511,7 @@ def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
                                            fmt_fixed(F.col("v") * 100, 1), F.lit("%")).alias("description"),
                                   F.col("v").alias("value_num"), F.lit(None).cast("string").alias("value_text")))
     if _has(df, "date"):
-        months = seasonal_patterns(df).where(F.col("dimension") == "monthly")
+        months = (seasons if seasons is not None else seasonal_patterns(df)).where(F.col("dimension") == "monthly")
         frames.append(months.select(F.lit("seasonal").alias("type"), F.lit("Peak Sales Month").alias("title"),
                                     F.format_string("Month %s shows the highest sales volume", F.col("best")).alias("description"),
                                     F.col("best").cast("double").alias("value_num"),
@@ -518,10 +535,42 @@ def insights(df: DataFrame, anomaly_count: DataFrame | None = None,
 # ---------------------------------------------------------------------------------------
 # INS2
 # ---------------------------------------------------------------------------------------
-def analysis_report(df: DataFrame, anomaly_count: DataFrame | None = None, top_n: int = 10) -> dict[str, DataFrame]:
+def analysis_report(df: DataFrame, anomaly_count: DataFrame | None = None, top_n: int = 10,
+                    money_dp: int | None = None) -> dict[str, DataFrame]:
     """INS2: the frames of the analysis report (basic metrics, insights, product
     performance, seasonal patterns, correlations); write them with
-    ``sinks.write_frames_json``.  Cache ``df`` first: every frame reads it."""
-    return {"basic_metrics": basic_metrics(df), "insights": insights(df, anomaly_count),
-            "product_performance": product_performance(df, top_n), "seasonal_patterns": seasonal_patterns(df),
-            "correlations": correlation_matrix(df)}
+    ``sinks.write_frames_json``.
+
+    Two scans feed all of them: one aggregate of row-level figures, and one GROUPING SETS
+    aggregate by day and by product, settled (one row per day and per product), from which
+    the seasons, the products and the number of products are derived.  A table that lacks
+    a sales column gets the frames one by one, as far as its columns go."""
+    if not _has(df, *SALES_COLUMNS):
+        return {"basic_metrics": basic_metrics(df), "insights": insights(df, anomaly_count, money_dp),
+                "product_performance": product_performance(df, top_n), "seasonal_patterns": seasonal_patterns(df),
+                "correlations": correlation_matrix(df)}
+    scratch = Scratch(df.sparkSession)
+    one = scratch.table(df.agg(
+        F.count(F.lit(1)).alias("total_records"), F.date_format(F.min("date"), "yyyy-MM-dd").alias("start_date"),
+        F.date_format(F.max("date"), "yyyy-MM-dd").alias("end_date"), sum0("total_sales").alias("total_revenue"),
+        sum0("quantity").alias("total_quantity"), F.avg("unit_price").alias("avg_unit_price"),
+        F.avg("discount").alias("avg_discount"), *_correlation_aggs(NUMERIC_SALES_COLUMNS)), "figures")
+    rows = df.select(F.to_date("date").cast("timestamp_ntz").alias("day"), "product_id", *NUMERIC_SALES_COLUMNS)
+    sets = scratch.table(rows.groupingSets([["day"], ["product_id"]], "day", "product_id").agg(
+        F.grouping_id().alias("gid"), *[f(c).alias(f"{n}_{c}") for c in NUMERIC_SALES_COLUMNS for n, f in (("sum", sum0), ("count", F.count))]), "sets")
+    # grouping_id bits (day, product): 1 = not grouped by that column.
+    days = sets.where(F.col("gid") == 1).select(F.col("day").alias("date"), F.col("sum_total_sales").alias("total_sales"))
+    prods = sets.where((F.col("gid") == 2) & F.col("product_id").isNotNull())
+    mean = lambda c: round_half_even(F.try_divide(F.col(f"sum_{c}"), F.col(f"count_{c}")), 2)
+    perf = prods.select("product_id", round_half_even("sum_total_sales", 2).alias("total_revenue"), mean("total_sales").alias("avg_order_value"),
+                        F.col("count_total_sales").alias("order_count"), round_half_even("sum_quantity", 2).alias("total_quantity"),
+                        mean("unit_price").alias("avg_price"), mean("discount").alias("avg_discount"))
+    names = ["total_records", "start_date", "end_date", "total_revenue", "total_quantity", "avg_unit_price", "avg_discount", "unique_products"]
+    count = prods.agg(F.count(F.lit(1)).alias("unique_products"))
+    basic = one.unionByName(count, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in names])  # two one-row frames
+    seasons = seasonal_patterns(days)
+    flat = one.select(F.col("total_revenue").alias("rev"), F.col("avg_discount").alias("disc"))
+    return {"basic_metrics": basic,
+            "insights": insights(df, anomaly_count, money_dp, flat, prods.select("product_id", F.col("sum_total_sales").alias("revenue")), seasons),
+            "product_performance": _performance(perf, top_n), "seasonal_patterns": seasons,
+            "correlations": _correlation_cells(one, NUMERIC_SALES_COLUMNS)}

@@ -191,6 +191,33 @@ def _quality_summary(spark, sf_dir):
     return stable(_report(spark, sf_dir).summary_df())
 
 
+def _summary_sql() -> str:
+    return f"""SELECT n AS total_records, {R(R(_score_sql(DIRTY_CTE, 'sales_dirty', True), 2))} AS overall_score,
+       {_issue_count_sql(True)} AS total_issues FROM s"""
+
+
+@register("quality_report_nested", f"""SELECT m.name, m.value, m.threshold, m.passed, m.description, t.total_records, t.overall_score, t.total_issues
+FROM ({_metrics_sql(DIRTY_CTE, "sales_dirty", True)}) m, ({with_(DIRTY_CTE, _stats_cte("sales_dirty", True))} {_summary_sql()}) t""")
+def _quality_report_nested(spark, sf_dir):
+    # DQ18: the one JSON document, read back by Spark.
+    nested = ("summary struct<total_records:bigint,overall_score:double,total_issues:bigint>, "
+              "metrics array<struct<name:string,value:double,threshold:double,passed:boolean,description:string>>")
+    whole = _report(spark, sf_dir).to_json_df().select(F.from_json("report", nested).alias("r"))
+    return stable(whole.select("r.summary.*", F.explode("r.metrics").alias("m")).select("m.*", "total_records", "overall_score", "total_issues"))
+
+
+@register("quality_samples", with_(DIRTY_CTE) + f"""
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, {R('total_sales', 6)} AS total_sales
+FROM sales_dirty WHERE abs(total_sales - quantity * unit_price * (1 - discount)) > 0.01
+ORDER BY date NULLS FIRST, product_id, quantity, unit_price, discount, total_sales LIMIT 3""")
+def _quality_samples(spark, sf_dir):
+    # DQ5: the sample of inconsistent rows that the issue carries.
+    df = FX.sales_dirty(spark, sf_dir)
+    issues = {x["rule_name"]: x for x in DQ.run_all_checks(df, FX.AS_OF).issues}
+    rows = [tuple(r[c] for c in df.columns) for r in issues["calculation_consistency"]["sample_data"]]
+    return stable(spark.createDataFrame(rows, df.schema), dp=6)
+
+
 @register("quality_severity_breakdown", with_(DIRTY_CTE, _stats_cte("sales_dirty", True)) + """
 SELECT severity, count(*) AS issues FROM (""" + "\nUNION ALL\n".join(
     f"SELECT {sev} AS severity FROM s WHERE {cond}" for cond, sev in _severity_sql(True)) + ") GROUP BY severity")

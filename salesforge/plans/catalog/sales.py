@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 from salesforge.operators import queries as Q
-from salesforge.plans.oracle import INTRADAY_CTE, SALES_CTE, R, with_
+from salesforge.operators import transform as T
+from salesforge.plans.oracle import DIRTY_CTE, INTRADAY_CTE, SALES_CTE, R, with_
 from salesforge.plans.registry import register, stable
 from salesforge.scratch import Scratch
 from salesforge.sources import fixtures as FX
 
+# ---------------------------------------------------------------------------------------
+# TRF1
+# ---------------------------------------------------------------------------------------
+@register("imputed_sales", with_(DIRTY_CTE) + f""",
+i AS (SELECT date, product_id, coalesce(quantity, 0.0) AS quantity,
+             coalesce(unit_price, (SELECT avg(unit_price) FROM sales_dirty)) AS unit_price,
+             coalesce(discount, 0.0) AS discount, total_sales FROM sales_dirty)
+SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, {R('total_sales', 6)} AS total_sales
+FROM i""")
+def _imputed_sales(spark, sf_dir):
+    return stable(T.impute(FX.sales_dirty(spark, sf_dir)), dp=6)
+
+
 # ---------------------------------------------------------------------------------------
 # QRY1-QRY4
 # ---------------------------------------------------------------------------------------

@@ -66,16 +66,6 @@ def _revenue_trends_year(spark, sf_dir):
 # ---------------------------------------------------------------------------------------
 # Transform steps on the dirty view
 # ---------------------------------------------------------------------------------------
-@register("imputed_sales", with_(DIRTY_CTE) + f""",
-price AS (SELECT avg(unit_price) AS mean FROM sales_dirty),
-i AS (SELECT date, product_id, coalesce(quantity, 0.0) AS quantity, coalesce(unit_price, mean) AS unit_price,
-             coalesce(discount, 0.0) AS discount, total_sales FROM sales_dirty, price)
-SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, {R('total_sales', 6)} AS total_sales
-FROM i""")
-def _imputed_sales(spark, sf_dir):
-    return stable(T.impute(FX.sales_dirty(spark, sf_dir)), dp=6)
-
-
 @register("sigma_filtered_sales", with_(DIRTY_CTE) + TRANSFORM_CTES + f"""
 SELECT date, product_id, quantity, {R('unit_price', 6)} AS unit_price, discount, {R('total_sales', 6)} AS total_sales
 FROM f3""")

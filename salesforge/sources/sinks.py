@@ -42,16 +42,20 @@ def timestamped(base_dir: str, prefix: str, run_ts: datetime) -> str:
 
 
 def tag_records(df: DataFrame) -> DataFrame:
-    """The rows with their typed values (struct ``typed``) and the reason of a reject."""
+    """The rows with their typed values (struct ``typed``) and the reason of a reject.
+    Every value is parsed once, in a projection of its own; the reason looks at what came
+    out."""
     pid = F.regexp_replace(F.col("product_id").cast("string"), "P", "").try_cast("int")
-    q, discount = num(df, "quantity"), num(df, "discount")
+    q = num(df, "quantity")
     typed = {"date": F.to_date(ts(df, "date")), "product_id": pid,
              "quantity": F.when(q.isNotNull() & (F.abs(q) < F.lit(2.0 ** 31)), q.cast("int")),
-             "unit_price": num(df, "unit_price"), "discount": discount, "total_sales": num(df, "total_sales")}
-    bad = [(c, typed[c].isNull()) for c in ["date", "product_id", "quantity", "unit_price", "total_sales"]]
-    bad.append(("discount", F.col("discount").isNotNull() & discount.isNull()))
+             "unit_price": num(df, "unit_price"), "discount": num(df, "discount"), "total_sales": num(df, "total_sales")}
+    parsed = df.select("*", *[v.alias(f"_typed_{c}") for c, v in typed.items()])
+    got = {c: F.col(f"_typed_{c}") for c in typed}
+    bad = [(c, got[c].isNull()) for c in ["date", "product_id", "quantity", "unit_price", "total_sales"]]
+    bad.append(("discount", F.col("discount").isNotNull() & got["discount"].isNull()))
     reason = F.coalesce(*[F.when(b, F.lit(f"{c}_invalid")) for c, b in bad], F.lit(None).cast("string"))
-    return df.select("*", F.struct(*[v.alias(c) for c, v in typed.items()]).alias("typed"), reason.alias("reason"))
+    return parsed.select(*[F.col(f"`{c}`") for c in df.columns], F.struct(*[v.alias(c) for c, v in got.items()]).alias("typed"), reason.alias("reason"))
 
 
 def accepted_records(tagged: DataFrame) -> DataFrame:
