@@ -5,8 +5,11 @@ A sample whose odds grow with a record's size is drawn, its weighted quantiles b
 the splitters, the records of each range are counted, and ranges that hold too much are
 subdivided by splitters sampled inside them.  Then the records are range-partitioned
 once, numbered within their range, and the ranges' exact totals turn these numbers into
-places in the whole order.  A shard is an equal share of that order by bytes: shard
-sizes differ by the size of one record at most.
+places in the whole order.  A shard is an equal share of that order by bytes, except that
+equal texts stay together: a group goes where its middle lies, so shard sizes differ by
+the size of one group at most.  A group that is larger than a range (about a
+``per_shard``-th of a shard) is cut by bytes like anything else; otherwise a text that
+makes up a third of the table would fill a third of all shards' room in one.
 
 Scale: only (hash, id, salt, size) is read for sampling and counting; the records are
 shuffled once, into ranges of about a ``per_shard``-th of a shard and at most about ``range_bytes``;
@@ -20,6 +23,8 @@ empty.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -91,7 +96,10 @@ def splitters(keys: DataFrame, ranges: int, oversample: int, rounds: int) -> lis
         if not set(more) - set(found):
             break
         found = sorted({*found, *more})
-    return found
+    # A single boundary inside a text's copies moves before them; several mean that the
+    # copies fill ranges of their own.
+    inside = Counter(k1 for k1, _ in found)
+    return sorted({(k1, k2 if inside[k1] > 1 else -1 << 63) for k1, k2 in found})
 
 
 def shard(docs: DataFrame, scratch: Scratch, *, shards: int, text_col: str = "text", id_col: str = "doc_id",
@@ -109,18 +117,26 @@ def shard(docs: DataFrame, scratch: Scratch, *, shards: int, text_col: str = "te
     found = splitters(keys, ranges, oversample, rounds)
     inside = Window.partitionBy("range").orderBy("k1", "k2")
     placed = (keyed.withColumn("range", range_number(found, F.col("k1"), F.col("k2")))
-              .repartition("range")
+              .repartitionById(len(found) + 1, F.col("range"))
               .withColumn("row", F.row_number().over(inside).cast("long"))
               .withColumn("upto", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))))
-    placed = scratch.table(placed.drop("k1", "k2"), "ranges")
+    copies = Window.partitionBy("range", "k1")
+    placed = (placed.withColumn("from", F.min(F.col("upto") - F.col("size")).over(copies))
+              .withColumn("copies_bytes", F.sum("size").over(copies)))
+    placed = scratch.table(placed.drop("k2"), "ranges")
     # One row per range, that is one for every range_bytes of the table.
-    held = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    held = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"))
     order = Window.orderBy("range")
     held = held.select("range", (F.sum("bytes").over(order) - F.col("bytes")).alias("bytes_before"),
                        (F.sum("n").over(order) - F.col("n")).alias("rows_before"),
-                       F.sum("bytes").over(Window.partitionBy()).alias("all_bytes"))
+                       F.sum("bytes").over(Window.partitionBy()).alias("all_bytes"),
+                       F.when(F.col("low") == F.lag("high").over(order), F.col("low")).alias("from_before"),
+                       F.when(F.col("high") == F.lead("low").over(order), F.col("high")).alias("into_next"))
     held = settled(held)
-    middle = F.col("bytes_before") + F.col("upto") - F.col("size") / 2
+    # Copies that go on in another range are cut by bytes, others go as one.
+    cut = F.coalesce(F.col("k1") == F.col("from_before"), F.lit(False)) | F.coalesce(F.col("k1") == F.col("into_next"), F.lit(False))
+    own = F.when(cut, F.col("upto") - F.col("size") / 2).otherwise(F.col("from") + F.col("copies_bytes") / 2)
+    middle = F.col("bytes_before") + own
     spread = placed.join(F.broadcast(held), "range").withColumn(
         "shard", F.least(F.floor(middle * shards / F.col("all_bytes")), F.lit(shards - 1)).cast("int")) \
         .withColumn("place", F.col("rows_before") + F.col("row"))

@@ -158,8 +158,8 @@ def near_groups(docs: DataFrame, *, shingle: int, radius: int, id_col: str = "do
     nodes = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     roots = components(links(nodes.select("fp"), radius=radius, segments=segments, crowd=crowd))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = placed.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("group_size"))
-    placed = placed.select("fp", "root", "n").join(groups, "root").select("fp", "n", "component_id", "group_size")
+    groups = placed.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("group_size"), F.count(F.lit(1)).alias("prints"))
+    placed = join_groups(placed.select("fp", "root", "n"), groups, ["root"], "prints").select("fp", "n", "component_id", "group_size")
     return join_groups(prints, placed, ["fp"], "n").select("doc_id", "fp", "component_id", "group_size")
 
 

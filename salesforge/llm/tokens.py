@@ -91,7 +91,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        # Found in any case, for tokenizers that lower-case before they look.
+        self.added = re.compile(b"|".join(re.escape(a.encode()) for a in added), re.IGNORECASE) if added else None
         self.pieces, self.max_pieces, self.max_bytes = pieces, max_pieces, max_bytes
         self.blank = pieces is BYTE_PIECES
         self._empty()
@@ -172,6 +174,8 @@ class Encoder:
         odd = np.flatnonzero(_RARE[data] | (white & np.append(white[1:] | (cls[1:] == GAP), True)))
         slow = np.zeros(len(texts) + 1, bool)
         slow[np.searchsorted(ends, odd)] = True
+        whole = sorted({int(np.searchsorted(ends, m.start())) for m in self.added.finditer(line)}) if self.added else []
+        slow[whole] = True
         starts, stops = cuts_of(cls, self.blank)
         doc = np.searchsorted(ends, starts)
         keep = ~slow[doc]
@@ -179,6 +183,9 @@ class Encoder:
         ids, begin = self._ids(self._slots_of(line, data, starts, stops))
         at = begin[np.searchsorted(doc, np.arange(len(texts) + 1))].tolist()
         out = [ids[s:e] for s, e in zip(at, at[1:])]
+        slow[whole] = False
+        for i in whole:
+            out[i] = np.array(self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids, np.uint32)
         for i in np.flatnonzero(slow[:-1]).tolist():
             pieces = [p.encode() for p in self.pieces.findall(texts[i].decode())]
             out[i] = self._ids(self._by_dict(pieces))[0]

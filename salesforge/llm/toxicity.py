@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.llm.common import SHORT, KeyTable, packed, text_of
+from salesforge.llm.common import SHORT, KeyTable, packed, settled, text_of
 
 FOLDS = 5
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 12, 12
@@ -387,15 +387,19 @@ class Scorer:
 def sample(docs: DataFrame, labels: DataFrame, *, toxic_docs: int, clean_docs: int, train_bytes: int, id_col: str = "doc_id",
            text_col: str = "text", label_col: str = "toxic") -> tuple[list[bytes], list[int], tuple[float, float]]:
     """Training texts and labels, in an order that does not depend on the cluster, and
-    how many labelled documents of either label one of them stands for."""
+    how many labelled documents of either label one of them stands for.  Documents of up
+    to ``train_bytes`` come first; where a label has too few of them, longer ones fill the
+    sample with excerpts, so that a table of long documents is learned from as well."""
     own = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
     own = own.where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
+    fits = settled(rows.select("id", (F.octet_length("text") > train_bytes).alias("long")).join(own, "id")
+                   .groupBy("id").agg(F.min("long").alias("long"), F.max("y").alias("y")))
     order = F.xxhash64(F.col("id"), F.lit(5))
-    picked = [own.where(F.col("y") == v).orderBy(order, "id").limit(n) for v, n in ((0, clean_docs), (1, toxic_docs))]
+    picked = [fits.where(F.col("y") == v).orderBy("long", order, "id").limit(n) for v, n in ((0, clean_docs), (1, toxic_docs))]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most toxic_docs + clean_docs rows
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
-    rows = rows.where(F.octet_length("text") <= train_bytes).join(ids, "id").groupBy("id").agg(
-        F.min("text").alias("text"), F.max("y").alias("y"))
+    rows = rows.join(ids, "id").where((F.octet_length("text") > train_bytes) == F.col("long"))
+    rows = rows.groupBy("id").agg(F.min(F.when(F.col("long"), excerpts(F.col("text"), train_bytes)).otherwise(F.col("text"))).alias("text"), F.max("y").alias("y"))
     found = sorted(rows.collect(), key=lambda r: r["id"])
     counts = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}  # two rows
     drawn = [r["y"] for r in found]
@@ -403,6 +407,12 @@ def sample(docs: DataFrame, labels: DataFrame, *, toxic_docs: int, clean_docs: i
     return [r["text"].encode() for r in found], drawn, stands_for
 
 
+def excerpts(text: Column, upto: int, n: int = 4) -> Column:
+    """``n`` evenly spread parts of a long text, together about ``upto`` characters."""
+    size, total = upto // n, F.char_length(text)
+    return F.concat_ws(" ", *[F.substr(text, F.floor((total - size) * (i / (n - 1))).cast("int") + 1, F.lit(size)) for i in range(n)])
+
+
 def scorer(docs: DataFrame, labels: DataFrame, *, toxic_docs: int = 1500, clean_docs: int = 3000, train_bytes: int = 8_192, window: int = 32,
            id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """Train on the labelled rows of ``docs``; a function from a text column to its score."""

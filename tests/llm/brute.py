@@ -137,7 +137,6 @@ def token_rows(docs: pd.DataFrame, path: str, end_id: int = 2) -> dict[int, np.n
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     return {d: np.array([*tok.encode(t or "", add_special_tokens=False).ids, end_id], "<u4") for d, t in zip(docs.doc_id, docs.text)}
 
 

@@ -14,7 +14,7 @@ def edge_rows():
     long = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
     texts = [(1, None), (2, ""), (3, " \t\n"), (4, "a b c"), (5, "abc"), (5, "abc"), (6, "a  b c "), (None, "a b c"),
              (7, long), (8, long + " tail"), (8, "other words here"), (None, None), (9, "née\x0bÉ 日本 \U0001f600 x"),
-             (10, long), (11, "one two three four five six"), (12, "one two three four five seven")]
+             (10, long), (11, "one two three four five six"), (12, "one two three four five seven"), (13, "a <|endoftext|> b<|startoftext|>")]
     return [(d, t, "en", None, None, *["x"] * len(CLASH)) for d, t in texts]
 
 

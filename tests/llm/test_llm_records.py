@@ -16,11 +16,17 @@ from salesforge.llm.common import Scratch
 
 
 def check_shards(found: pd.DataFrame, shards: int) -> None:
+    """Gapless slots; sizes equal but for a record, or a group of equal texts that is kept
+    together; a group of less than a sixteenth of a shard always is."""
     for _, own in found.groupby("shard"):
         assert sorted(own.slot) == list(range(len(own)))
+    share = found["size"].sum() / shards
+    groups = found.assign(text=found.text.fillna("")).groupby("text").agg(size=("size", "sum"), rows=("size", "size"), shards=("shard", "nunique"))
+    assert (groups[groups["size"] < share / 16].shards == 1).all()
+    whole = groups[(groups.shards == 1) & (groups.rows > 1)]["size"].max()
+    largest = max(found["size"].max(), 0 if pd.isna(whole) else whole)
     sizes = found.groupby("shard")["size"].sum().reindex(range(shards), fill_value=0)
-    largest = found["size"].max()
-    assert (sizes - found["size"].sum() / shards).abs().max() <= 2 * largest
+    assert (sizes - share).abs().max() <= 2 * largest
 
 
 def test_shard_query(spark, docs):
@@ -29,7 +35,16 @@ def test_shard_query(spark, docs):
     assert len(both) == len(found) == len(docs) and both.grown_shard.isna().all() and (both.law == "bytes").all()
     assert [len(t.encode()) + 16 for t in both.text] == both["size"].tolist()
     assert [zlib.crc32(t.encode()) for t in both.text] == both.text_crc32.tolist()
-    check_shards(found, 40)
+    check_shards(both, 40)
+
+
+def test_equal_texts_share_a_shard(spark):
+    found = registry.op2_sampled_splitters(spark, "/root/testdata/sf0.01").toPandas()
+    share = found["size"].sum() / 40
+    groups = found.groupby("text_crc32").agg(shards=("shard", "nunique"), rows=("shard", "size"), size=("size", "sum"))
+    print(groups[groups.shards > 1])
+    assert (groups[groups["size"] < share / 4].shards == 1).all() and (groups.rows > 1).sum() > 50
+    assert found["shard"].nunique() > 30 and found.groupby("shard")["size"].sum().max() < share + found["size"].max()
 
 
 @pytest.mark.parametrize("copies", ["same row", "same text", "none"])

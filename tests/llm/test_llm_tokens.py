@@ -32,6 +32,18 @@ def test_pieces_give_the_tokenizers_ids(path, cuts):
     check()
 
 
+@pytest.mark.parametrize("path,cuts", [(WORD, WORD_PIECES), (BYTE, BYTE_PIECES)])
+def test_the_tokenizers_own_tokens_in_texts(path, cuts):
+    from tokenizers import Tokenizer
+
+    library, enc = Tokenizer.from_file(path), encoder(path, cuts)
+    own = sorted({t.content for t in library.get_added_tokens_decoder().values()} | {"<|endoftext|>", "<|startoftext|>", "<|ENDoftext|>"})
+    texts = [f"a{gap}{t}{gap}b.{t}{t} \n {t}|end" for t in own for gap in ("", " ", "  ", "\n")] + own + ["plain words, as ever", "", "<|endoftext|"]
+    found = [x.tolist() for x in enc.documents([t.encode() for t in texts], 2)]
+    assert found == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert any(i in x for x in found for i in library.get_added_tokens_decoder())
+
+
 @pytest.mark.parametrize("path,cuts", [(WORD, WORD_PIECES), (BYTE, BYTE_PIECES)])
 def test_store_is_emptied_and_crowded(path, cuts, docs):
     small = Encoder(path, cuts, max_pieces=600)

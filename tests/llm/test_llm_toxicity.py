@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import brute
 import numpy as np
 import pandas as pd
@@ -128,3 +130,27 @@ def test_pipeline_stages_on_edges(spark, edge, empty):
             out = stage(spark, rows, SF)
             out.count()
             assert name == "packing" or out.columns == rows.columns
+
+
+def test_long_labelled_documents_are_learned_from(spark):
+    """Where every labelled document is longer than the training bound, the network still
+    learns, from excerpts."""
+    rng = np.random.default_rng(2)
+    good = ["".join(rng.choice(list("abcdefg"), rng.integers(3, 8))) for _ in range(300)]
+    bad = ["".join(rng.choice(list("xyzwq"), rng.integers(4, 8))) for _ in range(12)]
+    rows, marks = [], []
+    for i in range(80):
+        words = rng.choice(good, 1800).tolist()
+        if i % 2:
+            words = [rng.choice(bad) if rng.random() < 0.1 else w for w in words]
+        rows.append((i, " ".join(words)))
+        marks.append((i, i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    assert min(len(t) for _, t in rows) > 8192
+    texts, drawn, _ = toxicity.sample(docs, labels, toxic_docs=1500, clean_docs=3000, train_bytes=8192)
+    held = [i for i, _ in rows if crc32(str(i).encode()) % 5 == 0]
+    assert len(texts) == len(rows) - len(held) and max(map(len, texts)) <= 8192 + 3 and set(drawn) == {0, 1}
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(docs, labels).collect()}
+    right = sum((found[i] >= 0.5) == bool(i % 2) for i in held)
+    assert len({round(s, 6) for s in found.values()}) > 1 and right >= 0.8 * len(held)
