@@ -73,7 +73,7 @@ def test_all_rejects_are_returned(spark):
     from salesforge.sources import fixtures, sinks
 
     _, rejects = sinks.to_sales_records(fixtures.sales_text(spark, SF))
-    found = E.queries()["sales_record_rejects_whole"](spark, SF).toPandas()
+    found = E.queries()["sales_record_rejects"](spark, SF).toPandas()
     assert len(found) == rejects.count()
     price = found[found.reason == "unit_price_invalid"]
     assert (price.unit_price_text == "Infinity").any() and price.unit_price_text.isna().any()
