@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 
+from collections import Counter
+
 import brute
 import numpy as np
 import pandas as pd
@@ -121,6 +123,27 @@ def test_leaks_of_swapped_passages(spark, block_rows):
     assert (whole.start, whole.bits, whole.similarity) == (400, 0, 1.0)
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcdef"])
+def test_sliding_prints_and_weights(spark, letters):
+    """Every window's fingerprint and common weight against counting it by itself, with
+    shingles that occur many times."""
+    rng = np.random.default_rng(len(letters))
+    doc, item = ["".join(rng.choice(list(letters), n)) for n in (70, 25)]
+    places = [(7, at, s) for at, s in enumerate(doc)]
+    starts = [(7, start, len(item)) for start in range(len(doc) - len(item) + 1)]
+    windows = spark.createDataFrame(starts, "rid long, start int, size int")
+    prints = decontaminate.window_prints(spark.createDataFrame(places, "rid long, at int, s string"), windows, ["rid"])
+    hashed = spark.createDataFrame([(a, c) for _, a, n in starts for c in doc[a:a + n]], "win int, s string")
+    alone = {r["win"]: r["fp"] for r in decontaminate.simhash(hashed, ["win"]).collect()}
+    assert {r["start"]: r["fp"] for r in prints.collect()} == alone
+
+    weights = Counter(item)
+    held = [(7, len(item), [i for i, c in enumerate(doc) if c == s], n) for s, n in weights.items()]
+    held = spark.createDataFrame([x for x in held if x[2]], "rid long, size int, places array<int>, item_w long")
+    found = {r["start"]: r["both"] for r in decontaminate.shared_weight(held, windows, ["rid"]).collect()}
+    assert found == {a: (Counter(doc[a:a + n]) & weights).total() for _, a, n in starts}
+
+
 def test_leaks_of_short_items(spark):
     items = spark.createDataFrame([(1, "Net"), (2, "red fox"), (3, "one two three"), (4, "a b c d"), (5, "a b c d e")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "the red, FOX ran into a net and the red fox slept"), (2, "fox red netto zero one two four three"), (3, "red fox"),
