@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import zlib
-
 from collections import Counter
 
 import brute
