@@ -83,7 +83,8 @@ def op7_rare_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the windows of 20 words that stand earlier."""
-    out = substring.drop_repeats(_read(spark, sf_dir, "documents"), k=20)
+    # The rows of a table read have the same number in every read.
+    out = substring.drop_repeats(_read(spark, sf_dir, "documents"), rid=F.monotonically_increasing_id(), k=20)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -11,6 +11,10 @@ in at least one part (else they would differ in more bits than the radius allows
 So every fingerprint looks up the small Hamming ball around each of its parts in the
 table of the parts, and the complete distance of every match is checked.
 
+``segments`` follows from the number of fingerprints: three parts of 21 or 22 bits, each
+with a ball of 23 points or one, until an entry would hold half a ``crowd`` by chance
+alone; from 2^26 fingerprints on two parts of 32 bits with balls of 529 and 33.
+
 Crowded table entries (more than ``crowd`` fingerprints, as a large group of near copies
 makes them) are not expanded into pairs.  The fingerprints that meet there are linked
 through the points of the Hamming balls of radius ``radius / 2`` around them: two balls
@@ -93,6 +97,11 @@ def ball(width: int, radius: int) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
+def segments_for(prints: int, crowd: int) -> int:
+    """The number of parts, three or two, whose tables stay sparse under ``prints``."""
+    return 3 if prints <= crowd // 2 << BITS // 3 else 2
+
+
 def _value(first: int, width: int) -> Column:
     return F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1 if width < BITS else -1))
 
@@ -106,12 +115,12 @@ def _around(part: int, first: int, width: int, threshold: int) -> Column:
     return F.transform(F.lit(ball(width, threshold)), lambda mask: _entry(part, _value(first, width).bitwiseXOR(mask)))
 
 
-def links(fps: DataFrame, *, radius: int, segments: int = 3, crowd: int = 64) -> DataFrame:
+def links(fps: DataFrame, *, radius: int, segments: int | None = None, crowd: int = 64) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp) whose components are those
     of all pairs within ``radius`` bits."""
     if radius == 0:  # nodes are distinct already
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    parts = _parts(radius, segments)
+    parts = _parts(radius, segments or segments_for(fps.count(), crowd))
     own = F.array(*[_entry(i, _value(f, w)) for i, (f, w, _) in enumerate(parts)])
     around = F.concat(*[_around(i, *part) for i, part in enumerate(parts)])
     entries = settled(fps.select("fp", F.explode(own).alias("k")).select("fp", "k.part", "k.value"))
@@ -151,7 +160,7 @@ def _ball_links(dense: DataFrame, radius: int) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, *, shingle: int, radius: int, id_col: str = "doc_id", text_col: str = "text",
-                segments: int = 3, crowd: int = 64) -> DataFrame:
+                segments: int | None = None, crowd: int = 64) -> DataFrame:
     """(doc_id, fp, component_id, group_size), one row per row of ``docs``; component_id
     is the smallest doc_id of the group."""
     prints = settled(fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col))

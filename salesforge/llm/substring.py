@@ -23,8 +23,9 @@ starts and packed strings are shuffled, and the texts once to meet their removed
 
 Edge cases: null text has no words; texts under ``k`` words keep all; documents that
 share a doc_id (repeated rows) are told apart and ordered by their place in the table; a
-null doc_id comes after all others.  The input has to be a table read (its row order is
-used twice).  Only the two named columns are read.
+null doc_id comes after all others.  Rows are numbered in a written table, since rows of a
+shuffle may come in another order the second time; a caller whose rows have a lasting
+number names it (``rid``).  Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -34,10 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.llm.common import SHORT, packed, pieces_of, slices, utf8
+from salesforge.llm.common import SHORT, Scratch, packed, pieces_of, slices, utf8
 
 SENT = "bucket long, rid long, lo array<int>, hi array<int>, blob binary"
 RANGES = "rid long, lo array<int>, hi array<int>"
@@ -333,11 +334,15 @@ def repeated_ranges(docs: DataFrame, *, k: int, m: int, bucket_bytes: int, chunk
     return sent.groupBy("bucket").applyInArrow(meet, RANGES)
 
 
-def drop_repeats(docs: DataFrame, *, k: int = 20, m: int = 3, id_col: str = "doc_id", text_col: str = "text",
+def drop_repeats(docs: DataFrame, *, rid: Column | None = None, k: int = 20, m: int = 3, id_col: str = "doc_id", text_col: str = "text",
                  bucket_bytes: int = 4 << 20, chunk_bytes: int = 8 << 20, crowd: int = 1 << 17) -> DataFrame:
-    """One row per document (schema ``KEPT``): the words that stay, joined by a space."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
-                       F.col(f"`{text_col}`").cast("string").alias("text"))
+    """One row per document (schema ``KEPT``): the words that stay, joined by a space.
+    ``rid`` numbers the rows in their order, alike whenever they are read."""
+    named = [F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")]
+    if rid is None:
+        docs, number = Scratch(docs.sparkSession).numbered(docs.select(*named))
+        named, rid = ["doc_id", "text"], F.col(number)
+    rows = docs.select(*named, rid.alias("rid"))
     found = repeated_ranges(rows, k=k, m=m, bucket_bytes=bucket_bytes, chunk_bytes=chunk_bytes, crowd=crowd)
     found = found.groupBy("rid").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
 

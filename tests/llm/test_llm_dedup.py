@@ -51,7 +51,7 @@ def _edges(spark, values, radius, **options):
     return [comps.get(int(v), int(v)) for v in values.view(np.int64)]
 
 
-@pytest.mark.parametrize("radius,segments,crowd", [(4, 3, 64), (4, 3, 1), (3, 2, 1), (2, 1, 2), (5, 4, 1), (0, 3, 1)])
+@pytest.mark.parametrize("radius,segments,crowd", [(4, 3, 64), (4, 3, 1), (3, 2, 1), (2, 1, 2), (5, 4, 1), (0, 3, 1), (4, 2, 64), (4, None, 64)])
 def test_links_are_complete(spark, radius, segments, crowd):
     rng = np.random.default_rng(radius)
     base = rng.integers(0, 2**64, 12, dtype=np.uint64)
@@ -104,6 +104,23 @@ def test_substring_small_chunks(spark, docs, k, m, chunk):
     same(found.toPandas(), brute.substring(few, k), "doc_id")
 
 
+def test_substring_of_a_shuffled_input(spark, docs):
+    """Rows that come out of a shuffle are numbered once."""
+    few = docs.head(60).assign(text=docs.text.str[:900])
+    few = pd.concat([few, few.head(20).assign(doc_id=few.doc_id.head(20) + 10_000)])
+    frame = spark.createDataFrame(few[["doc_id", "text"]]).repartition(7, F.rand())
+    found = substring.drop_repeats(frame, k=5, bucket_bytes=2000, chunk_bytes=3000)
+    found = found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    same(found.toPandas(), brute.substring(few, 5), "doc_id")
+
+
+def test_segments_follow_the_number_of_fingerprints():
+    assert [simhash_near.segments_for(n, 64) for n in (0, 1 << 26, (1 << 26) + 1, 1 << 40)] == [3, 3, 2, 2]
+    for segments in (2, 3):
+        parts = simhash_near._parts(4, segments)
+        assert sum(w for _, w, _ in parts) == 64 and sum(t for _, _, t in parts) == 4 - segments + 1
+
+
 def test_substring_crowded_runs(spark):
     """Ten shared words in differing surroundings: results stay, and no bucket is hot."""
     rng = np.random.default_rng(8)
