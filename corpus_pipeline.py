@@ -2,7 +2,7 @@
 
 Every stage gets all rows its predecessor kept, as a written table, and returns the rows
 it keeps with all their columns; the last one returns packed pieces.  What a stage wrote
-for itself is deleted when the next one begins, whose input is written by then.
+for itself is deleted once its result is written.
 
 SQL cannot express the network, fingerprints or tokenizer, so ``ORACLE_SQL`` is None;
 ``tests/llm/test_llm_toxicity.py`` compares the stages with brute force.
@@ -10,6 +10,8 @@ SQL cannot express the network, fingerprints or tokenizer, so ``ORACLE_SQL`` is
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,18 +19,16 @@ from pyspark.sql import functions as F
 from salesforge.llm import decontaminate, exact_names, packing, simhash_near, toxicity
 from salesforge.llm.common import Scratch
 
-_OPEN: list[Scratch] = []
+#: What ``run`` deletes after the stage it is calling; a stage called alone has its own,
+#: which goes when the session ends.
+_STAGE: ContextVar[Scratch | None] = ContextVar("stage", default=None)
 
 
 def _scratch(spark: SparkSession) -> Scratch:
-    while _OPEN:
-        _OPEN.pop().release()
-    _OPEN.append(Scratch(spark))
-    return _OPEN[0]
+    return _STAGE.get() or Scratch(spark)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _scratch(spark)
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -45,7 +45,6 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _scratch(spark)
     out = packing.pack(docs, tokenizer=public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
@@ -60,7 +59,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     the shared folder and read by the next one."""
     docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark)
     for name, stage in STAGES[:-1]:
-        before = list(written.paths)
-        docs = written.table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, own = list(written.paths), Scratch(spark)
+        token = _STAGE.set(own)
+        try:
+            docs = written.table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        finally:
+            _STAGE.reset(token)
+            own.release()
         written.release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
