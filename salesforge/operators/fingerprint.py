@@ -29,10 +29,23 @@ def _on_grid(c: Column, places: int) -> Column:
     return F.when(F.abs(steps) < F.lit(2.0 ** 62), steps.cast("bigint").cast("string")).otherwise(c.cast("string"))
 
 
-def _cell(f: T.StructField, places: int | None) -> Column:
+def _exact(c: Column) -> Column:
+    """A double as two whole numbers that are together its exact value and that every
+    engine prints alike: steps of 2^-20, and what is left in steps of 2^-82.  What has no
+    such numbers (under 2^-30 but not 0, from 2^42 on, NaN) is written as it is."""
+    scaled = c * F.lit(2.0 ** 20)
+    steps = scaled.cast("bigint")
+    rest = ((scaled - steps.cast("double")) * F.lit(2.0 ** 62)).cast("bigint")
+    fits = (F.abs(c) < F.lit(2.0 ** 42)) & ((F.abs(c) >= F.lit(2.0 ** -30)) | (c == 0))
+    return F.when(fits, F.concat(steps.cast("string"), F.lit(":"), rest.cast("string"))).otherwise(c.cast("string"))
+
+
+def _cell(f: T.StructField, places: int | None, portable: bool) -> Column:
     c = F.col(f"`{f.name}`")
     if places is not None and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
         value = _on_grid(c.cast("double"), places)
+    elif portable and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        value = _exact(c.cast("double"))
     elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
         value = F.to_json(c)
     else:
@@ -40,24 +53,25 @@ def _cell(f: T.StructField, places: int | None) -> Column:
     return F.coalesce(F.concat(F.lit(f"{f.name}="), value), F.lit(f"{f.name}!"))
 
 
-def row_key(df: DataFrame, places: int | None = None) -> Column:
+def row_key(df: DataFrame, places: int | None = None, portable: bool = False) -> Column:
     """A key of a row's content: the MD5 of its text.  Equal rows have equal keys."""
-    return F.md5(F.concat_ws(SEPARATOR, *[_cell(f, places) for f in df.schema.fields]))
+    return F.md5(F.concat_ws(SEPARATOR, *[_cell(f, places, portable) for f in df.schema.fields]))
 
 
-def _row_hash(df: DataFrame, places: int | None) -> Column:
-    return F.conv(F.substring(row_key(df, places), 1, 15), 16, 10).cast("bigint").cast("decimal(38,0)")
+def _row_hash(df: DataFrame, places: int | None, portable: bool = False) -> Column:
+    return F.conv(F.substring(row_key(df, places, portable), 1, 15), 16, 10).cast("bigint").cast("decimal(38,0)")
 
 
 def _total(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0).cast("decimal(38,0)")).cast("string")
 
 
-def fingerprint(df: DataFrame, places: int | None = None) -> DataFrame:
+def fingerprint(df: DataFrame, places: int | None = None, portable: bool = False) -> DataFrame:
     """One row: ``rows`` and ``fingerprint`` (the sum of the row hashes, as text).  With
     ``places`` doubles count as equal that agree when rounded to so many decimal places;
-    without, only equal ones do."""
-    hashed = df.select(_row_hash(df, places).alias("h"))
+    without, only equal ones do.  ``portable`` writes equal ones as other engines can too,
+    not as this Java version prints them."""
+    hashed = df.select(_row_hash(df, places, portable).alias("h"))
     return hashed.agg(F.count(F.lit(1)).alias("rows"), _total("h").alias("fingerprint"))
 
 

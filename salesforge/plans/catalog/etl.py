@@ -12,7 +12,7 @@ from salesforge.operators import fingerprint as FP
 from salesforge.operators import queries as Q
 from salesforge.operators import transform as T
 from salesforge.operators import validate as V
-from salesforge.plans.oracle import AS_OF_SQL, DATE, DIRTY_CTE, NUM, ROW_KEY, SALES_CTE, TEXT_CTE, R, with_
+from salesforge.plans.oracle import AS_OF_SQL, DATE, DIRTY_CTE, EXACT_ROW_KEY, NUM, ROW_KEY, SALES_CTE, TEXT_CTE, R, with_
 from salesforge.plans.registry import register, stable
 from salesforge.sources import fixtures as FX
 from salesforge.sources import sinks as SK
@@ -184,10 +184,10 @@ def _load_metrics(spark, sf_dir):
 
 
 @register("dataset_fingerprint", with_(DIRTY_CTE) + f"""
-SELECT count(*) AS rows, CAST(coalesce(sum(CAST(('0x' || substr({ROW_KEY}, 1, 15)) AS HUGEINT)), 0) AS VARCHAR) AS fingerprint
+SELECT count(*) AS rows, CAST(coalesce(sum(CAST(('0x' || substr({EXACT_ROW_KEY}, 1, 15)) AS HUGEINT)), 0) AS VARCHAR) AS fingerprint
 FROM sales_dirty""")
 def _dataset_fingerprint(spark, sf_dir):
-    return FP.fingerprint(FX.sales_dirty(spark, sf_dir), places=4)
+    return FP.fingerprint(FX.sales_dirty(spark, sf_dir), portable=True)
 
 
 # ---------------------------------------------------------------------------------------

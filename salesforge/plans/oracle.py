@@ -7,6 +7,8 @@ Spark and ``round_even(.., 0)`` in DuckDB perform the same IEEE operations.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 
 def R(expr: str, dp: int | None = None) -> str:
     """SQL for ``round_half_even(expr, dp)``, or, without ``dp``, for
@@ -97,14 +99,28 @@ def DATE(c: str) -> str:
     return f"coalesce(TRY_CAST({t} AS TIMESTAMP), try_strptime({t}, '%m/%d/%Y'), try_strptime({t}, '%d %b %Y'))"
 
 
-# The text of a value: a null mark or "=" and the value; doubles as steps of four places.
-def _cell(c: str, number: bool) -> str:
-    text = f"CAST(CAST(round_even({c} * 10000.0, 0) AS BIGINT) AS VARCHAR)" if number else f"CAST({c} AS VARCHAR)"
-    return f"'{c}' || coalesce('=' || {text}, '!')"
+def _grid(c: str) -> str:
+    """A double as steps of four places."""
+    return f"CAST(CAST(round_even({c} * 10000.0, 0) AS BIGINT) AS VARCHAR)"
+
+
+def _exact(c: str) -> str:
+    """A double's exact value: steps of 2^-20, and what is left in steps of 2^-82."""
+    x, top = f"CAST({c} AS DOUBLE)", f"CAST({c} AS DOUBLE) * CAST({2 ** 20} AS DOUBLE)"
+    rest = f"({top} - trunc({top})) * CAST({2 ** 62} AS DOUBLE)"
+    return (f"CASE WHEN abs({x}) < {2 ** 42} AND (abs({x}) >= 1 / CAST({2 ** 30} AS DOUBLE) OR {x} = 0) "
+            f"THEN CAST(CAST(trunc({top}) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST({rest} AS BIGINT) AS VARCHAR) ELSE CAST({x} AS VARCHAR) END")
+
+
+# The text of a value: a null mark or "=" and the value.
+def _row_key(number: Callable[[str], str]) -> str:
+    def cell(c: str) -> str:
+        text = number(c) if c in ("quantity", "unit_price", "discount", "total_sales") else f"CAST({c} AS VARCHAR)"
+        return f"'{c}' || coalesce('=' || {text}, '!')"
+    return "md5(" + " || chr(31) || ".join(map(cell, ["date", "product_id", "quantity", "unit_price", "discount", "total_sales"])) + ")"
 
 
-ROW_KEY = "md5(" + " || chr(31) || ".join(_cell(c, c in ("quantity", "unit_price", "discount", "total_sales")) for c in
-                               ["date", "product_id", "quantity", "unit_price", "discount", "total_sales"]) + ")"
+ROW_KEY, EXACT_ROW_KEY = _row_key(_grid), _row_key(_exact)
 
 
 AS_OF_SQL = "TIMESTAMP '2001-06-30 00:00:00'"

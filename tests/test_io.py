@@ -204,3 +204,22 @@ def test_fingerprint_of_an_append_reads_only_new_files(spark, tmp_dir):
     os.remove(os.path.join(folder, old[0]))  # a file that goes takes its sum with it
     rest = FP.fingerprint_files(spark, folder, store).first()
     assert rest["files_hashed"] == 0 and tuple(rest)[:2] == tuple(FP.fingerprint(spark.read.parquet(folder)).first())
+
+
+def test_dataset_fingerprint_counts_the_whole_values(spark, tmp_dir):
+    """Prices that differ after the fourth decimal place are other data, as the twin has it."""
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+    ddl = "l_orderkey long, l_partkey long, l_shipdate timestamp_ntz, l_quantity double, l_extendedprice double, l_discount double"
+    day, found = datetime(1998, 1, 15), []
+    for n, price in enumerate((100.0, 100.00001, 100.00000000000001, None)):
+        folder = os.path.join(tmp_dir, str(n))
+        rows = [(1, 1, day, 1.0, price, 0.0), (97, 2, None, 3.0, 1e9 / 7, 0.07), (101, 3, day, 0.0, -5.25, 0.1), (89, 4, day, 3.0, 1e-8 / 3, None),
+                (2, 5, day, -0.0, -1e12 / 3, 0.3)]
+        spark.createDataFrame(rows, ddl).write.parquet(f"{folder}/lineitem.parquet")
+        found.append(tuple(queries()["dataset_fingerprint"](spark, folder).first()))
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{folder}/lineitem.parquet/*.parquet')")
+        assert con.execute(oracle_sql()["dataset_fingerprint"]).fetchall() == [found[-1]]
+    assert len(set(found)) == 4 and {r for r, _ in found} == {6}
