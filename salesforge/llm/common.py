@@ -66,6 +66,33 @@ def utf8(column) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+#: What a Python worker keeps from one task to the next, by what it belongs to.
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """``make()``, made once and kept while this worker serves the same operator."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def lean(forget: bool = False) -> None:
+    """Memory that is free goes back to the system; ``forget``: with what is kept.  Spark
+    gives a worker the tasks of one stage after another, and an executor's memory holds
+    all its workers, so a task should not leave more behind than the next one can use."""
+    import ctypes
+
+    import pyarrow as pa
+
+    if forget:
+        _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 SHORT = 15  # bytes of a word that is its own key
 _LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes of a long
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.llm.common import pieces_of, slices, text_of, utf8
+from salesforge.llm.common import lean, pieces_of, slices, text_of, utf8
 from salesforge.llm.tokens import WORD_PIECES, encoder
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -72,6 +72,7 @@ def pieces(docs: DataFrame, *, tokenizer: str, capacity: int, end_id: int, id_co
                     yield _batch(rows)
                     rows, held = [], 0
             yield _batch(rows)
+        lean()
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(run, PIECES)

@@ -16,7 +16,7 @@ from itertools import chain
 
 import numpy as np
 
-from salesforge.llm.common import SHORT, KeyTable, packed
+from salesforge.llm.common import SHORT, KeyTable, kept, packed
 
 # Unicode White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -204,12 +204,7 @@ class Encoder:
             at = stop
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, pieces: re.Pattern) -> Encoder:
-    """This worker's encoder for a tokenizer file; kept while the worker lives."""
-    key = (path, pieces.pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, BYTE_PIECES if pieces.pattern == BYTE_PIECES.pattern else pieces)
-    return _ENCODERS[key]
+    """This worker's encoder for a tokenizer file, kept for its next tasks."""
+    same = BYTE_PIECES if pieces.pattern == BYTE_PIECES.pattern else pieces
+    return kept(("encoder", path, pieces.pattern), lambda: Encoder(path, same))

@@ -14,8 +14,9 @@ window, so only the highest window of a toxic document is taught as toxic, by th
 leaning of its words in the first round and by the network itself from then on.
 
 Scale: scoring is a map over the texts with no shuffle; a task holds the model (a few
-MB) and a bounded store of words it has met.  Only the sampled ids are broadcast, at most
-``toxic_docs + clean_docs`` of them.
+MB) and a bounded store of words it has met, unpacks about a megabyte of text at a time
+and first lets go of what its worker keeps for other operators.  Only the sampled ids are
+broadcast, at most ``toxic_docs + clean_docs`` of them.
 
 Edge cases: null and empty texts are one empty window and get its score; without training
 rows of both labels every score is 0; a document labelled twice counts as toxic if one
@@ -27,11 +28,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesforge.llm.common import SHORT, KeyTable, packed, settled, text_of
+from salesforge.llm.common import SHORT, KeyTable, lean, packed, settled, text_of, utf8
 
 FOLDS = 5
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 12, 12
@@ -348,7 +350,8 @@ class Scorer:
 
     def _empty(self) -> None:
         self.rows = KeyTable(self.max_words)
-        self.table = np.zeros((1 << 14, 6 * HIDDEN), np.float32)
+        # Zeroed pages take memory as they are written; a table that is made anew and copied takes it twice.
+        self.table = np.zeros((self.max_words + (1 << 16), 6 * HIDDEN), np.float32)
         self.table[0] = self.net.pad_row()
         self.size = 1
 
@@ -421,19 +424,23 @@ def scorer(docs: DataFrame, labels: DataFrame, *, toxic_docs: int = 1500, clean_
     net = train(texts, marks, window=window, stands_for=stands_for)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lean(forget=True)  # other operators' stores, which this one has no use for
         own = Scorer(shared.value, window) if shared.value else None
         for batch in batches:
-            texts, out, at = [t.encode() for t in batch], np.zeros(len(batch)), 0
-            while own and at < len(texts):  # about a megabyte of text at a time
+            out, at = np.zeros(len(batch)), 0
+            sizes = pc.binary_length(batch).to_numpy(zero_copy_only=False)
+            while own and at < len(batch):  # about a megabyte of text is unpacked at a time
                 stop, room = at, 1 << 20
-                while stop < len(texts) and (stop == at or room >= len(texts[stop])):
-                    room -= len(texts[stop])
+                while stop < len(batch) and (stop == at or room >= sizes[stop]):
+                    room -= sizes[stop]
                     stop += 1
-                out[at:stop] = own.scores(texts[at:stop])
+                out[at:stop] = own.scores(utf8(batch.slice(at, stop - at)))
                 at = stop
-            yield pd.Series(out)
+            yield pa.array(out)
+        own = None
+        lean()
 
     return scored
 

@@ -154,3 +154,21 @@ def test_long_labelled_documents_are_learned_from(spark):
     found = {r["doc_id"]: r["score"] for r in toxicity.score(docs, labels).collect()}
     right = sum((found[i] >= 0.5) == bool(i % 2) for i in held)
     assert len({round(s, 6) for s in found.values()}) > 1 and right >= 0.8 * len(held)
+
+
+def test_a_scoring_task_lets_go_of_other_operators_stores(spark):
+    """A worker that has packed keeps its encoder for the next packing task only."""
+    from salesforge.llm import packing
+    docs = spark.createDataFrame([(i, f"plain word{i % 7} " + ("vile" if i % 2 else "kind")) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+
+    def holding(batches):
+        import gc
+
+        from salesforge.llm.tokens import Encoder
+        for b in batches:
+            yield pd.DataFrame({"n": [sum(isinstance(x, Encoder) for x in gc.get_objects())] * len(b)})
+
+    packing.pack(docs.coalesce(1), tokenizer=public_tokenizers.path("word_bpe_49k.json")).coalesce(1).collect()
+    toxicity.score(docs.coalesce(1), labels).collect()
+    assert [r["n"] for r in spark.range(1).coalesce(1).mapInPandas(holding, "n long").collect()] == [0]
